@@ -1,0 +1 @@
+"""Structured Streaming execution of the batch scorecard operators."""
