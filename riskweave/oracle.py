@@ -84,3 +84,38 @@ ORDER_RISK_SELECT = """SELECT order_id, order_date, country, payment_method, pro
   discount_rate, shipping_distance_km, delivery_days_estimated, late_delivery_risk, address_mismatch,
   high_risk_ip, customer_support_contacts, review_score, is_returned, is_fraud, risk_label
 FROM order_risk"""
+
+
+# --- profiling helpers ---------------------------------------------------------------------------
+def long_cte(cols, group: str | None = None, source: str = "order_risk") -> str:
+    """``(grp?, column, value DOUBLE)`` rows for the numeric ``cols``; NULL/NaN dropped."""
+    g = f"{group} AS grp, " if group else ""
+    gf = f" AND {group} IS NOT NULL" if group else ""
+    return "\nUNION ALL\n".join(
+        f"SELECT {g}'{c}' AS col, CAST({c} AS DOUBLE) AS value FROM {source} "
+        f"WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE)){gf}" for c in cols)
+
+
+def quantile_ctes(probs, group: bool = False) -> str:
+    """CTEs ``stats`` (n, mean, std, mn, mx) and ``qv`` (prob, qv) over CTE ``long``,
+    exact order statistics + NumPy's linear interpolation."""
+    k = "grp, col" if group else "col"
+    on = "r.grp = t.grp AND r.col = t.col" if group else "r.col = t.col"
+    plist = ", ".join(f"CAST({p!r} AS DOUBLE)" for p in probs)
+    return f"""
+ranked AS (SELECT {k}, value, row_number() OVER (PARTITION BY {k} ORDER BY value) - 1 AS rk FROM long),
+stats AS (SELECT {k}, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS std,
+                 min(value) AS mn, max(value) AS mx FROM long GROUP BY {k}),
+targets AS (
+  SELECT {k}, n, prob, n * prob + (CAST(1.0 AS DOUBLE) - prob) - CAST(1.0 AS DOUBLE) AS vidx
+  FROM stats, (SELECT unnest([{plist}]) AS prob) p),
+t2 AS (
+  SELECT {k}, prob, CAST(floor(vidx) AS BIGINT) AS k_lo,
+         least(CAST(floor(vidx) AS BIGINT) + 1, n - 1) AS k_hi, vidx - floor(vidx) AS t FROM targets),
+qv AS (
+  SELECT {', '.join('t.' + x.strip() for x in k.split(','))}, t.prob,
+         CASE WHEN t.t >= 0.5 THEN b.value - (b.value - a.value) * (CAST(1.0 AS DOUBLE) - t.t)
+              ELSE a.value + (b.value - a.value) * t.t END AS qv
+  FROM t2 t
+  JOIN ranked a ON {on.replace('r.', 'a.')} AND a.rk = t.k_lo
+  JOIN ranked b ON {on.replace('r.', 'b.')} AND b.rk = t.k_hi)"""

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import scorecard as sc
 from ..oracle import ORDER_RISK_SELECT, with_order_risk
-from ..sources import order_risk
+from ..sources import order_risk as _raw_order_risk
+from ..sources import prepared_order_risk as order_risk
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +49,7 @@ def _union_scorecards_sql() -> str:
 # --- S1/S2: the source table itself -------------------------------------------------------------
 @register("S1_order_risk", ORDER_RISK_SELECT)
 def q_order_risk(spark, sf_dir):
-    return order_risk(spark, sf_dir)
+    return _raw_order_risk(spark, sf_dir)
 
 
 # --- A1 ------------------------------------------------------------------------------------------
@@ -125,3 +126,185 @@ _VC_COLS = ("risk_label", "country", "device_type", "traffic_source", "payment_m
     f"FROM order_risk WHERE {c} IS NOT NULL GROUP BY {c}" for c in _VC_COLS))
 def q_value_counts(spark, sf_dir):
     return sc.value_counts(order_risk(spark, sf_dir), _VC_COLS)
+
+
+# --- V1-V7 validation ----------------------------------------------------------------------------
+from ..oracle import long_cte, quantile_ctes  # noqa: E402
+from ..operators import profile as pf  # noqa: E402
+from ..operators import validate as vd  # noqa: E402
+from ..sources import read_table  # noqa: E402
+
+
+@register("V7_validation_log", """
+SELECT * FROM (VALUES
+  ('total_records', (SELECT CAST(count(*) AS VARCHAR) FROM order_risk)),
+  ('duplicate_order_ids', (SELECT CAST(count(*) - count(DISTINCT order_id)
+                                  - max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS VARCHAR) FROM order_risk)),
+  ('missing_values', (SELECT CAST(""" + " + ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c in ('avg_order_value_eur', 'order_value_eur', 'discount_rate', 'shipping_distance_km', 'review_score') else ''})"
+    for c in ("order_id", "order_date", "country", "payment_method", "product_category", "device_type",
+              "traffic_source", "customer_age_days", "previous_orders", "avg_order_value_eur",
+              "order_value_eur", "quantity", "discount_rate", "shipping_distance_km",
+              "delivery_days_estimated", "late_delivery_risk", "address_mismatch", "high_risk_ip",
+              "customer_support_contacts", "review_score", "is_returned", "is_fraud", "risk_label")) + """ AS VARCHAR) FROM order_risk)),
+  ('negative_order_values', (SELECT CAST(count(*) FILTER (WHERE order_value_eur < 0) AS VARCHAR) FROM order_risk)),
+  ('review_score_out_of_range', (SELECT CAST(count(*) FILTER (WHERE NOT isnan(review_score)
+                                   AND (review_score < 0 OR review_score > 5)) AS VARCHAR) FROM order_risk)),
+  ('date_range', (SELECT CAST(min(order_date) AS VARCHAR) || ' to ' || CAST(max(order_date) AS VARCHAR) FROM order_risk))
+) AS t("check", value)""")
+def q_validation_log(spark, sf_dir):
+    return vd.validation_log(order_risk(spark, sf_dir))
+
+
+# lineitem keys (l_orderkey, l_linenumber) repeat in the driver data: exercises V2 for real.
+_LI_VALIDATION = """
+SELECT * FROM (VALUES
+  ('total_records', (SELECT CAST(count(*) AS VARCHAR) FROM lineitem)),
+  ('duplicate_line_keys', (SELECT CAST((SELECT count(*) FROM lineitem)
+                               - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS VARCHAR))),
+  ('missing_values', (SELECT CAST(""" + " + ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c in ('l_quantity', 'l_extendedprice', 'l_discount', 'l_tax') else ''})"
+    for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")) + """ AS VARCHAR) FROM lineitem)),
+  ('negative_prices', (SELECT CAST(count(*) FILTER (WHERE l_extendedprice < 0) AS VARCHAR) FROM lineitem)),
+  ('discount_out_of_range', (SELECT CAST(count(*) FILTER (WHERE NOT isnan(l_discount)
+                               AND (l_discount < 0 OR l_discount > 0.05)) AS VARCHAR) FROM lineitem)),
+  ('date_range', (SELECT CAST(min(CAST(l_shipdate AS DATE)) AS VARCHAR) || ' to '
+                         || CAST(max(CAST(l_shipdate AS DATE)) AS VARCHAR) FROM lineitem))
+) AS t("check", value)"""
+QUERIES["V7_lineitem_validation"] = lambda spark, sf_dir: vd.validation_log(
+    read_table(spark, sf_dir, "lineitem"), key=["l_orderkey", "l_linenumber"], amount="l_extendedprice",
+    score="l_discount", lo=0.0, hi=0.05, date="l_shipdate", key_name="duplicate_line_keys",
+    amount_name="negative_prices", score_name="discount_out_of_range")
+ORACLE["V7_lineitem_validation"] = _LI_VALIDATION
+
+
+@register("V2_duplicate_line_keys")
+def q_duplicate_line_keys(spark, sf_dir):
+    return vd.duplicate_keys(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+ORACLE["V2_duplicate_line_keys"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS copies, count(*) - 1 AS extra_copies
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+
+@register("V3_missing_by_column", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS missing FROM order_risk"
+    for c in ("order_id", "order_date", "country", "payment_method", "product_category", "device_type",
+              "traffic_source", "customer_age_days", "previous_orders", "avg_order_value_eur",
+              "order_value_eur", "quantity", "discount_rate", "shipping_distance_km",
+              "delivery_days_estimated", "late_delivery_risk", "address_mismatch", "high_risk_ip",
+              "customer_support_contacts", "review_score", "is_returned", "is_fraud", "risk_label")))
+def q_missing_by_column(spark, sf_dir):
+    return vd.missing_by_column(order_risk(spark, sf_dir))
+
+
+# --- A7-A13 profiling ----------------------------------------------------------------------------
+def _q_pick(p: float) -> str:
+    return f"(SELECT qv FROM qv WHERE qv.col = s.col AND qv.prob = CAST({p!r} AS DOUBLE))"
+
+
+@register("A7_numeric_summary", f"""
+WITH long AS ({long_cte(pf.NUMERIC_SUMMARY_COLS)}),
+{quantile_ctes([0.25, 0.5, 0.75])}
+SELECT s.col AS "column", s.n AS count, round_even(s.mean, 6) AS mean, round_even(s.std, 6) AS std,
+       s.mn AS min, {_q_pick(0.25)} AS p25, {_q_pick(0.5)} AS p50, {_q_pick(0.75)} AS p75, s.mx AS max
+FROM stats s""")
+def q_numeric_summary(spark, sf_dir):
+    return pf.numeric_summary(order_risk(spark, sf_dir))
+
+
+@register("A8_iqr_outliers", f"""
+WITH long AS ({long_cte(pf.OUTLIER_COLS)}),
+{quantile_ctes([0.25, 0.75])},
+b AS (SELECT s.col, {_q_pick(0.25)} AS q1, {_q_pick(0.75)} AS q3 FROM stats s),
+f AS (SELECT col, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM b),
+c AS (SELECT f.col, count(*) FILTER (WHERE l.value < f.lower OR l.value > f.upper) AS n_outliers
+      FROM f JOIN long l ON l.col = f.col GROUP BY f.col)
+SELECT f.col AS "column", round_even(f.lower, 2) AS lower_bound, round_even(f.upper, 2) AS upper_bound,
+       c.n_outliers, round_even(c.n_outliers / (SELECT count(*) FROM order_risk) * 100.0, 2) AS pct_outliers
+FROM f JOIN c USING (col)""")
+def q_iqr_outliers(spark, sf_dir):
+    return pf.iqr_outliers(order_risk(spark, sf_dir))
+
+
+def _corr_sql(cols) -> str:
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            xa = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
+            xb = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({b} AS DOUBLE) END"
+            expr = f"round_even(covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0.0), 6)"
+            parts.append(f"SELECT '{a}' AS a, '{b}' AS b, {expr} AS corr FROM order_risk")
+            if a != b:
+                parts.append(f"SELECT '{b}' AS a, '{a}' AS b, {expr} AS corr FROM order_risk")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("A10_correlation_matrix", _corr_sql(list(pf.CORR_COLS)))
+def q_correlation(spark, sf_dir):
+    return pf.correlation_matrix(order_risk(spark, sf_dir))
+
+
+@register("A11_histogram", f"""
+WITH long AS ({long_cte(pf.DIST_COLS)}),
+r AS (SELECT col, min(value) AS mn, max(value) AS mx FROM long GROUP BY col),
+b AS (SELECT l.col, r.mn, r.mx,
+             CASE WHEN r.mx - r.mn = 0 THEN 0
+                  ELSE least(CAST(floor((l.value - r.mn) / (r.mx - r.mn) * CAST(20.0 AS DOUBLE)) AS INTEGER), 19) END AS bin
+      FROM long l JOIN r USING (col))
+SELECT col AS "column", bin, mn + bin * ((mx - mn) / CAST(20.0 AS DOUBLE)) AS bin_lo,
+       mn + (bin + 1) * ((mx - mn) / CAST(20.0 AS DOUBLE)) AS bin_hi, count(*) AS count
+FROM b GROUP BY col, bin, mn, mx""")
+def q_histogram(spark, sf_dir):
+    return pf.histogram(order_risk(spark, sf_dir), bins=20)
+
+
+@register("A12_density")
+def q_density(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..functions import np_round
+    d = pf.density(order_risk(spark, sf_dir), points=64, fine_bins=512)
+    return d.select("column", "point", np_round("x", 9).alias("x"), np_round(F.col("density") * 1e6, 4).alias("density_x1e6"))
+
+
+ORACLE["A12_density"] = with_order_risk(f"""
+WITH long AS ({long_cte(pf.DIST_COLS)}),
+r AS (SELECT col, min(value) AS mn, max(value) AS mx, count(value) AS n, stddev_samp(value) AS sd
+      FROM long GROUP BY col),
+fine AS (
+  SELECT l.col, r.mn, r.mx, r.n, r.sd,
+         CASE WHEN r.mx - r.mn = 0 THEN 0
+              ELSE least(CAST(floor((l.value - r.mn) / (r.mx - r.mn) * CAST(512.0 AS DOUBLE)) AS INTEGER), 511) END AS bin,
+  FROM long l JOIN r USING (col)),
+cnt AS (SELECT col, bin, mn, mx, n, sd, count(*) AS cnt FROM fine GROUP BY ALL),
+g AS (SELECT col, cnt, mn, mx, n, mn + (bin + 0.5) * (mx - mn) / CAST(512.0 AS DOUBLE) AS c,
+             sd * pow(CAST(n AS DOUBLE), CAST(-0.2 AS DOUBLE)) AS h, unnest(range(0, 64)) AS point FROM cnt),
+s AS (SELECT col, point, mn, mx, n, h,
+             sum(cnt * exp(-0.5 * ((mn + point * (mx - mn) / CAST(63.0 AS DOUBLE) - c) / h)
+                                  * ((mn + point * (mx - mn) / CAST(63.0 AS DOUBLE) - c) / h))) AS s
+      FROM g WHERE h > 0 GROUP BY col, point, mn, mx, n, h)
+SELECT col AS "column", CAST(point AS INTEGER) AS point,
+       round_even(mn + point * (mx - mn) / CAST(63.0 AS DOUBLE), 9) AS x,
+       round_even(s * (CAST(0.3989422804014327 AS DOUBLE) / (n * h)) * 1e6, 4) AS density_x1e6
+FROM s""")
+
+
+@register("A13_box_stats", f"""
+WITH long AS ({long_cte(("order_value_eur", "review_score"), group="risk_label")}),
+{quantile_ctes([0.25, 0.5, 0.75], group=True)},
+q AS (SELECT s.grp, s.col, s.n,
+             (SELECT qv FROM qv WHERE qv.grp = s.grp AND qv.col = s.col AND qv.prob = 0.25) AS q1,
+             (SELECT qv FROM qv WHERE qv.grp = s.grp AND qv.col = s.col AND qv.prob = 0.5) AS median,
+             (SELECT qv FROM qv WHERE qv.grp = s.grp AND qv.col = s.col AND qv.prob = 0.75) AS q3
+      FROM stats s),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q)
+SELECT f.grp AS "group", f.col AS "column", f.n, f.q1, f.median, f.q3,
+       min(l.value) FILTER (WHERE l.value >= f.lo_f AND l.value <= f.hi_f) AS whisker_low,
+       max(l.value) FILTER (WHERE l.value >= f.lo_f AND l.value <= f.hi_f) AS whisker_high,
+       count(*) FILTER (WHERE NOT (l.value >= f.lo_f AND l.value <= f.hi_f)) AS n_fliers
+FROM f JOIN long l ON l.grp = f.grp AND l.col = f.col
+GROUP BY f.grp, f.col, f.n, f.q1, f.median, f.q3""")
+def q_box_stats(spark, sf_dir):
+    return pf.box_stats(order_risk(spark, sf_dir), "risk_label", ("order_value_eur", "review_score"))
