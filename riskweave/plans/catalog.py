@@ -308,3 +308,125 @@ FROM f JOIN long l ON l.grp = f.grp AND l.col = f.col
 GROUP BY f.grp, f.col, f.n, f.q1, f.median, f.q3""")
 def q_box_stats(spark, sf_dir):
     return pf.box_stats(order_risk(spark, sf_dir), "risk_label", ("order_value_eur", "review_score"))
+
+
+# --- A4, F1-F6 forecasting -----------------------------------------------------------------------
+from ..functions import np_round as _npr  # noqa: E402
+from ..operators import forecast as fc  # noqa: E402
+from pyspark.sql import functions as _F  # noqa: E402
+
+_SERIES_SQL = """
+monthly AS (
+  SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(order_id) AS orders,
+         avg(is_fraud) AS fraud_rate, avg(is_returned) AS return_rate
+  FROM order_risk WHERE order_date IS NOT NULL GROUP BY 1),
+series AS (
+  SELECT *, CAST(date_diff('month', min(month) OVER (), month) AS INTEGER) AS t FROM monthly)"""
+
+
+def _series(spark, sf_dir):
+    return fc.monthly_series(order_risk(spark, sf_dir))
+
+
+@register("A4_monthly_series", f"WITH {_SERIES_SQL}\nSELECT month, t, orders, fraud_rate, return_rate FROM series")
+def q_monthly_series(spark, sf_dir):
+    return _series(spark, sf_dir).select("month", "t", "orders", "fraud_rate", "return_rate")
+
+
+@register("F1_complete_calendar", f"""WITH {_SERIES_SQL},
+cal AS (SELECT CAST(unnest(generate_series((SELECT min(month) FROM series), (SELECT max(month) FROM series),
+                                           INTERVAL 1 MONTH)) AS DATE) AS month)
+SELECT cal.month, CAST(date_diff('month', (SELECT min(month) FROM series), cal.month) AS INTEGER) AS t,
+       s.orders, s.fraud_rate, s.return_rate
+FROM cal LEFT JOIN series s ON s.month = cal.month""")
+def q_complete_calendar(spark, sf_dir):
+    return fc.complete_calendar(_series(spark, sf_dir))
+
+
+@register("F2_seasonal_decompose", f"""WITH {_SERIES_SQL},
+d AS (
+  SELECT month, t, CAST(orders AS DOUBLE) AS observed,
+         CASE WHEN count(orders) OVER (ORDER BY t ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) = 13
+              THEN (CAST(0.5 AS DOUBLE) * lag(CAST(orders AS DOUBLE), 6) OVER (ORDER BY t)
+                    + sum(CAST(orders AS DOUBLE)) OVER (ORDER BY t ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)
+                    + CAST(0.5 AS DOUBLE) * lead(CAST(orders AS DOUBLE), 6) OVER (ORDER BY t)) / CAST(12.0 AS DOUBLE)
+         END AS trend,
+         t % 12 AS phase
+  FROM series),
+pm AS (SELECT phase, avg(observed - trend) AS pm FROM d GROUP BY phase),
+ps AS (SELECT phase, pm - avg(pm) OVER () AS seasonal FROM pm)
+SELECT d.month, d.t, d.observed, round_even(d.trend, 6) AS trend, round_even(ps.seasonal, 6) AS seasonal,
+       round_even(d.observed - d.trend - ps.seasonal, 6) AS resid
+FROM d LEFT JOIN ps USING (phase)""")
+def q_seasonal_decompose(spark, sf_dir):
+    d = fc.seasonal_decompose(_series(spark, sf_dir), "orders")
+    return d.select("month", "t", "observed", _npr("trend", 6).alias("trend"),
+                    _npr("seasonal", 6).alias("seasonal"), _npr("resid", 6).alias("resid"))
+
+
+_HW_SQL = f"""WITH {_SERIES_SQL},
+s AS (SELECT month, t, CAST(orders AS DOUBLE) AS y, t % 12 AS k FROM series),
+c AS (SELECT *, y - avg(y) OVER (PARTITION BY k) AS yc,
+             CAST(t AS DOUBLE) - avg(CAST(t AS DOUBLE)) OVER (PARTITION BY k) AS tc FROM s),
+sl AS (SELECT sum(yc * tc) / nullif(sum(tc * tc), 0.0) AS b, max(t) AS t_last, max(month) AS m_last FROM c),
+lv AS (SELECT k, avg(y - (SELECT b FROM sl) * CAST(t AS DOUBLE)) AS a FROM s GROUP BY k),
+h AS (SELECT unnest([1, 2, 3]) AS h)
+SELECT CAST(h.h AS INTEGER) AS h, CAST(sl.t_last + h.h AS INTEGER) AS t,
+       CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE) AS month,
+       round_even(lv.a + sl.b * CAST(sl.t_last + h.h AS DOUBLE), 6) AS forecast
+FROM sl, h JOIN lv ON lv.k = (sl.t_last + h.h) % 12"""
+
+
+@register("F3_holt_winters_orders", _HW_SQL)
+def q_holt_winters(spark, sf_dir):
+    f = fc.fit_forecast(_series(spark, sf_dir), "orders", period=12, horizon=3, mode="ols")
+    return f.select("h", "t", "month", _npr("forecast", 6).alias("forecast"))
+
+
+@register("F4_holt_linear_fraud", f"""WITH {_SERIES_SQL},
+fit AS (SELECT regr_intercept(fraud_rate, CAST(t AS DOUBLE)) AS a, regr_slope(fraud_rate, CAST(t AS DOUBLE)) AS b,
+               max(t) AS t_last, max(month) AS m_last FROM series WHERE fraud_rate IS NOT NULL),
+h AS (SELECT unnest([1, 2, 3]) AS h)
+SELECT CAST(h.h AS INTEGER) AS h, CAST(t_last + h.h AS INTEGER) AS t,
+       CAST(m_last + to_months(CAST(h.h AS INTEGER)) AS DATE) AS month,
+       round_even(a + b * CAST(t_last + h.h AS DOUBLE), 6) AS forecast
+FROM fit, h""")
+def q_holt_linear(spark, sf_dir):
+    f = fc.fit_forecast(_series(spark, sf_dir), "fraud_rate", period=0, horizon=3, mode="ols")
+    return f.select("h", "t", "month", _npr("forecast", 6).alias("forecast"))
+
+
+def _forecast_table_sql() -> str:
+    lin = lambda col: f"""(SELECT regr_intercept({col}, CAST(t AS DOUBLE)) + regr_slope({col}, CAST(t AS DOUBLE))
+                              * CAST((SELECT max(t) FROM series) + h.h AS DOUBLE) FROM series)"""
+    return _HW_SQL.replace("SELECT CAST(h.h AS INTEGER) AS h, CAST(sl.t_last + h.h AS INTEGER) AS t,", "SELECT") \
+        .replace("""       CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE) AS month,
+       round_even(lv.a + sl.b * CAST(sl.t_last + h.h AS DOUBLE), 6) AS forecast""",
+                 f"""       strftime(CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE), '%Y-%m') AS forecast_month,
+       round_even(lv.a + sl.b * CAST(sl.t_last + h.h AS DOUBLE), 0) AS forecasted_orders,
+       round_even({lin('fraud_rate')} * 100.0, 2) AS forecasted_fraud_rate_pct,
+       round_even({lin('return_rate')} * 100.0, 2) AS forecasted_return_rate_pct""")
+
+
+@register("F5_forecast_table", _forecast_table_sql())
+def q_forecast_table(spark, sf_dir):
+    return fc.forecast_table(_series(spark, sf_dir), horizon=3, mode="ols")
+
+
+@register("F5_forecast_by_country")
+def q_forecast_by_country(spark, sf_dir):
+    s = fc.monthly_series(order_risk(spark, sf_dir), keys=["country"])
+    return fc.forecast_table(s, keys=["country"], horizon=3, mode="ols")
+
+
+@register("F3_holt_winters_optimize")
+def q_holt_winters_optimize(spark, sf_dir):
+    return fc.fit_forecast(_series(spark, sf_dir), "orders", period=12, horizon=3, mode="optimize", grid=11)
+
+
+@register("F6_actual_vs_forecast")
+def q_actual_vs_forecast(spark, sf_dir):
+    a = fc.actual_vs_forecast(_series(spark, sf_dir), horizon=3, mode="ols")
+    return a.select("kind", "month", _npr("orders", 6).alias("orders"),
+                    _npr("fraud_rate_pct", 6).alias("fraud_rate_pct"),
+                    _npr("return_rate_pct", 6).alias("return_rate_pct"))
