@@ -430,3 +430,94 @@ def q_actual_vs_forecast(spark, sf_dir):
     return a.select("kind", "month", _npr("orders", 6).alias("orders"),
                     _npr("fraud_rate_pct", 6).alias("fraud_rate_pct"),
                     _npr("return_rate_pct", 6).alias("return_rate_pct"))
+
+
+# --- M1-M7 association rules ---------------------------------------------------------------------
+from ..operators import basket as mb  # noqa: E402
+
+_ITEMS_SQL = """
+items AS (
+  SELECT order_id, list_sort(list_filter([""" + ", ".join(
+    [f"'{c}_' || coalesce(CAST({c} AS VARCHAR), 'nan')" for c in mb.BASKET_CATS]
+    + [f"CASE WHEN {f} = 1 THEN '{f}' END" for f in mb.BASKET_FLAGS]) + """], lambda x: x IS NOT NULL)) AS items
+  FROM order_risk),
+ntx AS (SELECT count(*) AS n FROM items),
+ex AS (SELECT order_id, unnest(items) AS item FROM items),
+f1 AS (SELECT item FROM ex GROUP BY item HAVING count(*) / (SELECT n FROM ntx) >= CAST(0.004 AS DOUBLE)),
+fx AS (SELECT e.order_id, e.item FROM ex e JOIN f1 USING (item)),
+sets AS (
+  SELECT [a.item] AS itemset FROM fx a
+  UNION ALL
+  SELECT [a.item, b.item] FROM fx a JOIN fx b ON a.order_id = b.order_id AND a.item < b.item
+  UNION ALL
+  SELECT [a.item, b.item, c.item] FROM fx a
+    JOIN fx b ON a.order_id = b.order_id AND a.item < b.item
+    JOIN fx c ON c.order_id = a.order_id AND b.item < c.item),
+itemsets AS (
+  SELECT itemset, len(itemset) AS size, count(*) AS cnt, count(*) / (SELECT n FROM ntx) AS support
+  FROM sets GROUP BY itemset HAVING count(*) / (SELECT n FROM ntx) >= CAST(0.004 AS DOUBLE)),
+splits AS (
+  SELECT itemset, support, mask,
+         list_filter(itemset, lambda x, i: (mask >> (i - 1)) % 2 = 1) AS ante,
+         list_filter(itemset, lambda x, i: (mask >> (i - 1)) % 2 = 0) AS cons
+  FROM (SELECT itemset, support, unnest(generate_series(1, (1 << size) - 2)) AS mask
+        FROM itemsets WHERE size >= 2)),
+rules AS (
+  SELECT s.ante, s.cons, a.support AS antecedent_support, c.support AS consequent_support, s.support,
+         s.support / a.support AS confidence, s.support / a.support / c.support AS lift
+  FROM splits s JOIN itemsets a ON a.itemset = s.ante JOIN itemsets c ON c.itemset = s.cons
+  WHERE s.support / a.support / c.support >= CAST(1.0 AS DOUBLE))"""
+
+
+def _baskets(spark, sf_dir):
+    return mb.order_items(order_risk(spark, sf_dir))
+
+
+@register("M1_order_items", f"WITH {_ITEMS_SQL}\nSELECT order_id, array_to_string(items, '|') AS items FROM items")
+def q_order_items(spark, sf_dir):
+    return _baskets(spark, sf_dir).select("order_id", _F.array_join("items", "|").alias("items"))
+
+
+@register("M3_frequent_itemsets", f"""WITH {_ITEMS_SQL}
+SELECT array_to_string(itemset, ', ') AS itemset, CAST(size AS INTEGER) AS size, cnt AS count, support FROM itemsets""")
+def q_frequent_itemsets(spark, sf_dir):
+    fs = mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 3)
+    return fs.select(_F.array_join("itemset", ", ").alias("itemset"), "size", "count", "support")
+
+
+@register("M3_frequent_itemsets_fpgrowth", f"""WITH {_ITEMS_SQL}
+SELECT array_to_string(itemset, ', ') AS itemset, CAST(size AS INTEGER) AS size, cnt AS count, support FROM itemsets""")
+def q_frequent_itemsets_fp(spark, sf_dir):
+    fs = mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 3, method="fpgrowth")
+    return fs.select(_F.array_join("itemset", ", ").alias("itemset"), "size", "count", "support")
+
+
+@register("M4_association_rules", f"""WITH {_ITEMS_SQL}
+SELECT array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents,
+       antecedent_support, consequent_support, support, confidence, lift FROM rules""")
+def q_association_rules(spark, sf_dir):
+    r = mb.association_rules(mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 3), 1.0)
+    return r.select(_F.array_join("antecedents", ", ").alias("antecedents"),
+                    _F.array_join("consequents", ", ").alias("consequents"),
+                    "antecedent_support", "consequent_support", "support", "confidence", "lift")
+
+
+for _outcome in ("is_fraud", "is_returned"):
+    def _mk(outcome):
+        def q(spark, sf_dir):
+            r = mb.association_rules(mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 3), 1.0)
+            return mb.outcome_rules(r, outcome)
+        return q
+    _name = "M5_fraud_rules" if _outcome == "is_fraud" else "M5_return_rules"
+    register(_name, f"""WITH {_ITEMS_SQL}
+SELECT array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents,
+       support, confidence, lift FROM rules WHERE list_contains(cons, '{_outcome}')""")(_mk(_outcome))
+
+
+@register("M7_top_fraud_rules", f"""WITH {_ITEMS_SQL}
+SELECT array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents,
+       support, confidence, lift FROM rules WHERE list_contains(cons, 'is_fraud')
+ORDER BY lift DESC, antecedents, consequents LIMIT 10""")
+def q_top_fraud_rules(spark, sf_dir):
+    r = mb.association_rules(mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 3), 1.0)
+    return mb.top_rules(mb.outcome_rules(r, "is_fraud"), 10)
