@@ -521,3 +521,179 @@ ORDER BY lift DESC, antecedents, consequents LIMIT 10""")
 def q_top_fraud_rules(spark, sf_dir):
     r = mb.association_rules(mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 3), 1.0)
     return mb.top_rules(mb.outcome_rules(r, "is_fraud"), 10)
+
+
+# --- A14, L1-L13 evaluation and models -----------------------------------------------------------
+from ..operators import evaluate as ev  # noqa: E402
+from ..operators import model as ml  # noqa: E402
+
+_ARITH_KEY_SQL = "(order_id * 7919) % 10007"
+_CLASSES = ["Fraud Risk", "Normal", "Return Risk"]
+# deterministic rule scorer (stands in for model output in exact, oracle-checked evaluation)
+def _rule_pred():
+    return (_F.when((_F.col("high_risk_ip") == 1) & (_F.col("address_mismatch") == 1), "Fraud Risk")
+            .when(_F.col("high_risk_ip") == 1, "Fraud Risk").when(_F.col("late_delivery_risk") == 1, "Return Risk")
+            .otherwise("Normal"))
+_RULE_PRED_SQL = ("CASE WHEN high_risk_ip = 1 AND address_mismatch = 1 THEN 'Fraud Risk' "
+                  "WHEN high_risk_ip = 1 THEN 'Fraud Risk' WHEN late_delivery_risk = 1 THEN 'Return Risk' "
+                  "ELSE 'Normal' END")
+def _flag_score():
+    return (_F.col("high_risk_ip") * 0.5 + _F.col("address_mismatch") * 0.3
+            + _F.col("late_delivery_risk") * 0.2)
+_FLAG_SCORE_SQL = ("(high_risk_ip * CAST(0.5 AS DOUBLE) + address_mismatch * CAST(0.3 AS DOUBLE) "
+                   "+ late_delivery_risk * CAST(0.2 AS DOUBLE))")
+
+
+def _split_sql(label: str) -> str:
+    return f"""
+d AS (SELECT order_id, {label} AS lbl, {_ARITH_KEY_SQL} AS h FROM order_risk),
+d2 AS (SELECT *, ((h % 64) + 64) % 64 AS b FROM d),
+cnt AS (SELECT lbl, b, count(*) AS nb FROM d2 GROUP BY lbl, b),
+offs AS (SELECT lbl, b, sum(nb) OVER (PARTITION BY lbl ORDER BY b) - nb AS off FROM cnt),
+cls AS (SELECT lbl, sum(nb) AS nc FROM cnt GROUP BY lbl),
+tot AS (SELECT count(*) AS n, CAST(ceil(CAST(0.25 AS DOUBLE) * count(*)) AS BIGINT) AS nt FROM d),
+q0 AS (SELECT lbl, CAST(nc * nt AS DOUBLE) / n AS ex, nt FROM cls, tot),
+q1 AS (SELECT lbl, nt, floor(ex) AS base, ex - floor(ex) AS rem FROM q0),
+q2 AS (SELECT lbl, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, lbl)
+                                    <= nt - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM q1),
+r AS (SELECT order_id, lbl, b, row_number() OVER (PARTITION BY lbl, b ORDER BY h, order_id) - 1 AS rk FROM d2),
+sp AS (SELECT r.order_id, r.lbl, CASE WHEN offs.off + r.rk < q2.quota THEN 'test' ELSE 'train' END AS split
+       FROM r JOIN offs USING (lbl, b) JOIN q2 USING (lbl))"""
+
+
+def _arith_split(spark, sf_dir, label):
+    return ev.stratified_split(order_risk(spark, sf_dir), label, 0.25, 42,
+                               order_key=(_F.col("order_id") * 7919) % 10007)
+
+
+@register("L3_stratified_split", f"WITH {_split_sql('risk_label')}\n"
+          "SELECT lbl AS risk_label, split, count(*) AS n FROM sp GROUP BY lbl, split")
+def q_stratified_split(spark, sf_dir):
+    return _arith_split(spark, sf_dir, "risk_label").groupBy("risk_label", "split").agg(
+        _F.count(_F.lit(1)).alias("n"))
+
+
+@register("L3_stratified_split_fraud", f"WITH {_split_sql('is_fraud')}\n"
+          "SELECT lbl AS is_fraud, split, count(*) AS n, CAST(sum(order_id) AS BIGINT) AS id_sum FROM sp GROUP BY lbl, split")
+def q_stratified_split_fraud(spark, sf_dir):
+    return _arith_split(spark, sf_dir, "is_fraud").groupBy("is_fraud", "split").agg(
+        _F.count(_F.lit(1)).alias("n"), _F.sum("order_id").alias("id_sum"))
+
+
+@register("L4_class_weights", """
+SELECT risk_label, CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS weight
+FROM order_risk GROUP BY risk_label""")
+def q_class_weights(spark, sf_dir):
+    return ev.class_weights(order_risk(spark, sf_dir), "risk_label")
+
+
+@register("A14_confusion_matrix", f"""
+SELECT c.actual, """ + ", ".join(
+    f"CAST(coalesce(sum(CASE WHEN p.pred = '{k}' THEN 1 END), 0) AS BIGINT) AS \"{k}\"" for k in _CLASSES) + f"""
+FROM (SELECT unnest(['Fraud Risk', 'Normal', 'Return Risk']) AS actual) c
+LEFT JOIN (SELECT risk_label, {_RULE_PRED_SQL} AS pred FROM order_risk) p ON p.risk_label = c.actual
+GROUP BY c.actual""")
+def q_confusion_matrix(spark, sf_dir):
+    pred = order_risk(spark, sf_dir).withColumn("pred", _rule_pred())
+    return ev.confusion_matrix(pred, _CLASSES, "risk_label", "pred")
+
+
+@register("L9_classification_report", f"""
+WITH p AS (SELECT risk_label AS actual, {_RULE_PRED_SQL} AS pred FROM order_risk),
+cl AS (SELECT actual AS class FROM p UNION SELECT pred FROM p),
+per AS (
+  SELECT cl.class,
+         (SELECT count(*) FROM p WHERE actual = cl.class) AS support,
+         (SELECT count(*) FROM p WHERE pred = cl.class) AS n_pred,
+         (SELECT count(*) FROM p WHERE pred = cl.class AND actual = cl.class) AS tp
+  FROM cl),
+m AS (SELECT class, support, tp,
+             coalesce(CAST(tp AS DOUBLE) / nullif(n_pred, 0), 0.0) AS precision,
+             coalesce(CAST(tp AS DOUBLE) / nullif(support, 0), 0.0) AS recall FROM per),
+f AS (SELECT *, coalesce(2.0 * precision * recall / nullif(precision + recall, 0.0), 0.0) AS f1_score FROM m)
+SELECT class, round_even(precision, 6) AS precision, round_even(recall, 6) AS recall,
+       round_even(f1_score, 6) AS f1_score, support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round_even(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round_even(avg(precision), 6), round_even(avg(recall), 6), round_even(avg(f1_score), 6),
+                 CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round_even(sum(precision * support) / sum(support), 6),
+                 round_even(sum(recall * support) / sum(support), 6),
+                 round_even(sum(f1_score * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f""")
+def q_classification_report(spark, sf_dir):
+    pred = order_risk(spark, sf_dir).withColumn("pred", _rule_pred())
+    r = ev.classification_report(pred, "risk_label", "pred")
+    return r.select("class", _npr("precision", 6).alias("precision"), _npr("recall", 6).alias("recall"),
+                    _npr("f1_score", 6).alias("f1_score"), "support")
+
+
+def _auc_sql(score_sql: str) -> str:
+    return f"""
+WITH s AS (SELECT CAST({score_sql} AS DOUBLE) AS s, count(*) FILTER (WHERE is_fraud = 1) AS pos,
+                  count(*) FILTER (WHERE is_fraud = 0) AS neg FROM order_risk GROUP BY 1),
+c AS (SELECT *, sum(neg) OVER (ORDER BY s) - neg AS neg_below FROM s)
+SELECT sum(pos * (neg_below + neg * 0.5)) / (sum(pos) * sum(neg)) AS auc FROM c"""
+
+
+@register("L11_roc_auc_flags", _auc_sql(_FLAG_SCORE_SQL))
+def q_auc_flags(spark, sf_dir):
+    return ev.roc_auc(order_risk(spark, sf_dir).withColumn("score", _flag_score()), "is_fraud", "score")
+
+
+@register("L11_roc_auc_order_value", _auc_sql("order_value_eur"))
+def q_auc_value(spark, sf_dir):
+    return ev.roc_auc(order_risk(spark, sf_dir), "is_fraud", "order_value_eur")
+
+
+@register("L1_label_encode", """
+SELECT order_id, """ + ", ".join(
+    f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}_enc" for c in ml.CAT_COLS) + """
+FROM order_risk""")
+def q_label_encode(spark, sf_dir):
+    enc = ml.label_encode(order_risk(spark, sf_dir))
+    return enc.select("order_id", *[f"{c}_enc" for c in ml.CAT_COLS])
+
+
+# Forests: rows-only checks (another library's tree RNG cannot be reproduced).
+_MODELS: dict = {}
+
+
+def _risk_model(spark, sf_dir):
+    key = ("risk", id(spark), sf_dir)
+    if key not in _MODELS:
+        split = ev.stratified_split(order_risk(spark, sf_dir), "risk_label", 0.25, 42)
+        train = split.filter(_F.col("split") == "train")
+        test = split.filter(_F.col("split") == "test")
+        _MODELS[key] = (ml.fit_risk_model(train), test)
+    return _MODELS[key]
+
+
+@register("L6_risk_model_report")
+def q_risk_model_report(spark, sf_dir):
+    model, test = _risk_model(spark, sf_dir)
+    return ev.classification_report(ml.predict(model, test), "risk_label", "predicted")
+
+
+@register("L10_risk_model_confusion")
+def q_risk_model_confusion(spark, sf_dir):
+    model, test = _risk_model(spark, sf_dir)
+    return ev.confusion_matrix(ml.predict(model, test), _CLASSES, "risk_label", "predicted")
+
+
+@register("L12_feature_importance")
+def q_feature_importance(spark, sf_dir):
+    model, _ = _risk_model(spark, sf_dir)
+    return ml.feature_importance(model)
+
+
+@register("L13_top_drivers")
+def q_top_drivers(spark, sf_dir):
+    model, _ = _risk_model(spark, sf_dir)
+    return ml.top_drivers(ml.feature_importance(model), 10)
+
+
+@register("L8_fraud_model_auc")
+def q_fraud_model_auc(spark, sf_dir):
+    split = ev.stratified_split(order_risk(spark, sf_dir), "is_fraud", 0.25, 42)
+    model = ml.fit_fraud_model(split.filter(_F.col("split") == "train"))
+    scored = ml.fraud_probability(model, split.filter(_F.col("split") == "test"))
+    return ev.roc_auc(scored, "is_fraud", "score")
