@@ -67,3 +67,11 @@ def safe_ratio(num: Column, den: Column) -> Column:
 def zero_if_null_ratio(num: Column, den: Column) -> Column:
     """num / den with 0/0 -> 0.0 (the convention of classification reports)."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
+
+
+def exact_mean(col: Column | str, scale: int = 9) -> Column:
+    """Mean whose value does not depend on summation order: the sum is taken
+    in DECIMAL(38, scale) (exact), then divided once in double precision.
+    NaN counts as missing, as in pandas."""
+    c = nan_to_null(col)
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double") / F.count(c)

@@ -126,17 +126,17 @@ def holt_winters(series: DataFrame, value: str, keys: Sequence[str] = (), period
         series = series.withColumn("__series", F.lit(0))
     y = F.col(value).cast("double")
     tt = F.col("t").cast("double")
-    s = series.filter(y.isNotNull()).select(*keys, "month", "t", y.alias("y"), (F.col("t") % period).alias("k"))
-    wk = Window.partitionBy(*keys, "k")
+    s = series.filter(y.isNotNull()).select(*keys, "month", "t", y.alias("y"), (F.col("t") % period).alias("__phase"))
+    wk = Window.partitionBy(*keys, "__phase")
     s = s.withColumn("yc", F.col("y") - F.avg("y").over(wk)).withColumn("tc", tt - F.avg(tt).over(wk))
     slope = s.groupBy(*keys).agg(
         (F.sum(F.col("yc") * F.col("tc")) / F.nullif(F.sum(F.col("tc") * F.col("tc")), F.lit(0.0))).alias("b"),
         F.max("t").alias("t_last"), F.max("month").alias("m_last"))
     levels = (s.join(slope.select(*keys, "b"), keys)
-              .groupBy(*keys, "k").agg(F.avg(F.col("y") - F.col("b") * tt).alias("a")))
+              .groupBy(*keys, "__phase").agg(F.avg(F.col("y") - F.col("b") * tt).alias("a")))
     out = slope.select(*keys, "b", "t_last", "m_last", _horizon(slope, horizon).alias("h"))
-    out = out.withColumn("t", F.col("t_last") + F.col("h")).withColumn("k", F.col("t") % period)
-    return (out.join(levels, keys + ["k"])
+    out = out.withColumn("t", F.col("t_last") + F.col("h")).withColumn("__phase", F.col("t") % period)
+    return (out.join(levels, keys + ["__phase"])
             .select(*user_keys, "h", "t", F.add_months("m_last", F.col("h")).alias("month"),
                     (F.col("a") + F.col("b") * F.col("t").cast("double")).alias("forecast")))
 

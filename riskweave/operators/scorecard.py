@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import high_risk_flag, np_round, rate_pct, round6
+from ..functions import exact_mean, high_risk_flag, np_round, rate_pct
 
 RISK_DIMENSIONS = ("country", "payment_method", "product_category", "device_type", "traffic_source")
 
@@ -34,8 +34,9 @@ def _scorecard_aggs(key: str, fraud: str, returned: str, value: str, score: str)
         F.count(F.col(key)).alias("orders"),                       # A15: non-null count
         rate_pct(fraud).alias("fraud_rate_pct"),
         rate_pct(returned).alias("return_rate_pct"),
-        round6(F.avg(value)).alias("avg_order_value"),
-        round6(F.avg(score)).alias("avg_review_score"),
+        # exact means: the same double whatever the summation order or engine
+        exact_mean(value).alias("avg_order_value"),
+        exact_mean(score).alias("avg_review_score"),
     ]
 
 

@@ -40,8 +40,8 @@ def _union_scorecards_sql() -> str:
             f"SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS segment, count(order_id) AS orders, "
             f"round_even(avg(is_fraud) * 100.0, 2) AS fraud_rate_pct, "
             f"round_even(avg(is_returned) * 100.0, 2) AS return_rate_pct, "
-            f"round_even(avg(order_value_eur), 6) AS avg_order_value, "
-            f"round_even(avg(review_score), 6) AS avg_review_score "
+            f"CAST(sum(CAST(order_value_eur AS DECIMAL(38,9))) AS DOUBLE) / count(order_value_eur) AS avg_order_value, "
+            f"CAST(sum(CAST(review_score AS DECIMAL(38,9))) AS DOUBLE) / count(review_score) AS avg_review_score "
             f"FROM order_risk WHERE {d} IS NOT NULL GROUP BY {d}")
     return "\nUNION ALL\n".join(parts)
 
@@ -73,8 +73,8 @@ def q_risk_scorecards(spark, sf_dir):
 SELECT payment_method AS segment, count(order_id) AS orders,
        round_even(avg(is_fraud) * 100.0, 2) AS fraud_rate_pct,
        round_even(avg(is_returned) * 100.0, 2) AS return_rate_pct,
-       round_even(avg(order_value_eur), 6) AS avg_order_value,
-       round_even(avg(review_score), 6) AS avg_review_score
+       CAST(sum(CAST(order_value_eur AS DECIMAL(38,9))) AS DOUBLE) / count(order_value_eur) AS avg_order_value,
+       CAST(sum(CAST(review_score AS DECIMAL(38,9))) AS DOUBLE) / count(review_score) AS avg_review_score
 FROM order_risk WHERE payment_method IS NOT NULL GROUP BY payment_method""")
 def q_scorecard_payment(spark, sf_dir):
     return sc.risk_scorecard(order_risk(spark, sf_dir), "payment_method")

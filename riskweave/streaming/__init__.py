@@ -1 +1,6 @@
 """Structured Streaming execution of the batch scorecard operators."""
+
+from .scorecards import (breaches_from_counts, rates_from_counts, start_scorecard_stream,
+                         stream_segment_counts)
+
+__all__ = ["breaches_from_counts", "rates_from_counts", "start_scorecard_stream", "stream_segment_counts"]

@@ -1,0 +1,77 @@
+import itertools
+import os
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from riskweave.operators import basket as mb
+
+from conftest import GOLDEN, SF_SMALL
+from riskweave.sources import order_risk
+
+
+def _tiny(spark):
+    # tiny_basket fixture: 10 transactions, hand-countable
+    tx = [["a", "b", "x"], ["a", "b", "x"], ["a", "b"], ["a", "c"], ["b", "c", "x"],
+          ["a", "b", "c", "x"], ["c"], ["a", "x"], ["b"], ["a", "b", "c"]]
+    return tx, spark.createDataFrame([(sorted(t),) for t in tx], "items array<string>")
+
+
+def _brute(tx, min_support, max_len):
+    n = len(tx)
+    counts = {}
+    for t in tx:
+        for k in range(1, max_len + 1):
+            for s in itertools.combinations(sorted(t), k):
+                counts[s] = counts.get(s, 0) + 1
+    return {s: c for s, c in counts.items() if c / n >= min_support}
+
+
+def test_frequent_itemsets_tiny_basket(spark):
+    tx, df = _tiny(spark)
+    got = {tuple(r.itemset): r["count"] for r in mb.frequent_itemsets(df, 0.2, 3).collect()}
+    assert got == _brute(tx, 0.2, 3)
+    fp = {tuple(r.itemset): r["count"] for r in mb.frequent_itemsets(df, 0.2, 3, method="fpgrowth").collect()}
+    assert fp == got
+
+
+def test_rules_include_two_item_consequents(spark):
+    tx, df = _tiny(spark)
+    fs = _brute(tx, 0.2, 3)
+    n = len(tx)
+    rules = mb.association_rules(mb.frequent_itemsets(df, 0.2, 3), 1.0).collect()
+    got = {(tuple(r.antecedents), tuple(r.consequents)): r for r in rules}
+    want = {}
+    for s, c in fs.items():
+        if len(s) < 2:
+            continue
+        for k in range(1, len(s)):
+            for a in itertools.combinations(s, k):
+                cons = tuple(x for x in s if x not in a)
+                conf = (c / n) / (fs[a] / n)
+                lift = conf / (fs[cons] / n)
+                if lift >= 1.0:
+                    want[(a, cons)] = (c / n, conf, lift)
+    assert set(got) == set(want)
+    assert any(len(k[1]) == 2 for k in got)
+    for k, (sup, conf, lift) in want.items():
+        assert got[k].support == sup and got[k].confidence == conf and got[k].lift == lift
+
+
+def test_golden_rule_identities():
+    # conf / lift = base rate of the consequent, support * 12000 is whole, <= 3 items, lift sorted
+    for name, base in [("market_basket_fraud_rules.csv", 447 / 12000),
+                       ("market_basket_return_rules.csv", 1112 / 12000)]:
+        g = pd.read_csv(os.path.join(GOLDEN, name))
+        one = g[~g.consequents.str.contains(",")]
+        assert ((one.confidence / one.lift - base).abs() < 1e-12).all()
+        assert ((g.support * 12000 - (g.support * 12000).round()).abs() < 1e-6).all()
+        sizes = g.antecedents.str.count(",") + g.consequents.str.count(",") + 2
+        assert sizes.max() <= 3 and (g.lift.diff().dropna() <= 1e-12).all()
+        assert (g.support * 12000).round().min() >= 48  # support bound is inclusive
+
+
+def test_driver_data_itemset_counts_by_size(spark):
+    fs = mb.frequent_itemsets(mb.order_items(order_risk(spark, SF_SMALL)), 0.004, 3)
+    by_size = {r["size"]: r["count"] for r in fs.groupBy("size").agg(F.count("*").alias("count")).collect()}
+    assert by_size == {1: 49, 2: 668, 3: 1095}

@@ -1,0 +1,56 @@
+import tempfile
+
+from pyspark.sql import functions as F
+
+from riskweave.operators import scorecard as sc
+from riskweave.sources import order_risk
+from riskweave.sources.files import ORDER_SCHEMA, read_orders, write_report_pack
+from riskweave.streaming import breaches_from_counts, rates_from_counts, start_scorecard_stream
+
+from conftest import SF_SMALL
+
+
+def test_stream_equals_batch(spark):
+    batch = order_risk(spark, SF_SMALL)
+    src = tempfile.mkdtemp(prefix="rw-stream-src-")
+    ckpt = tempfile.mkdtemp(prefix="rw-stream-ckpt-")
+    # three files arrive in the folder; the stream folds them into running counts
+    for i in range(3):
+        batch.filter(F.col("order_id") % 3 == i).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(batch.schema).parquet(src)
+    q = start_scorecard_stream(stream, "rw_counts", ckpt, fmt="memory")
+    q.awaitTermination(120)
+    counts = spark.table("rw_counts")
+    got = {(r.dimension, r.segment): (r.orders, r.fraud_rate_pct, r.return_rate_pct)
+           for r in rates_from_counts(counts).collect()}
+    want = {(r.dimension, r.segment): (r.orders, r.fraud_rate_pct, r.return_rate_pct)
+            for r in sc.risk_scorecards(batch).collect()}
+    assert got == want
+    b1 = [(r.dimension, r.segment) for r in breaches_from_counts(counts).collect()]
+    b2 = [(r.dimension, r.segment) for r in sc.breach_log(sc.risk_scorecards(batch), batch).collect()]
+    assert sorted(b1) == sorted(b2)
+
+
+def test_csv_reader_null_tokens(spark):
+    d = tempfile.mkdtemp(prefix="rw-csv-")
+    header = ",".join(f.name for f in ORDER_SCHEMA.fields)
+    good = "O1,2024-01-05,Spain,PayPal,Fashion,Mobile,Direct,10,1,12.5,20.0,2,0.1,50.0,3,0,0,1,0,4.5,0,1,Fraud Risk"
+    nas = "O2,2024-02-01,NA,PayPal,Fashion,Mobile,Direct,10,1,12.5,NaN,2,0.1,50.0,3,0,0,1,0,null,0,0,Normal"
+    with open(f"{d}/orders.csv", "w") as fh:
+        fh.write(header + "\n" + good + "\n" + nas + "\n")
+    df = read_orders(spark, f"{d}/orders.csv")
+    rows = {r.order_id: r for r in df.collect()}
+    assert rows["O2"].country is None and rows["O2"].order_value_eur is None and rows["O2"].review_score is None
+    assert str(rows["O1"].order_date) == "2024-01-05" and rows["O1"].is_fraud == 1
+    assert dict(df.dtypes)["customer_age_days"] == "int"
+
+
+def test_report_pack_manifest(spark):
+    df = order_risk(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="rw-pack-")
+    cards = sc.risk_scorecards(df)
+    tables = {"Enterprise Summary": sc.enterprise_rates(df), "Monthly Trend": sc.monthly_trend(df),
+              "By traffic_source with a very long sheet name": sc.scorecard_sheet(cards, "traffic_source")}
+    m = {r.sheet: r.rows for r in write_report_pack(tables, out, fmt="csv").collect()}
+    assert m["Enterprise Summary"] == 1 and m["Monthly Trend"] == sc.monthly_trend(df).count()
+    assert "By traffic_source with a very l" in m and len("By traffic_source with a very l") == 31
