@@ -697,3 +697,52 @@ def q_fraud_model_auc(spark, sf_dir):
     model = ml.fit_fraud_model(split.filter(_F.col("split") == "train"))
     scored = ml.fraud_probability(model, split.filter(_F.col("split") == "test"))
     return ev.roc_auc(scored, "is_fraud", "score")
+
+
+# oracles for the keyed forecast and the chart data (added after the queries were registered)
+_KEYED_SERIES_SQL = """
+monthly AS (
+  SELECT country, CAST(date_trunc('month', order_date) AS DATE) AS month, count(order_id) AS orders,
+         avg(is_fraud) AS fraud_rate, avg(is_returned) AS return_rate
+  FROM order_risk WHERE order_date IS NOT NULL AND country IS NOT NULL GROUP BY 1, 2),
+series AS (
+  SELECT *, CAST(date_diff('month', min(month) OVER (PARTITION BY country), month) AS INTEGER) AS t FROM monthly)"""
+
+ORACLE["F5_forecast_by_country"] = with_order_risk(f"""WITH {_KEYED_SERIES_SQL},
+s AS (SELECT country, month, t, CAST(orders AS DOUBLE) AS y, t % 12 AS k FROM series),
+c AS (SELECT *, y - avg(y) OVER (PARTITION BY country, k) AS yc,
+             CAST(t AS DOUBLE) - avg(CAST(t AS DOUBLE)) OVER (PARTITION BY country, k) AS tc FROM s),
+sl AS (SELECT country, sum(yc * tc) / nullif(sum(tc * tc), 0.0) AS b, max(t) AS t_last, max(month) AS m_last
+       FROM c GROUP BY country),
+lv AS (SELECT s.country, s.k, avg(s.y - sl.b * CAST(s.t AS DOUBLE)) AS a FROM s JOIN sl USING (country)
+       GROUP BY s.country, s.k),
+lin AS (SELECT country, regr_intercept(fraud_rate, CAST(t AS DOUBLE)) AS fa, regr_slope(fraud_rate, CAST(t AS DOUBLE)) AS fb,
+               regr_intercept(return_rate, CAST(t AS DOUBLE)) AS ra, regr_slope(return_rate, CAST(t AS DOUBLE)) AS rb
+        FROM series GROUP BY country),
+h AS (SELECT unnest([1, 2, 3]) AS h)
+SELECT sl.country, strftime(CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE), '%Y-%m') AS forecast_month,
+       round_even(lv.a + sl.b * CAST(sl.t_last + h.h AS DOUBLE), 0) AS forecasted_orders,
+       round_even((lin.fa + lin.fb * CAST(sl.t_last + h.h AS DOUBLE)) * 100.0, 2) AS forecasted_fraud_rate_pct,
+       round_even((lin.ra + lin.rb * CAST(sl.t_last + h.h AS DOUBLE)) * 100.0, 2) AS forecasted_return_rate_pct
+FROM sl CROSS JOIN h JOIN lv ON lv.country = sl.country AND lv.k = (sl.t_last + h.h) % 12
+JOIN lin ON lin.country = sl.country""")
+
+ORACLE["F6_actual_vs_forecast"] = with_order_risk(f"""WITH {_SERIES_SQL},
+s AS (SELECT month, t, CAST(orders AS DOUBLE) AS y, t % 12 AS k FROM series),
+c AS (SELECT *, y - avg(y) OVER (PARTITION BY k) AS yc,
+             CAST(t AS DOUBLE) - avg(CAST(t AS DOUBLE)) OVER (PARTITION BY k) AS tc FROM s),
+sl AS (SELECT sum(yc * tc) / nullif(sum(tc * tc), 0.0) AS b, max(t) AS t_last, max(month) AS m_last FROM c),
+lv AS (SELECT k, avg(y - (SELECT b FROM sl) * CAST(t AS DOUBLE)) AS a FROM s GROUP BY k),
+lin AS (SELECT regr_intercept(fraud_rate, CAST(t AS DOUBLE)) AS fa, regr_slope(fraud_rate, CAST(t AS DOUBLE)) AS fb,
+               regr_intercept(return_rate, CAST(t AS DOUBLE)) AS ra, regr_slope(return_rate, CAST(t AS DOUBLE)) AS rb
+        FROM series),
+h AS (SELECT unnest([1, 2, 3]) AS h)
+SELECT 'actual' AS kind, month, round_even(CAST(orders AS DOUBLE), 6) AS orders,
+       round_even(fraud_rate * 100.0, 6) AS fraud_rate_pct, round_even(return_rate * 100.0, 6) AS return_rate_pct
+FROM series
+UNION ALL
+SELECT 'forecast', CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE),
+       round_even(lv.a + sl.b * CAST(sl.t_last + h.h AS DOUBLE), 6),
+       round_even((lin.fa + lin.fb * CAST(sl.t_last + h.h AS DOUBLE)) * 100.0, 6),
+       round_even((lin.ra + lin.rb * CAST(sl.t_last + h.h AS DOUBLE)) * 100.0, 6)
+FROM sl CROSS JOIN h CROSS JOIN lin JOIN lv ON lv.k = (sl.t_last + h.h) % 12""")
