@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import zero_if_null_ratio
-from ..functions.quantile import with_bucket
+from ..functions.quantile import fractions_array, with_bucket
 
 
 def default_order_key(key: str, seed: int) -> Column:
@@ -132,8 +132,7 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "score", buckets
     s = (pred.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
          .groupBy(F.col(score).cast("double").alias("s"))
          .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
-    fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = s.select(F.percentile_approx("s", fracs, buckets * 32)).scalar()
+    bounds = s.select(F.percentile_approx("s", fractions_array(buckets), buckets * 32)).scalar()
     b = with_bucket(s.withColumn("__bounds", bounds), "__bounds", "s", buckets).drop("__bounds")
     tot = b.groupBy("bucket").agg(F.sum("neg").alias("bneg"))
     tot = tot.withColumn("off", F.sum("bneg").over(Window.partitionBy(F.lit(1)).orderBy("bucket")) - F.col("bneg"))
