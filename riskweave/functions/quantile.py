@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,6 +88,10 @@ def profile_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
         F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),
         F.percentile_approx(v, fracs, accuracy).alias("bounds"))
+    # stats (one row per key) and the distinct-value counts are each read
+    # several times with different pushed-down filters, so Spark would
+    # recompute them per read; keep each once (spills to disk at scale)
+    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
 
     # pass 2: distinct-value counts (a hot value collapses to one row in the
     # map-side partial aggregate), then the bucket of each distinct value.
@@ -96,7 +101,7 @@ def profile_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
     vc = long.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
     side = stats.select(*keys, "bounds")
     vc = with_bucket(vc.join(F.broadcast(side) if bounded else side, keys), "bounds", value, buckets)
-    vc = vc.drop("bounds")
+    vc = vc.drop("bounds").persist(StorageLevel.MEMORY_AND_DISK)
 
     sizes = vc.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("bcnt"))
     wk = Window.partitionBy(*keys).orderBy("bucket")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +111,10 @@ def association_rules(itemsets: DataFrame, min_lift: float = 1.0) -> DataFrame:
     X and Y are frequent by downward closure; their supports come from two
     equi-joins with the itemset table (at most 175 / min_support rows, so
     AQE broadcasts it)."""
+    # The itemset table is read three times (splits, antecedent and consequent
+    # supports) and Catalyst pushes a different filter into each read, so no
+    # exchange is shared; it is small (<= 175 / min_support rows): keep it once.
+    itemsets = itemsets.persist(StorageLevel.MEMORY_AND_DISK)
     multi = itemsets.filter(F.col("size") >= 2)
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.col("size")).cast("int") - 2)
     splits = multi.select("itemset", "support", F.explode(masks).alias("mask"))
