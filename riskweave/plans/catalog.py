@@ -658,7 +658,8 @@ _MODELS: dict = {}
 
 
 def _risk_model(spark, sf_dir):
-    key = ("risk", id(spark), sf_dir)
+    from ..sources.order_risk import session_key
+    key = ("risk", session_key(spark), sf_dir)
     if key not in _MODELS:
         split = ev.stratified_split(order_risk(spark, sf_dir), "risk_label", 0.25, 42)
         train = split.filter(_F.col("split") == "train")

@@ -153,7 +153,15 @@ def order_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
                             t["supplier"], t["events"])
 
 
-_PREPARED: dict[tuple[int, str], DataFrame] = {}
+_PREPARED: dict[tuple[str, str], DataFrame] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies a running application (ids of Python objects can be reused)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext
+        return str(id(spark))
 
 
 def prepare_order_risk(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -173,7 +181,7 @@ def prepare_order_risk(df: DataFrame, partitions: int | None = None) -> DataFram
 
 def prepared_order_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``order_risk`` for ``sf_dir``, prepared once per session."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     df = _PREPARED.get(key)
     if df is None:
         df = prepare_order_risk(order_risk(spark, sf_dir))
