@@ -747,3 +747,9 @@ SELECT 'forecast', CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE),
        round_even((lin.fa + lin.fb * CAST(sl.t_last + h.h AS DOUBLE)) * 100.0, 6),
        round_even((lin.ra + lin.rb * CAST(sl.t_last + h.h AS DOUBLE)) * 100.0, 6)
 FROM sl CROSS JOIN h CROSS JOIN lin JOIN lv ON lv.k = (sl.t_last + h.h) % 12""")
+
+
+@register("M2_one_hot")
+def q_one_hot(spark, sf_dir):
+    # column set depends on the data's vocabulary: row-count checked
+    return mb.one_hot(order_risk(spark, sf_dir))
