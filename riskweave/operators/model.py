@@ -60,13 +60,20 @@ def _forest(label_col: str, num_trees: int, max_depth: int, seed: int, max_bins:
                                   maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
 
 
+def _encoders(train: DataFrame) -> list:
+    """Encode categoricals inside the pipeline unless ``<c>_enc`` codes are
+    already present (``label_encode`` on the whole table before the split, the
+    reference's order: the codes are then plain numbers to the forest)."""
+    return [] if all(f"{c}_enc" in train.columns for c in CAT_COLS) else label_indexers()
+
+
 def fit_risk_model(train: DataFrame, label: str = "risk_label", num_trees: int = 300, max_depth: int = 10,
                    seed: int = 42, max_bins: int = 64) -> PipelineModel:
-    """Encode -> assemble -> balanced-weight forest for the 3-class label.
+    """(encode) -> assemble -> balanced-weight forest for the 3-class label.
     Class codes are alphabetical, so classes are reported in sorted order."""
     weighted = train.join(class_weights(train, label), label)
     target = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
-    stages = label_indexers() + [assembler(), target, _forest("label_idx", num_trees, max_depth, seed, max_bins)]
+    stages = _encoders(train) + [assembler(), target, _forest("label_idx", num_trees, max_depth, seed, max_bins)]
     model = Pipeline(stages=stages).fit(weighted)
     return model
 
@@ -83,7 +90,7 @@ def fit_fraud_model(train: DataFrame, label: str = "is_fraud", num_trees: int =
                     seed: int = 42, max_bins: int = 64) -> PipelineModel:
     """The same forest for the binary fraud flag."""
     weighted = train.join(class_weights(train, label), label).withColumn("label_num", F.col(label).cast("double"))
-    stages = label_indexers() + [assembler(), _forest("label_num", num_trees, max_depth, seed, max_bins)]
+    stages = _encoders(train) + [assembler(), _forest("label_num", num_trees, max_depth, seed, max_bins)]
     return Pipeline(stages=stages).fit(weighted)
 
 

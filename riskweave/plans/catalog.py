@@ -661,7 +661,8 @@ def _risk_model(spark, sf_dir):
     from ..sources.order_risk import session_key
     key = ("risk", session_key(spark), sf_dir)
     if key not in _MODELS:
-        split = ev.stratified_split(order_risk(spark, sf_dir), "risk_label", 0.25, 42)
+        # codes for the whole table first, then the split (the reference's order)
+        split = ev.stratified_split(ml.label_encode(order_risk(spark, sf_dir)), "risk_label", 0.25, 42)
         train = split.filter(_F.col("split") == "train")
         test = split.filter(_F.col("split") == "test")
         _MODELS[key] = (ml.fit_risk_model(train), test)
@@ -694,7 +695,7 @@ def q_top_drivers(spark, sf_dir):
 
 @register("L8_fraud_model_auc")
 def q_fraud_model_auc(spark, sf_dir):
-    split = ev.stratified_split(order_risk(spark, sf_dir), "is_fraud", 0.25, 42)
+    split = ev.stratified_split(ml.label_encode(order_risk(spark, sf_dir)), "is_fraud", 0.25, 42)
     model = ml.fit_fraud_model(split.filter(_F.col("split") == "train"))
     scored = ml.fraud_probability(model, split.filter(_F.col("split") == "test"))
     return ev.roc_auc(scored, "is_fraud", "score")
