@@ -2,17 +2,13 @@
 
 Spark's exact ``percentile`` keeps a value -> count map per group and merges
 all of it in one final task: fine for low-cardinality columns, unbounded for
-a column such as a per-customer mean at 100 TB. This version never holds more
-than one equi-depth bucket of distinct values in a task:
-
-1. one pass: ``percentile_approx`` (a bounded sketch) gives ``buckets - 1``
-   equi-depth bounds per key; the same pass yields count/mean/std/min/max;
-2. second pass: distinct-value counts per (key, value) -- a hot value is one
-   row after map-side partial aggregation;
-3. every distinct value finds its bucket by binary search over the bounds
-   (log2(buckets) code-generated CASE steps, all JVM-side);
-4. bucket sizes -> rank offsets (a table of at most keys x buckets rows);
-5. only the buckets holding the wanted ranks are ranked exactly.
+a column such as a per-customer mean at 100 TB. Here, in two narrow scans:
+
+1. ``percentile_approx`` (a bounded sketch) gives, for each wanted quantile, two
+   values that enclose it for certain; the same pass yields count/mean/std/min/max;
+2. values below such a band are only counted, equal values inside it collapse, both
+   in the map-side partial aggregate: of each key, about ``8 / accuracy`` of the
+   values are shuffled and ranked. A rank outside its band raises.
 
 Interpolation reproduces NumPy: virtual index ``n*q + (1-q) - 1`` and
 ``lerp(a, b, t) = a + (b-a)*t`` for t < 0.5, ``b - (b-a)*(1-t)`` otherwise.
@@ -23,10 +19,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+ACCURACY = 20_000  # of the quantile sketch: its rank error is below n / ACCURACY
+BROADCAST_ROWS = 10_000  # rows of a per-key table that is broadcast after counting
+
 
 def to_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
             column_name: str = "column", value_name: str = "value") -> DataFrame:
@@ -68,78 +68,69 @@ def numpy_lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= F.lit(0.5), b - diff * (F.lit(1.0) - t)).otherwise(a + diff * t)
 
 
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (materialized) with a broadcast hint if it is counted small."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def profile_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                 value: str = "value", buckets: int = 1024,
-                 accuracy: int | None = None) -> DataFrame:
+                 value: str = "value", accuracy: int = ACCURACY) -> DataFrame:
     """Exact quantiles plus moments of ``value`` per ``keys``.
 
     Returns ``(keys..., n, mean, std, min, max, q)`` where ``q`` is a
     map prob -> quantile (DOUBLE). ``mean``/``std`` are unrounded.
     """
     keys = list(keys)
-    bounded = keys == ["column"]
     probs = [float(p) for p in probs]
-    accuracy = accuracy or buckets * 32
-    fracs = fractions_array(buckets)
     v = F.col(value)
 
-    # pass 1: moments + equi-depth bounds (one row per key)
-    stats = long.groupBy(*keys).agg(
+    # pass 1: moments, and for each prob two sketch quantiles that enclose its ranks
+    margin = 4.0 / accuracy
+    ends = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
+    stats = materialize(long.groupBy(*keys).agg(
         F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),
-        F.percentile_approx(v, fracs, accuracy).alias("bounds"))
-    # stats (one row per key) and the distinct-value counts are each read
-    # several times with different pushed-down filters, so Spark would
-    # recompute them per read; keep each once (spills to disk at scale)
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
-
-    # pass 2: distinct-value counts (a hot value collapses to one row in the
-    # map-side partial aggregate), then the bucket of each distinct value.
-    # Keyed by requested columns only, the stats side has a size fixed by the
-    # call and is broadcast; with group keys it grows with the groups, so AQE
-    # picks the join at run time.
-    vc = long.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
-    side = stats.select(*keys, "bounds")
-    vc = with_bucket(vc.join(F.broadcast(side) if bounded else side, keys), "bounds", value, buckets)
-    vc = vc.drop("bounds").persist(StorageLevel.MEMORY_AND_DISK)
-
-    sizes = vc.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("bcnt"))
-    wk = Window.partitionBy(*keys).orderBy("bucket")
-    sizes = sizes.withColumn("start", F.sum("bcnt").over(wk) - F.col("bcnt"))
-
-    # wanted ranks: lower/upper neighbours of each virtual index
-    prob_arr = F.array(*[F.lit(p) for p in probs])
-    targets = (stats.select(*keys, "n", F.explode(prob_arr).alias("prob"))
-               .withColumn("vidx", F.col("n") * F.col("prob") + (F.lit(1.0) - F.col("prob")) - F.lit(1.0))
-               .withColumn("k_lo", F.floor("vidx").cast("long"))
-               .withColumn("k_hi", F.least(F.col("k_lo") + 1, F.col("n") - 1))
-               .withColumn("t", F.col("vidx") - F.col("k_lo")))
-    ranks = (targets.select(*keys, F.explode(F.array("k_lo", "k_hi")).alias("k")).distinct()
-             .join(sizes, keys)
-             .filter((F.col("start") <= F.col("k")) & (F.col("k") < F.col("start") + F.col("bcnt")))
-             .select(*keys, "bucket", "k", "start"))
-
-    # exact ranking inside the few selected buckets
-    wanted = ranks.select(*keys, "bucket", "start").distinct()
-    inb = vc.join(F.broadcast(wanted) if bounded else wanted, keys + ["bucket"])
-    wv = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    inb = inb.withColumn("r1", F.col("start") + F.sum("cnt").over(wv)).withColumn("r0", F.col("r1") - F.col("cnt"))
-    picked = (inb.join(ranks.select(*keys, "bucket", "k"), keys + ["bucket"])
-              .filter((F.col("r0") <= F.col("k")) & (F.col("k") < F.col("r1")))
-              .select(*keys, "k", F.col(value).alias("x")))
-
-    lo = picked.select(*keys, F.col("k").alias("k_lo"), F.col("x").alias("a"))
-    hi = picked.select(*keys, F.col("k").alias("k_hi"), F.col("x").alias("b"))
-    qv = (targets.join(lo, keys + ["k_lo"]).join(hi, keys + ["k_hi"])
-          .select(*keys, "prob", numpy_lerp(F.col("a"), F.col("b"), F.col("t")).alias("qv")))
-    qmap = qv.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("prob", "qv"))).alias("q"))
-    return stats.drop("bounds").join(qmap, keys, "left")
+        F.percentile_approx(v, F.array(*map(F.lit, ends)), accuracy).alias("ends")))
+
+    # pass 2: for each prob, values below its band collapse to one row (NULL) and
+    # equal values inside it to one, before anything is shuffled; those above go
+    def end(at: int, limit: str, beyond: bool) -> Column:
+        # under ``accuracy`` values a margin is less than a few ranks: take them all
+        return F.col(limit) if beyond else F.when(F.col("n") < accuracy, F.col(limit)).otherwise(F.get("ends", F.lit(at)))
+
+    bands = F.array(*[F.struct(F.lit(i).alias("i"), end(2 * i, "min", p <= margin).alias("lo"),
+                               end(2 * i + 1, "max", p + margin >= 1).alias("hi")) for i, p in enumerate(probs)])
+    side = small(stats.select(*keys, bands.alias("bands")))
+    banded = (long.join(side, keys).select(*keys, value, F.explode("bands").alias("band"))
+              .filter(v <= F.col("band.hi"))
+              .groupBy(*keys, F.col("band.i").alias("i"), F.when(v >= F.col("band.lo"), v).alias("x"))
+              .agg(F.count(F.lit(1)).alias("cnt")))
+
+    # a band holds about 8 / accuracy of a key's values: rank those and interpolate
+    order = Window.partitionBy(*keys, "i").orderBy(F.asc_nulls_first("x"))
+    prob = F.get(F.array(*map(F.lit, probs)), F.col("i"))
+    ranked = (banded.withColumn("r1", F.sum("cnt").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+              .join(small(stats.select(*keys, "n")), keys)
+              .withColumn("vidx", F.col("n") * prob + (F.lit(1.0) - prob) - F.lit(1.0))
+              .withColumn("k_lo", F.floor("vidx").cast("long")))
+    k_hi = F.least(F.col("k_lo") + 1, F.col("n") - 1)
+
+    def at(k: Column) -> Column:
+        return F.max(F.when((F.col("r1") - F.col("cnt") <= k) & (k < F.col("r1")), F.col("x")))
+
+    picked = ranked.groupBy(*keys, "i").agg(at(F.col("k_lo")).alias("a"), at(k_hi).alias("b"),
+                                            F.max(F.col("vidx") - F.col("k_lo")).alias("t"))
+    found = F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), numpy_lerp(F.col("a"), F.col("b"), F.col("t"))
+                   ).otherwise(F.raise_error(F.lit("a rank lies outside its band")).cast("double"))
+    q = (picked.select(*keys, prob.alias("prob"), found.alias("qv")).groupBy(*keys)
+         .agg(F.map_from_entries(F.collect_list(F.struct("prob", "qv"))).alias("q")))
+    return stats.drop("ends").join(q, keys, "left")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+                    by: Sequence[str] = ()) -> DataFrame:
     """Long ``(by..., column, prob, quantile)`` for each numeric column."""
     long = to_long(df, cols, by)
     keys = list(by) + ["column"]
-    prof = profile_long(long, keys, probs, buckets=buckets)
+    prof = profile_long(long, keys, probs)
     return prof.select(*keys, F.explode("q").alias("prob", "quantile"))

@@ -15,10 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+MAX_COLUMNS = 5_000  # of a one-hot matrix
+# The report's attributes.
 BASKET_CATS = ("country", "payment_method", "product_category", "traffic_source", "device_type")
 BASKET_FLAGS = ("high_risk_ip", "address_mismatch", "late_delivery_risk", "is_fraud", "is_returned")
 
@@ -39,17 +42,22 @@ def order_items(df: DataFrame, cats: Sequence[str] = BASKET_CATS, flags: Sequenc
 
 
 def one_hot(df: DataFrame, cats: Sequence[str] = BASKET_CATS, flags: Sequence[str] = BASKET_FLAGS,
-            key: str = "order_id") -> DataFrame:
-    """M2: boolean one-hot view (one column per item). The item vocabulary is
-    read from the data (a distinct over categorical values, bounded by the
-    categories); the matrix itself stays distributed."""
+            key: str = "order_id", vocabulary: Sequence[str] | None = None) -> DataFrame:
+    """M2: boolean one-hot view (one column per item). Unless given, the item
+    vocabulary is read from the data, while the plan is built (a distinct over
+    categorical values; more than ``MAX_COLUMNS`` is an error, not a matrix); the
+    matrix itself stays distributed."""
+    if vocabulary is not None:
+        items = item_array(cats, flags)
+        return df.select(key, *[F.array_contains(items, F.lit(n)).alias(n) for n in vocabulary],
+                         *[(F.col(f) == 1).alias(f) for f in flags])
     vocab = (df.select(F.explode(F.array(*[
         F.concat(F.lit(f"{c}_"), F.coalesce(F.col(c).cast("string"), F.lit("nan"))) for c in cats])).alias("i"))
         .distinct().orderBy("i"))
-    names = [r["i"] for r in vocab.collect()]
-    items = item_array(cats, flags)
-    return df.select(key, *[F.array_contains(items, F.lit(n)).alias(n) for n in names],
-                     *[(F.col(f) == 1).alias(f) for f in flags])
+    names = [r["i"] for r in vocab.limit(MAX_COLUMNS + 1).collect()]
+    if len(names) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} items: use order_items")
+    return one_hot(df, cats, flags, key, names)
 
 
 def _subsets(items: Column, max_len: int) -> Column:
@@ -89,15 +97,17 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.004, max_len: i
         fs = model.freqItemsets.select(F.array_sort("items").alias("itemset"), F.col("freq").alias("count"))
         fs = fs.filter(F.size("itemset") <= max_len)
     else:
-        single = (baskets.select(F.explode(items).alias("item"))
-                  .groupBy("item").agg(F.count(F.lit(1)).alias("c"))
+        # baskets repeat: there are at most as many as combinations of values
+        distinct = materialize(baskets.groupBy(F.col(items).alias("items")).agg(F.count(F.lit(1)).alias("times")))
+        single = (distinct.select(F.explode("items").alias("item"), "times")
+                  .groupBy("item").agg(F.sum("times").alias("c"))
                   .filter(F.col("c") / n >= F.lit(float(min_support))))
         # at most 10 / min_support items can be frequent: a proven bound for the scalar
         frequent = single.select(F.array_sort(F.collect_list("item"))).scalar()
-        pruned = baskets.select(F.array_intersect(F.col(items), frequent).alias("items"))
-        pruned = pruned.select(F.array_sort("items").alias("items"))
-        fs = (pruned.select(F.explode(_subsets(F.col("items"), max_len)).alias("itemset"))
-              .groupBy("itemset").agg(F.count(F.lit(1)).alias("count")))
+        pruned = (distinct.select(F.sort_array(F.array_intersect("items", frequent)).alias("items"), "times")
+                  .groupBy("items").agg(F.sum("times").alias("times")))
+        fs = (pruned.select(F.explode(_subsets(F.col("items"), max_len)).alias("itemset"), "times")
+              .groupBy("itemset").agg(F.sum("times").alias("count")))
     fs = fs.withColumn("support", F.col("count") / n).filter(F.col("support") >= F.lit(float(min_support)))
     return fs.select("itemset", F.size("itemset").alias("size"), "count", "support")
 
@@ -114,7 +124,7 @@ def association_rules(itemsets: DataFrame, min_lift: float = 1.0) -> DataFrame:
     # The itemset table is read three times (splits, antecedent and consequent
     # supports) and Catalyst pushes a different filter into each read, so no
     # exchange is shared; it is small (<= 175 / min_support rows): keep it once.
-    itemsets = itemsets.persist(StorageLevel.MEMORY_AND_DISK)
+    itemsets = materialize(itemsets)
     multi = itemsets.filter(F.col("size") >= 2)
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.col("size")).cast("int") - 2)
     splits = multi.select("itemset", "support", F.explode(masks).alias("mask"))

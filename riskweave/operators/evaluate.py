@@ -15,7 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import zero_if_null_ratio
-from ..functions.quantile import fractions_array, with_bucket
+from ..functions.quantile import fractions_array, small, with_bucket
+from ..session import materialize
+
+MIN_BUCKETS = 64
+BUCKET_ROWS = 1_000_000  # rows of a split's bucket, on average
+BROADCAST_PLAN = 200_000  # rows of a split's plan (classes x buckets) that are broadcast
 
 
 def default_order_key(key: str, seed: int) -> Column:
@@ -24,36 +29,44 @@ def default_order_key(key: str, seed: int) -> Column:
 
 def stratified_split(df: DataFrame, label: str, test_frac: float = 0.25, seed: int = 42,
                      key: str = "order_id", order_key: Column | None = None,
-                     buckets: int = 64) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """Exact stratified train/test split; adds ``split`` in {train, test}.
 
     Test size ``ceil(test_frac * n)`` shared by class by largest remainder
-    (ties by class value); inside a class, rows are taken in pseudo-random
-    order ``(pmod(h, buckets), h, key)`` with ``h = xxhash64(key, seed)``.
-    A class holding most rows is ranked in ``buckets`` parallel groups."""
+    (ties by class value); a null label is a class of its own. Inside a class,
+    rows are taken in pseudo-random order ``(pmod(h, buckets), h, key)`` with
+    ``h = xxhash64(key, seed)``. Class and bucket decide a row but for one bucket a
+    class, the one that its quota cuts: only that is ranked. ``buckets`` follows the
+    number of rows (64 at least)."""
     h = order_key if order_key is not None else default_order_key(key, seed)
+    n = df.count()
+    buckets = buckets or max(MIN_BUCKETS, -(-n // BUCKET_ROWS))
     d = df.withColumn("__h", h).withColumn("__b", F.pmod(F.col("__h"), F.lit(buckets)))
-    counts = d.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__nb"))
-    wl = Window.partitionBy(label).orderBy("__b")
+    lab = F.col(label)
+    counts = d.groupBy(lab.alias("__label"), F.col("__b").alias("__bucket")).agg(F.count(F.lit(1)).alias("__nb"))
+    wl = Window.partitionBy("__label").orderBy("__bucket")
     counts = counts.withColumn("__off", F.sum("__nb").over(wl) - F.col("__nb"))
 
-    classes = counts.groupBy(label).agg(F.sum("__nb").alias("__nc"))
-    n = df.select(F.count(F.lit(1))).scalar()
+    classes = counts.groupBy("__label").agg(F.sum("__nb").alias("__nc"))
     n_test = F.ceil(F.lit(float(test_frac)) * n)
     exact = F.col("__nc") * n_test / n
     classes = classes.withColumn("__base", F.floor(exact)).withColumn("__rem", exact - F.floor(exact))
     # the class table has one row per class value
-    wall = Window.orderBy(F.desc("__rem"), F.col(label))
-    classes = classes.withColumn(
-        "__quota", F.col("__base") + F.when(
-            F.row_number().over(wall) <= n_test - F.sum("__base").over(Window.partitionBy(F.lit(1))), 1).otherwise(0))
-
-    wb = Window.partitionBy(label, "__b").orderBy("__h", key)
-    ranked = d.withColumn("__r", F.row_number().over(wb) - 1)
-    ranked = (ranked.join(counts.select(label, "__b", "__off"), [label, "__b"])
-              .join(classes.select(label, "__quota"), label))
-    split = F.when(F.col("__off") + F.col("__r") < F.col("__quota"), F.lit("test")).otherwise(F.lit("train"))
-    return ranked.withColumn("split", split).drop("__h", "__b", "__r", "__off", "__quota")
+    wall = Window.orderBy(F.desc("__rem"), F.col("__label"))
+    classes = classes.select(F.col("__label").alias("__class"), (F.col("__base") + F.when(
+        F.row_number().over(wall) <= n_test - F.sum("__base").over(Window.partitionBy(F.lit(1))), 1).otherwise(0))
+        .alias("__quota"))
+    plan = materialize(counts.join(classes, F.col("__label").eqNullSafe(F.col("__class"))).select(
+        "__label", "__bucket", "__off", "__quota", (F.col("__off") + F.col("__nb") <= F.col("__quota")).alias("__all"),
+        (F.col("__off") >= F.col("__quota")).alias("__none")))
+    # classes x buckets rows, broadcast after counting
+    ranked = d.join(small(plan, BROADCAST_PLAN), lab.eqNullSafe(F.col("__label")) & (F.col("__b") == F.col("__bucket")))
+    whole = ranked.filter(F.col("__all") | F.col("__none")).withColumn(
+        "split", F.when(F.col("__all"), "test").otherwise("train"))
+    wb = Window.partitionBy("__label", "__b").orderBy("__h", key)
+    cut = ranked.filter(~F.col("__all") & ~F.col("__none")).withColumn(
+        "split", F.when(F.col("__off") + F.row_number().over(wb) <= F.col("__quota"), "test").otherwise("train"))
+    return whole.unionByName(cut).select(*df.columns, "split")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -64,7 +77,10 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    return df.join(class_weights(df, label).withColumnRenamed("weight", name), label)
+    """Each row's class weight, by a join with the counted class table (no
+    row is exchanged); a null label is a class too."""
+    weights = materialize(class_weights(df, label).select(F.col(label).alias("__class"), F.col("weight").alias(name)))
+    return df.join(small(weights), F.col(label).eqNullSafe(F.col("__class"))).drop("__class")
 
 
 def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -120,24 +136,28 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     return rows.unionByName(summary).orderBy("__o", "class").drop("__o")
 
 
-def roc_auc(pred: DataFrame, label: str = "label", score: str = "score", buckets: int = 1024) -> DataFrame:
-    """Exact ROC-AUC (ties count one half), one row ``auc``.
+def roc_auc(pred: DataFrame, label: str = "label", score: str = "score",
+            buckets: int | None = None) -> DataFrame:
+    """Exact ROC-AUC (ties count one half), one row ``auc``; NULL if a class
+    is missing.
 
     AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s)/2) / (P N).
     neg_below is a prefix sum over sorted distinct scores: distinct scores are
     put in equi-depth buckets (approximate quantiles + code-generated
     search), prefix sums of bucket totals give offsets, and only inside a
-    bucket are scores ranked -- no unpartitioned window over the data."""
+    bucket are scores ranked -- no unpartitioned window over the data. Products of
+    counts are taken in double, which cannot overflow."""
     y = F.col(label).cast("int")
-    s = (pred.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-         .groupBy(F.col(score).cast("double").alias("s"))
-         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
+    s = materialize(pred.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+                    .groupBy(F.col(score).cast("double").alias("s"))
+                    .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
+    buckets = buckets or (1_024 if s.count() <= 1_024 * BUCKET_ROWS else 9_216)
     bounds = s.select(F.percentile_approx("s", fractions_array(buckets), buckets * 32)).scalar()
     b = with_bucket(s.withColumn("__bounds", bounds), "__bounds", "s", buckets).drop("__bounds")
     tot = b.groupBy("bucket").agg(F.sum("neg").alias("bneg"))
     tot = tot.withColumn("off", F.sum("bneg").over(Window.partitionBy(F.lit(1)).orderBy("bucket")) - F.col("bneg"))
     wb = Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
-    b = b.join(tot.select("bucket", "off"), "bucket").withColumn(
-        "neg_below", F.col("off") + F.sum("neg").over(wb) - F.col("neg"))
+    b = b.join(F.broadcast(tot.select("bucket", "off")), "bucket").withColumn(
+        "neg_below", (F.col("off") + F.sum("neg").over(wb) - F.col("neg")).cast("double"))
     num = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * F.lit(0.5)))
-    return b.agg((num / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return b.agg(F.try_divide(num, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))

@@ -18,26 +18,39 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .evaluate import class_weights
+from .evaluate import with_class_weights
 
+# The model's features in the report's order.
 CAT_COLS = ("country", "device_type", "traffic_source", "payment_method", "product_category")
 NUM_COLS = ("customer_age_days", "previous_orders", "avg_order_value_eur", "order_value_eur",
             "quantity", "discount_rate", "shipping_distance_km", "delivery_days_estimated",
             "late_delivery_risk", "address_mismatch", "high_risk_ip",
             "customer_support_contacts", "review_score")
+MAX_VOCABULARY = 10_000  # distinct values of a column whose codes are constants
 FEATURE_COLS = tuple(f"{c}_enc" for c in CAT_COLS) + NUM_COLS
 
 
 def label_encode(df: DataFrame, cols: Sequence[str] = CAT_COLS, suffix: str = "_enc") -> DataFrame:
     """L1 (DataFrame form): code = rank of the value among the column's sorted
-    distinct values, 0-based. The code table per column has one row per
-    distinct value (a vocabulary), joined back by value."""
+    distinct values, 0-based; NULL for NULL.
+
+    One scan counts the distinct values of all columns, one reads the vocabularies
+    of those with at most ``MAX_VOCABULARY``; their codes are positions in a constant
+    array, so no row is exchanged. A larger column is joined to its code table."""
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    short = [c for c in cols if sizes[c] <= MAX_VOCABULARY]
     out = df
+    if short:
+        vocab = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in short]).first()
+        for c in short:
+            codes = F.array(*[F.lit(v) for v in vocab[c]]) if vocab[c] else F.array(F.lit(None).cast(df.schema[c].dataType))
+            out = out.withColumn(f"{c}{suffix}", (F.array_position(codes, F.col(c)) - 1).cast("int"))
     for c in cols:
-        vocab = df.select(c).where(F.col(c).isNotNull()).distinct()
-        vocab = vocab.withColumn(f"{c}{suffix}", (F.dense_rank().over(Window.orderBy(c)) - 1).cast("int"))
-        out = out.join(vocab, c, "left")
-    return out
+        if c not in short:
+            words = df.select(c).where(F.col(c).isNotNull()).distinct()
+            words = words.withColumn(f"{c}{suffix}", (F.dense_rank().over(Window.orderBy(c)) - 1).cast("int"))
+            out = out.join(words, c, "left")
+    return out.select(*df.columns, *[f"{c}{suffix}" for c in cols])
 
 
 def label_indexers(cols: Sequence[str] = CAT_COLS, suffix: str = "_enc") -> list[StringIndexer]:
@@ -71,7 +84,7 @@ def fit_risk_model(train: DataFrame, label: str = "risk_label", num_trees: int =
                    seed: int = 42, max_bins: int = 64) -> PipelineModel:
     """(encode) -> assemble -> balanced-weight forest for the 3-class label.
     Class codes are alphabetical, so classes are reported in sorted order."""
-    weighted = train.join(class_weights(train, label), label)
+    weighted = with_class_weights(train, label)
     target = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
     stages = _encoders(train) + [assembler(), target, _forest("label_idx", num_trees, max_depth, seed, max_bins)]
     model = Pipeline(stages=stages).fit(weighted)
@@ -89,7 +102,7 @@ def predict(model: PipelineModel, test: DataFrame, label: str = "risk_label") ->
 def fit_fraud_model(train: DataFrame, label: str = "is_fraud", num_trees: int = 300, max_depth: int = 10,
                     seed: int = 42, max_bins: int = 64) -> PipelineModel:
     """The same forest for the binary fraud flag."""
-    weighted = train.join(class_weights(train, label), label).withColumn("label_num", F.col(label).cast("double"))
+    weighted = with_class_weights(train, label).withColumn("label_num", F.col(label).cast("double"))
     stages = _encoders(train) + [assembler(), _forest("label_num", num_trees, max_depth, seed, max_bins)]
     return Pipeline(stages=stages).fit(weighted)
 

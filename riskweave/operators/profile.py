@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import np_round, round6
-from ..functions.quantile import profile_long, to_long
+from ..functions.quantile import profile_long, small, to_long
+from ..session import materialize
 
+# The report's columns in its order.
 NUMERIC_SUMMARY_COLS = ("order_value_eur", "avg_order_value_eur", "discount_rate",
                         "shipping_distance_km", "delivery_days_estimated", "customer_age_days",
                         "previous_orders", "review_score", "customer_support_contacts")
@@ -34,45 +36,51 @@ def _position(col: str, names: Sequence[str]) -> Column:
     return F.array_position(F.array(*[F.lit(n) for n in names]), F.col(col))
 
 
-def numeric_summary(df: DataFrame, cols: Sequence[str] = NUMERIC_SUMMARY_COLS,
-                    buckets: int = 1024) -> DataFrame:
+def _requested(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row for each requested column, so that none is missing in a report."""
+    return F.broadcast(df.sparkSession.createDataFrame([(c,) for c in cols], "column string"))
+
+
+def numeric_summary(df: DataFrame, cols: Sequence[str] = NUMERIC_SUMMARY_COLS) -> DataFrame:
     """``(column, count, mean, std, min, p25, p50, p75, max)`` per column.
     Quantiles are exact (NumPy linear); mean/std rounded to 6 decimals
-    because float sums depend on summation order."""
-    prof = profile_long(to_long(df, cols), ["column"], [0.25, 0.5, 0.75], buckets=buckets)
-    return (prof.select(
-        "column", F.col("n").alias("count"), round6("mean").alias("mean"), round6("std").alias("std"),
+    because float sums depend on summation order. A column without a value has
+    count 0."""
+    prof = profile_long(to_long(df, cols), ["column"], [0.25, 0.5, 0.75])
+    return (_requested(df, cols).join(prof, "column", "left").select(
+        "column", F.coalesce("n", F.lit(0)).cast("long").alias("count"), round6("mean").alias("mean"), round6("std").alias("std"),
         F.col("min"), F.col("q")[0.25].alias("p25"), F.col("q")[0.5].alias("p50"),
         F.col("q")[0.75].alias("p75"), F.col("max"))
         .orderBy(_position("column", list(cols))))
 
 
-def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, buckets: int = 1024) -> DataFrame:
+def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """``(column, q1, q3, lower, upper)`` with unrounded fences."""
-    prof = profile_long(to_long(df, cols), ["column"], [0.25, 0.75], buckets=buckets)
+    prof = profile_long(to_long(df, cols), ["column"], [0.25, 0.75])
     q1, q3 = F.col("q")[0.25], F.col("q")[0.75]
     iqr = q3 - q1
     return prof.select("column", q1.alias("q1"), q3.alias("q3"),
                        (q1 - F.lit(k) * iqr).alias("lower"), (q3 + F.lit(k) * iqr).alias("upper"))
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str] = OUTLIER_COLS, k: float = 1.5,
-                 buckets: int = 1024) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: Sequence[str] = OUTLIER_COLS, k: float = 1.5) -> DataFrame:
     """``(column, lower_bound, upper_bound, n_outliers, pct_outliers)``.
     Counting uses the unrounded fences; reported fences are rounded half-even
-    to 2 dp; the percentage is of ALL rows (nulls included)."""
-    bounds = iqr_bounds(df, cols, k, buckets)
+    to 2 dp; the percentage is of ALL rows (nulls included). A column without a
+    value has no fences and no outliers."""
+    bounds = materialize(iqr_bounds(df, cols, k))
     long = to_long(df, cols)
     counts = (long.join(F.broadcast(bounds.select("column", "lower", "upper")), "column")
               .groupBy("column")
               .agg(F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
                    .alias("n_outliers")))
     total = df.select(F.count(F.lit(1))).scalar()
-    out = bounds.join(counts, "column", "left").fillna(0, ["n_outliers"])
+    out = (_requested(df, cols).join(bounds, "column", "left").join(counts, "column", "left")
+           .fillna(0, ["n_outliers"]))
     return (out.select(
         "column", np_round("lower", 2).alias("lower_bound"), np_round("upper", 2).alias("upper_bound"),
         F.col("n_outliers"),
-        np_round(F.col("n_outliers") / total * F.lit(100.0), 2).alias("pct_outliers"))
+        np_round(F.try_divide(F.col("n_outliers"), total) * F.lit(100.0), 2).alias("pct_outliers"))
         .orderBy(_position("column", list(cols))))
 
 
@@ -89,7 +97,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFr
     expressions are handed to Spark as SQL text: building thousands of
     Column objects one py4j call at a time cost more than the scan."""
     cols = list(cols)
-    q = {c: f"CAST(`{c}` AS DOUBLE)" for c in cols}
+    # NaN is missing, as NULL is
+    q = {c: f"nullif(CAST(`{c}` AS DOUBLE), DOUBLE('NaN'))" for c in cols}
     first = df.agg(*[F.expr(f"count_if({q[c]} IS NULL)").alias(f"z{i}") for i, c in enumerate(cols)],
                    *[F.expr(f"avg({q[c]})").alias(f"m{i}") for i, c in enumerate(cols)]).first()
     # 2k numbers, bounded by the number of requested columns
@@ -136,12 +145,6 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFr
             .orderBy(_position("a", cols), _position("b", cols)))
 
 
-def correlation_wide(corr_long: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFrame:
-    """Matrix view of ``correlation_matrix`` (one row per column)."""
-    return (corr_long.groupBy("a").pivot("b", list(cols)).agg(F.first("corr"))
-            .orderBy(_position("a", list(cols))))
-
-
 def _ranges(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     return long.groupBy(*keys).agg(F.min("value").alias("mn"), F.max("value").alias("mx"),
                                    F.count("value").alias("n"), F.stddev_samp("value").alias("sd"))
@@ -155,67 +158,75 @@ def _bin_index(bins: int) -> Column:
 
 def histogram(df: DataFrame, cols: Sequence[str] = DIST_COLS, bins: int = 20) -> DataFrame:
     """Equal-width histogram over [min, max] per column:
-    ``(column, bin, bin_lo, bin_hi, count)``; the last bin is closed."""
+    ``(column, bin, bin_lo, bin_hi, count)``; the last bin is closed. Empty bins
+    have count 0; the bins of a column without a value have no edges."""
     long = to_long(df, cols)
-    rng = _ranges(long, ["column"])
+    rng = materialize(_ranges(long, ["column"]))
     width = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
-    return (long.join(F.broadcast(rng), "column")
-            .withColumn("bin", _bin_index(bins))
-            .groupBy("column", "bin", "mn", "mx").agg(F.count(F.lit(1)).alias("count"))
+    counted = (long.join(F.broadcast(rng), "column")
+               .groupBy("column", _bin_index(bins).alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+    every = _requested(df, cols).join(F.broadcast(rng), "column", "left").select(
+        "column", "mn", "mx", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return (every.join(counted, ["column", "bin"], "left")
             .select("column", "bin",
                     (F.col("mn") + F.col("bin") * width).alias("bin_lo"),
                     (F.col("mn") + (F.col("bin") + 1) * width).alias("bin_hi"),
-                    "count")
+                    F.coalesce("count", F.lit(0)).cast("long").alias("count"))
             .orderBy(_position("column", list(cols)), "bin"))
 
 
-def density(df: DataFrame, cols: Sequence[str] = DIST_COLS, points: int = 128,
-            fine_bins: int = 2048) -> DataFrame:
+def density(df: DataFrame, cols: Sequence[str] = DIST_COLS, points: int = 128, per_bandwidth: int = 8,
+            reach: float = 6.0) -> DataFrame:
     """Gaussian KDE curve (Scott bandwidth ``h = sd * n^(-1/5)``) on
     ``points`` grid points over [min, max], ``(column, point, x, density)``.
 
-    Linear cost: values are first counted into ``fine_bins`` equal-width bins
-    (one distributed aggregate), then each bin centre contributes to every
-    grid point -- fine_bins x points rows per column, independent of row count.
+    Values are first counted into bins of width ``h / per_bandwidth`` (one
+    distributed aggregate, empty bins take no row), so the curve is as accurate
+    whatever the number of rows: bins narrow as the bandwidth does. Each bin's
+    centre then reaches the grid points within ``reach`` bandwidths.
     """
     long = to_long(df, cols)
-    rng = _ranges(long, ["column"])
-    fine = (long.join(F.broadcast(rng), "column")
-            .withColumn("bin", _bin_index(fine_bins))
-            .groupBy("column", "bin", "mn", "mx", "n", "sd").agg(F.count(F.lit(1)).alias("cnt")))
-    span = F.col("mx") - F.col("mn")
-    centre = F.col("mn") + (F.col("bin") + F.lit(0.5)) * span / F.lit(float(fine_bins))
-    h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    rng = materialize(_ranges(long, ["column"])
+                      .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+                      .filter(F.col("h") > 0))
+    width = F.col("h") / F.lit(float(per_bandwidth))
+    bin_ = F.floor((F.col("value") - F.col("mn")) / width)
+    fine = (long.join(F.broadcast(rng.select("column", "mn", "h")), "column")
+            .groupBy("column", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("cnt"))
+            .join(F.broadcast(rng), "column"))
     steps = max(points - 1, 1)
-    grid_x = F.col("mn") + F.col("point") * span / F.lit(float(steps))
-    z = (grid_x - F.col("c")) / F.col("h")
-    contrib = F.col("cnt") * F.exp(F.lit(-0.5) * z * z)
+    step = (F.col("mx") - F.col("mn")) / F.lit(float(steps))
+    offset = (F.col("bin") + F.lit(0.5)) * width  # of the bin's centre from the minimum
+    first = F.greatest(F.lit(0), F.ceil((offset - F.lit(reach) * F.col("h")) / step).cast("int"))
+    last = F.least(F.lit(points - 1), F.floor((offset + F.lit(reach) * F.col("h")) / step).cast("int"))
+    z = (F.col("point") * step - F.col("offset")) / F.col("h")
+    curve = (fine.select("column", "cnt", "mn", "mx", "n", "h", offset.alias("offset"), first.alias("first"), last.alias("last"))
+             .filter(F.col("first") <= F.col("last"))
+             .withColumn("point", F.explode(F.sequence("first", "last")))
+             .groupBy("column", "point").agg(F.sum(F.col("cnt") * F.exp(F.lit(-0.5) * z * z)).alias("s")))
     norm = F.lit(1.0 / math.sqrt(2.0 * math.pi)) / (F.col("n") * F.col("h"))
-    return (fine.select("column", "cnt", "mn", "mx", "n", centre.alias("c"), h.alias("h"),
-                        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-            .filter(F.col("h") > 0)
-            .groupBy("column", "point", "mn", "mx", "n", "h")
-            .agg(F.sum(contrib).alias("s"))
-            .select("column", "point", grid_x.alias("x"), (F.col("s") * norm).alias("density"))
+    every = F.broadcast(rng).select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    return (every.join(curve, ["column", "point"], "left")
+            .select("column", "point", (F.col("mn") + F.col("point") * step).alias("x"),
+                    (F.coalesce("s", F.lit(0.0)) * norm).alias("density"))
             .orderBy(_position("column", list(cols)), "point"))
 
 
 def box_stats(df: DataFrame, by: str = "risk_label",
-              cols: Sequence[str] = ("order_value_eur", "review_score"), k: float = 1.5,
-              buckets: int = 1024) -> DataFrame:
+              cols: Sequence[str] = ("order_value_eur", "review_score"), k: float = 1.5) -> DataFrame:
     """Per group and column, quartiles, whiskers (furthest data points
     within the 1.5 IQR fences) and the number of fliers.
     ``(group, column, n, q1, median, q3, whisker_low, whisker_high, n_fliers)``."""
     long = to_long(df.filter(F.col(by).isNotNull()), cols, [by]).withColumnRenamed(by, "group")
     keys = ["group", "column"]
-    prof = profile_long(long, keys, [0.25, 0.5, 0.75], buckets=buckets)
+    prof = profile_long(long, keys, [0.25, 0.5, 0.75])
     q1, q3 = F.col("q")[0.25], F.col("q")[0.75]
-    fences = prof.select(*keys, "n", q1.alias("q1"), F.col("q")[0.5].alias("median"), q3.alias("q3"),
-                         (q1 - F.lit(k) * (q3 - q1)).alias("lo_f"), (q3 + F.lit(k) * (q3 - q1)).alias("hi_f"))
+    fences = materialize(prof.select(*keys, "n", q1.alias("q1"), F.col("q")[0.5].alias("median"), q3.alias("q3"),
+                         (q1 - F.lit(k) * (q3 - q1)).alias("lo_f"), (q3 + F.lit(k) * (q3 - q1)).alias("hi_f")))
     v = F.col("value")
     inside = (v >= F.col("lo_f")) & (v <= F.col("hi_f"))
-    # one row per (group, column); AQE broadcasts it when the groups are few
-    agg = (long.join(fences.select(*keys, "lo_f", "hi_f"), keys)
+    # one row per (group, column), broadcast after counting
+    agg = (long.join(small(fences.select(*keys, "lo_f", "hi_f")), keys)
            .groupBy(*keys)
            .agg(F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
                 F.count_if(~inside).alias("n_fliers")))

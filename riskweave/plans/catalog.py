@@ -250,13 +250,16 @@ def q_correlation(spark, sf_dir):
 @register("A11_histogram", f"""
 WITH long AS ({long_cte(pf.DIST_COLS)}),
 r AS (SELECT col, min(value) AS mn, max(value) AS mx FROM long GROUP BY col),
-b AS (SELECT l.col, r.mn, r.mx,
+b AS (SELECT l.col,
              CASE WHEN r.mx - r.mn = 0 THEN 0
                   ELSE least(CAST(floor((l.value - r.mn) / (r.mx - r.mn) * CAST(20.0 AS DOUBLE)) AS INTEGER), 19) END AS bin
-      FROM long l JOIN r USING (col))
-SELECT col AS "column", bin, mn + bin * ((mx - mn) / CAST(20.0 AS DOUBLE)) AS bin_lo,
-       mn + (bin + 1) * ((mx - mn) / CAST(20.0 AS DOUBLE)) AS bin_hi, count(*) AS count
-FROM b GROUP BY col, bin, mn, mx""")
+      FROM long l JOIN r USING (col)),
+c AS (SELECT col, bin, count(*) AS cnt FROM b GROUP BY col, bin),
+e AS (SELECT unnest([{", ".join(f"'{c}'" for c in pf.DIST_COLS)}]) AS col),
+g AS (SELECT e.col, r.mn, r.mx, CAST(unnest(range(0, 20)) AS INTEGER) AS bin FROM e LEFT JOIN r ON r.col = e.col)
+SELECT g.col AS "column", g.bin, mn + g.bin * ((mx - mn) / CAST(20.0 AS DOUBLE)) AS bin_lo,
+       mn + (g.bin + 1) * ((mx - mn) / CAST(20.0 AS DOUBLE)) AS bin_hi, coalesce(c.cnt, 0) AS count
+FROM g LEFT JOIN c ON c.col = g.col AND c.bin = g.bin""")
 def q_histogram(spark, sf_dir):
     return pf.histogram(order_risk(spark, sf_dir), bins=20)
 
@@ -265,28 +268,26 @@ def q_histogram(spark, sf_dir):
 def q_density(spark, sf_dir):
     from pyspark.sql import functions as F
     from ..functions import np_round
-    d = pf.density(order_risk(spark, sf_dir), points=64, fine_bins=512)
+    d = pf.density(order_risk(spark, sf_dir), points=64)
     return d.select("column", "point", np_round("x", 9).alias("x"), np_round(F.col("density") * 1e6, 4).alias("density_x1e6"))
 
 
+# the whole kernel sum over the values' bins of an eighth of the bandwidth
 ORACLE["A12_density"] = with_order_risk(f"""
 WITH long AS ({long_cte(pf.DIST_COLS)}),
-r AS (SELECT col, min(value) AS mn, max(value) AS mx, count(value) AS n, stddev_samp(value) AS sd
+r AS (SELECT col, min(value) AS mn, max(value) AS mx, count(value) AS n,
+             stddev_samp(value) * pow(CAST(count(value) AS DOUBLE), CAST(-0.2 AS DOUBLE)) AS h
       FROM long GROUP BY col),
-fine AS (
-  SELECT l.col, r.mn, r.mx, r.n, r.sd,
-         CASE WHEN r.mx - r.mn = 0 THEN 0
-              ELSE least(CAST(floor((l.value - r.mn) / (r.mx - r.mn) * CAST(512.0 AS DOUBLE)) AS INTEGER), 511) END AS bin,
-  FROM long l JOIN r USING (col)),
-cnt AS (SELECT col, bin, mn, mx, n, sd, count(*) AS cnt FROM fine GROUP BY ALL),
-g AS (SELECT col, cnt, mn, mx, n, mn + (bin + 0.5) * (mx - mn) / CAST(512.0 AS DOUBLE) AS c,
-             sd * pow(CAST(n AS DOUBLE), CAST(-0.2 AS DOUBLE)) AS h, unnest(range(0, 64)) AS point FROM cnt),
-s AS (SELECT col, point, mn, mx, n, h,
-             sum(cnt * exp(-0.5 * ((mn + point * (mx - mn) / CAST(63.0 AS DOUBLE) - c) / h)
-                                  * ((mn + point * (mx - mn) / CAST(63.0 AS DOUBLE) - c) / h))) AS s
-      FROM g WHERE h > 0 GROUP BY col, point, mn, mx, n, h)
+cnt AS (SELECT l.col, floor((l.value - r.mn) / (r.h / CAST(8.0 AS DOUBLE))) AS bin, count(*) AS cnt
+        FROM long l JOIN r USING (col) WHERE r.h > 0 GROUP BY 1, 2),
+g AS (SELECT col, mn, mx, n, h, unnest(range(0, 64)) AS point FROM r WHERE h > 0),
+z AS (SELECT g.col, g.point, g.mn, g.mx, g.n, g.h, c.cnt,
+             (g.point * ((g.mx - g.mn) / CAST(63.0 AS DOUBLE)) - (c.bin + 0.5) * (g.h / CAST(8.0 AS DOUBLE))) / g.h AS z
+      FROM g JOIN cnt c USING (col)),
+s AS (SELECT col, point, mn, mx, n, h, sum(CASE WHEN abs(z) <= 6.0 THEN cnt * exp(-0.5 * z * z) ELSE 0 END) AS s
+      FROM z GROUP BY col, point, mn, mx, n, h)
 SELECT col AS "column", CAST(point AS INTEGER) AS point,
-       round_even(mn + point * (mx - mn) / CAST(63.0 AS DOUBLE), 9) AS x,
+       round_even(mn + point * ((mx - mn) / CAST(63.0 AS DOUBLE)), 9) AS x,
        round_even(s * (CAST(0.3989422804014327 AS DOUBLE) / (n * h)) * 1e6, 4) AS density_x1e6
 FROM s""")
 
@@ -405,7 +406,8 @@ def _forecast_table_sql() -> str:
                  f"""       strftime(CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE), '%Y-%m') AS forecast_month,
        round_even(lv.a + sl.b * CAST(sl.t_last + h.h AS DOUBLE), 0) AS forecasted_orders,
        round_even({lin('fraud_rate')} * 100.0, 2) AS forecasted_fraud_rate_pct,
-       round_even({lin('return_rate')} * 100.0, 2) AS forecasted_return_rate_pct""")
+       round_even({lin('return_rate')} * 100.0, 2) AS forecasted_return_rate_pct,
+       'fitted' AS status""")
 
 
 @register("F5_forecast_table", _forecast_table_sql())
@@ -419,6 +421,12 @@ def q_forecast_by_country(spark, sf_dir):
     return fc.forecast_table(s, keys=["country"], horizon=3, mode="ols")
 
 
+@register("F3_holt_winters_fit_by_country")
+def q_holt_winters_fit_by_country(spark, sf_dir):
+    s = fc.monthly_series(order_risk(spark, sf_dir), keys=["country"])
+    return fc.fit_smoothing(s, "orders", ["country"], period=12, horizon=3, grid=6)
+
+
 @register("F3_holt_winters_optimize")
 def q_holt_winters_optimize(spark, sf_dir):
     return fc.fit_forecast(_series(spark, sf_dir), "orders", period=12, horizon=3, mode="optimize", grid=11)
@@ -523,6 +531,28 @@ def q_top_fraud_rules(spark, sf_dir):
     return mb.top_rules(mb.outcome_rules(r, "is_fraud"), 10)
 
 
+@register("M7_top_return_rules", f"""WITH {_ITEMS_SQL}
+SELECT array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents,
+       support, confidence, lift FROM rules WHERE list_contains(cons, 'is_returned')
+ORDER BY lift DESC, antecedents, consequents LIMIT 10""")
+def q_top_return_rules(spark, sf_dir):
+    r = mb.association_rules(mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 3), 1.0)
+    return mb.top_rules(mb.outcome_rules(r, "is_returned"), 10)
+
+
+@register("M2_one_hot_counts", f"""WITH {_ITEMS_SQL},
+v AS (SELECT item, count(*) AS present FROM ex GROUP BY item)
+SELECT item, present, (SELECT n FROM ntx) AS n FROM v""")
+def q_one_hot_counts(spark, sf_dir):
+    """Each column of the one-hot matrix, summed: how many orders have the item."""
+    wide = mb.one_hot(order_risk(spark, sf_dir))
+    names = [c for c in wide.columns if c != "order_id"]
+    sums = wide.agg(*[_F.count_if(_F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(names)],
+                    _F.count(_F.lit(1)).alias("n"))
+    rows = _F.array(*[_F.struct(_F.lit(c).alias("item"), _F.col(f"c{i}").alias("present")) for i, c in enumerate(names)])
+    return sums.select(_F.inline(rows), "n").filter("present > 0")
+
+
 # --- A14, L1-L13 evaluation and models -----------------------------------------------------------
 from ..operators import evaluate as ev  # noqa: E402
 from ..operators import model as ml  # noqa: E402
@@ -653,6 +683,16 @@ def q_label_encode(spark, sf_dir):
     return enc.select("order_id", *[f"{c}_enc" for c in ml.CAT_COLS])
 
 
+@register("L2_feature_vector", "SELECT order_id, " + ", ".join(
+    [f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS {c}_enc" for c in ml.CAT_COLS]
+    + [f"CAST({c} AS DOUBLE) AS {c}" for c in ml.NUM_COLS]) + " FROM order_risk")
+def q_feature_vector(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    v = ml.assembler().transform(ml.label_encode(order_risk(spark, sf_dir)))
+    a = v.select("order_id", vector_to_array("features").alias("a"))
+    return a.select("order_id", *[_F.get("a", _F.lit(i)).alias(c) for i, c in enumerate(ml.FEATURE_COLS)])
+
+
 # Forests: rows-only checks (another library's tree RNG cannot be reproduced).
 _MODELS: dict = {}
 
@@ -721,13 +761,15 @@ lv AS (SELECT s.country, s.k, avg(s.y - sl.b * CAST(s.t AS DOUBLE)) AS a FROM s
 lin AS (SELECT country, regr_intercept(fraud_rate, CAST(t AS DOUBLE)) AS fa, regr_slope(fraud_rate, CAST(t AS DOUBLE)) AS fb,
                regr_intercept(return_rate, CAST(t AS DOUBLE)) AS ra, regr_slope(return_rate, CAST(t AS DOUBLE)) AS rb
         FROM series GROUP BY country),
-h AS (SELECT unnest([1, 2, 3]) AS h)
-SELECT sl.country, strftime(CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE), '%Y-%m') AS forecast_month,
+h AS (SELECT unnest([1, 2, 3]) AS h),
+f AS (SELECT sl.country, strftime(CAST(sl.m_last + to_months(CAST(h.h AS INTEGER)) AS DATE), '%Y-%m') AS forecast_month,
        round_even(lv.a + sl.b * CAST(sl.t_last + h.h AS DOUBLE), 0) AS forecasted_orders,
        round_even((lin.fa + lin.fb * CAST(sl.t_last + h.h AS DOUBLE)) * 100.0, 2) AS forecasted_fraud_rate_pct,
        round_even((lin.ra + lin.rb * CAST(sl.t_last + h.h AS DOUBLE)) * 100.0, 2) AS forecasted_return_rate_pct
-FROM sl CROSS JOIN h JOIN lv ON lv.country = sl.country AND lv.k = (sl.t_last + h.h) % 12
-JOIN lin ON lin.country = sl.country""")
+FROM sl CROSS JOIN h LEFT JOIN lv ON lv.country = sl.country AND lv.k = (sl.t_last + h.h) % 12
+LEFT JOIN lin ON lin.country = sl.country)
+SELECT *, CASE WHEN forecasted_orders IS NOT NULL AND forecasted_fraud_rate_pct IS NOT NULL
+                    AND forecasted_return_rate_pct IS NOT NULL THEN 'fitted' ELSE 'too short' END AS status FROM f""")
 
 ORACLE["F6_actual_vs_forecast"] = with_order_risk(f"""WITH {_SERIES_SQL},
 s AS (SELECT month, t, CAST(orders AS DOUBLE) AS y, t % 12 AS k FROM series),
@@ -754,3 +796,65 @@ FROM sl CROSS JOIN h CROSS JOIN lin JOIN lv ON lv.k = (sl.t_last + h.h) % 12""")
 def q_one_hot(spark, sf_dir):
     # column set depends on the data's vocabulary: row-count checked
     return mb.one_hot(order_risk(spark, sf_dir))
+
+
+# --- S3-S5: written to the shared folder, read back, compared with what was computed ------------------
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _round_trip(spark, df, fmt: str, name: str):
+    from ..sources.files import write_report
+    path = _scratch(spark, name)
+    write_report(df, path, fmt)
+    return spark.read.schema(df.schema).option("header", True).format(fmt).load(path)
+
+
+@register("S3_monthly_trend_csv")
+def q_report_csv(spark, sf_dir):
+    return _round_trip(spark, QUERIES["A3_monthly_trend"](spark, sf_dir), "csv", "trend")
+
+
+@register("S5_classification_report_csv")
+def q_classification_csv(spark, sf_dir):
+    return _round_trip(spark, QUERIES["L9_classification_report"](spark, sf_dir), "csv", "report")
+
+
+ORACLE["S3_monthly_trend_csv"] = ORACLE["A3_monthly_trend"]
+ORACLE["S5_classification_report_csv"] = ORACLE["L9_classification_report"]
+
+
+@register("S4_report_pack_manifest", """
+SELECT 'By country' AS sheet, count(DISTINCT country) AS rows FROM order_risk
+UNION ALL SELECT 'By payment_method', count(DISTINCT payment_method) FROM order_risk
+UNION ALL SELECT 'Risk labels of all orders in th', count(DISTINCT risk_label) FROM order_risk""")
+def q_report_pack(spark, sf_dir):
+    from ..sources.files import write_report_pack
+    df = order_risk(spark, sf_dir)
+    pack = {"By country": sc.value_counts(df, ["country"]), "By payment_method": sc.value_counts(df, ["payment_method"]),
+            "Risk labels of all orders in the report": sc.value_counts(df, ["risk_label"])}
+    return write_report_pack(pack, _scratch(spark, "pack")).select("sheet", "rows")
+
+
+@register("L6_risk_model_supports", f"WITH {_split_sql('risk_label')}\n"
+          "SELECT lbl AS class, count(*) AS support FROM sp WHERE split = 'test' GROUP BY lbl")
+def q_risk_model_supports(spark, sf_dir):
+    """What the data fix in a forest's report, whatever its trees: supports by class."""
+    encoded = ml.label_encode(order_risk(spark, sf_dir))
+    split = ev.stratified_split(encoded, "risk_label", 0.25, 42, order_key=(_F.col("order_id") * 7919) % 10007)
+    model = ml.fit_risk_model(split.filter(_F.col("split") == "train"), num_trees=5, max_depth=4)
+    report = ev.classification_report(ml.predict(model, split.filter(_F.col("split") == "test")), "risk_label", "predicted")
+    return report.filter(_F.col("class").isin(*_CLASSES)).select("class", "support")
+
+
+@register("L12_importance_features", "SELECT unnest([" + ", ".join(f"'{c}'" for c in ml.FEATURE_COLS) + "]) AS feature, "
+          "CAST(1.0 AS DOUBLE) AS total")
+def q_importance_features(spark, sf_dir):
+    """Every feature has an importance, and they sum to one."""
+    model, _ = _risk_model(spark, sf_dir)
+    imp = ml.feature_importance(model)
+    total = imp.agg(_F.round(_F.sum("importance"), 6)).scalar()
+    return imp.select("feature", total.alias("total"))

@@ -37,7 +37,8 @@ def risk_report(orders: DataFrame, multiplier: float = 2.0, with_models: bool =
     for d in sc.RISK_DIMENSIONS:
         out[f"By {d}"] = sc.scorecard_sheet(cards, d)
     if with_models:
-        split = ev.stratified_split(df, "risk_label", 0.25, 42)
+        encoded = ml.label_encode(df)  # the whole table before the split
+        split = ev.stratified_split(encoded, "risk_label", 0.25, 42)
         model = ml.fit_risk_model(split.filter(F.col("split") == "train"), num_trees=num_trees,
                                   max_depth=max_depth)
         pred = ml.predict(model, split.filter(F.col("split") == "test"))
@@ -45,7 +46,7 @@ def risk_report(orders: DataFrame, multiplier: float = 2.0, with_models: bool =
         out["Confusion Matrix"] = ev.confusion_matrix(pred, ["Fraud Risk", "Normal", "Return Risk"],
                                                       "risk_label", "predicted")
         out["Feature Importance"] = ml.feature_importance(model)
-        fsplit = ev.stratified_split(df, "is_fraud", 0.25, 42)
+        fsplit = ev.stratified_split(encoded, "is_fraud", 0.25, 42)
         fmodel = ml.fit_fraud_model(fsplit.filter(F.col("split") == "train"), num_trees=num_trees,
                                     max_depth=max_depth)
         out["Fraud AUC"] = ev.roc_auc(ml.fraud_probability(fmodel, fsplit.filter(F.col("split") == "test")),

@@ -40,7 +40,7 @@ def local_session(cpus: int | str = "*", app: str = "riskweave",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``;
-    only when it is unset (local tests) create a scratch folder of our own.
+    only a local session without that setting gets a scratch folder of its own.
     Returns None when the session exposes no SparkContext (Spark Connect)."""
     try:
         sc = spark.sparkContext
@@ -51,9 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="riskweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
-    return configured
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,21 +47,27 @@ def read_orders(spark: SparkSession, path: str, fmt: str = "csv",
                 schema: T.StructType = ORDER_SCHEMA, on_error: str = "raise") -> DataFrame:
     """Read order records with an explicit schema.
 
-    CSV cells are read as text, pandas' missing-value tokens become NULL, and
-    each column is cast to its type: ANSI ``cast`` raises on a malformed value
-    (``on_error="raise"``, as a strict date parse does), ``try_cast`` turns it
-    into NULL (``on_error="null"``) so it can be counted. Parquet/ORC are read
-    with the schema directly (pushdown and pruning apply)."""
+    CSV columns are found by their header name, in any order; a missing one is an
+    error, others are ignored. Cells are read as text and never trimmed (text
+    values that differ in blanks stay apart); pandas' missing-value tokens become
+    NULL, and each other column is cast to its type: ANSI ``cast`` raises on a
+    malformed value (``on_error="raise"``, as a strict date parse does),
+    ``try_cast`` turns it into NULL (``on_error="null"``) so it can be counted.
+    Parquet/ORC are read with the schema directly (pushdown and pruning apply)."""
     if fmt != "csv":
         return spark.read.schema(schema).format(fmt).load(path)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"columns missing in the header: {', '.join(missing)}")
     cols = []
     for f in schema.fields:
-        c = F.trim(F.col(f.name))
+        c = F.col(f"`{f.name}`")
         c = F.when(c.isin(*NULL_TOKENS), F.lit(None).cast("string")).otherwise(c)
-        typed = c.try_cast(f.dataType) if on_error == "null" else c.cast(f.dataType)
-        cols.append(typed.alias(f.name))
+        if not isinstance(f.dataType, T.StringType):
+            c = F.trim(c)
+            c = c.try_cast(f.dataType) if on_error == "null" else c.cast(f.dataType)
+        cols.append(c.alias(f.name))
     return raw.select(*cols)
 
 
@@ -80,13 +88,17 @@ def sheet_name(name: str) -> str:
 
 
 def write_report_pack(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> DataFrame:
-    """One directory per named table plus a manifest ``(sheet, path, rows)``
-    (also written, as ``_manifest``). Returns the manifest DataFrame."""
+    """One directory per named table (by its full name) plus a manifest
+    ``(sheet, path, rows)`` (also written, as ``_manifest``); tables whose labels
+    would be the same are an error. Returns the manifest DataFrame."""
     spark = next(iter(tables.values())).sparkSession
+    labels = Counter(sheet_name(name).lower() for name in tables)
+    if repeated := [name for name in tables if labels[sheet_name(name).lower()] > 1]:
+        raise ValueError(f"table names with the same 31 characters: {', '.join(repeated)}")
     rows = []
     for name, df in tables.items():
         sheet = sheet_name(name)
-        path = f"{out_dir.rstrip('/')}/{sheet.replace(' ', '_')}"
+        path = f"{out_dir.rstrip('/')}/{quote(name, safe='').replace('%20', '+')}"
         write_report(df, path, fmt)
         # count the written table, not the plan again
         n = spark.read.format(fmt).option("header", True).load(path).count()

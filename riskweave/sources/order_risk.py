@@ -24,6 +24,8 @@ Spark agree bit for bit).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -153,7 +155,7 @@ def order_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
                             t["supplier"], t["events"])
 
 
-_PREPARED: dict[tuple[str, str], DataFrame] = {}
+_PREPARED: dict[tuple, tuple[tuple, DataFrame, str]] = {}
 
 
 def session_key(spark: SparkSession) -> str:
@@ -164,26 +166,50 @@ def session_key(spark: SparkSession) -> str:
         return str(id(spark))
 
 
-def prepare_order_risk(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, length and modification time of every input file, so that new data
+    under a known path is seen as new."""
+    state = []
+    for name in DRIVER_TABLES:
+        where, fs = _file_system(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        state += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(where)]
+    return tuple(state)
+
+
+def prepare_order_risk(df: DataFrame, path: str | None = None) -> DataFrame:
     """Materialize a derived order table once for many report queries.
 
-    Hash-partitions by ``order_id`` (even partitions whatever the skew of the
-    upstream join keys, and co-location for later joins back by order), then
-    writes a reliable checkpoint into the session's checkpoint folder so the
-    joins are not recomputed when an executor is lost."""
-    from ..session import materialize
+    Written as Parquet in the shared folder (``spark.checkpoint.dir``), so that
+    every report reads only its columns and pushes its filters, and nothing is
+    recomputed when an executor is lost. The rebalance hint lets AQE size the
+    files by the data."""
+    from ..session import ensure_checkpoint_dir
 
     spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                          spark.sparkContext.defaultParallelism)
-    return materialize(df.repartition(n, "order_id"))
+    path = path or f"{ensure_checkpoint_dir(spark)}/order_risk-{uuid.uuid4().hex}"
+    df.hint("rebalance").write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def prepared_order_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``order_risk`` for ``sf_dir``, prepared once per session."""
-    key = (session_key(spark), sf_dir.rstrip("/"))
-    df = _PREPARED.get(key)
-    if df is None:
-        df = prepare_order_risk(order_risk(spark, sf_dir))
-        _PREPARED[key] = df
+    """``order_risk`` for ``sf_dir``, prepared once per session and input state; a
+    table made from files that have changed since is removed."""
+    from ..session import ensure_checkpoint_dir
+
+    key, state = (session_key(spark), sf_dir.rstrip("/")), input_state(spark, sf_dir)
+    known = _PREPARED.get(key)
+    if known and known[0] == state:
+        return known[1]
+    path = f"{ensure_checkpoint_dir(spark)}/order_risk-{uuid.uuid4().hex}"
+    df = prepare_order_risk(order_risk(spark, sf_dir), path)
+    _PREPARED[key] = (state, df, path)
+    if known:
+        where, fs = _file_system(spark, known[2])
+        fs.delete(where, True)
     return df

@@ -1,0 +1,129 @@
+"""Cases that clean data hide: nulls, NaN, gaps, short series, overflow, bandwidth."""
+
+import datetime as dt
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.operators import basket as mb
+from riskweave.operators import evaluate as ev
+from riskweave.operators import forecast as fc
+from riskweave.operators import model as ml
+from riskweave.operators import profile as pf
+
+
+def months(n, start=2022):
+    return [dt.date(start + i // 12, i % 12 + 1, 1) for i in range(n)]
+
+
+def series(spark, rows):
+    return spark.createDataFrame(rows, "k string, month date, t int, orders long, fraud_rate double, return_rate double")
+
+
+@pytest.mark.parametrize("mode", ["ols", "optimize"])
+def test_short_series_keep_their_forecast_rows(spark, mode):
+    rows = [(k, m, t, 100 + 3 * t + (t % 12 == 5) * 40, 0.01 * (t % 3), 0.02) for k, n in (("long", 36), ("eleven", 11), ("seven", 7), ("one", 1))
+            for t, m in enumerate(months(n))]
+    got = fc.forecast_table(series(spark, rows), ["k"], mode=mode, grid=3).collect()
+    assert sorted((r.k, r.forecast_month) for r in got) == sorted(
+        [("long", f"2025-0{h}") for h in (1, 2, 3)] + [("eleven", m) for m in ("2022-12", "2023-01", "2023-02")]
+        + [("seven", f"2022-{m}") for m in ("08", "09", "10")] + [("one", f"2022-0{h}") for h in (2, 3, 4)])
+    if mode == "ols":
+        assert {r.status for r in got if r.k == "long"} == {"fitted"}
+        assert {r.status for r in got if r.k != "long"} == {"too short"}
+        assert all(r.forecasted_fraud_rate_pct is not None for r in got if r.k != "one")
+
+
+def test_fitted_smoothing_finds_a_changed_level(spark):
+    y = [100.0] * 18 + [200.0] * 18
+    rows = [("a", m, t, int(y[t]), 0.0, 0.0) for t, m in enumerate(months(36))]
+    fitted = fc.fit_smoothing(series(spark, rows), "orders", ["k"], period=0, horizon=1, grid=6).first()
+    line = fc.holt_linear(series(spark, rows), "orders", ["k"], 1).first()
+    assert abs(fitted.forecast - 200) < 5 < abs(line.forecast - 200) and fitted.alpha > 0
+    want = min((fc._fit_one(np.array(y), a, b, g, 0, 1)[0], a, b) for a, b, g in fc._grid(6, False))
+    assert (fitted.sse, fitted.alpha, fitted.beta) == pytest.approx(want)
+
+
+def test_decomposition_of_a_series_with_gaps(spark):
+    rows = [("a", m, t, 100 + t, 0.0, 0.0) for t, m in enumerate(months(36)) if t not in (6, 18)]
+    got = {r.t: r for r in fc.seasonal_decompose(series(spark, rows), "orders", ["k"]).collect()}
+    assert len(got) == 36 and got[6].observed is None
+    for t, r in got.items():
+        near = set(range(t - 6, t + 7))
+        assert (r.trend is None) == bool(near & {6, 18} or min(near) < 0 or max(near) > 35)
+        assert r.trend is None or r.trend == pytest.approx(100 + t)
+
+
+def test_reports_keep_columns_without_values_and_empty_bins(spark):
+    df = spark.createDataFrame([(float(x), None, 1.0) for x in (0, 0, 1, 100)], "a double, b double, c double")
+    got = {r["column"]: r for r in pf.numeric_summary(df, ["a", "b", "c"]).collect()}
+    assert (got["b"]["count"], got["b"]["p50"], got["a"]["p50"], got["c"]["std"]) == (0, None, 0.5, 0.0)
+    out = {r["column"]: r for r in pf.iqr_outliers(df, ["a", "b"]).collect()}
+    assert out["b"].n_outliers == 0 and out["b"].lower_bound is None and out["a"].n_outliers == 1
+    bins = pf.histogram(df, ["a", "b", "c"], 20).collect()
+    assert len(bins) == 60 and sum(r["count"] for r in bins) == 8
+    assert {r["count"] for r in bins if r["column"] == "b"} == {0}
+
+
+def test_quantiles_of_many_values_are_exact(spark):
+    rng = np.random.default_rng(0)
+    a, b = rng.exponential(1.0, 60_000), rng.integers(0, 7, 60_000).astype(float)
+    g = np.where(rng.random(60_000) < 0.9, "hot", "cold")
+    df = spark.createDataFrame(list(zip(g.tolist(), a.tolist(), b.tolist())), "g string, a double, b double").repartition(6)
+    from riskweave.functions.quantile import exact_quantiles
+    for r in exact_quantiles(df, ["a", "b"], [0.0, 0.25, 0.5, 0.75, 1.0], ["g"]).collect():
+        assert r["quantile"] == np.quantile({"a": a, "b": b}[r["column"]][g == r["g"]], r["prob"])
+
+
+def test_correlation_with_nan(spark):
+    x = [1.0, 2.0, float("nan"), 4.0, 5.0]
+    y = [2.0, 1.0, 7.0, None, 9.0]
+    df = spark.createDataFrame(list(zip(x, y)), "x double, y double")
+    got = {(r.a, r.b): r["corr"] for r in pf.correlation_matrix(df, ["x", "y"]).collect()}
+    assert got["x", "y"] == pytest.approx(np.corrcoef([1, 2, 5], [2, 1, 9])[0, 1], abs=1e-6)
+
+
+def test_density_against_the_exact_curve(spark):
+    v = np.random.default_rng(1).exponential(1.0, 5_000)
+    got = pf.density(spark.createDataFrame([(float(x),) for x in v], "v double"), ["v"], 64).collect()
+    h = v.std(ddof=1) * len(v) ** -0.2
+    for r in got:
+        exact = np.exp(-0.5 * ((r.x - v) / h) ** 2).sum() / (len(v) * h * np.sqrt(2 * np.pi))
+        assert r.density == pytest.approx(exact, abs=2e-3 * 0.8)
+    assert len(got) == 64
+
+
+def test_split_keeps_null_labels_and_every_row(spark):
+    df = spark.range(1000).select(F.col("id").alias("order_id"), F.when(F.col("id") % 10 != 0, F.col("id") % 3).alias("y"))
+    got = ev.stratified_split(df, "y", 0.25, buckets=8)
+    n = {(r.y, r.split): r["count"] for r in got.groupBy("y", "split").count().collect()}
+    assert sum(n.values()) == 1000 and n[None, "test"] == 25 and n[None, "train"] == 75
+    assert sum(v for (_, s), v in n.items() if s == "test") == 250
+    weights = {r.y: r.weight for r in ev.with_class_weights(df, "y").select("y", "weight").distinct().collect()}
+    assert weights[None] == pytest.approx(1000 / (4 * 100))
+
+
+def test_auc_of_huge_counts_and_of_one_class(spark):
+    df = spark.createDataFrame([(1, 0.5), (0, 0.5)], "label int, score double")
+    assert ev.roc_auc(df).first().auc == 0.5
+    assert ev.roc_auc(df.filter("label = 1")).first().auc is None
+    big = spark.range(1).select(F.try_divide(F.lit(3_700_000_000).cast("double") * 0.5, F.lit(3.7e9) * F.lit(9.6e10)).alias("x"))
+    assert big.first().x > 0
+
+
+def test_label_codes_with_and_without_the_constant_vocabulary(spark, monkeypatch):
+    df = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("c", 4)], "w string, i int")
+    want = [("b", 1, 1), ("a", 2, 0), (None, 3, None), ("c", 4, 2)]
+    assert sorted(map(tuple, ml.label_encode(df, ["w"]).collect()), key=lambda r: r[1]) == want
+    monkeypatch.setattr(ml, "MAX_VOCABULARY", 2)
+    assert sorted(map(tuple, ml.label_encode(df, ["w"]).collect()), key=lambda r: r[1]) == want
+
+
+def test_one_hot_refuses_an_unbounded_vocabulary(spark, monkeypatch):
+    df = spark.range(10).select(F.col("id").alias("order_id"), F.col("id").cast("string").alias("w"), F.lit(1).alias("f"))
+    assert len(mb.one_hot(df, ["w"], ["f"]).columns) == 12
+    monkeypatch.setattr(mb, "MAX_COLUMNS", 5)
+    with pytest.raises(ValueError, match="more than 5 items"):
+        mb.one_hot(df, ["w"], ["f"])
+    assert mb.one_hot(df, ["w"], ["f"], vocabulary=["w_3"]).filter("w_3").count() == 1

@@ -4,9 +4,13 @@ import contextlib
 import io
 
 from riskweave.operators import basket as mb
+from riskweave.operators import evaluate as ev
+from riskweave.operators import forecast as fc
+from riskweave.operators import model as ml
 from riskweave.operators import profile as pf
 from riskweave.operators import scorecard as sc
 from riskweave.sources import order_risk
+from riskweave.sources.order_risk import prepared_order_risk
 
 from conftest import SF_SMALL
 
@@ -56,3 +60,34 @@ def test_profile_and_rules_have_no_cartesian_products(spark):
               mb.association_rules(mb.frequent_itemsets(mb.order_items(df)), 1.0)]:
         plan = _plan(q, "simple")
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_reports_read_only_their_columns_of_the_prepared_table(spark):
+    orders = prepared_order_risk(spark, SF_SMALL)
+    plan = _plan(sc.enterprise_rates(orders))
+    assert "ReadSchema: struct<is_returned:int,is_fraud:int,risk_label:string>" in plan
+    assert "ExistingRDD" not in plan
+    plan = _plan(orders.filter("country = 'FRANCE' and quantity > 5").select("order_id"))
+    assert "EqualTo(country,FRANCE)" in plan and "GreaterThan(quantity,5)" in plan
+
+
+def test_forecasts_scan_once_and_never_cross(spark):
+    series = fc.monthly_series(prepared_order_risk(spark, SF_SMALL))
+    plan = _plan(fc.forecast_table(series), "simple")
+    assert plan.count("FileScan parquet") == 1
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Join" not in plan
+
+
+def test_codes_and_weights_exchange_no_rows(spark):
+    orders = prepared_order_risk(spark, SF_SMALL)
+    plan = _plan(ml.label_encode(orders), "simple")
+    assert "Exchange" not in plan and "Join" not in plan
+    plan = _plan(ev.with_class_weights(orders, "risk_label"), "simple")
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_quantiles_never_exchange_by_value_alone(spark):
+    plan = _plan(pf.numeric_summary(prepared_order_risk(spark, SF_SMALL)), "simple")
+    # only what lies in a band is exchanged: below it values are one NULL
+    assert "CASE WHEN" in plan and "hashpartitioning(column#" in plan
+    assert "BroadcastHashJoin" in plan

@@ -50,7 +50,7 @@ def test_histogram_counts_all_rows(spark):
 def test_density_integrates_to_one(spark):
     rng = np.random.default_rng(9)
     pdf = pd.DataFrame({"v": rng.normal(0, 1, 5000)})
-    d = pf.density(spark.createDataFrame(pdf), ["v"], points=256, fine_bins=512).toPandas()
+    d = pf.density(spark.createDataFrame(pdf), ["v"], points=256).toPandas()
     area = np.trapezoid(d["density"], d["x"])
     assert 0.95 < area < 1.001
 
