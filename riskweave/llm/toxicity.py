@@ -34,6 +34,7 @@ from .common import held_out, learnable, longs, map_batches, record, texts
 EXAMPLES = 4_096  # labelled rows of each class
 TERMS = 256
 MIN_CHI2 = 24.0  # of a term's document frequency in the two classes
+MIN_EFFECT = 0.005  # chi-square over the number of examples: alike at every size
 NEIGHBOURS = 15
 BLOCK = 64
 _WORD = re.compile(r"\w+")
@@ -44,30 +45,45 @@ def terms_of(text: str, vocabulary) -> Counter:
 
 
 class BlockMaxIndex:
-    """Unit vectors in blocks, with each term's largest weight in each block."""
+    """Posting lists of unit vectors, cut into blocks of vectors, with each term's
+    largest weight in each block."""
 
     def __init__(self, vectors: np.ndarray, block: int = BLOCK):
         # like vectors side by side: blocks then differ in their bounds
         heaviest = vectors.argmax(axis=1) if vectors.size else np.zeros(len(vectors), np.int64)
-        self.order = np.lexsort((-vectors.max(axis=1, initial=0.0), heaviest))
-        self.vectors = vectors[self.order]
-        self.block = block
-        self.starts = np.arange(0, len(vectors), block)
-        self.largest = (np.maximum.reduceat(self.vectors, self.starts, axis=0).T if len(vectors)
-                        else np.zeros((vectors.shape[1], 0)))  # term x block
+        order = np.lexsort((-vectors.max(axis=1, initial=0.0), heaviest))
+        blocks = -(-len(vectors) // block)
+        self.order = np.full(blocks * block, -1, np.int64)
+        self.order[:len(vectors)] = order
+        self.order = self.order.reshape(blocks, block)
+        padded = np.zeros((blocks * block, vectors.shape[1]))
+        padded[:len(vectors)] = vectors[order]
+        # block x term x place: a term's postings of a block lie together
+        self.postings = np.ascontiguousarray(padded.reshape(blocks, block, vectors.shape[1]).transpose(0, 2, 1))
+        self.largest = np.ascontiguousarray(self.postings.max(axis=2, initial=0.0).T)  # term x block
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the exact k nearest with a cosine above zero."""
+        """(examples, cosines) of the exact k nearest with a cosine above zero. Blocks
+        are read in order of their bounds, more at a time the longer it takes."""
         bound = weights @ self.largest[terms]
+        best_first = np.argsort(-bound, kind="stable")
         ids = np.zeros(0, np.int64)
         cos = np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(cos) == k and bound[b] < cos[-1] - 1e-12:
+        at, step = 0, 2
+        while at < len(best_first):
+            highest = bound[best_first[at]]
+            if highest <= 0 or len(cos) == k and highest < cos[-1] - 1e-12:
                 break
-            at = self.starts[b]
-            own = self.vectors[at:at + self.block][:, terms] @ weights
-            ids = np.append(ids, self.order[at:at + self.block])
-            cos = np.append(cos, own)
+            blocks = best_first[at:at + step]
+            at, step = at + step, 2 * step
+            own = (weights @ self.postings[blocks[:, None], terms]).ravel()
+            found = self.order[blocks].ravel()
+            if len(cos) == k:  # ties with the last one still count
+                near = own >= cos[-1] - 1e-12
+                own, found = own[near], found[near]
+            else:
+                own, found = own[found >= 0], found[found >= 0]
+            ids, cos = np.append(ids, found), np.append(cos, own)
             best = np.lexsort((ids, -np.round(cos, 12)))[:k]
             best = best[cos[best] > 0]
             ids, cos = ids[best], cos[best]
@@ -131,7 +147,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     gap = a * (F.lit(n1) - b) - b * (F.lit(n0) - a)
     chi2 = (n0 + n1) * gap * gap / ((a + b) * (F.lit(n0 + n1) - a - b) * float(max(1, n0) * max(1, n1)))
-    picked = (by_class.filter(a + b < n0 + n1).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
+    picked = (by_class.filter(a + b < n0 + n1).withColumn("chi2", chi2).filter((F.col("chi2") >= MIN_CHI2) & (F.col("chi2") >= MIN_EFFECT * (n0 + n1)))
               .orderBy(F.desc("chi2"), "term").limit(terms).collect())
     vocabulary = [r["term"] for r in picked]
     idf = inverse_frequencies(docs, vocabulary)
