@@ -116,6 +116,24 @@ def bucket_bits(n: int, n_flips: int) -> int:
     return bits
 
 
+def route(fps: np.ndarray, masks: np.ndarray, bits: int):
+    """Batches (bucket, fps): for each bucket that holds variants of some of ``fps``,
+    those fingerprints, 8 bytes each. Only buckets that are reached are looked at,
+    however many there are, and about ``SLICE_VARIANTS`` destinations at a time."""
+    reach = np.unique(linear_hash(masks, bits))  # what flips add to a bucket number
+    step = max(1, SLICE_VARIANTS // len(reach))
+    for at in range(0, len(fps), step):
+        own = fps[at:at + step]
+        to = (linear_hash(own, bits)[:, None] ^ reach).ravel()
+        order = np.argsort(to, kind="stable")
+        to = to[order]
+        first = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+        ends = np.append(first, len(to)).astype(np.int32) * 8
+        sent = pa.py_buffer(own[order // len(reach)].tobytes())
+        yield record(bucket=pa.array(to[first], pa.int32()),
+                     fps=pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.tobytes()), sent]))
+
+
 def links_in_bucket(fps: np.ndarray, bucket: int, bits: int, masks: np.ndarray, max_bits: int) -> np.ndarray:
     """Links (smallest, other), n x 2, of the fingerprints that meet in a variant of
     this bucket. Variants are made, sorted and compared a slice at a time: a slice
@@ -162,21 +180,16 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     masks = flips((max_bits + 1) // 2)
     bits = bucket_bits(fps.count(), len(masks))
 
-    def route(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = batch.column("fp").to_numpy().view(np.uint64)
-        of_fp = linear_hash(own, bits)
-        reached = np.zeros(1 << bits, bool)
-        reached[linear_hash(masks, bits)] = True
-        buckets = np.arange(1 << bits)
-        sent = [own[reached[of_fp ^ b]] for b in buckets]
-        return record(bucket=pa.array(buckets, pa.int32()), fps=pa.array([x.tobytes() for x in sent], pa.binary()))
+    def send(batches):
+        for batch in batches:
+            yield from route(batch.column("fp").to_numpy().view(np.uint64), masks, bits)
 
     def expand(key, table):
         own = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64)
         pairs = links_in_bucket(own, key[0].as_py(), bits, masks, max_bits).view(np.int64)
         return pa.table({"a": longs(pairs[:, 0]), "b": longs(pairs[:, 1])})
 
-    routed = map_batches(fps.select("fp"), route, "bucket int, fps binary")
+    routed = fps.select("fp").mapInArrow(send, "bucket int, fps binary")
     return routed.groupBy("bucket").applyInArrow(expand, "a long, b long").distinct()
 
 

@@ -83,6 +83,31 @@ def test_every_link_is_found(spark, monkeypatch, slice_variants):
             assert find(a) == find(b)
 
 
+@pytest.mark.parametrize("bits, slice_variants", [(6, 1 << 21), (14, 1 << 12), (22, 1 << 21)])
+def test_fingerprints_reach_the_buckets_of_all_their_variants(monkeypatch, bits, slice_variants):
+    monkeypatch.setattr(simhash, "SLICE_VARIANTS", slice_variants)
+    fps = np.random.default_rng(4).integers(0, 1 << 63, 30, np.uint64)
+    masks = simhash.flips(2)
+    got = defaultdict(set)
+    for batch in simhash.route(fps, masks, bits):
+        for bucket, sent in zip(batch.column("bucket").to_pylist(), batch.column("fps").to_pylist(), strict=True):
+            got[bucket] |= set(np.frombuffer(sent, np.uint64).tolist())
+    want = defaultdict(set)
+    for f in fps:
+        for bucket in np.unique(simhash.linear_hash(f ^ masks, bits)).tolist():
+            want[bucket].add(int(f))
+    assert got == want
+    assert list(simhash.route(fps[:0], masks, bits)) == []
+
+
+def test_near_duplicates_in_many_buckets(spark, monkeypatch):
+    """The plan of a table with more fingerprints than a bucket may hold."""
+    docs = read(spark, SF_SMALL, "documents")
+    few = Counter(tuple(r) for r in simhash.near_duplicates(docs).collect())
+    monkeypatch.setattr(simhash, "bucket_bits", lambda n, n_flips: 10)
+    assert Counter(tuple(r) for r in simhash.near_duplicates(docs).collect()) == few
+
+
 def test_linear_hash():
     a, b = np.random.default_rng(2).integers(0, 1 << 63, (2, 50), np.uint64)
     assert (simhash.linear_hash(a ^ b, 20) == simhash.linear_hash(a, 20) ^ simhash.linear_hash(b, 20)).all()
