@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, learnable, longs, map_batches, record, texts
+from .common import checkpointed, held_out, learnable, longs, map_batches, record, texts
 
 EXAMPLES = 4_096  # labelled rows of each class
 TERMS = 256
@@ -132,6 +132,8 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
     sample = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples) for c in (0, 1)]
     sample = F.broadcast(sample[0].unionByName(sample[1]))  # 2 x examples rows at most
     chosen = docs.select("doc_id", "text").join(sample, "doc_id").filter(F.col("text").isNotNull())
+    # an id that repeats teaches once (its smallest text), or it could fill the index
+    chosen = chosen.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def words(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [Counter(_WORD.findall(t.lower())) for t in texts(batch)]
@@ -139,7 +141,8 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
                       words=pa.array([list(f) for f in found], pa.list_(pa.string())),
                       counts=pa.array([list(f.values()) for f in found], pa.list_(pa.int64())))
 
-    chosen = map_batches(chosen, words, "doc_id long, toxic int, words array<string>, counts array<long>")
+    # read three times below: checkpointed, the texts are scanned for it once
+    chosen = checkpointed(map_batches(chosen, words, "doc_id long, toxic int, words array<string>, counts array<long>"))
     size = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = size.get(0, 0), size.get(1, 0)
     by_class = (chosen.select("toxic", F.explode("words").alias("term")).groupBy("term")

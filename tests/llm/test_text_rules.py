@@ -168,6 +168,15 @@ def test_toxicity_edge_cases(spark, edge, none):
     assert {r["score"] for r in toxicity.toxicity(edge, labels.limit(0)).collect()} == {0.0}
 
 
+def test_an_id_that_repeats_teaches_once(spark):
+    rows = [(i, "bad awful text" if i % 2 else "kind words here") for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    hot = next(i for i, _ in rows if i % 2 and zlib.crc32(str(i).encode()) % 5)
+    often = spark.createDataFrame(rows + [(hot, "bad awful text")] * 500, "doc_id long, text string")
+    assert toxicity.learn(often, labels).ids.tolist() == toxicity.learn(once, labels).ids.tolist()
+
+
 # --- personal data -----------------------------------------------------------
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
