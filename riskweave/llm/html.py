@@ -47,7 +47,7 @@ ARTICLE_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[\"']?[^>]*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)

@@ -114,6 +114,11 @@ def test_pages_without_a_marked_article(tree):
     assert html.article(page, tree) == f"Title of it\n{LONG}\n{LONG}"
 
 
+def test_comments_end_where_the_standard_says(tree):
+    page = f"<article><!--><p>One {LONG}</p><!-- x --!><p>Two {LONG}</p><!---><p>Three {LONG}</p><!-- a > b --></article><!-- open"
+    assert html.article(page, tree) == f"One {LONG}\nTwo {LONG}\nThree {LONG}"
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<article><p>x", "a < b", "</p></div>", "<!--", "<script>", "<a href='", "<p class=\"x>y</p>" * 3])
 def test_broken_pages_do_not_fail(tree, page):
     assert isinstance(html.article(page, tree), str)
