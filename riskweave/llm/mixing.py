@@ -118,6 +118,11 @@ def _lane() -> Column:
     return F.xxhash64("doc_id", "source", "text")
 
 
+def _second() -> Column:
+    """A further hash, of id and source: two documents don't share both hashes."""
+    return F.xxhash64(F.lit(1), "doc_id", "source")
+
+
 def copies(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, copies, lane of every row
     (lane: a hash to find the row again)."""
@@ -157,8 +162,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataF
     """The mixed corpus: each row of ``docs`` as often as it was taken. Texts without
     a word have no size and stay out."""
     # rows with the same id, source and text are one row here, taken as often as all of them
-    times = copies(docs, weights, max_repeat).groupBy(F.col("lane").alias("__taken")).agg(F.sum("copies").alias("__copies"))
+    times = (copies(docs, weights, max_repeat).groupBy(F.col("lane").alias("__taken"), _second().alias("__of"))
+             .agg(F.sum("copies").alias("__copies")))
     times = checkpointed(times.filter("__copies > 0"))
-    rows = docs.withColumn("__lane", _lane()).dropDuplicates(["__lane"])
-    rows = rows.join(times, F.col("__lane") == F.col("__taken"))
+    rows = docs.withColumn("__lane", _lane()).withColumn("__second", _second()).dropDuplicates(["__lane", "__second"])
+    rows = rows.join(times, (F.col("__lane") == F.col("__taken")) & (F.col("__second") == F.col("__of")))
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)

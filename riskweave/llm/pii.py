@@ -265,8 +265,8 @@ def score_patterns(occurrences: DataFrame, docs: DataFrame, min_seeds: int = MIN
 
 
 def extract(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_<kind>, base_sha256, spans, found: base entities and what the
-    patterns found beside them (``found``), of every row."""
+    """doc_id, n_<kind>, base_sha256, spans, n_found, row: base entities and what the
+    patterns found beside them (``n_found``), of every row."""
     rows = checkpointed(find_occurrences(docs))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     accepted = score_patterns(rows, docs, **options)
@@ -303,7 +303,8 @@ def masked(text: str, spans: str) -> str:
 def mask(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with personal data masked in ``text`` and, where it exists,
     ``n_chars`` recounted. Rows are found again by their id and text."""
-    key = F.xxhash64("doc_id", "text")
+    # two hashes: with one, some documents of a very large corpus would share a key
+    key = F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "doc_id", "text").alias("b"))
     keyed = docs.select(key.alias("doc_id"), "text")
     spans = (extract(keyed, **options).filter("spans <> ''").groupBy("doc_id").agg(F.max("spans").alias("__spans"))
              .withColumnRenamed("doc_id", "__key"))

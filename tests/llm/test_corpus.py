@@ -196,6 +196,14 @@ def test_reduction_tree_has_many_blocks(spark, monkeypatch):
     assert all(abs(taken[s] - target[s]) <= largest[s] + 1 for s in target)
 
 
+def test_mixing_tells_rows_of_one_hash_apart(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i} " * (5 + i), "en", f"s{i % 3}", 1) for i in range(40)],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    monkeypatch.setattr(mixing, "_lane", lambda: F.col("doc_id") % 2)
+    want = {r["doc_id"]: r["copies"] for r in mixing.copies(docs).collect() if r["copies"]}
+    assert Counter(r["doc_id"] for r in mixing.mix(docs).collect()) == want
+
+
 def test_mixed_rows_are_the_copies_taken(edge):
     taken = Counter()
     for r in mixing.copies(edge).collect():
