@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_mean, high_risk_flag, np_round, rate_pct
+from ..functions import exact_mean, high_risk_flag, rate_pct
 
 RISK_DIMENSIONS = ("country", "payment_method", "product_category", "device_type", "traffic_source")
 
@@ -126,10 +126,3 @@ def scorecard_sheet(scorecards: DataFrame, dim: str) -> DataFrame:
     """One dimension's slice of the long scorecard, in report order."""
     return (scorecards.filter(F.col("dimension") == F.lit(dim)).drop("dimension")
             .orderBy(F.desc("fraud_rate_pct"), "segment"))
-
-
-def rounded_scorecards(scorecards: DataFrame, decimals: int = 2) -> DataFrame:
-    """Display form: the mean columns rounded half-even like the printed report."""
-    return (scorecards
-            .withColumn("avg_order_value", np_round("avg_order_value", decimals))
-            .withColumn("avg_review_score", np_round("avg_review_score", decimals)))

@@ -52,6 +52,23 @@ def q_order_risk(spark, sf_dir):
     return _raw_order_risk(spark, sf_dir)
 
 
+@register("V7_mapping_losses", """
+SELECT f.name AS "check", CAST(count(l.fate) AS BIGINT) AS orders
+FROM (VALUES ('without_lines'), ('without_customer'), ('without_nation'), ('without_part'), ('without_supplier'),
+             ('kept')) AS f(name)
+LEFT JOIN (
+  SELECT CASE WHEN a.l_orderkey IS NULL THEN 'without_lines' WHEN c.c_custkey IS NULL THEN 'without_customer'
+              WHEN n.n_nationkey IS NULL THEN 'without_nation' WHEN p.p_partkey IS NULL THEN 'without_part'
+              WHEN s.s_suppkey IS NULL THEN 'without_supplier' ELSE 'kept' END AS fate
+  FROM orders o LEFT JOIN line_agg a ON a.l_orderkey = o.o_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN part p ON p.p_partkey = a.partkey
+  LEFT JOIN supplier s ON s.s_suppkey = a.suppkey) l ON l.fate = f.name
+GROUP BY f.name""")
+def q_mapping_losses(spark, sf_dir):
+    t = [read_table(spark, sf_dir, name) for name in ("orders", "lineitem", "customer", "nation", "part", "supplier")]
+    return mapping_losses(*t)
+
+
 # --- A1 ------------------------------------------------------------------------------------------
 @register("A1_enterprise_rates", """
 SELECT round_even(avg(is_fraud) * 100.0, 2) AS fraud_rate_pct,
@@ -132,7 +149,7 @@ def q_value_counts(spark, sf_dir):
 from ..oracle import long_cte, quantile_ctes  # noqa: E402
 from ..operators import profile as pf  # noqa: E402
 from ..operators import validate as vd  # noqa: E402
-from ..sources import read_table  # noqa: E402
+from ..sources import mapping_losses, read_table  # noqa: E402
 
 
 @register("V7_validation_log", """

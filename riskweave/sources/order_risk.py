@@ -148,6 +148,32 @@ def build_order_risk(orders: DataFrame, lineitem: DataFrame, customer: DataFrame
     return out.select(*ORDER_RISK_COLUMNS)
 
 
+def mapping_losses(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nation: DataFrame,
+                   part: DataFrame, supplier: DataFrame) -> DataFrame:
+    """V7 for the mapping: ``(check, orders)``, the orders that its inner joins drop, each
+    counted at the first thing it lacks, and those that stay. One pass of outer joins on
+    keys; a part or supplier is asked for once an order's lines name one."""
+    def keyed(df: DataFrame, key: str, name: str) -> DataFrame:
+        return df.select(F.col(key).alias(name)).distinct()
+
+    lines = lineitem.groupBy("l_orderkey").agg(F.min("l_partkey").alias("partkey"), F.min("l_suppkey").alias("suppkey"))
+    # nation has 25 rows by definition of the schema: a proven size bound.
+    people = customer.select("c_custkey", "c_nationkey").join(
+        F.broadcast(keyed(nation, "n_nationkey", "nation")), F.col("c_nationkey") == F.col("nation"), "left")
+    o = (orders.select("o_orderkey", "o_custkey")
+         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+         .join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+         .join(keyed(part, "p_partkey", "part"), F.col("partkey") == F.col("part"), "left")
+         .join(keyed(supplier, "s_suppkey", "supplier"), F.col("suppkey") == F.col("supplier"), "left"))
+    lacks = [("l_orderkey", "without_lines"), ("c_custkey", "without_customer"), ("nation", "without_nation"),
+             ("part", "without_part"), ("supplier", "without_supplier")]
+    fate = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(name)) for c, name in lacks], F.lit("kept"))
+    by_fate = o.groupBy(fate.alias("fate")).agg(F.count(F.lit(1)).alias("n"))
+    names = [name for _, name in lacks] + ["kept"]
+    wide = by_fate.agg(*[F.coalesce(F.sum(F.when(F.col("fate") == name, F.col("n"))), F.lit(0)).alias(name) for name in names])
+    return wide.unpivot([], names, "check", "orders")
+
+
 def order_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read the driver tables under ``sf_dir`` and derive ``order_risk``."""
     t = {name: read_table(spark, sf_dir, name) for name in DRIVER_TABLES}

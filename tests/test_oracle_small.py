@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 FAST = ["S1_order_risk", "A1_enterprise_rates", "A2_risk_scorecards", "B1_breach_log", "A3_monthly_trend",
-        "V7_validation_log", "V2_duplicate_line_keys", "A7_numeric_summary", "A8_iqr_outliers",
+        "V7_validation_log", "V7_mapping_losses", "V2_duplicate_line_keys", "A7_numeric_summary", "A8_iqr_outliers",
         "A10_correlation_matrix", "A13_box_stats", "F2_seasonal_decompose", "F5_forecast_table",
         "M5_fraud_rules", "M5_return_rules", "L3_stratified_split", "L9_classification_report",
         "L11_roc_auc_order_value"]
