@@ -15,6 +15,7 @@ input columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -44,6 +45,9 @@ FURNITURE_WORDS = frozenset(
     "promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe subscription taboola toc toolbar widget widgets".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
+# Elements whose start ends an open one, as the HTML standard says.
+ENDED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
+            "tr": ("td", "th", "tr"), "option": ("option",)}
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 _MARKUP = re.compile(
@@ -140,10 +144,19 @@ def blocks(html: str) -> list[dict]:
     """The page's text blocks in order: text, words, link words, furniture, article, heading."""
     out: list[dict] = []
     open_tags: list[tuple[str, bool, bool]] = []  # (tag, furniture, article) of block elements and marked inline ones
+    n_open: Counter = Counter()  # of open_tags, so that an end tag without a start costs nothing
     parts: list[str] = []
     linked = 0  # words inside links
     in_link = heading = False
 
+    def start_of(tag: str, furniture: bool, article: bool) -> None:
+        open_tags.append((tag, furniture, article))
+        n_open[tag] += 1
+
+    def end_open(*tags: str) -> None:
+        while open_tags and open_tags[-1][0] in tags:
+            n_open[open_tags.pop()[0]] -= 1
+
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
@@ -188,23 +201,23 @@ def blocks(html: str) -> list[dict]:
         if tag in VOID_TAGS or tag == "p":
             # a paragraph ends at the next block tag; its own class still counts
             if tag == "p":
-                while open_tags and open_tags[-1][0] == "p":
-                    open_tags.pop()
+                end_open("p")
                 if not m["end"] and _is_furniture(tag, rest):
-                    open_tags.append((tag, True, open_tags[-1][2] if open_tags else False))
+                    start_of(tag, True, open_tags[-1][2] if open_tags else False)
             continue
         if block:
-            while open_tags and open_tags[-1][0] == "p":
-                open_tags.pop()
+            end_open("p")
             if not m["end"]:
+                end_open(*ENDED_BY.get(tag, ()))
                 _, furniture, article = open_tags[-1] if open_tags else ("", False, False)
                 furniture |= _is_furniture(tag, rest) or tag == "header" and not article
                 if not rest.endswith("/") or tag not in ("svg", "object", "iframe"):
-                    open_tags.append((tag, furniture, article or tag in ARTICLE_TAGS))
-            else:
-                for i in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[i][0] == tag:
-                        del open_tags[i:]
+                    start_of(tag, furniture, article or tag in ARTICLE_TAGS)
+            elif n_open[tag]:
+                while True:
+                    ended = open_tags.pop()[0]
+                    n_open[ended] -= 1
+                    if ended == tag:
                         break
     flush()
     return out

@@ -132,3 +132,14 @@ def test_pages_edge_cases(spark):
     assert len(got) == 6
     assert sorted(r["n_chars"] for r in got)[:5] == [0, 0, len(LONG), len(LONG), len(LONG)]
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_items_without_end_tags(tree):
+    page = (f"<article><p>{LONG}</p><ul><li class=share>Share this<li>One {LONG}<li>Two {LONG}</ul>"
+            f"<table><tr><td class=ad>Buy<td>Three {LONG}<tr><td>Four {LONG}</table></article>")
+    assert html.article(page, tree) == f"{LONG}\nOne {LONG}\nTwo {LONG}\nThree {LONG}\nFour {LONG}"
+
+
+def test_deep_pages_with_end_tags_that_fit_nothing(tree):
+    page = "<div>" * 50_000 + "</li>" * 50_000 + f"<p>{LONG}</p>"
+    assert html.article(page, tree) == LONG
