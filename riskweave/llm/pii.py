@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, checkpointed, longs, map_batches, record, texts
+from .common import checkpointed, longs, map_batches, record, texts
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -112,13 +113,16 @@ def _hash(word: str) -> int:
     return xxhash.xxh64_intdigest(_normal(word).encode("utf-8", "surrogatepass"), 1)
 
 
+def _mixed(second: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pattern keys of places: of the two words before, of the words around."""
+    mul = np.uint64(0x9E3779B97F4A7C15)
+    return ((second * mul) ^ before) * mul, ((before * mul) ^ after) * mul + np.uint64(1)
+
+
 def _keys(words: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Pattern keys at each word: of the two words before, of the words around it."""
+    """Pattern keys at each word of a text."""
     h = np.array([0, 0, *words, 0], np.uint64)  # 0: the text's edge
-    mul = np.uint64(0x9E3779B97F4A7C15)
-    left = ((h[:-3] * mul) ^ h[1:-2]) * mul
-    around = ((h[1:-2] * mul) ^ h[3:]) * mul + np.uint64(1)
-    return left, around
+    return _mixed(h[:-3], h[1:-2], h[3:])
 
 
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int, str, str]]:
@@ -144,22 +148,36 @@ def candidates(text: str, base: list[Span]) -> list[tuple[int, int, str, str]]:
     return out
 
 
-def _context(text: str, start: int, end: int) -> list[int]:
-    """Hashes of the two words before, a place for the entity, and the word after.
-    Only as much of the text is looked at as these words need."""
-    before: list[str] = []
-    at = start
-    for _ in range(2):
-        while at and text[at - 1] in SPACES:
-            at -= 1
-        stop = at
-        while at and text[at - 1] not in SPACES:
-            at -= 1
-        if stop > at:
-            before.insert(0, text[at:stop])
-    after = _WORD.search(text, end)
-    words = [_hash(w) for w in before]
-    return [0] * (2 - len(words)) + words + [0] + [_hash(after.group()) if after else 0]
+def place_patterns(text: str, places: list[tuple]) -> list[list[int]]:
+    """Pattern keys of each place, from the same whole words that ``count_contexts``
+    counts: the two before the place's first word and, if it lies in one word, the
+    words around that one. A word is a slot once: a place that begins in a word of
+    an earlier one has no patterns."""
+    out: list[list[int]] = [[] for _ in places]
+    if not places:
+        return out
+    spans = [m.span() for m in _WORD.finditer(text)]
+    starts = [s for s, _ in spans]
+    hashes: dict[int, int] = {}
+
+    def word(i: int) -> int:
+        if not 0 <= i < len(spans):
+            return 0
+        if i not in hashes:
+            hashes[i] = _hash(text[slice(*spans[i])])
+        return hashes[i]
+
+    slots, free = [], 0
+    for number in sorted(range(len(places)), key=lambda i: places[i][:2]):
+        first, last = bisect_right(starts, places[number][0]) - 1, bisect_left(starts, places[number][1]) - 1
+        if first >= free:
+            slots.append((number, first, last))
+            free = last + 1
+    near = np.array([[word(first - 2), word(first - 1), word(last + 1)] for _, first, last in slots], np.uint64)
+    left, around = (keys.view(np.int64).tolist() for keys in _mixed(*near.T))
+    for (number, first, last), a, b in zip(slots, left, around, strict=True):
+        out[number] = [a, b] if first == last else [a]
+    return out
 
 
 def find_occurrences(docs: DataFrame) -> DataFrame:
@@ -180,9 +198,8 @@ def find_occurrences(docs: DataFrame) -> DataFrame:
             spans.append(joined)
             digests.append(hashlib.sha256(joined.encode()).hexdigest())
             own = []
-            for start, end, instance, name in candidates(text, base):
-                left, around = _keys(_context(text, start, end))
-                keys = np.array([left[2], around[2]], np.uint64).view(np.int64).tolist()
+            found = candidates(text, base)
+            for (start, end, instance, name), keys in zip(found, place_patterns(text, found), strict=True):
                 number = xxhash.xxh64_intdigest(instance.encode("utf-8", "surrogatepass")) - (1 << 63)
                 own.append({"start": start, "end": end, "kind": name, "instance": number, "patterns": keys})
             places.append(own)

@@ -234,6 +234,24 @@ def test_patterns_discover_what_no_format_rule_knows(spark):
     assert clean[20] == "you may call me on [PHONE] before noon" and clean[30] == rows[-1][1]
 
 
+def test_contexts_are_whole_words_and_a_word_is_a_slot_once():
+    text = f"write to {EMAIL}, or {EMAIL};{EMAIL} now or 4111 1111 1111 1111 later"
+    places = pii.candidates(text, pii.base_spans(text))
+    words = re.findall(pii._WORD, text)
+    left, around = (k.view(np.int64).tolist() for k in pii._keys([pii._hash(w) for w in words]))
+    at = [words.index(f"{EMAIL},"), words.index(f"{EMAIL};{EMAIL}"), words.index("4111")]
+    assert pii.place_patterns(text, places) == [
+        [left[at[0]], around[at[0]]], [left[at[1]], around[at[1]]], [], [left[at[2]]]]
+    assert pii.place_patterns("", []) == []
+
+
+def test_one_long_word_of_many_entities_is_read_once():
+    for piece in ("a@b.co,", "1.2.3.4;"):
+        places = pii.candidates(piece * 50_000, pii.base_spans(piece * 50_000))
+        assert len(places) == 50_000
+        assert sum(map(len, pii.place_patterns(piece * 50_000, places))) == 2
+
+
 def test_masking_keeps_rows_and_columns(edge):
     got = pii.mask(edge)
     assert got.dtypes == edge.dtypes and got.count() == edge.count()
