@@ -1,18 +1,21 @@
 """Toxicity by the nearest labelled examples.
 
 A bounded sample of labelled texts (``EXAMPLES`` of each class, by a hash of the id)
-becomes TF-IDF vectors over the words whose document frequency differs between the
-classes; document frequencies for the IDF are counted over all texts. The vectors lie
-in an inverted index in blocks; each term keeps its largest weight in each block. A
-text's exact cosine neighbours come from the blocks in order of their upper bound,
-until no block can hold a nearer one. Neighbours vote by their similarity; a vote
-stands for as many labelled texts as its example does, which calibrates the score.
-
-The index is bounded by its parameters (examples x terms), so it may be sent to every
-task; the texts are scored where they lie.
-
-Defined cases: a text without a term of the index (empty and null ones too) has
-the examples without terms for its neighbours, all equally near; with no labels of one
+becomes TF-IDF vectors over all its words; document frequencies for the IDF are counted
+over all texts. Plain TF-IDF is dominated by the topic, so a word's weight grows by how
+far the classes differ in it (``CLASS_WEIGHT`` times the squared phi coefficient); no
+word is left out and a vector's length is taken over all of them. The vectors lie in
+sparse posting lists, cut into blocks; each term keeps its largest weight in each block
+that has it. A text's exact cosine neighbours come from the blocks in order of their
+upper bound, until no block can hold a nearer one. Neighbours vote by their similarity;
+a vote stands for as many labelled texts as its example does, which calibrates the score.
+
+The index holds the words of 2 x ``EXAMPLES`` texts, whatever the input, so it may be
+sent to every task; the texts are scored where they lie. Words that no example has meet
+no posting; a text's own length is a common factor of its cosines and of its votes.
+
+Defined cases: a text without a word of the examples (empty and null ones too) has
+the examples without words for its neighbours, all equally near; with no labels of one
 class the score is the share of the other; ties go to the earlier example; repeated
 rows are scored alike; an empty table gives an empty table; further columns are
 ignored.
@@ -20,111 +23,141 @@ ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, held_out, learnable, longs, map_batches, record, texts
+from .common import held_out, learnable, longs, map_batches, record, texts
 
 EXAMPLES = 4_096  # labelled rows of each class
-TERMS = 256
-MIN_CHI2 = 24.0  # of a term's document frequency in the two classes
-MIN_EFFECT = 0.005  # chi-square over the number of examples: alike at every size
+CLASS_WEIGHT = 100.0  # a word that tells the classes apart weighs 1 + this times its IDF
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST_BLOCKS = 8  # read before the others' bounds are looked at
+TIE = 2e-12  # cosines nearer than this may be equal
 _WORD = re.compile(r"\w+")
 
 
-def terms_of(text: str, vocabulary) -> Counter:
-    return Counter(filter(vocabulary.__contains__, _WORD.findall(text.lower())))
+def words_of(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (count[0] numbers), start[1], ..."""
+    return np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
 
 
 class BlockMaxIndex:
     """Posting lists of unit vectors, cut into blocks of vectors, with each term's
-    largest weight in each block."""
+    largest weight in each block. ``vectors`` is a matrix, or its entries above zero
+    (rows, terms, weights) with its shape."""
 
-    def __init__(self, vectors: np.ndarray, block: int = BLOCK):
+    def __init__(self, vectors, block: int = BLOCK):
+        if isinstance(vectors, np.ndarray):
+            vectors = (*np.nonzero(vectors), vectors[np.nonzero(vectors)], vectors.shape)
+        rows, terms, weights, (n, n_terms) = vectors
         # like vectors side by side: blocks then differ in their bounds
-        heaviest = vectors.argmax(axis=1) if vectors.size else np.zeros(len(vectors), np.int64)
-        order = np.lexsort((-vectors.max(axis=1, initial=0.0), heaviest))
-        blocks = -(-len(vectors) // block)
-        self.order = np.full(blocks * block, -1, np.int64)
-        self.order[:len(vectors)] = order
-        self.order = self.order.reshape(blocks, block)
-        padded = np.zeros((blocks * block, vectors.shape[1]))
-        padded[:len(vectors)] = vectors[order]
-        # block x term x place: a term's postings of a block lie together
-        self.postings = np.ascontiguousarray(padded.reshape(blocks, block, vectors.shape[1]).transpose(0, 2, 1))
-        self.largest = np.ascontiguousarray(self.postings.max(axis=2, initial=0.0).T)  # term x block
+        heaviest, most = np.full(n, n_terms), np.zeros(n)
+        order = np.lexsort((terms, -weights, rows))
+        top = order[np.flatnonzero(np.diff(rows[order], prepend=-1))]
+        heaviest[rows[top]], most[rows[top]] = terms[top], weights[top]
+        self.order = np.lexsort((-most, heaviest))
+        self.blocks = -(-n // block)
+        place_of = np.empty(n, np.int64)
+        place_of[self.order] = np.arange(n)
+        place = place_of[rows]
+        order = np.lexsort((place, terms))
+        terms = terms[order]
+        # a term's postings lie together, by block
+        self.place, self.weight = place[order].astype(np.int32), weights[order]
+        of = self.place // block
+        first = np.flatnonzero((np.diff(terms, prepend=-1) != 0) | (np.diff(of, prepend=-1) != 0))
+        self.block, self.start = of[first], np.append(first, len(of)).astype(np.int32)
+        self.largest = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.of_term = np.searchsorted(terms[first], np.arange(n_terms + 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the exact k nearest with a cosine above zero. Blocks
-        are read in order of their bounds, more at a time the longer it takes."""
-        bound = weights @ self.largest[terms]
+        """(examples, cosines) of the exact k nearest with a cosine above zero. The
+        blocks with the highest bounds are read first, then those that can still hold
+        a nearer example than the k-th."""
+        count = self.of_term[terms + 1] - self.of_term[terms]
+        lists = _ranges(self.of_term[terms], count)
+        asked, block = np.repeat(weights, count), self.block[lists]
+        bound = np.bincount(block, asked * self.largest[lists], self.blocks)
         best_first = np.argsort(-bound, kind="stable")
-        ids = np.zeros(0, np.int64)
-        cos = np.zeros(0)
-        at, step = 0, 2
-        while at < len(best_first):
-            highest = bound[best_first[at]]
-            if highest <= 0 or len(cos) == k and highest < cos[-1] - 1e-12:
+        ids, cos = np.zeros(0, np.int64), np.zeros(0)
+        for blocks in (best_first[:FIRST_BLOCKS], best_first[FIRST_BLOCKS:]):
+            least = cos[-1] - TIE if len(cos) == k else 0.0
+            wanted = np.zeros(self.blocks, bool)
+            wanted[blocks[(bound[blocks] > 0) & (bound[blocks] >= least)]] = True
+            own = wanted[block]
+            if not own.any():
                 break
-            blocks = best_first[at:at + step]
-            at, step = at + step, 2 * step
-            own = (weights @ self.postings[blocks[:, None], terms]).ravel()
-            found = self.order[blocks].ravel()
-            if len(cos) == k:  # ties with the last one still count
-                near = own >= cos[-1] - 1e-12
-                own, found = own[near], found[near]
-            else:
-                own, found = own[found >= 0], found[found >= 0]
-            ids, cos = np.append(ids, found), np.append(cos, own)
+            start = self.start[lists[own]]
+            size = self.start[lists[own] + 1] - start
+            at = _ranges(start, size)
+            got = np.bincount(self.place[at], np.repeat(asked[own], size) * self.weight[at])
+            found = np.flatnonzero(got > 0)
+            ids, cos = np.append(ids, self.order[found]), np.append(cos, got[found])
+            if len(cos) > k:
+                near = cos >= np.partition(cos, -k)[-k] - TIE
+                ids, cos = ids[near], cos[near]
             best = np.lexsort((ids, -np.round(cos, 12)))[:k]
-            best = best[cos[best] > 0]
             ids, cos = ids[best], cos[best]
         return ids, cos
 
 
 class Model:
-    def __init__(self, terms: list[str], idf: np.ndarray, counts: np.ndarray, toxic: np.ndarray,
-                 ids: np.ndarray, stands_for: tuple[float, float], neighbours: int = NEIGHBOURS):
-        self.number = {t: i for i, t in enumerate(terms)}
-        self.idf, self.toxic, self.ids, self.neighbours = idf, toxic, ids, neighbours
-        vectors = self.weigh(counts)
-        norm = np.linalg.norm(vectors, axis=1)
-        full = np.flatnonzero(norm > 0)
-        self.full = full
-        self.index = BlockMaxIndex(vectors[full] / norm[full, None])
+    """The examples' postings (row, term, count) and what their votes are worth."""
+
+    def __init__(self, vocabulary: list[str], idf: np.ndarray, postings: tuple[np.ndarray, np.ndarray, np.ndarray],
+                 toxic: np.ndarray, ids: np.ndarray, stands_for: tuple[float, float], neighbours: int = NEIGHBOURS):
+        self.number = {t: i for i, t in enumerate(vocabulary)}
+        self.toxic, self.ids, self.neighbours = toxic, ids, neighbours
+        rows, terms, counts = postings
+        self.term_weight = idf * (1 + CLASS_WEIGHT * phi_squared(rows, terms, toxic, len(vocabulary)))
+        weights = (1 + np.log(counts)) * self.term_weight[terms]
+        norm = np.sqrt(np.bincount(rows, weights * weights, len(toxic)))
+        self.index = BlockMaxIndex((rows, terms, weights / norm[rows], (len(toxic), len(vocabulary))))
         self.vote = np.where(toxic == 1, stands_for[1], stands_for[0])
         none = np.flatnonzero(norm == 0)
         self.without = self.share(none, np.ones(len(none)))
         self.prior = self.share(np.arange(len(toxic)), np.ones(len(toxic)))
 
-    def weigh(self, counts: np.ndarray) -> np.ndarray:
-        return np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * self.idf
-
     def share(self, rows: np.ndarray, closeness: np.ndarray) -> float | None:
         votes = closeness * self.vote[rows]
         return float((votes * self.toxic[rows]).sum() / votes.sum()) if len(rows) else None
 
-    def score(self, found: Counter) -> tuple[float, list[int]]:
+    def score(self, text: str) -> tuple[float, list[int]]:
         """(score, ids of the examples that voted)."""
-        prior = 0.0 if self.prior is None else self.prior
-        if found and len(self.full):
+        found = Counter(filter(self.number.__contains__, words_of(text)))
+        if found:
             at = np.array([self.number[t] for t in found], np.int64)
-            weights = (1 + np.log(np.array(list(found.values()), np.float64))) * self.idf[at]
+            weights = (1 + np.log(np.array(list(found.values()), np.float64))) * self.term_weight[at]
             rows, cos = self.index.nearest(at, weights / np.linalg.norm(weights), self.neighbours)
-            rows = self.full[rows]
             return self.share(rows, cos), self.ids[rows].tolist()
+        prior = 0.0 if self.prior is None else self.prior
         return (prior if self.without is None else self.without), []
 
 
-def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> Model:
+def phi_squared(rows: np.ndarray, terms: np.ndarray, toxic: np.ndarray, n_terms: int) -> np.ndarray:
+    """Of each term: the squared correlation, over the examples, of having it and of
+    being toxic. 0 for a term that all have, and with one class."""
+    n, n1 = len(toxic), float(toxic.sum())
+    n0 = n - n1
+    b = np.bincount(terms, toxic[rows], n_terms)
+    a = np.bincount(terms, minlength=n_terms) - b
+    gap = a * (n1 - b) - b * (n0 - a)
+    spread = (a + b) * (n - a - b) * n0 * n1
+    return np.where(spread > 0, gap * gap / np.maximum(spread, 1), 0.0)
+
+
+def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """The model, from the learnable labelled rows and the frequencies of all texts."""
     known = labels.select("doc_id", "toxic").filter(learnable(F.col("doc_id")) & F.col("toxic").isin(0, 1))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
@@ -136,69 +169,60 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
     chosen = chosen.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def words(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [Counter(_WORD.findall(t.lower())) for t in texts(batch)]
+        found = [Counter(words_of(t)) for t in texts(batch)]
         return record(doc_id=batch.column("doc_id").cast(pa.int64()), toxic=batch.column("toxic").cast(pa.int32()),
                       words=pa.array([list(f) for f in found], pa.list_(pa.string())),
                       counts=pa.array([list(f.values()) for f in found], pa.list_(pa.int64())))
 
-    # read three times below: checkpointed, the texts are scanned for it once
-    chosen = checkpointed(map_batches(chosen, words, "doc_id long, toxic int, words array<string>, counts array<long>"))
-    size = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = size.get(0, 0), size.get(1, 0)
-    by_class = (chosen.select("toxic", F.explode("words").alias("term")).groupBy("term")
-                .agg(F.count_if(F.col("toxic") == 0).alias("a"), F.count_if(F.col("toxic") == 1).alias("b")))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    gap = a * (F.lit(n1) - b) - b * (F.lit(n0) - a)
-    chi2 = (n0 + n1) * gap * gap / ((a + b) * (F.lit(n0 + n1) - a - b) * float(max(1, n0) * max(1, n1)))
-    picked = (by_class.filter(a + b < n0 + n1).withColumn("chi2", chi2).filter((F.col("chi2") >= MIN_CHI2) & (F.col("chi2") >= MIN_EFFECT * (n0 + n1)))
-              .orderBy(F.desc("chi2"), "term").limit(terms).collect())
-    vocabulary = [r["term"] for r in picked]
-    idf = inverse_frequencies(docs, vocabulary)
-    number = {t: i for i, t in enumerate(vocabulary)}
-    # 2 x examples rows at most, of the few chosen terms
-    listed = F.array(*map(F.lit, vocabulary)) if vocabulary else F.array().cast("array<string>")
-    rows = chosen.select("doc_id", "toxic", F.filter(F.arrays_zip("words", "counts"), lambda x: F.array_contains(
-        listed, x["words"])).alias("found")).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], sorted((x["words"], x["counts"]) for x in r["found"])))
-    counts = np.zeros((len(rows), len(vocabulary)))
-    for i, r in enumerate(rows):
-        for x in r["found"]:
-            counts[i, number[x["words"]]] = x["counts"]
-    toxic = np.array([r["toxic"] for r in rows], np.int64)
-    stands_for = tuple(n.get(c, 0) / max(1, size.get(c, 0)) for c in (0, 1))
-    return Model(vocabulary, idf, counts, toxic, np.array([r["doc_id"] for r in rows], np.int64), stands_for)
+    # 2 x examples rows at most, as Arrow: the driver makes no object of each word
+    rows = map_batches(chosen, words, "doc_id long, toxic int, words array<string>, counts array<long>").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
+    coded = pc.list_flatten(rows["words"]).combine_chunks().dictionary_encode()
+    terms = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    counts = pc.list_flatten(rows["counts"]).to_numpy()
+    row = np.repeat(np.arange(len(rows)), pc.list_value_length(rows["words"]).to_numpy())
+    vocabulary = coded.dictionary.to_pylist()
+    toxic = rows["toxic"].to_numpy().astype(np.int64)
+    stands_for = tuple(n.get(c, 0) / max(1, int((toxic == c).sum())) for c in (0, 1))
+    return Model(vocabulary, inverse_frequencies(docs, vocabulary), (row, terms, counts), toxic, rows["doc_id"].to_numpy(),
+                 stands_for)
 
 
 def inverse_frequencies(docs: DataFrame, vocabulary: list[str]) -> np.ndarray:
     """Smoothed IDF of each term over all texts."""
-    number = {t: i for i, t in enumerate(vocabulary)}
+    shared = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
 
     def count(batches):
+        number = shared.value
+        n, found = 0, np.zeros(len(number), np.int64)
         for batch in batches:
-            found = Counter(t for x in texts(batch) for t in terms_of(x, number))
-            yield record(term=longs([-1, *(number[t] for t in found)]), n=longs([batch.num_rows, *found.values()]))
+            n += batch.num_rows
+            for text in texts(batch):
+                found[[number[t] for t in set(words_of(text)) if t in number]] += 1
+        some = np.flatnonzero(found)
+        yield record(term=longs(np.append(-1, some)), n=longs(np.append(n, found[some])))
 
-    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df = {r["term"]: r["n"] for r in rows}
-    return np.array([math.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(vocabulary))])
+    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = rows["term"].to_numpy(), rows["n"].to_numpy()
+    df = np.zeros(len(vocabulary))
+    df[term[term >= 0]] = n[term >= 0]
+    return np.log((1 + n[term < 0].sum()) / (1 + df)) + 1
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (ids of the voting examples)."""
     kind = dict(docs.dtypes)["doc_id"]
 
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
     def run(batches):
-        known: dict[tuple, tuple[float, list[int]]] = {}
+        own = shared.value
         for batch in batches:
-            got = []
+            known: dict[str, tuple[float, list[int]]] = {}
             for text in texts(batch):
-                found = terms_of(text, model.number)
-                key = tuple(sorted(found.items()))
-                if key not in known:
-                    if len(known) > 50_000:
-                        known.clear()
-                    known[key] = model.score(Counter(dict(key)))
-                got.append(known[key])
+                if text not in known:
+                    known[text] = own.score(text)
+            got = [known[text] for text in texts(batch)]
             yield record(doc_id=batch.column("doc_id"), score=pa.array([g[0] for g in got], pa.float64()),
                          evidence=pa.array([g[1] for g in got], pa.list_(pa.int64())))
 

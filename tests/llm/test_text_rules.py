@@ -177,6 +177,26 @@ def test_an_id_that_repeats_teaches_once(spark):
     assert toxicity.learn(often, labels).ids.tolist() == toxicity.learn(once, labels).ids.tolist()
 
 
+def test_rare_words_of_a_class_are_in_the_index(spark):
+    """Each toxic word is in about eight examples of 1,200, and there are 150 of them."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join([f"w{x}" for x in rng.integers(0, 50, 8)] + ([f"bad{i // 2 % 150}"] if i % 2 else [f"ok{i // 2 % 150}"])))
+            for i in range(3_000)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    got = toxicity.toxicity(spark.createDataFrame(rows, "doc_id long, text string"), labels).filter("held_out").collect()
+    assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in got]) > 0.95
+
+
+def test_lengths_are_those_of_all_words(spark):
+    rows = [(i, "vile " + " ".join(f"x{i}y{j}" for j in range(i))) for i in range(0, 40, 2)] + [(i, "kind") for i in range(1, 40, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, toxic int"))
+    ids, cos = model.index.nearest(np.array([model.number["vile"]]), np.ones(1), 9)
+    assert model.ids[ids].tolist() == sorted(i for i in model.ids.tolist() if i % 2 == 0)[:9]
+    assert (np.diff(cos) < 0).all()
+    assert len(model.number) == len({w for i, t in rows if i in model.ids for w in t.split()})
+
+
 # --- personal data -----------------------------------------------------------
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
