@@ -193,23 +193,35 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return routed.groupBy("bucket").applyInArrow(expand, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
-    rows = checkpointed(fingerprints(docs, shingle))
+def _grouped(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``rows(doc_id, fp)`` with ``least``, the smallest doc_id of the row's group."""
     groups = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(link_fingerprints(groups, max_bits)).withColumnRenamed("node", "fp")
     named = groups.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     # groups and their roots are one row for each distinct fingerprint
-    least = checkpointed(named.groupBy("root").agg(F.min("least").alias("component_id")))
-    of_fp = checkpointed(named.select("fp", "root").join(least, "root").select("fp", "component_id"))
-    return (rows.join(of_fp, "fp")  # a hot fingerprint is split by AQE's skew join
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    least = checkpointed(named.groupBy("root").agg(F.min("least").alias("least")))
+    of_fp = checkpointed(named.select("fp", "root").join(least, "root").select("fp", "least"))
+    return rows.join(of_fp, "fp")  # a hot fingerprint is split by AQE's skew join
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
+    rows = _grouped(checkpointed(fingerprints(docs, shingle)), max_bits)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                       F.col("least").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` but for the copies: of each group the smallest doc_id
-    stays, and of rows that repeat an id and text, one. Rows without an id can't be
-    told apart, so only their exact repeats go."""
-    groups = near_duplicates(docs, shingle, max_bits)
-    copies = checkpointed(groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """The rows of ``docs`` but for the copies: each group keeps one row, that of the
+    smallest doc_id (a row without id only if none has one), then of the smallest
+    hash. Only a row with neither id nor text always stays, once."""
+    # a row is known by two hashes: an id may repeat with other texts, or be missing
+    some = F.col("doc_id").isNotNull() | F.col("text").isNotNull()
+    a = F.when(some, F.xxhash64("doc_id", "text"))
+    b = F.when(some, F.xxhash64(F.lit(1), "doc_id", "text"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), a.alias("a"), b.alias("b"))
+    rows = _grouped(checkpointed(fingerprints(docs.select(key.alias("doc_id"), "text"), shingle)), max_bits)
+    copies = checkpointed(rows.filter(F.col("doc_id") != F.col("least")).select("doc_id.a", "doc_id.b").distinct())
+    copies = copies.toDF("__a", "__b")
+    stay = docs.withColumn("__a", a).withColumn("__b", b).join(copies, ["__a", "__b"], "left_anti")
+    return stay.dropDuplicates(["doc_id", "text"]).select(*docs.columns)

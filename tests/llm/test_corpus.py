@@ -133,6 +133,22 @@ def test_one_of_each_group_stays(edge):
     assert ids[64] == 1 and ids[66] == 0 and ids[67] == 0 and ids[5] == 1 and ids[None] == 2 and ids[60] == 1 and ids[61] == 0
 
 
+def test_a_group_keeps_one_row_whatever_its_ids(spark):
+    def text(seed):
+        return " ".join(str(x) for x in np.random.default_rng(seed).integers(0, 10**9, 300))
+
+    near = text(6) + " end"
+    assert 0 < (simhash.fingerprint(near) ^ simhash.fingerprint(text(6))).bit_count() <= 4
+    rows = [(3, text(1)), (7, text(1)), (7, text(2)),  # 7 is a copy in one group, alone in the other
+            (8, text(3)), (8, text(4)),  # one id, two texts
+            (None, text(1)), (None, text(5)), (None, text(5).upper()),  # without ids
+            (9, text(6)), (9, near), (9, near)]  # near texts under one id
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    ids = Counter(r["doc_id"] for r in kept)
+    assert ids == {3: 1, 7: 1, 8: 2, None: 1, 9: 1}
+    assert {r["text"] for r in kept} >= {text(1), text(2), text(3), text(4)}
+
+
 # --- mixing ------------------------------------------------------------------
 def plain_targets(sizes, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
