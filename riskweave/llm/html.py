@@ -2,7 +2,8 @@
 
 A page becomes a flat list of text blocks (text between block-level tags) with word
 counts and link densities of each block and its neighbours (Kohlschuetter et al.
-2010) and its place: inside an element for page furniture, inside the article. A
+2010) and its place: inside an element for page furniture (an article or main that
+opens inside ends that, but in comments, adverts and hidden parts), inside the article. A
 decision tree, trained by Spark ML on the small labelled table below, tells article
 text from the rest. Pages are independent rows, so there is no shuffle; a page is
 read once, in time linear in its length.
@@ -45,6 +46,26 @@ FURNITURE_WORDS = frozenset(
     "promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe subscription taboola toc toolbar widget widgets".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
+#: Of them, words of reader comments: they mark an article as furniture, too.
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
+#: Words that name no frame of a page: an article inside such an element is furniture.
+FIRM_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads adsbygoogle advert adverts advertisement advertising cookie cookies consent gdpr outbrain paywall promo "
+    "promoted promotion recommended related sponsor sponsored taboola".split())
+#: Words that name furniture even beside a layout word ("page-footer").
+PLAIN_WORDS = FIRM_WORDS | frozenset(
+    "breadcrumb breadcrumbs byline contentinfo copyright footer masthead menu nav navbar navigation pager pagination".split())
+#: Furniture words after these in a compound, or before those, tell what a page has or lacks.
+STATE_BEFORE = frozenset("has no with without not hide show enable disable".split())
+STATE_AFTER = frozenset("open closed enabled disabled on off".split())
+#: An element so named frames the page; a furniture word beside it is only a hint.
+LAYOUT_WORDS = frozenset("layout content page template".split())
+#: How surely an element is furniture. An article or main that opens inside ends all but the last.
+NONE, HINT, FURNITURE, FIRM = range(4)
+#: The feature of the tree for each.
+FURNITURE_FEATURE = (0.0, 0.5, 1.0, 1.0)
+#: Elements of furniture that may enclose a whole page.
+FRAME_TAGS = frozenset(("form", "object"))
 # Elements whose start ends an open one, as the HTML standard says.
 ENDED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
             "tr": ("td", "th", "tr"), "option": ("option",)}
@@ -87,6 +108,12 @@ LABELLED = (
     (60, 0.05, 8, 0.0, 41, 0.0, 1, -1, 0, 0), (5, 0.0, 4, 0.0, 30, 0.0, 1, -1, 1, 0), (2, 1.0, 2, 1.0, 2, 1.0, 1, 0, 0, 0),
     (48, 0.0, 40, 0.0, 37, 0.0, 1, 0, 0, 0), (4, 0.0, 30, 0.0, 0, 0.0, 1, 0, 0, 0), (18, 0.2, 44, 0.0, 21, 0.0, 1, 0, 0, 0),
     (6, 0.0, 55, 0.0, 62, 0.0, 1, 0, 1, 0),
+    # a hint of furniture (0.5: the words of a page's frame): long blocks are text, short ones or links are not
+    (84, 0.0, 51, 0.0, 97, 0.0, 0.5, 1, 0, 1), (45, 0.0, 3, 0.0, 40, 0.0, 0.5, 1, 0, 1), (23, 0.1, 30, 0.0, 18, 0.0, 0.5, 1, 0, 1),
+    (3, 0.0, 40, 0.0, 4, 0.0, 0.5, 1, 0, 0), (5, 1.0, 4, 1.0, 50, 0.0, 0.5, 1, 0, 0),
+    (70, 0.0, 40, 0.0, 66, 0.0, 0.5, 0, 0, 1), (24, 0.05, 8, 0.0, 24, 0.0, 0.5, 0, 0, 1), (110, 0.02, 0, 0.0, 0, 0.0, 0.5, 0, 0, 1),
+    (2, 0.0, 62, 0.0, 39, 0.0, 0.5, 0, 0, 0), (4, 0.0, 30, 0.0, 0, 0.0, 0.5, 0, 0, 0), (30, 0.9, 6, 1.0, 28, 0.9, 0.5, 0, 0, 0),
+    (60, 0.0, 40, 0.0, 50, 0.0, 0.5, -1, 0, 0), (3, 1.0, 2, 1.0, 3, 1.0, 0.5, -1, 0, 0),
     # unmarked blocks beside a marked article
     (6, 0.0, 1, 1.0, 12, 0.0, 0, -1, 0, 0), (35, 0.0, 40, 0.0, 8, 0.0, 0, -1, 0, 0), (3, 1.0, 2, 1.0, 3, 1.0, 0, -1, 0, 0),
     (90, 0.0, 60, 0.0, 0, 0.0, 0, -1, 0, 0), (4, 0.0, 70, 0.0, 5, 0.0, 0, -1, 1, 0), (22, 0.0, 80, 0.0, 3, 0.5, 0, -1, 0, 0),
@@ -125,31 +152,51 @@ def classify(tree, features: tuple) -> int:
     return tree
 
 
-def _is_furniture(tag: str, rest: str) -> bool:
+def _named(value: str) -> set[str]:
+    """Furniture words of a class, id or role, without those of states; marked with a
+    star where they are only a hint."""
+    found = set()
+    tokens = [re.findall("[a-z]+", t) for t in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split()]
+    frame = any(len(t) == 1 and t[0] in LAYOUT_WORDS for t in tokens)
+    for words in tokens:
+        for i, word in enumerate(words):
+            if word in STATE_BEFORE and i + 1 < len(words):
+                break  # the rest of the compound is what the page has or lacks
+            if word in FURNITURE_WORDS and not (i + 1 < len(words) and words[i + 1] in STATE_AFTER):
+                hint = word not in PLAIN_WORDS and (frame or not LAYOUT_WORDS.isdisjoint(words[:i]))
+                found.add(word + "*" * hint)
+    return found
+
+
+def _furniture(tag: str, rest: str) -> int:
+    """How surely the element itself is furniture."""
     if tag in FURNITURE_TAGS:
-        return True
-    if not rest or tag in ("html", "body") or tag in ARTICLE_TAGS:
-        return False
-    if "hidden" in rest or "none" in rest:
-        if _HIDDEN.search(rest):
-            return True
+        return FURNITURE if tag in FRAME_TAGS else FIRM
+    if not rest or tag in ("html", "body"):
+        return NONE
+    framed = tag in ARTICLE_TAGS
+    if not framed and ("hidden" in rest or "none" in rest) and _HIDDEN.search(rest):
+        return FIRM
+    sure = NONE
     for m in _ATTRIBUTE.finditer(rest):
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower()
-        if not FURNITURE_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+        named = _named(m[2] or m[3] or m[4] or "")
+        if not named.isdisjoint(COMMENT_WORDS if framed else FIRM_WORDS):
+            return FIRM
+        if named and not framed:
+            sure = max(sure, HINT if all(w.endswith("*") for w in named) else FURNITURE)
+    return sure
 
 
 def blocks(html: str) -> list[dict]:
     """The page's text blocks in order: text, words, link words, furniture, article, heading."""
     out: list[dict] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # (tag, furniture, article) of block elements and marked inline ones
+    open_tags: list[tuple[str, int, bool]] = []  # (tag, furniture, article) of block elements and marked inline ones
     n_open: Counter = Counter()  # of open_tags, so that an end tag without a start costs nothing
     parts: list[str] = []
     linked = 0  # words inside links
     in_link = heading = False
 
-    def start_of(tag: str, furniture: bool, article: bool) -> None:
+    def start_of(tag: str, furniture: int, article: bool) -> None:
         open_tags.append((tag, furniture, article))
         n_open[tag] += 1
 
@@ -162,7 +209,7 @@ def blocks(html: str) -> list[dict]:
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            inside = open_tags[-1] if open_tags else ("", False, False)
+            inside = open_tags[-1] if open_tags else ("", NONE, False)
             words = text.count(" ") + 1
             out.append({"text": text, "words": words, "links": min(words, linked), "furniture": inside[1],
                         "article": inside[2], "heading": heading})
@@ -202,15 +249,18 @@ def blocks(html: str) -> list[dict]:
             # a paragraph ends at the next block tag; its own class still counts
             if tag == "p":
                 end_open("p")
-                if not m["end"] and _is_furniture(tag, rest):
-                    start_of(tag, True, open_tags[-1][2] if open_tags else False)
+                if not m["end"] and (own := _furniture(tag, rest)):
+                    _, furniture, article = open_tags[-1] if open_tags else ("", NONE, False)
+                    start_of(tag, max(furniture, own), article)
             continue
         if block:
             end_open("p")
             if not m["end"]:
                 end_open(*ENDED_BY.get(tag, ()))
-                _, furniture, article = open_tags[-1] if open_tags else ("", False, False)
-                furniture |= _is_furniture(tag, rest) or tag == "header" and not article
+                _, furniture, article = open_tags[-1] if open_tags else ("", NONE, False)
+                if tag in ARTICLE_TAGS and furniture < FIRM:
+                    furniture = NONE
+                furniture = max(furniture, _furniture(tag, rest), FURNITURE if tag == "header" and not article else NONE)
                 if not rest.endswith("/") or tag not in ("svg", "object", "iframe"):
                     start_of(tag, furniture, article or tag in ARTICLE_TAGS)
             elif n_open[tag]:
@@ -233,7 +283,7 @@ def article(html: str, tree) -> str:
         before = (found[i - 1]["words"], density[i - 1]) if i else (0, 0.0)
         after = (found[i + 1]["words"], density[i + 1]) if i + 1 < len(found) else (0, 0.0)
         place = 1 if b["article"] else -1 if marked else 0
-        if classify(tree, (b["words"], density[i], *before, *after, int(b["furniture"]), place, int(b["heading"]))):
+        if classify(tree, (b["words"], density[i], *before, *after, FURNITURE_FEATURE[b["furniture"]], place, int(b["heading"]))):
             kept.append(b["text"])
     return "\n".join(kept)
 

@@ -143,3 +143,24 @@ def test_items_without_end_tags(tree):
 def test_deep_pages_with_end_tags_that_fit_nothing(tree):
     page = "<div>" * 50_000 + "</li>" * 50_000 + f"<p>{LONG}</p>"
     assert html.article(page, tree) == LONG
+
+
+@pytest.mark.parametrize("frame", [
+    "class='has-sidebar'", "class='no-comments'", "class='with-ads'", "class='layout social'", "id='content-search'",
+    "class='comments-open hasSidebar'", "class='page sidebar'"])
+def test_words_of_a_page_frame_hide_no_text(tree, frame):
+    assert html.article(f"<div {frame}><article><p>{LONG}</p></article></div>", tree) == LONG
+    assert html.article(f"<main><div {frame}><article><p>{LONG}</p><p>Yes.</p></article></div></main>", tree) == f"{LONG}\nYes."
+    assert html.article(f"<div {frame}><p>{LONG}</p><p>{LONG}</p></div>", tree) == f"{LONG}\n{LONG}"
+
+
+def test_an_article_ends_the_furniture_around_it(tree):
+    page = f"<form id=aspnet><div class=sidebar><p>{LONG}</p><main><p>One {LONG}</p><div class=share>Share</div></main></div></form>"
+    assert html.article(page, tree) == f"One {LONG}"
+
+
+def test_comments_marked_as_articles_go(tree):
+    page = (f"<article class='post no-comments'><p>{LONG}</p></article><article class='comment'><p>One {LONG}</p></article>"
+            f"<div id=comments><article><div><p>Two {LONG}</p></div></article></div><aside><article><p>Three {LONG}</p></article></aside>"
+            f"<div style='display: none'><article><p>Four {LONG}</p></article></div>")
+    assert html.article(page, tree) == LONG
