@@ -14,7 +14,8 @@ variants, slice by slice, in bounded memory. Every variant is still made and met
 one place; only its bytes on the wire are shared.
 
 Fingerprints that meet in a variant are all within 4 bits of each other, so each is
-linked to the smallest one only: a star joins the same rows as all pairs.
+linked to the smallest one only: a star joins the same rows as all pairs. (For an odd
+limit the radius is rounded up, and the centre is one that is nearer than that.)
 
 Defined cases: a null or empty text has fingerprint zero, linked like any other; a
 text under four words is one shingle; repeated rows share a fingerprint; a row
@@ -135,7 +136,7 @@ def route(fps: np.ndarray, masks: np.ndarray, bits: int):
 
 
 def links_in_bucket(fps: np.ndarray, bucket: int, bits: int, masks: np.ndarray, max_bits: int) -> np.ndarray:
-    """Links (smallest, other), n x 2, of the fingerprints that meet in a variant of
+    """Links (centre, other), n x 2, of the fingerprints that meet in a variant of
     this bucket. Variants are made, sorted and compared a slice at a time: a slice
     is a further part of the linear hash."""
     fps = np.unique(fps)
@@ -163,11 +164,14 @@ def links_in_bucket(fps: np.ndarray, bucket: int, bits: int, masks: np.ndarray,
         met = np.flatnonzero(np.append(shared, 0)[at] == variant)
         met = met[at[met] < len(shared)]
         group, owner = at[met], owner[met]
-        order = np.lexsort((owner, group))  # owners ascend, so the first of a group is its smallest
-        group, owner = group[order], owner[order]
+        # for an odd max_bits two members at the full radius may be too far apart; with a nearer one none is
+        far = np.bitwise_count(variant[met] ^ fps[owner]) > max_bits // 2
+        order = np.lexsort((owner, far, group))  # the first of a group is its smallest near member
+        group, owner, far = group[order], owner[order], far[order]
         first = np.append(True, group[1:] != group[:-1])
-        centre = owner[np.flatnonzero(first)][np.cumsum(first) - 1]
-        found.append(np.unique(np.stack([centre[~first], owner[~first]], axis=1), axis=0))
+        at = np.flatnonzero(first)[np.cumsum(first) - 1]
+        linked = ~first & ~far[at]
+        found.append(np.unique(np.stack([owner[at][linked], owner[linked]], axis=1), axis=0))
     if not found:
         return np.zeros((0, 2), np.uint64)
     pairs = fps[np.unique(np.concatenate(found), axis=0)]

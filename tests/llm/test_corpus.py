@@ -83,6 +83,25 @@ def test_every_link_is_found(spark, monkeypatch, slice_variants):
             assert find(a) == find(b)
 
 
+@pytest.mark.parametrize("max_bits", [1, 3, 5])
+def test_odd_limits_lose_no_link(max_bits):
+    rng = np.random.default_rng(4)
+    few = np.array([0b11000, 0b11001, 0b10000, 0b01001], np.uint64)
+    masks = simhash.flips((max_bits + 1) // 2)
+    for fps in (few, *(np.unique(rng.integers(0, 1 << 12, 40).astype(np.uint64)) for _ in range(5))):
+        def groups(pairs):
+            root = {int(f): int(f) for f in fps}
+            for _ in range(len(fps)):
+                for a, b in pairs:
+                    root[a] = root[b] = min(root[a], root[b])
+            return root
+
+        found = [tuple(map(int, p)) for p in simhash.links_in_bucket(fps, 0, 0, masks, max_bits)]
+        assert all((a ^ b).bit_count() <= max_bits for a, b in found)
+        want = [(a, b) for a, b in combinations(map(int, fps), 2) if (a ^ b).bit_count() <= max_bits]
+        assert groups(found) == groups(want)
+
+
 @pytest.mark.parametrize("bits, slice_variants", [(6, 1 << 21), (14, 1 << 12), (22, 1 << 21)])
 def test_fingerprints_reach_the_buckets_of_all_their_variants(monkeypatch, bits, slice_variants):
     monkeypatch.setattr(simhash, "SLICE_VARIANTS", slice_variants)
