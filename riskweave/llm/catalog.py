@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import centroids, html, language, mixing, packing, pii, quality, sharding, simhash, topk, toxicity
+from . import centroids, html, language, lexical, mixing, packing, pii, quality, sharding, simhash, topk, toxicity
 from .common import read
 
 QUERIES = {
@@ -21,6 +21,7 @@ QUERIES = {
     "op8_pii_bootstrap": lambda spark, sf_dir: pii.extract(read(spark, sf_dir, "documents")).drop("row"),
     "op9_sharding": lambda spark, sf_dir: sharding.shard_documents(read(spark, sf_dir, "documents"), [1.0] * 40),
     "op10_html_extraction": lambda spark, sf_dir: html.extract(read(spark, sf_dir, "pages")),
+    "op11_lexical_search": lambda spark, sf_dir: lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
     "op12_centroid_clustering": lambda spark, sf_dir: centroids.cluster(read(spark, sf_dir, "embeddings")),
     "pipeline": corpus_pipeline.run,
 }
@@ -40,6 +41,7 @@ s AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
        vec_id, score
 FROM s QUALIFY rank <= 10""",
+    "op11_lexical_search": lexical.oracle(),
     "op12_centroid_clustering": centroids.oracle(),
 }
 if corpus_pipeline.ORACLE_SQL:
