@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import centroids, html, language, lexical, mixing, packing, pii, quality, sharding, simhash, topk, toxicity
+from . import centroids, html, language, lexical, mixing, packing, pii, quality, sharding, simhash, tokenids, topk, toxicity
 from .common import read
 
 QUERIES = {
@@ -23,6 +23,7 @@ QUERIES = {
     "op10_html_extraction": lambda spark, sf_dir: html.extract(read(spark, sf_dir, "pages")),
     "op11_lexical_search": lambda spark, sf_dir: lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
     "op12_centroid_clustering": lambda spark, sf_dir: centroids.cluster(read(spark, sf_dir, "embeddings")),
+    "op13_token_ids": lambda spark, sf_dir: tokenids.round_trip(read(spark, sf_dir, "documents")),
     "pipeline": corpus_pipeline.run,
 }
 

@@ -80,3 +80,10 @@ def record(**columns: pa.Array) -> pa.RecordBatch:
 
 def longs(values) -> pa.Array:
     return pa.array(values, pa.int64())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, whatever its kind."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
