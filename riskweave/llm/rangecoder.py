@@ -227,7 +227,8 @@ def _crc(ids: np.ndarray) -> int:
 
 def encode(ids: np.ndarray, vocabulary: int, block_ids: int = BLOCK_IDS) -> bytes:
     """Ids (0 to vocabulary - 1) as bytes: magic, vocabulary, number of blocks; of each
-    block its ids, its words and the crc32 of its ids; then the words (all little-endian)."""
+    block its ids, its words and the crc32 of its ids; the crc32 of all this; then the
+    words (all little-endian)."""
     ids = np.asarray(ids, np.int64)
     if len(ids) and not 0 <= ids.min() <= ids.max() < vocabulary:
         raise ValueError("an id is outside the vocabulary")
@@ -236,18 +237,20 @@ def encode(ids: np.ndarray, vocabulary: int, block_ids: int = BLOCK_IDS) -> byte
     for i in range(0, len(blocks), LANES):
         words += _encode_side_by_side(blocks[i:i + LANES], vocabulary)
     table = np.array([(len(b), len(w) // 2, _crc(b)) for b, w in zip(blocks, words, strict=True)], "<u4").reshape(-1, 3)
-    return b"".join([MAGIC, np.array([vocabulary, len(blocks)], "<u4").tobytes(), table.tobytes(), *words])
+    head = MAGIC + np.array([vocabulary, len(blocks)], "<u4").tobytes() + table.tobytes()
+    return b"".join([head, zlib.crc32(head).to_bytes(4, "little"), *words])
 
 
 def decode(data: bytes) -> np.ndarray:
-    """The ids of ``encode``; ValueError if a block's checksum doesn't hold."""
+    """The ids of ``encode``; ValueError if a checksum doesn't hold."""
     if len(data) < 16 or data[:8] != MAGIC:
         raise ValueError("not a block file of token ids")
     vocabulary, n = np.frombuffer(data, "<u4", 2, 8).tolist()
-    if len(data) < 16 + 12 * n:
-        raise ValueError("the table of blocks is cut off")
+    first = 20 + 12 * n
+    if len(data) < first or zlib.crc32(data[:first - 4]) != int.from_bytes(data[first - 4:first], "little"):
+        raise ValueError("the table of blocks is damaged")
     table = np.frombuffer(data, "<u4", 3 * n, 16).reshape(n, 3).astype(np.int64)
-    start = 16 + 12 * n + np.append(0, np.cumsum(2 * table[:, 1]))
+    start = first + np.append(0, np.cumsum(2 * table[:, 1]))
     if start[-1] != len(data):
         raise ValueError("the blocks' lengths don't add up")
     found: list[np.ndarray] = []

@@ -64,15 +64,15 @@ class Encoder:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.start, self.flat, self.chars = [0], [], 0
-        self.start_array, self.flat_array = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.chars = 0
+        self.start, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.number[word] = len(self.start) - 1
-            self.flat += found.ids
-            self.start.append(len(self.flat))
-            self.chars += len(word)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self.number.update(zip(words, range(len(self.start) - 1, len(self.start) - 1 + len(words)), strict=True))
+        self.start = np.append(self.start, self.start[-1] + np.cumsum([len(f) for f in found]))
+        self.flat = np.append(self.flat, np.array([i for f in found for i in f], np.int64))
+        self.chars += sum(map(len, words))
 
     def encode(self, some: list[str], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id behind; how many each has)."""
@@ -86,23 +86,23 @@ class Encoder:
         new = list(dict.fromkeys(w for w in words if w not in self.number))
         if new:
             self._learn(new)
-            self.start_array, self.flat_array = np.array(self.start), np.append(self.flat_array, self.flat[len(self.flat_array):])
         at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        first = self.start_array[at]
-        size = self.start_array[at + 1] - first
+        first = self.start[at]
+        size = self.start[at + 1] - first
+        pieces = np.array(pieces, np.int64)
         ends = np.cumsum(pieces)
         total = np.append(0, np.cumsum(size))
         per_text = total[ends] - total[ends - pieces]
         ids = np.full(int(total[-1]) + len(some), end_id, np.int64)
         # every text before moves the ids by its end id
         to = np.arange(total[-1]) + np.repeat(np.arange(len(some)), per_text)
-        ids[to] = self.flat_array[np.arange(total[-1]) + np.repeat(first - total[:-1], size)]
+        ids[to] = self.flat[np.arange(total[-1]) + np.repeat(first - total[:-1], size)]
         return ids, per_text + 1
 
     def encode_whole(self, some: list[str], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """The same, each text in one call."""
-        found = [[*e.ids, end_id] for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-        return np.array([i for f in found for i in f], np.int64), np.array([len(f) for f in found], np.int64)
+        found = [np.append(np.array(e.ids, np.int64), end_id) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.int64), *found]), np.array([len(f) for f in found], np.int64)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -115,19 +115,20 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _portions(some: list[str]):
-    """Slices of about TEXTS_CHARS characters."""
+def _portions(some: list[str], limit: int):
+    """Slices of at most ``limit`` characters, or of one longer text."""
     at = 0
     while at < len(some):
         end, chars = at, 0
-        while end < len(some) and (end == at or chars + len(some[end]) <= TEXTS_CHARS):
+        while end < len(some) and (end == at or chars + len(some[end]) <= limit):
             chars += len(some[end])
             end += 1
         yield slice(at, end)
         at = end
 
 
-def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, whole_texts: bool = False) -> None:
+def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, whole_texts: bool = False,
+          chunk_ids: int = CHUNK_IDS) -> None:
     """Write the ids of ``docs`` (doc_id, text) to ``folder``, a new one."""
     path = path or tokenizer_path()
     kind = dict(docs.dtypes)["doc_id"]
@@ -154,10 +155,10 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
 
         for batch in batches:
             some = texts(batch)
-            for portion in _portions(some):
+            for portion in _portions(some, min(TEXTS_CHARS, chunk_ids)):
                 ids, length = encode(some[portion], end_id)
                 of = batch.column("doc_id").slice(portion.start, portion.stop - portion.start)
-                if held and n + len(ids) > CHUNK_IDS:
+                if held and n + len(ids) > chunk_ids:
                     yield close()
                     chunk, before, held, n = chunk + 1, before + n, [], 0
                 held.append((of, ids, length))
