@@ -14,6 +14,8 @@ Fitting modes:
   grid over them and initial states by least squares (the one-step errors are linear
   in them). One row for each (series, alpha, beta, gamma) is spread over the tasks,
   so that a single series uses them all; the smallest error wins (``min_by``).
+* ``mode="refine"``: the same model, fitted beyond the grid (``smoothing.refine``): whole
+  series in batches, damped Gauss-Newton from the best grid points, for many series.
 """
 
 from __future__ import annotations
@@ -262,6 +264,9 @@ def fit_forecast(series: DataFrame, value: str, keys: Sequence[str] = (), period
     if mode == "ols":
         return (holt_winters(series, value, keys, period, horizon) if period
                 else holt_linear(series, value, keys, horizon))
+    if mode == "refine":
+        from .smoothing import holt_winters_refined
+        return holt_winters_refined(series, value, keys, period, horizon)
     return fit_smoothing(series, value, keys, period, horizon, grid)
 
 
@@ -278,7 +283,7 @@ def _three_forecasts(series: DataFrame, keys: Sequence[str], horizon: int, perio
     every = series.groupBy(*keys).agg(F.max("month").alias("m_last")).withColumn("h", _horizon(horizon)).select(
         *keys, F.add_months("m_last", F.col("h")).alias("month"))
     for value, name, season in (("orders", "fo", period), ("fraud_rate", "ff", 0), ("return_rate", "fr", 0)):
-        one = fit_smoothing(series, value, keys, season, horizon, grid).select(*keys, "month", F.col("forecast").alias(name))
+        one = fit_forecast(series, value, keys, season, horizon, mode, grid).select(*keys, "month", F.col("forecast").alias(name))
         every = every.join(one, [*keys, "month"], "left")
     return every
 

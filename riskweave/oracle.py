@@ -74,6 +74,8 @@ order_risk AS (
 def with_order_risk(body: str) -> str:
     """Prefix a query over ``order_risk`` with the mapping CTEs."""
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ORDER_RISK_SQL.strip() + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ORDER_RISK_SQL.strip() + ",\n" + body[5:]
     return "WITH " + ORDER_RISK_SQL.strip() + "\n" + body

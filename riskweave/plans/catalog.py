@@ -875,3 +875,81 @@ def q_importance_features(spark, sf_dir):
     imp = ml.feature_importance(model)
     total = imp.agg(_F.round(_F.sum("importance"), 6)).scalar()
     return imp.select("feature", total.alias("total"))
+
+
+# --- F3/F4 with given and with fitted smoothing parameters -------------------------------------------
+from ..operators import smoothing as sm  # noqa: E402
+
+_KEYED_CALENDAR_SQL = f"""{_KEYED_SERIES_SQL},
+cal AS (SELECT country, CAST(unnest(generate_series(m0, m1, INTERVAL 1 MONTH)) AS DATE) AS month, m1
+        FROM (SELECT country, min(month) AS m0, max(month) AS m1 FROM series GROUP BY country))"""
+
+
+def _smoothing_sql(value: str, alpha: float, beta: float, gamma: float, period: int) -> str:
+    """Months folded by a recursive query, a row for each country and month."""
+    a, b, g = (f"CAST({x} AS DOUBLE)" for x in (alpha, beta, gamma))
+    if period:
+        start = f"""
+i1 AS (SELECT *, list_avg(ys[1:{period}]) AS first, list_avg(ys[{period + 1}:{2 * period}]) AS second FROM packed
+       WHERE len(ys) >= {2 * period}),
+i2 AS (SELECT *, (second - first) / CAST({period} AS DOUBLE) AS trend FROM i1),
+i3 AS (SELECT *, first - trend * CAST({(period + 1) / 2} AS DOUBLE) AS level FROM i2),
+init AS (SELECT *, list_transform(ys[1:{period}], lambda x, i: coalesce(x - (level + trend * i), 0)) AS seasons FROM i3)"""
+    else:
+        start = """
+i1 AS (SELECT *, list_filter(list_transform(ys, lambda x, i: {'y': x, 'i': i}), lambda p: p.y IS NOT NULL) AS known FROM packed),
+i2 AS (SELECT *, (known[2].y - known[1].y) / CAST(known[2].i - known[1].i AS DOUBLE) AS trend FROM i1 WHERE len(known) >= 2),
+init AS (SELECT *, known[1].y - trend AS level, [CAST(0 AS DOUBLE)] AS seasons FROM i2)"""
+    turn = "list_append(seasons[2:], CASE WHEN y IS NULL THEN season ELSE {g} * (y - line) + (1 - {g}) * season END)".format(g=g) if period else "seasons"
+    season_ahead = f"seasons[(h - 1) % {period} + 1]" if period else "0"
+    return f"""WITH RECURSIVE {_KEYED_CALENDAR_SQL},
+packed AS (SELECT cal.country, list(CAST(s.{value} AS DOUBLE) ORDER BY cal.month) AS ys, max(cal.month) AS m_last
+           FROM cal LEFT JOIN series s ON s.country = cal.country AND s.month = cal.month GROUP BY cal.country),{start},
+st AS (SELECT country, 0 AS i, level, trend, seasons, CAST(0 AS DOUBLE) AS sse FROM init
+       UNION ALL
+       SELECT country, i + 1, new, CASE WHEN y IS NULL THEN trend ELSE {b} * (new - level) + (1 - {b}) * trend END,
+              {turn}, sse + CASE WHEN y IS NULL THEN 0 ELSE (y - (line + season)) * (y - (line + season)) END
+       FROM (SELECT *, CASE WHEN y IS NULL THEN line ELSE {a} * (y - season) + (1 - {a}) * line END AS new
+             FROM (SELECT st.*, p.ys[st.i + 1] AS y, st.level + st.trend AS line, st.seasons[1] AS season
+                   FROM st JOIN packed p USING (country) WHERE st.i < len(p.ys))))
+SELECT st.country, CAST(h AS INTEGER) AS h, CAST(len(p.ys) - 1 + h AS INTEGER) AS t,
+       CAST(p.m_last + to_months(CAST(h AS INTEGER)) AS DATE) AS month,
+       round_even(level + h * trend + {season_ahead}, 6) AS forecast, round_even(sse, 6) AS sse
+FROM st JOIN packed p ON p.country = st.country AND st.i = len(p.ys), (SELECT unnest([1, 2, 3]) AS h)"""
+
+
+def _country_series(spark, sf_dir):
+    return fc.monthly_series(order_risk(spark, sf_dir), keys=["country"])
+
+
+@register("F3_holt_winters_fixed", _smoothing_sql("orders", 0.3, 0.1, 0.2, 12))
+def q_holt_winters_fixed(spark, sf_dir):
+    f = sm.holt_winters_fixed(_country_series(spark, sf_dir), "orders", ["country"], 0.3, 0.1, 0.2, period=12)
+    return f.select("country", "h", "t", "month", _npr("forecast", 6).alias("forecast"), _npr("sse", 6).alias("sse"))
+
+
+@register("F4_holt_linear_fixed", _smoothing_sql("fraud_rate", 0.4, 0.2, 0.0, 0))
+def q_holt_linear_fixed(spark, sf_dir):
+    f = sm.holt_winters_fixed(_country_series(spark, sf_dir), "fraud_rate", ["country"], 0.4, 0.2)
+    return f.select("country", "h", "t", "month", _npr("forecast", 6).alias("forecast"), _npr("sse", 6).alias("sse"))
+
+
+# the error without smoothing is a regression on the month's number and the calendar month
+@register("F3_holt_winters_refined", f"""WITH {_KEYED_SERIES_SQL},
+s AS (SELECT country, t, CAST(orders AS DOUBLE) AS y, t % 12 AS k FROM series),
+c AS (SELECT *, y - avg(y) OVER (PARTITION BY country, k) AS yc,
+             CAST(t AS DOUBLE) - avg(CAST(t AS DOUBLE)) OVER (PARTITION BY country, k) AS tc FROM s),
+b AS (SELECT country, coalesce(sum(yc * tc) / nullif(sum(tc * tc), 0.0), 0.0) AS b, count(*) AS n FROM c GROUP BY country)
+SELECT c.country, round_even(sum((yc - b * tc) * (yc - b * tc)), 4) AS line_sse, true AS not_above_line,
+       true AS not_above_grid, true AS replayed
+FROM c JOIN b USING (country) WHERE n >= 14 GROUP BY c.country""")
+def q_holt_winters_refined(spark, sf_dir):
+    """Fitted parameters by country: no worse than no smoothing and than every grid point, and
+    the native smoother gets the same error from them."""
+    fit = sm.refine(_country_series(spark, sf_dir), "orders", ["country"], period=12)
+    done = sm.smooth(fit, _F.col("alpha"), _F.col("beta"), _F.col("gamma"), 12).filter("fit_sse IS NOT NULL")
+    slack = _F.lit(1e-6) * (_F.lit(1.0) + _F.col("line_sse"))
+    return done.select("country", _npr("line_sse", 4).alias("line_sse"),
+                       (_F.col("sse") <= _F.col("line_sse") + slack).alias("not_above_line"),
+                       (_F.col("sse") <= _F.col("grid_sse") + slack).alias("not_above_grid"),
+                       (_F.abs(_F.col("sse") - _F.col("fit_sse")) <= slack).alias("replayed"))
