@@ -23,7 +23,7 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 4_096
-LANES = 1_024  # blocks that are coded side by side
+LANES = 512  # blocks that are coded side by side
 MAGIC = b"TIDS\x01\x00\x00\x00"
 _TABLE = 12  # bits of the order 1 and order 2 tables
 _ONE = 1 << 15  # a probability, or all weights, of 1
@@ -127,7 +127,7 @@ class _Lanes:
 def _encode_side_by_side(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     """``blocks``, longest first, to their words."""
     n, steps = len(blocks), len(blocks[0])
-    ids = np.zeros((steps, n), np.int64)
+    ids = np.zeros((steps, n), np.int32)
     for i, b in enumerate(blocks):
         ids[:len(b), i] = b
     lengths = np.array([len(b) for b in blocks])
@@ -139,7 +139,7 @@ def _encode_side_by_side(blocks: list[np.ndarray], vocabulary: int) -> list[byte
         going = int(np.searchsorted(-lengths, -t))  # those longer than t
         if going < model.n:
             model.keep(going)
-        own = ids[t, :going]
+        own = ids[t, :going].astype(np.int64)
         cumulated = model.predict()
         found, rank = model.class_of(own)
         lo, hi = low[:going], wide[:going]
@@ -183,7 +183,7 @@ def _decode_side_by_side(words: list[bytes], lengths: list[int], vocabulary: int
         code = code << np.uint64(16) | given[:, i]
     at = np.full(n, 4)
     model = _Lanes(n, vocabulary)
-    out = np.zeros((steps, n), np.int64)
+    out = np.zeros((steps, n), np.int32)
     low, wide = np.zeros(n, np.uint64), np.full(n, ~np.uint64(0))
     long = np.array(lengths)
     for t in range(steps):
@@ -218,7 +218,7 @@ def _decode_side_by_side(words: list[bytes], lengths: list[int], vocabulary: int
             at[rows] += 1
             rows = rows[(hi[rows] < _BOTTOM) & (hi[rows] > 0)]
         model.learn(own, found, rank)
-    return [out[:k, i] for i, k in enumerate(lengths)]
+    return [out[:k, i].astype(np.int64) for i, k in enumerate(lengths)]
 
 
 def _crc(ids: np.ndarray) -> int:

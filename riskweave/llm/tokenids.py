@@ -41,7 +41,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 CHUNK_IDS = rangecoder.LANES * rangecoder.BLOCK_IDS  # as many blocks as are coded side by side
 TEXTS_CHARS = 1 << 20  # characters of texts that are encoded together, unless one is longer
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 18
 CACHE_CHARS = 1 << 25
 
 
