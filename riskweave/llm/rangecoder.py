@@ -50,11 +50,9 @@ class _Lanes:
         # an entry is 4 * id + confidence (0: nothing seen)
         self.one = np.zeros(lanes << _TABLE, np.int32)
         self.two = np.zeros(lanes << _TABLE, np.int32)
-        even = np.full(self.classes, _ONE // self.classes, np.int32)
-        self.p0 = np.tile(even, (lanes, 1))
-        self.p1 = np.tile(even, (lanes * 4, 1))
-        self.p2 = np.tile(even, (lanes * 8, 1))
-        self.weights = np.full((lanes, 3), _ONE // 3, np.int32)
+        # classes x lanes (and contexts): long rows for numpy
+        self.p0, self.p1, self.p2 = (np.full((self.classes, lanes * n), _ONE // self.classes, np.int32) for n in (1, 4, 8))
+        self.weights = np.full((3, lanes), _ONE // 3, np.int32)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
         self.keep(lanes)
@@ -62,14 +60,13 @@ class _Lanes:
     def keep(self, lanes: int) -> None:
         """Go on with the first lanes only: the others' blocks have ended."""
         self.n = lanes
-        for name in ("last", "before", "p0", "weights"):
-            setattr(self, name, getattr(self, name)[:lanes])
+        self.last, self.before = self.last[:lanes], self.before[:lanes]
+        self.p0, self.weights = self.p0[:, :lanes].copy(), self.weights[:, :lanes].copy()
         self.lane = np.arange(lanes)
         self.lane_table, self.lane_rank = self.lane << _TABLE, self.lane * self.vocabulary
-        self.lane_class = self.lane * self.classes
 
     def predict(self) -> np.ndarray:
-        """Look up the three models; the cumulated frequencies of the classes (lanes x classes)."""
+        """Look up the three models; the cumulated frequencies of the classes (classes x lanes)."""
         mask = (1 << _TABLE) - 1
         self.slot1 = self.lane_table + ((self.last * 40503 >> 4) & mask)
         self.slot2 = self.lane_table + ((self.last * 10007 + self.before * 61681 >> 3) & mask)
@@ -78,14 +75,14 @@ class _Lanes:
         self.id2, self.sure2 = two >> 2, two & 3
         self.context1 = self.lane * 4 + self.sure1
         self.context2 = self.lane * 8 + self.sure2 * 2 + (self.id1 == self.id2)
-        self.now = (self.p0, self.p1.take(self.context1, axis=0), self.p2.take(self.context2, axis=0))
+        self.now = (self.p0, self.p1.take(self.context1, axis=1), self.p2.take(self.context2, axis=1))
         w = self.weights
-        mixed = self.now[0] * w[:, :1]
-        mixed += self.now[1] * w[:, 1:2]
-        mixed += self.now[2] * w[:, 2:]
+        mixed = self.now[0] * w[0]
+        mixed += self.now[1] * w[1]
+        mixed += self.now[2] * w[2]
         mixed >>= 15
         mixed += 1
-        return np.cumsum(mixed, axis=1, dtype=np.int64)
+        return np.cumsum(mixed, axis=0, dtype=np.int64)
 
     def class_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(class, rank) of the ids to code."""
@@ -97,16 +94,16 @@ class _Lanes:
 
     def learn(self, ids: np.ndarray, found: np.ndarray, rank: np.ndarray) -> None:
         """Take the coded ids, their classes and ranks into all models."""
-        at = self.lane_class + found
-        share = np.empty((self.n, 3), np.int32)
+        at = found * self.n + self.lane
+        share = np.empty((3, self.n), np.int32)
         for i, (p, rate) in enumerate(zip(self.now, _RATES, strict=True)):
             flat = p.reshape(-1)
-            share[:, i] = flat[at]
+            share[i] = flat[at]
             p -= p >> rate
             flat[at] += _ONE >> rate
-        self.p1[self.context1], self.p2[self.context2] = self.now[1], self.now[2]
+        self.p1[:, self.context1], self.p2[:, self.context2] = self.now[1], self.now[2]
         share *= self.weights
-        share //= (share.sum(axis=1, keepdims=True) >> 15) + 1
+        share //= (share.sum(axis=0) >> 15) + 1
         share -= self.weights
         share >>= 6
         self.weights += share
@@ -143,9 +140,9 @@ def _encode_side_by_side(blocks: list[np.ndarray], vocabulary: int) -> list[byte
         cumulated = model.predict()
         found, rank = model.class_of(own)
         lo, hi = low[:going], wide[:going]
-        top = cumulated[model.lane, found].astype(np.uint64)
-        below = np.where(found > 0, cumulated[model.lane, np.maximum(found - 1, 0)], 0).astype(np.uint64)
-        unit = hi // cumulated[:, -1].astype(np.uint64)
+        top = cumulated[found, model.lane].astype(np.uint64)
+        below = np.where(found > 0, cumulated[np.maximum(found - 1, 0), model.lane], 0).astype(np.uint64)
+        unit = hi // cumulated[-1].astype(np.uint64)
         lo += unit * below
         unit = unit * (top - below) // model.width[found]
         lo += unit * np.where(found > 1, rank - model.base[found], 0).astype(np.uint64)
@@ -192,12 +189,12 @@ def _decode_side_by_side(words: list[bytes], lengths: list[int], vocabulary: int
             model.keep(going)
         cumulated = model.predict()
         lo, hi = low[:going], wide[:going]
-        unit = hi // cumulated[:, -1].astype(np.uint64)
+        unit = hi // cumulated[-1].astype(np.uint64)
         value = ((code[:going] - lo) // unit).astype(np.int64)
-        found = (cumulated <= value[:, None]).sum(axis=1)
+        found = (cumulated <= value).sum(axis=0)
         np.minimum(found, model.classes - 1, out=found)  # only in damaged data
-        top = cumulated[model.lane, found].astype(np.uint64)
-        below = np.where(found > 0, cumulated[model.lane, np.maximum(found - 1, 0)], 0).astype(np.uint64)
+        top = cumulated[found, model.lane].astype(np.uint64)
+        below = np.where(found > 0, cumulated[np.maximum(found - 1, 0), model.lane], 0).astype(np.uint64)
         lo += unit * below
         width = model.width[found]
         unit = np.maximum(unit * (top - below) // width, np.uint64(1))
