@@ -191,7 +191,7 @@ def test_lengths_are_those_of_all_words(spark):
     rows = [(i, "vile " + " ".join(f"x{i}y{j}" for j in range(i))) for i in range(0, 40, 2)] + [(i, "kind") for i in range(1, 40, 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = toxicity.learn(docs, spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, toxic int"))
-    ids, cos = model.index.nearest(np.array([model.number["vile"]]), np.ones(1), 9)
+    ids, cos = model.index.nearest(np.array([model.number[b"vile"]]), np.ones(1), 9)
     assert model.ids[ids].tolist() == sorted(i for i in model.ids.tolist() if i % 2 == 0)[:9]
     assert (np.diff(cos) < 0).all()
     assert len(model.number) == len({w for i, t in rows if i in model.ids for w in t.split()})
