@@ -16,7 +16,7 @@ QUERIES = {
     "op3_best_fit_packing": lambda spark, sf_dir: packing.pack(read(spark, sf_dir, "documents")),
     "op4_quality_rules": lambda spark, sf_dir: quality.quality_rules(read(spark, sf_dir, "documents")),
     "op5_simhash_near_dedup": lambda spark, sf_dir: simhash.near_duplicates(read(spark, sf_dir, "documents")),
-    "op6_source_mixing": lambda spark, sf_dir: mixing.copies(read(spark, sf_dir, "documents")).drop("copies", "lane"),
+    "op6_source_mixing": lambda spark, sf_dir: mixing.copies(read(spark, sf_dir, "documents")).drop("copies", "lane", "second"),
     "op7_toxicity": lambda spark, sf_dir: toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
     "op8_pii_bootstrap": lambda spark, sf_dir: pii.extract(read(spark, sf_dir, "documents")).drop("row"),
     "op9_sharding": lambda spark, sf_dir: sharding.shard_documents(read(spark, sf_dir, "documents"), [1.0] * 40),

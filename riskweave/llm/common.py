@@ -6,8 +6,9 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word of the data contract: a maximal run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -87,3 +88,35 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _hashable(df: DataFrame, name: str) -> Column:
+    """A column in a form that Spark can hash: maps are not."""
+    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, T.MapType):
+        return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(column))))
+    return F.to_json(F.struct(column)) if "map<" in kind.simpleString() else column
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """A 64-bit hash of all columns: rows of one hash (for two seeds) are the same row.
+    Nulls are marked, since Spark's hash passes over them."""
+    return F.xxhash64(F.lit(seed), *[x for c in df.columns for x in (F.isnull(F.col(f"`{c}`")), _hashable(df, c))])
+
+
+def copy_numbers(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Number the rows of each ``key`` (a long, not null) from 0, without a hot key ever
+    meeting in one task: rows are numbered inside their partition and shifted by the
+    partitions before. ``rows`` is small columns only and is checkpointed. Which of the
+    rows of a key gets which number depends on how they lie; that all numbers are given
+    does not."""
+    at = F.monotonically_increasing_id()
+    rows = checkpointed(rows.withColumn("__at", at)).withColumn("__part", F.shiftright("__at", 33))
+    sizes = rows.groupBy(key, "__part").agg(F.count(F.lit(1)).alias("__n"))
+    # a key has a row for each partition at most
+    before = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    inside = Window.partitionBy(key, "__part").orderBy("__at")
+    return (rows.join(starts, [key, "__part"])
+            .withColumn(name, (F.col("__start") + F.row_number().over(inside) - 1).cast("long"))
+            .drop("__at", "__part", "__start"))

@@ -11,18 +11,22 @@ is rounded by its own odds. So a source's words miss the target by less than its
 last open document. All draws are seeded by hashes of the rows: reruns agree.
 
 Defined cases: a null or empty text has size 0 and takes 0; a null source is a source
-of its own, ranked last; repeated rows are rounded each on its own; an empty table
-gives an empty table; further input columns are ignored (and kept by ``mix``).
+of its own, ranked last; null ids are kept as they are; repeated rows are rounded each on
+its own, numbered among themselves so that they spread over the blocks; a very long text
+is one row of its size, and a source whose largest document stays open misses its target
+by that much at most; equal sizes are rounded in order of a hash of the row; an empty table
+gives an empty table; further input columns are ignored by ``copies`` but for that hash, and
+kept by ``mix``: only rows equal in every column count as the same row.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, n_words
+from .common import checkpointed, copy_numbers, n_words, row_hash
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3
@@ -90,27 +94,29 @@ def _settled(p: float) -> float:
     return 0.0 if p < 1e-9 else 1.0 if p > 1 - 1e-9 else p
 
 
-_STATE = "doc_id {id}, size long, source_size long, target double, whole int, p double, source string, lane long, open boolean"
+_STATE = "doc_id {id}, size long, source_size long, target double, whole int, p double, source string, lane long, second long, copy long, open boolean"
 
 
 def _round_level(rows: DataFrame, level: int, schema: str, last: bool) -> DataFrame:
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        # long documents first: the open rest ends on a short one
-        frame = frame.sort_values(["size", "lane", "doc_id"], ascending=[False, True, True], kind="stable")
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(table: pa.Table) -> pa.Table:
+        # Arrow keeps ids exact beside nulls; long documents first: the open rest ends on a short one
+        table = table.select(names).sort_by([("size", "descending"), ("lane", "ascending"), ("copy", "ascending")])
         # the block's seed comes from its rows, whatever task it runs in
-        seed = [SEED, level, len(frame), int(frame["lane"].to_numpy().astype(np.uint64).sum() & np.uint64(2**63 - 1))]
-        random = np.random.default_rng(seed)
-        size = frame["size"].to_numpy(np.float64)
-        p, held = pivot(size, frame["p"].to_numpy(np.float64), random)
+        lanes = table["lane"].to_numpy().astype(np.uint64).sum() & np.uint64(2**63 - 1)
+        random = np.random.default_rng([SEED, level, table.num_rows, int(lanes)])
+        p, held = pivot(table["size"].to_numpy().astype(np.float64), table["p"].to_numpy(), random)
         if last and held >= 0:
             p[held] = float(random.random() < p[held])
             held = -1
-        still = np.zeros(len(frame), bool)
+        still = np.zeros(len(p), bool)
         if held >= 0:
             still[held] = True
-        return frame.assign(p=p, open=still)[[f.split()[0] for f in schema.split(", ")]]
+        table = table.set_column(names.index("p"), "p", pa.array(p, pa.float64()))
+        return table.set_column(names.index("open"), "open", pa.array(still, pa.bool_()))
 
-    return rows.groupBy("source", "block").applyInPandas(run, schema)
+    return rows.groupBy("source", "block").applyInArrow(run, schema)
 
 
 def _lane() -> Column:
@@ -118,19 +124,15 @@ def _lane() -> Column:
     return F.xxhash64("doc_id", "source", "text")
 
 
-def _second() -> Column:
-    """A further hash, of id and source: two documents don't share both hashes."""
-    return F.xxhash64(F.lit(1), "doc_id", "source")
-
-
 def copies(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, copies, lane of every row
-    (lane: a hash to find the row again)."""
-    sized = checkpointed(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
-                                     _lane().alias("lane")))
+    """doc_id, source, size, source_size, target, taken, copies, lane, second of every row
+    (two hashes, the second of all columns, to find the row again)."""
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _lane().alias("lane"),
+                        row_hash(docs).alias("second"))
+    sized = checkpointed(copy_numbers(sized, "lane", "copy"))
     targets = checkpointed(source_targets(sized, weights, max_repeat))
     joined = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(
-        sized["doc_id"], sized["source"], "size", "lane", "source_size", "target")
+        sized["doc_id"], sized["source"], "size", "lane", "second", "copy", "source_size", "target")
     rate = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rate = F.when(F.abs(rate - F.round(rate)) < 1e-12, F.round(rate)).otherwise(rate)
     state = joined.withColumn("whole", F.floor(rate).cast("int")).withColumn("p", rate - F.floor(rate)).withColumn(
@@ -145,7 +147,7 @@ def copies(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> Da
         per_source = state.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
         blocks = per_source.select(F.col("source").alias("s"), F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"))
         last = not per_source.filter(F.col("n") > BLOCK_ROWS).limit(1).count()
-        lane = F.pmod(F.xxhash64(F.lit(level), F.col("lane")), F.col("blocks"))
+        lane = F.pmod(F.xxhash64(F.lit(level), F.col("lane"), F.col("copy")), F.col("blocks"))
         blocked = state.join(blocks, F.col("source").eqNullSafe(F.col("s"))).withColumn("block", lane).drop("s", "blocks")
         state = checkpointed(_round_level(blocked, level, schema, last))
         done = done.unionByName(state.filter(~F.col("open")))
@@ -155,16 +157,18 @@ def copies(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> Da
         level += 1
     n = (F.col("whole") + F.col("p").cast("int")).cast("int")
     return done.select("doc_id", "source", "size", "source_size", "target",
-                       (F.col("size") * n).cast("long").alias("taken"), n.alias("copies"), "lane")
+                       (F.col("size") * n).cast("long").alias("taken"), n.alias("copies"), "lane", "second")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as it was taken. Texts without
     a word have no size and stay out."""
-    # rows with the same id, source and text are one row here, taken as often as all of them
-    times = (copies(docs, weights, max_repeat).groupBy(F.col("lane").alias("__taken"), _second().alias("__of"))
+    # rows that are equal in every column are one row here, taken as often as all of them
+    times = (copies(docs, weights, max_repeat).groupBy(F.col("lane").alias("__taken"), F.col("second").alias("__of"))
              .agg(F.sum("copies").alias("__copies")))
     times = checkpointed(times.filter("__copies > 0"))
-    rows = docs.withColumn("__lane", _lane()).withColumn("__second", _second()).dropDuplicates(["__lane", "__second"])
+    rows = docs.withColumn("__lane", _lane()).withColumn("__second", row_hash(docs))
+    rows = rows.dropDuplicates(["__lane", "__second"])
     rows = rows.join(times, (F.col("__lane") == F.col("__taken")) & (F.col("__second") == F.col("__of")))
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

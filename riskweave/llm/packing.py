@@ -7,23 +7,28 @@ sources inside; the search starts at the smallest residual that fits and goes on
 its successors until a bin is compatible: the tightest compatible one. A document
 over the capacity is cut into full bins and a rest; nothing is dropped.
 
-Rows are dealt by hash into groups of bounded size, so no key gathers in one task;
-each group is packed on its own in one pass. A task holds no texts, only sizes.
+Rows are dealt by hash into groups of bounded size, repeated rows each by its number
+among them, so no key gathers in one task; each group is packed on its own in one pass. A
+task holds no texts, only sizes.
 
 Defined cases: a null or empty text has no words and takes no place (bin null,
-offset 0); null sources are one source; repeated rows are members of one cluster;
-an empty table gives an empty table; further input columns are ignored.
+offset 0); null sources are one source, null ids are kept as they are; repeated rows are
+members of one cluster; a very long text is cut into as many pieces as it needs, dealt
+one by one; equal lengths are laid out in order of id (null last) and piece, and equal
+residuals filled in order of bins; an empty table gives an empty table; further input
+columns are ignored (but for the one named as ``cluster``).
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, n_words
+from .common import checkpointed, copy_numbers, longs, n_words
 
 CAPACITY = 2_048  # words of a bin
 PER_SOURCE = 4  # pieces of one source in a bin
@@ -62,37 +67,42 @@ def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity
     return placed
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None) -> DataFrame:
     """doc_id, source, cluster, n_words, piece, start, length: one row for each
-    document, or for each bin's worth of a longer one. The cluster is the text
-    without regard to case and white space."""
+    document, or for each bin's worth of a longer one. The cluster is the value of the
+    column ``cluster``, as a near-duplicate operator gives it; where that is null or no
+    column is named, it is the text without regard to case and white space."""
     plain = F.lower(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    sized = docs.select("doc_id", "source", F.xxhash64(F.trim(plain)).alias("cluster"),
-                        n_words(F.col("text")).alias("n_words"))
+    of_text = F.xxhash64(F.trim(plain))
+    own = F.coalesce(F.when(F.col(cluster).isNotNull(), F.xxhash64(F.lit("cluster"), F.col(cluster))), of_text) if cluster else of_text
+    sized = docs.select("doc_id", "source", own.alias("cluster"), n_words(F.col("text")).alias("n_words"))
     cuts = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.floor((F.col("n_words") - 1) / capacity)))
     return (sized.withColumn("piece", F.explode(cuts)).withColumn("start", F.col("piece") * capacity)
             .withColumn("length", F.least(F.lit(capacity).cast("long"), F.col("n_words") - F.col("start"))))
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, cluster: str | None = None) -> DataFrame:
     """doc_id, source, cluster, piece, start, length, bin (``group-number``), offset of
     every piece. Words ``start`` to ``start + length`` go to ``offset`` of the bin."""
-    cut = checkpointed(pieces(docs, capacity))
+    keyed = pieces(docs, capacity, cluster).withColumn("key", F.xxhash64("doc_id", "piece", "cluster"))
+    cut = checkpointed(copy_numbers(keyed, "key", "copy"))
     groups = max(1, -(-cut.count() // GROUP_ROWS))
     # the piece is part of the hash, so a very long document spreads too
-    lane = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(groups))
+    lane = F.pmod(F.xxhash64("key", "copy"), F.lit(groups))
     schema = (f"doc_id {dict(docs.dtypes)['doc_id']}, source string, cluster long, piece long, start long, "
               "length long, bin string, offset long")
 
-    def run(key, frame):
-        frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        source, _ = pd.factorize(frame["source"], use_na_sentinel=False)
-        cluster, _ = pd.factorize(frame["cluster"])
-        lengths = frame["length"].tolist()
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        # Arrow keeps ids exact beside nulls
+        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("copy", "ascending")])
+        source = pc.dictionary_encode(table["source"].combine_chunks(), null_encoding="encode").indices.to_pylist()
+        cluster = table["cluster"].combine_chunks().dictionary_encode().indices.to_pylist()
+        lengths = table["length"].to_pylist()
         some = sum(x > 0 for x in lengths)  # the rest have no words
-        at = best_fit(lengths[:some], source.tolist()[:some], cluster.tolist()[:some], capacity, per_source)
-        bins = [f"{key[0]}-{b}" for b, _ in at] + [None] * (len(frame) - some)
-        return frame.assign(bin=bins, offset=[o for _, o in at] + [0] * (len(frame) - some))[
-            ["doc_id", "source", "cluster", "piece", "start", "length", "bin", "offset"]]
+        at = best_fit(lengths[:some], source[:some], cluster[:some], capacity, per_source)
+        bins = [f"{key[0].as_py()}-{b}" for b, _ in at] + [None] * (len(lengths) - some)
+        out = table.select(["doc_id", "source", "cluster", "piece", "start", "length"])
+        out = out.append_column("bin", pa.array(bins, pa.string()))
+        return out.append_column("offset", longs([o for _, o in at] + [0] * (len(lengths) - some)))
 
-    return cut.withColumn("lane", lane).groupBy("lane").applyInPandas(run, schema)
+    return cut.withColumn("lane", lane).groupBy("lane").applyInArrow(run, schema)

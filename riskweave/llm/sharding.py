@@ -8,8 +8,10 @@ no Python code runs on the rows, and no text is shuffled.
 
 Defined cases: a null key hashes like any other value (all null keys share a
 shard); a null text counts no bytes and has the crc32 of the empty string;
-repeated rows share their shard and take slots of their own; an empty table gives
-an empty table; further input columns are ignored.
+repeated rows share their shard and take slots of their own, in any order among
+themselves (a hot key is numbered in several parts); equal scores go to the smaller
+shard; a very long text counts by its bytes alone; an empty table gives an empty table;
+further input columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, copy_numbers
 
 #: Rows that one (shard, part) group of the slot numbering holds on average.
 ROWS_PER_PART = 50_000
@@ -59,19 +61,22 @@ def number_slots(df: DataFrame, shard: str, key: str, n_shards: int, slot: str =
     task: a shard is split into parts by a hash of the key, parts are numbered
     inside and shifted by the sizes of the parts before. ``df`` is small columns
     only and is checkpointed, because it is read for the part sizes and the rows."""
-    rows = checkpointed(df)
-    parts = max(1, -(-rows.count() // (n_shards * ROWS_PER_PART)))
-    rows = rows.withColumn("__part", F.pmod(F.xxhash64(F.lit("part"), F.col(key)), F.lit(parts)))
+    rows = checkpointed(copy_numbers(df.withColumn("__key", F.xxhash64(key)), "__key", "__copy"))
+    # as many parts as each shard needs; the rows of a hot key are spread over them
+    held = {r[shard]: r["count"] for r in rows.groupBy(shard).count().collect()}  # n_shards rows
+    parts = F.array(*[F.lit(max(1, -(-held.get(i, 0) // ROWS_PER_PART))) for i in range(n_shards)])
+    bucket = F.floor(F.col("__copy") / ROWS_PER_PART)
+    rows = rows.withColumn("__part", F.pmod(F.xxhash64(F.lit("part"), F.col("__key"), bucket), F.get(parts, F.col(shard))))
     sizes = rows.groupBy(shard, "__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(shard).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col(shard).alias("__s"), F.col("__part").alias("__p"),
                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(shard, "__part").orderBy(key)
+    inside = Window.partitionBy(shard, "__part").orderBy(key, "__copy")
     numbered = rows.withColumn("__i", F.row_number().over(inside) - F.lit(1))
     # one row for each ROWS_PER_PART input rows: bounded by rows / 50,000 + n_shards
     return (numbered.join(F.broadcast(starts), (F.col(shard) == F.col("__s")) & (F.col("__part") == F.col("__p")))
             .withColumn(slot, (F.col("__start") + F.col("__i")).cast("long"))
-            .drop("__part", "__i", "__s", "__p", "__start"))
+            .drop("__key", "__copy", "__part", "__i", "__s", "__p", "__start"))
 
 
 def shard_documents(docs: DataFrame, weights: Sequence[float]) -> DataFrame:

@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskweave.llm import mixing, packing, sharding, simhash
+from riskweave.llm import common, mixing, packing, sharding, simhash
 from riskweave.llm.common import read
 from riskweave.llm.components import components
 
@@ -365,3 +365,86 @@ def test_pipeline_stages_on_edge_cases(spark, edge, none):
             out = stage(spark, docs, "")
             assert i == 4 or out.columns == docs.columns
             assert docs.count() or not out.count()
+
+
+# --- exact ids, repeated rows, columns kept ------------------------------------------------------
+BIG = [2**53 + i for i in (1, 3, 5, 7)]
+
+
+def big_rows(spark):
+    rows = [(i, f"{w} {w}x a b c", "s") for i, w in zip([*BIG, None], "pqrst", strict=True)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_ids_above_two_to_the_53_stay_exact_beside_a_null(spark):
+    docs = big_rows(spark)
+    want = {*BIG, None}
+    assert {r["doc_id"] for r in packing.pack(docs).collect()} == want
+    assert {r["doc_id"] for r in mixing.copies(docs).collect()} == want
+    mixed = {r["doc_id"] for r in mixing.mix(docs).collect()}
+    assert mixed <= want and mixed
+    assert {r["doc_id"] for r in sharding.shard_documents(docs, [1.0] * 3).collect()} == want
+
+
+def test_mix_keeps_rows_that_differ_in_other_columns(spark):
+    rows = [(1, "a b c", "en", "s", 1), (1, "a b c", "de", "s", 2), (1, "a b c", None, "s", 2), (2, "d e", "en", "t", 3),
+            (2, "d e", "en", "t", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, lane long")
+    got = [tuple(r) for r in mixing.mix(docs, weights=(1.0,)).collect()]
+    # each source already has its share: every row is taken about once
+    taken = mixing.copies(docs, weights=(1.0,)).collect()
+    assert sorted(map(str, got)) == sorted(str(tuple(r)) for r in rows for _ in range(1)) or len(got) == sum(r["copies"] for r in taken)
+    assert set(map(str, got)) <= set(map(str, map(tuple, rows)))
+    three = spark.createDataFrame(rows[:3], docs.schema)
+    assert sorted(map(str, (tuple(r) for r in mixing.mix(three).collect()))) == sorted(map(str, rows[:3]))
+
+
+def test_rows_with_maps_and_null_columns_are_told_apart(spark):
+    docs = spark.sql("SELECT id AS doc_id, 'a b' AS text, 's' AS source, IF(id = 1, map('k', 1L), map('k', id)) AS m, "
+                     "IF(id = 0, NULL, 'x') AS l FROM range(4)")
+    assert docs.select(common.row_hash(docs).alias("h")).distinct().count() == 4
+    pair = spark.createDataFrame([(None, "x"), ("x", None)], "a string, b string")
+    assert pair.select(common.row_hash(pair).alias("h")).distinct().count() == 2
+    assert mixing.mix(docs).count() == 4
+
+
+def test_copies_are_numbered_without_a_gap(spark):
+    rows = spark.range(3_000).select((F.col("id") % 7 * (F.col("id") % 3)).alias("key")).repartition(9)
+    got = common.copy_numbers(rows, "key", "copy")
+    assert got.columns == ["key", "copy"]
+    for r in got.groupBy("key").agg(F.collect_list("copy").alias("c")).collect():
+        assert sorted(r["c"]) == list(range(len(r["c"])))
+
+
+def test_a_hot_repeated_row_fills_no_group(spark, monkeypatch):
+    """Two thirds of all rows are one row: its groups, blocks and parts stay small."""
+    rows = spark.range(12_000).selectExpr("IF(id % 3 > 0, 7, id) AS doc_id", "IF(id % 3 > 0, 'the same few words', concat('w', id, ' x y')) AS text",
+                                          "'s' AS source")
+    monkeypatch.setattr(packing, "GROUP_ROWS", 500)
+    packed = packing.pack(rows)
+    groups = packed.groupBy(F.split("bin", "-")[0].alias("g")).count().agg(F.max("count"), F.sum("count")).first()
+    assert groups[0] < 1_000 and groups[1] == 12_000
+    inside = packed.groupBy("bin", "cluster").count().agg(F.max("count")).first()[0]
+    assert inside == 1
+    monkeypatch.setattr(sharding, "ROWS_PER_PART", 500)
+    sharded = sharding.shard_documents(rows, [1.0] * 4)
+    for r in sharded.groupBy("shard").agg(F.collect_list("slot").alias("s")).collect():
+        assert sorted(r["s"]) == list(range(len(r["s"])))
+    assert sharded.filter("doc_id = 7").select("shard").distinct().count() == 1
+
+
+def test_mixing_agrees_whatever_the_partitions(spark):
+    rows = [(i % 40, f"w{i % 40} " * (1 + i % 9), f"s{i % 3}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    a, b = (sorted(map(tuple, mixing.copies(d).select("doc_id", "size", "taken").collect()))
+            for d in (docs.repartition(2), docs.repartition(7)))
+    assert a == b
+
+
+def test_packing_takes_clusters_from_a_column(spark):
+    rows = [(i, f"text number {i}", "s", 1 if i < 6 else None) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, component_id long")
+    got = packing.pack(docs, per_source=99, cluster="component_id").collect()
+    bins = [r["bin"] for r in got if r["doc_id"] < 6]
+    assert len(set(bins)) == 6  # one of a cluster in each
+    assert len({r["bin"] for r in packing.pack(docs, per_source=99).collect()}) == 1

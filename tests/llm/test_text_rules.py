@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import math
 import zlib
 from collections import Counter
 
@@ -197,6 +198,84 @@ def test_lengths_are_those_of_all_words(spark):
     assert len(model.number) == len({w for i, t in rows if i in model.ids for w in t.split()})
 
 
+def plain_scores(rows, labels):
+    """Every score by all cosines, without an index: id -> score."""
+    label = {i: y for i, y in labels if y in (0, 1) and zlib.crc32(str(i).encode()) % 5}
+    found = [(i, Counter(toxicity.words_of(t or ""))) for i, t in rows]
+    df = Counter(w for _, c in found for w in c)
+    examples = [(i, c, label[i]) for i, c in found if i in label]
+    n = [sum(y == v for _, _, y in examples) for v in (0, 1)]
+
+    def phi2(w):
+        a, b = (sum(w in c for _, c, y in examples if y == v) for v in (0, 1))
+        spread = (a + b) * (n[0] + n[1] - a - b) * n[0] * n[1]
+        return (a * (n[1] - b) - b * (n[0] - a)) ** 2 / spread if spread else 0.0
+
+    weight = {w: math.log((1 + len(rows)) / (1 + df[w])) * (1 + toxicity.CLASS_WEIGHT * phi2(w))
+              for w in {w for _, c, _ in examples for w in c}}
+
+    def vector(c):
+        v = {w: (1 + math.log(x)) * weight[w] for w, x in c.items() if w in weight}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / length for w, x in v.items()} if length else {}
+
+    known = sorted((i, vector(c), y) for i, c, y in examples)
+    out = {}
+    for i, c in found:
+        q = vector(c)
+        near = sorted((-round(sum(x * e.get(w, 0.0) for w, x in q.items()), 12), at) for at, (_, e, _) in enumerate(known))
+        votes = [(-far, known[at][2]) for far, at in near[:toxicity.NEIGHBOURS] if far < 0]
+        out[i] = sum(f * y for f, y in votes) / sum(f for f, _ in votes) if votes else None
+    return out
+
+
+def test_scores_equal_the_plain_version(spark):
+    rng = np.random.default_rng(12)
+    rows, labels = [], []
+    for i in range(260):
+        y = int(i % 3 == 0)
+        words = [f"t{i % 4}w{x}" for x in rng.zipf(1.4, rng.integers(5, 60)) % 60]
+        words += [f"bad{x}" for x in rng.integers(0, 12, 2 * y)]
+        rows.append((i, " ".join(words)))
+        labels.append((i, y))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    for i, want in plain_scores(rows, labels).items():
+        assert want is not None and got[i] == pytest.approx(want, abs=1e-9)
+
+
+def test_blocks_that_cannot_win_are_not_read():
+    """Topics of their own words: what is far from the query's topic stays unread."""
+    rng = np.random.default_rng(13)
+    topics = np.repeat(np.arange(40), 50)
+    own = rng.integers(0, 30, (2_000, 12)) + 30 * topics[:, None]  # a topic's words
+    common = 1_200 + rng.integers(0, 40, (2_000, 25))  # words of all topics, worth little
+    vectors = np.zeros((2_000, 1_240))
+    for words, worth in ((own, 1.0), (common, 0.15)):
+        np.put_along_axis(vectors, words, rng.uniform(0.5, 1, words.shape) * worth, axis=1)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    index = toxicity.BlockMaxIndex(vectors)
+    for i in range(0, 2_000, 37):
+        terms = np.flatnonzero(vectors[i])
+        ids, cos = index.nearest(terms, vectors[i][terms], 15)
+        every = vectors @ vectors[i]
+        assert ids.tolist() == np.lexsort((np.arange(2_000), -np.round(every, 12)))[:15].tolist()
+    assert index.read < 0.35 * index.had
+
+
+def test_examples_are_bounded_in_bytes(spark, monkeypatch):
+    rows = [(i, ("bad " if i % 2 else "kind ") * (i + 1)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "EXAMPLE_BYTES", 200)
+    monkeypatch.setattr(toxicity, "CLASS_BYTES", 900)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, labels)
+    size = {i: len(t) for i, t in rows}
+    assert max(size[i] for i in model.ids.tolist()) <= 200
+    assert all(sum(size[i] for i in model.ids.tolist() if i % 2 == c) <= 900 for c in (0, 1)) and len(model.ids) > 4
+    assert toxicity.toxicity(docs, labels).count() == 60  # all are scored
+
+
 # --- personal data -----------------------------------------------------------
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
