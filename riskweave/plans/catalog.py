@@ -953,3 +953,114 @@ def q_holt_winters_refined(spark, sf_dir):
                        (_F.col("sse") <= _F.col("line_sse") + slack).alias("not_above_line"),
                        (_F.col("sse") <= _F.col("grid_sse") + slack).alias("not_above_grid"),
                        (_F.abs(_F.col("sse") - _F.col("fit_sse")) <= slack).alias("replayed"))
+
+
+# --- L6/L8/L12: forests as tables ------------------------------------------------------------------------
+from ..operators import forest as ft  # noqa: E402
+
+# A small forest over the report's features: (feature, threshold, left, right), or the class weights of a leaf.
+_FIXED_FOREST = (
+    ("high_risk_ip", 0.5, ("late_delivery_risk", 0.5, (1.0, 8.0, 1.0), (1.0, 5.0, 4.0)),
+     ("address_mismatch", 0.5, (6.0, 3.0, 1.0), (8.0, 1.0, 1.0))),
+    ("order_value_eur", 150_000.0, ("review_score", 2.5, (1.0, 4.0, 5.0), (1.0, 9.0, 0.0)),
+     ("discount_rate", 0.05, (3.0, 5.0, 2.0), ("quantity", 100.0, (2.0, 2.0, 6.0), (1.0, 1.0, 2.0)))),
+    ("review_score", 3.5, ("high_risk_ip", 0.5, (0.0, 3.0, 7.0), (5.0, 2.0, 3.0)), (1.0, 9.0, 1.0)),
+)
+
+
+def _forest_rows():
+    rows = []
+
+    def add(tree, spec, depth):
+        at = sum(r[0] == tree for r in rows)
+        if not isinstance(spec[0], str):
+            rows.append([tree, at, -1, None, None, -1, -1, None, list(spec), depth])
+            return at
+        rows.append(row := [tree, at, ml.FEATURE_COLS.index(spec[0]), spec[1], None, None, None, 0.0, [0.0] * 3, depth])
+        row[5] = add(tree, spec[2], depth + 1)
+        row[6] = add(tree, spec[3], depth + 1)
+        return at
+
+    for t, spec in enumerate(_FIXED_FOREST):
+        add(t, spec, 0)
+    return rows
+
+
+def _fixed_forest(spark):
+    return spark.createDataFrame(_forest_rows(), "tree int, node int, feature int, threshold double, categories array<double>, "
+                                                 "left int, right int, gain double, stats array<double>, depth int")
+
+
+def _feature_arrays(spark, sf_dir):
+    """order_id, risk_label and the model's features as an array."""
+    from pyspark.ml.functions import vector_to_array
+    v = ml.assembler().transform(ml.label_encode(order_risk(spark, sf_dir)))
+    return v.select("order_id", "risk_label", vector_to_array("features").alias("x"))
+
+
+def _tree_sql(spec, k: int) -> str:
+    if not isinstance(spec[0], str):
+        return f"CAST({spec[k] / sum(spec)!r} AS DOUBLE)"
+    return f"CASE WHEN {spec[0]} <= CAST({spec[1]} AS DOUBLE) THEN {_tree_sql(spec[2], k)} ELSE {_tree_sql(spec[3], k)} END"
+
+
+def _splits(spec, where="true"):
+    """(feature, condition of the node, of its left, of its right) of each split of a tree."""
+    if not isinstance(spec[0], str):
+        return []
+    left = f"({where}) AND {spec[0]} <= CAST({spec[1]} AS DOUBLE)"
+    right = f"({where}) AND ({spec[0]} <= CAST({spec[1]} AS DOUBLE)) IS NOT TRUE"
+    return [(spec[0], where, left, right), *_splits(spec[2], left), *_splits(spec[3], right)]
+
+
+def _impurity_sql(where: str) -> str:
+    c = [f"CAST(count(*) FILTER (WHERE {where} AND risk_label = '{k}') AS DOUBLE)" for k in _CLASSES]
+    return f"({' + '.join(c)} - coalesce(({' + '.join(f'{x} * {x}' for x in c)}) / nullif({' + '.join(c)}, 0), 0))"
+
+
+@register("L6_forest_table_scores", "WITH p AS (SELECT order_id, " + ", ".join(
+    f"({' + '.join(_tree_sql(t, k) for t in _FIXED_FOREST)}) / CAST({len(_FIXED_FOREST)} AS DOUBLE) AS p{k}" for k in range(3)) + """
+FROM order_risk)
+SELECT order_id, round_even(p0, 9) AS p_fraud, round_even(p1, 9) AS p_normal, round_even(p2, 9) AS p_return FROM p""")
+def q_forest_table_scores(spark, sf_dir):
+    p = ft.score(_feature_arrays(spark, sf_dir), _fixed_forest(spark), "x", 3)
+    return p.select("order_id", *[_npr(_F.get("probability", _F.lit(k)), 9).alias(c)
+                                  for k, c in enumerate(("p_fraud", "p_normal", "p_return"))])
+
+
+_SPLIT_GAINS = "\nUNION ALL\n".join(
+    f"SELECT {t} AS tree, '{f}' AS feature, {_impurity_sql(at)} - {_impurity_sql(left)} - {_impurity_sql(right)} AS g FROM order_risk"
+    for t, spec in enumerate(_FIXED_FOREST) for f, at, left, right in _splits(spec))
+
+
+@register("L12_forest_table_importance", f"""WITH s AS ({_SPLIT_GAINS}),
+t AS (SELECT tree, sum(g) AS whole FROM s GROUP BY tree HAVING sum(g) > 0),
+f AS (SELECT feature, sum(g / whole) AS v FROM s JOIN t USING (tree) GROUP BY feature)
+SELECT n.feature, round_even(coalesce(f.v / (SELECT sum(v) FROM f), 0), 9) AS importance
+FROM (SELECT unnest([{", ".join(f"'{c}'" for c in ml.FEATURE_COLS)}]) AS feature) n LEFT JOIN f ON f.feature = n.feature""")
+def q_forest_table_importance(spark, sf_dir):
+    """The fixed splits with the orders' own class counts, and the importances that follow."""
+    df = _feature_arrays(spark, sf_dir)
+    label = _F.array_position(_F.array(*[_F.lit(c) for c in _CLASSES]), _F.col("risk_label")) - 1
+    fresh = ft.refresh(_fixed_forest(spark), df.withColumn("y", label), "x", "y", 3)
+    return ft.importance(fresh, ml.FEATURE_COLS).select("feature", _npr("importance", 9).alias("importance"))
+
+
+@register("L6_stored_forest_agrees", """
+SELECT CAST(ceil(CAST(0.25 AS DOUBLE) * count(*)) AS BIGINT) AS test_rows, CAST(0 AS BIGINT) AS other_class,
+       true AS same_probabilities, true AS same_importances FROM order_risk""")
+def q_stored_forest_agrees(spark, sf_dir):
+    """The production forest, stored as a table, read back and scored without Spark ML: its test rows,
+    how many get another class than from Spark ML, and whether probabilities and importances are the same."""
+    from pyspark.ml.functions import vector_to_array
+    model, test = _risk_model(spark, sf_dir)
+    nodes = ft.export_forest(model, _scratch(spark, "forest"))
+    theirs = ml.predict(model, test).select("order_id", _F.col("prediction").alias("y"), vector_to_array("probability").alias("p"),
+                                            vector_to_array("features").alias("x"))
+    both = ft.score(theirs, nodes, "x", len(_CLASSES))
+    gap = _F.aggregate(_F.zip_with("p", "probability", lambda a, b: _F.abs(a - b)), _F.lit(0.0), lambda s, v: _F.greatest(s, v))
+    imp = ft.importance(nodes, ml.FEATURE_COLS).withColumnRenamed("importance", "ours")
+    apart = imp.join(ml.feature_importance(model), "feature").agg(
+        (_F.max(_F.abs(_F.col("ours") - _F.col("importance"))) < 1e-9) & (_F.count(_F.lit(1)) == len(ml.FEATURE_COLS))).scalar()
+    return both.agg(_F.count(_F.lit(1)).alias("test_rows"), _F.count_if(_F.col("y") != _F.col("prediction")).alias("other_class"),
+                    (_F.max(gap) < 1e-9).alias("same_probabilities")).withColumn("same_importances", apart)
