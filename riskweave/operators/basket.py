@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .itemsets import frequent_by_level
 
 MAX_COLUMNS = 5_000  # of a one-hot matrix
 # The report's attributes.
@@ -76,8 +77,6 @@ def _subsets(items: Column, max_len: int) -> Column:
                 F.filter(idx, lambda k: k > j),
                 lambda k: F.array(F.get(items, i), F.get(items, j), F.get(items, k)))))))
         out.append(three)
-    if max_len > 3:
-        raise ValueError("max_len > 3: use method='fpgrowth'")
     arr = F.concat(*out)
     return F.when(n > 0, arr).otherwise(F.array().cast("array<array<string>>"))
 
@@ -89,13 +88,16 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.004, max_len: i
 
     ``method="expand"``: drop infrequent items, expand each basket into its
     subsets of size <= max_len, count. ``method="fpgrowth"``: Spark ML's
-    parallel FP-growth (for wide baskets), cut to ``max_len``."""
+    parallel FP-growth (for wide baskets), cut to ``max_len``. ``method="levels"``: grown
+    level by level, for any length; what ``"expand"`` does beyond three items, too."""
     n = baskets.select(F.count(F.lit(1))).scalar()
     if method == "fpgrowth":
         from pyspark.ml.fpm import FPGrowth
         model = FPGrowth(itemsCol=items, minSupport=min_support).fit(baskets.select(items))
         fs = model.freqItemsets.select(F.array_sort("items").alias("itemset"), F.col("freq").alias("count"))
         fs = fs.filter(F.size("itemset") <= max_len)
+    elif method == "levels" or max_len > 3:
+        fs = frequent_by_level(baskets, min_support, max_len, items, n)
     else:
         # baskets repeat: there are at most as many as combinations of values
         distinct = materialize(baskets.groupBy(F.col(items).alias("items")).agg(F.count(F.lit(1)).alias("times")))

@@ -1064,3 +1064,29 @@ def q_stored_forest_agrees(spark, sf_dir):
         (_F.max(_F.abs(_F.col("ours") - _F.col("importance"))) < 1e-9) & (_F.count(_F.lit(1)) == len(ml.FEATURE_COLS))).scalar()
     return both.agg(_F.count(_F.lit(1)).alias("test_rows"), _F.count_if(_F.col("y") != _F.col("prediction")).alias("other_class"),
                     (_F.max(gap) < 1e-9).alias("same_probabilities")).withColumn("same_importances", apart)
+
+
+# --- M3/M4 beyond three items ----------------------------------------------------------------------------
+_ITEMS4_SQL = _ITEMS_SQL.replace("""    JOIN fx c ON c.order_id = a.order_id AND b.item < c.item),""", """    JOIN fx c ON c.order_id = a.order_id AND b.item < c.item
+  UNION ALL
+  SELECT [a.item, b.item, c.item, d.item] FROM fx a
+    JOIN fx b ON a.order_id = b.order_id AND a.item < b.item
+    JOIN fx c ON c.order_id = a.order_id AND b.item < c.item
+    JOIN fx d ON d.order_id = a.order_id AND c.item < d.item),""")
+
+
+@register("M3_frequent_itemsets_len4", f"""WITH {_ITEMS4_SQL}
+SELECT array_to_string(itemset, ', ') AS itemset, CAST(size AS INTEGER) AS size, cnt AS count, support FROM itemsets""")
+def q_frequent_itemsets_len4(spark, sf_dir):
+    fs = mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 4)
+    return fs.select(_F.array_join("itemset", ", ").alias("itemset"), "size", "count", "support")
+
+
+@register("M4_association_rules_len4", f"""WITH {_ITEMS4_SQL}
+SELECT array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents,
+       antecedent_support, consequent_support, support, confidence, lift FROM rules""")
+def q_association_rules_len4(spark, sf_dir):
+    r = mb.association_rules(mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 4), 1.0)
+    return r.select(_F.array_join("antecedents", ", ").alias("antecedents"),
+                    _F.array_join("consequents", ", ").alias("consequents"),
+                    "antecedent_support", "consequent_support", "support", "confidence", "lift")
