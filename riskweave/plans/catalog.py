@@ -1090,3 +1090,87 @@ def q_association_rules_len4(spark, sf_dir):
     return r.select(_F.array_join("antecedents", ", ").alias("antecedents"),
                     _F.array_join("consequents", ", ").alias("consequents"),
                     "antecedent_support", "consequent_support", "support", "confidence", "lift")
+
+
+# --- S1-S4: text without a schema, rejected cells, committed packs ---------------------------------------
+_S1_LONGS = ("order_id", "customer_age_days", "previous_orders", "quantity", "delivery_days_estimated", "late_delivery_risk",
+             "address_mismatch", "high_risk_ip", "customer_support_contacts", "is_returned", "is_fraud")
+
+
+@register("S1_order_risk_inferred", "SELECT * REPLACE (" + ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in _S1_LONGS)
+          + f") FROM ({ORDER_RISK_SELECT})")
+def q_order_risk_inferred(spark, sf_dir):
+    """The orders written as text, and read back without a schema."""
+    from ..sources.checked import read_inferred
+    from ..sources.files import write_report
+    path = _scratch(spark, "orders-text")
+    write_report(order_risk(spark, sf_dir), path)
+    return read_inferred(spark, path)
+
+
+# the stand-in for a faulty file: some cells are overwritten, whatever they held
+_BAD_CELLS = (("quantity", 97, "x12", "not of type int"), ("order_date", 89, "2024-13-45", "not of type date"),
+              ("order_value_eur", 83, "12,50", "not of type double"))
+
+
+def _faulty_orders(spark, sf_dir):
+    from ..sources.checked import read_checked
+    from ..sources.files import ORDER_SCHEMA, write_report
+    text = order_risk(spark, sf_dir)
+    for c, every, cell, _ in _BAD_CELLS:
+        text = text.withColumn(c, _F.when(_F.col("order_id") % every == 0, cell).otherwise(_F.col(c).cast("string")))
+    path = _scratch(spark, "orders-faulty")
+    write_report(text, path)
+    return read_checked(spark, path, ORDER_SCHEMA, "order_id")
+
+
+@register("S2_rejected_cells", "\nUNION ALL\n".join(
+    f"SELECT CAST(order_id AS VARCHAR) AS order_id, '{c}' AS \"column\", '{cell}' AS cell, '{reason}' AS reason "
+    f"FROM order_risk WHERE order_id % {every} = 0" for c, every, cell, reason in _BAD_CELLS))
+def q_rejected_cells(spark, sf_dir):
+    return _faulty_orders(spark, sf_dir).rejected.select(_F.col("key").alias("order_id"), "column", "cell", "reason")
+
+
+@register("S2_accepted_rows", "SELECT CAST(order_id AS VARCHAR) AS order_id, order_date, quantity, order_value_eur, risk_label "
+          "FROM order_risk WHERE " + " AND ".join(f"order_id % {every} <> 0" for _, every, _, _ in _BAD_CELLS))
+def q_accepted_rows(spark, sf_dir):
+    return _faulty_orders(spark, sf_dir).rows.select("order_id", "order_date", "quantity", "order_value_eur", "risk_label")
+
+
+_ANY_BAD = " OR ".join(f"order_id % {every} = 0" for _, every, _, _ in _BAD_CELLS)
+
+
+@register("V7_rejections", f"""
+SELECT 'total_records' AS "check", CAST(count(*) AS VARCHAR) AS value FROM order_risk
+UNION ALL SELECT 'rejected_records', CAST(count(*) FILTER (WHERE {_ANY_BAD}) AS VARCHAR) FROM order_risk
+UNION ALL SELECT 'rejected_cells', CAST({" + ".join(f"count(*) FILTER (WHERE order_id % {e} = 0)" for _, e, _, _ in _BAD_CELLS)} AS VARCHAR) FROM order_risk
+""" + "".join(f"UNION ALL SELECT 'rejected_cells: {c}', CAST(count(*) AS VARCHAR) FROM order_risk WHERE order_id % {e} = 0 HAVING count(*) > 0\n"
+              for c, e, _, _ in _BAD_CELLS))
+def q_rejections(spark, sf_dir):
+    return _faulty_orders(spark, sf_dir).log()
+
+
+@register("S4_report_pack_contents", "\nUNION ALL\n".join(
+    f"SELECT CAST(2 AS BIGINT) AS version, 'By {c}' AS sheet, CAST({c} AS VARCHAR) AS value, count(*) AS count "
+    f"FROM order_risk WHERE {c} IS NOT NULL GROUP BY {c}" for c in ("country", "payment_method", "risk_label")))
+def q_report_pack_contents(spark, sf_dir):
+    """A pack written twice, then once more with a table that fails: the tables of what is left."""
+    from functools import reduce
+
+    from ..sources.pack import ReportPack
+    df = order_risk(spark, sf_dir)
+    pack = ReportPack(spark, _scratch(spark, "pack"))
+    names = ("country", "payment_method", "risk_label")
+    whole = {f"By {c}": sc.value_counts(df, [c]) for c in names}
+    pack.write({"By country": whole["By country"].limit(0)})
+    version = pack.write(whole)
+    broken = sc.value_counts(df, ["country"]).withColumn("count", _F.when(_F.col("count") >= 0, _F.raise_error(_F.lit("no table"))))
+    try:
+        pack.write(whole | {"By country": broken})
+    except Exception as e:
+        if "no table" not in str(e):
+            raise
+    version = pack.manifest().select("version").first()[0]
+    parts = [pack.read(f"By {c}").select(_F.lit(version).cast("long").alias("version"), _F.lit(f"By {c}").alias("sheet"), "value", "count")
+             for c in names]
+    return reduce(type(df).unionByName, parts)
