@@ -15,9 +15,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dense import numbered
 from .evaluate import with_class_weights
 
 # The model's features in the report's order.
@@ -30,15 +31,17 @@ MAX_VOCABULARY = 10_000  # distinct values of a column whose codes are constants
 FEATURE_COLS = tuple(f"{c}_enc" for c in CAT_COLS) + NUM_COLS
 
 
-def label_encode(df: DataFrame, cols: Sequence[str] = CAT_COLS, suffix: str = "_enc") -> DataFrame:
+def label_encode(df: DataFrame, cols: Sequence[str] = CAT_COLS, suffix: str = "_enc",
+                 max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
     """L1 (DataFrame form): code = rank of the value among the column's sorted
     distinct values, 0-based; NULL for NULL.
 
     One scan counts the distinct values of all columns, one reads the vocabularies
-    of those with at most ``MAX_VOCABULARY``; their codes are positions in a constant
-    array, so no row is exchanged. A larger column is joined to its code table."""
+    of those with at most ``max_vocabulary``; their codes are positions in a constant
+    array, so no row is exchanged. A larger column is joined to its code table, whose
+    values are numbered in range partitions."""
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    short = [c for c in cols if sizes[c] <= MAX_VOCABULARY]
+    short = [c for c in cols if sizes[c] <= max_vocabulary]
     out = df
     if short:
         vocab = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in short]).first()
@@ -48,7 +51,7 @@ def label_encode(df: DataFrame, cols: Sequence[str] = CAT_COLS, suffix: str = "_
     for c in cols:
         if c not in short:
             words = df.select(c).where(F.col(c).isNotNull()).distinct()
-            words = words.withColumn(f"{c}{suffix}", (F.dense_rank().over(Window.orderBy(c)) - 1).cast("int"))
+            words = numbered(words, c, f"{c}{suffix}").withColumn(f"{c}{suffix}", F.col(f"{c}{suffix}").cast("int"))
             out = out.join(words, c, "left")
     return out.select(*df.columns, *[f"{c}{suffix}" for c in cols])
 
@@ -117,8 +120,7 @@ def feature_importance(model: PipelineModel, features: Sequence[str] = FEATURE_C
     entry per feature (18), so it is built on the driver as a small table."""
     forest = model.stages[-1]
     imp = forest.featureImportances.toArray().tolist()
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
+    s = SparkSession.active()
     return (s.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], ["feature", "importance"])
             .orderBy(F.desc("importance"), "feature"))
 

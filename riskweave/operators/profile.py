@@ -32,6 +32,9 @@ CORR_COLS = ("customer_age_days", "previous_orders", "avg_order_value_eur", "ord
              "customer_support_contacts", "review_score", "is_returned", "is_fraud")
 
 
+MAX_BINS = 10_000  # of an automatic histogram: a column with far outliers would have any number
+
+
 def _position(col: str, names: Sequence[str]) -> Column:
     return F.array_position(F.array(*[F.lit(n) for n in names]), F.col(col))
 
@@ -175,6 +178,39 @@ def histogram(df: DataFrame, cols: Sequence[str] = DIST_COLS, bins: int = 20) ->
             .orderBy(_position("column", list(cols)), "bin"))
 
 
+def auto_bins(df: DataFrame, cols: Sequence[str] = DIST_COLS, max_bins: int = MAX_BINS) -> DataFrame:
+    """``(column, mn, mx, bins)``: the number of equal bins that NumPy's "auto" rule gives: the
+    smaller width of Sturges (range / (log2 n + 1)) and Freedman-Diaconis (2 IQR / n^(1/3),
+    unless that is 0), at most ``max_bins``; 1 for a constant column."""
+    prof = profile_long(to_long(df, cols), ["column"], [0.25, 0.75])
+    n = F.col("n").cast("double")
+    span = F.col("max") - F.col("min")
+    sturges = span / (F.log2(n) + F.lit(1.0))
+    fd = F.lit(2.0) * (F.col("q")[0.75] - F.col("q")[0.25]) / F.pow(n, F.lit(1.0 / 3.0))
+    width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
+    bins = F.when(span == 0, F.lit(1)).otherwise(F.least(F.ceil(span / width), F.lit(max_bins))).cast("int")
+    return prof.select("column", F.col("min").alias("mn"), F.col("max").alias("mx"), bins.alias("bins"))
+
+
+def histogram_auto(df: DataFrame, cols: Sequence[str] = DIST_COLS, max_bins: int = MAX_BINS) -> DataFrame:
+    """A11 with automatic bins: ``(column, bin, bin_lo, bin_hi, count)``; the number of bins comes
+    from a first stage over the rows, one row a column. The last bin is closed, empty bins have
+    count 0; a column without a value has no rows."""
+    long = to_long(df, cols)
+    rng = F.broadcast(materialize(auto_bins(df, cols, max_bins)))
+    span, bins = F.col("mx") - F.col("mn"), F.col("bins").cast("double")
+    at = F.when(span == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("value") - F.col("mn")) / span * bins).cast("int"), F.col("bins") - 1))
+    counted = (long.join(rng, "column").groupBy("column", at.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+    every = rng.select("*", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
+    width = span / bins
+    return (every.join(counted, ["column", "bin"], "left")
+            .select("column", "bin", (F.col("mn") + F.col("bin") * width).alias("bin_lo"),
+                    (F.col("mn") + (F.col("bin") + 1) * width).alias("bin_hi"),
+                    F.coalesce("count", F.lit(0)).cast("long").alias("count"))
+            .orderBy(_position("column", list(cols)), "bin"))
+
+
 def density(df: DataFrame, cols: Sequence[str] = DIST_COLS, points: int = 128, per_bandwidth: int = 8,
             reach: float = 6.0) -> DataFrame:
     """Gaussian KDE curve (Scott bandwidth ``h = sd * n^(-1/5)``) on

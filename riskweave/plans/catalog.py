@@ -1174,3 +1174,73 @@ def q_report_pack_contents(spark, sf_dir):
     parts = [pack.read(f"By {c}").select(_F.lit(version).cast("long").alias("version"), _F.lit(f"By {c}").alias("sheet"), "value", "count")
              for c in names]
     return reduce(type(df).unionByName, parts)
+
+
+# --- A8 by sketches, A11 with automatic bins, L1 with a large vocabulary ---------------------------------
+from ..operators import sketches as sk  # noqa: E402
+
+_RANK_SLACK = sk.rank_error(sk.K)
+_A8_LONG = "\nUNION ALL\n".join(
+    f"SELECT strftime(order_date, '%Y') AS period, '{c}' AS col, CAST({c} AS DOUBLE) AS value FROM order_risk "
+    f"WHERE {c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))" for c in pf.OUTLIER_COLS)
+
+
+@register("A8_iqr_outliers_approx", f"""WITH long AS ({_A8_LONG})
+SELECT period, col AS "column", count(*) AS n, true AS q1_in_bound, true AS q3_in_bound, true AS counted
+FROM long GROUP BY period, col""")
+def q_iqr_outliers_approx(spark, sf_dir):
+    """Yearly fences merged from monthly sketches: the exact ranks of both quartiles lie inside the
+    sketch's bound, and the outliers of the direct form are the rows beyond its fences."""
+    df = order_risk(spark, sf_dir)
+    monthly = sk.quantile_sketches(df, pf.OUTLIER_COLS, _F.date_format("order_date", "yyyy-MM"))
+    monthly.write.parquet(path := _scratch(spark, "sketches"))  # kept, and merged without the rows
+    stored = spark.read.parquet(path).withColumn("year", _F.substring("period", 1, 4))
+    merged = sk.iqr_fences(sk.merge_sketches(stored, ("year", "column"))).drop("sketch")
+    year = _F.date_format("order_date", "yyyy")
+    direct = sk.iqr_outliers_approx(df, pf.OUTLIER_COLS, year).select(_F.col("period").alias("year"), "column", _F.col("q1").alias("d1"),
+                                                                    _F.col("q3").alias("d3"), "n_outliers")
+    from ..functions.quantile import to_long
+    long = to_long(df.withColumn("year", year), pf.OUTLIER_COLS, ["year"])
+    sides = _F.broadcast(merged.join(direct, ["year", "column"]))  # a row for each year and column
+    v = _F.col("value")
+    width = _F.lit(1.5) * (_F.col("d3") - _F.col("d1"))
+    ranks = long.join(sides, ["year", "column"]).groupBy("year", "column").agg(
+        _F.max("n").alias("n"), *[_F.count_if(v < _F.col(q)).alias(f"below_{q}") for q in ("q1", "q3")],
+        *[_F.count_if(v <= _F.col(q)).alias(f"upto_{q}") for q in ("q1", "q3")],
+        _F.count_if((v < _F.col("d1") - width) | (v > _F.col("d3") + width)).alias("beyond"), _F.max("n_outliers").alias("counted"))
+    slack = _F.lit(_RANK_SLACK) * _F.col("n") + _F.lit(1.0)
+
+    def inside(q, p):
+        return (_F.col(f"below_{q}") <= _F.col("n") * p + slack) & (_F.col(f"upto_{q}") >= _F.col("n") * p - slack)
+
+    return ranks.select(_F.col("year").alias("period"), "column", "n", inside("q1", 0.25).alias("q1_in_bound"),
+                        inside("q3", 0.75).alias("q3_in_bound"), (_F.col("beyond") == _F.col("counted")).alias("counted"))
+
+
+@register("A11_histogram_auto", f"""
+WITH long AS ({long_cte(pf.DIST_COLS)}),
+{quantile_ctes([0.25, 0.75])},
+w AS (SELECT s.col, s.mn, s.mx, (s.mx - s.mn) / (log2(CAST(s.n AS DOUBLE)) + 1) AS sturges,
+             CAST(2 AS DOUBLE) * ({_q_pick(0.75)} - {_q_pick(0.25)}) / pow(CAST(s.n AS DOUBLE), CAST(1 AS DOUBLE) / 3) AS fd FROM stats s),
+r AS (SELECT col, mn, mx, CASE WHEN mx = mn THEN 1 ELSE CAST(least(ceil((mx - mn) / CASE WHEN fd > 0 THEN least(fd, sturges)
+             ELSE sturges END), {pf.MAX_BINS}) AS INTEGER) END AS bins FROM w),
+b AS (SELECT l.col, CASE WHEN r.mx = r.mn THEN 0
+                         ELSE least(CAST(floor((l.value - r.mn) / (r.mx - r.mn) * CAST(r.bins AS DOUBLE)) AS INTEGER), r.bins - 1) END AS bin
+      FROM long l JOIN r USING (col)),
+c AS (SELECT col, bin, count(*) AS cnt FROM b GROUP BY col, bin),
+g AS (SELECT col, mn, mx, CAST(bins AS DOUBLE) AS bins, CAST(unnest(range(0, bins)) AS INTEGER) AS bin FROM r)
+SELECT g.col AS "column", g.bin, mn + g.bin * ((mx - mn) / bins) AS bin_lo, mn + (g.bin + 1) * ((mx - mn) / bins) AS bin_hi,
+       coalesce(c.cnt, 0) AS count
+FROM g LEFT JOIN c ON c.col = g.col AND c.bin = g.bin""")
+def q_histogram_auto(spark, sf_dir):
+    return pf.histogram_auto(order_risk(spark, sf_dir))
+
+
+@register("L1_label_encode_large")
+def q_label_encode_large(spark, sf_dir):
+    """The codes as for vocabularies too large for constants: numbered in range partitions."""
+    enc = ml.label_encode(order_risk(spark, sf_dir), max_vocabulary=1)
+    return enc.select("order_id", *[f"{c}_enc" for c in ml.CAT_COLS])
+
+
+ORACLE["L1_label_encode_large"] = ORACLE["L1_label_encode"]

@@ -7,8 +7,8 @@ Plan shape (what Catalyst ends up running):
   map side, so only one row per order crosses the shuffle).
 * Customer history (first order date, mean order value, number of earlier
   orders) is computed without ever sorting one customer's orders in one task:
-  orders are ranked inside ``(customer, day)`` groups and the count of the
-  customer's orders on earlier days comes from a per-(customer, day) aggregate,
+  orders are ranked inside ``(customer, day)`` groups, cut into slices of the order key,
+  and the count of the customer's orders on earlier days comes from a per-(customer, day) aggregate,
   whose size per customer is bounded by the calendar, not by order volume.
   A customer holding a third of all orders is thus spread over many tasks.
 * Customer attributes, nation (25 rows, fixed by the schema), and error-event
@@ -29,6 +29,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+SLICE_BITS = 24  # of the order key: one customer's orders of one day are ranked slice by slice
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 ORDER_RISK_COLUMNS = [
@@ -60,19 +61,26 @@ def customer_history(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Return (orders ranked within customer-day, per customer-day history).
 
     ``previous_orders`` = orders of the same customer on earlier days
-    + rank of this order among the customer's orders on the same day.
+    + rank of this order among the customer's orders on the same day, which is its rank
+    inside its slice of ``2^SLICE_BITS`` order keys + that day's orders in lower slices.
+    So one customer's orders of one day never meet in one task either: a window holds
+    a slice's keys at most, and ``slices`` an entry for each slice with orders of that day.
     """
     o = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
         F.col("o_orderdate").cast("date").alias("order_date"),
     )
-    in_day = Window.partitionBy("o_custkey", "order_date").orderBy("o_orderkey")
-    ranked = o.withColumn("rank_in_day", F.row_number().over(in_day) - F.lit(1))
+    o = o.withColumn("slice", F.shiftright("o_orderkey", SLICE_BITS))
+    in_slice = Window.partitionBy("o_custkey", "order_date", "slice").orderBy("o_orderkey")
+    ranked = o.withColumn("rank_in_slice", F.row_number().over(in_slice) - F.lit(1))
 
-    per_day = o.groupBy("o_custkey", "order_date").agg(
-        F.count(F.lit(1)).alias("day_n"),
-        F.sum(F.round(F.col("o_totalprice") * F.lit(100)).cast("bigint")).alias("day_cents"),
+    per_slice = o.groupBy("o_custkey", "order_date", "slice").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.round(F.col("o_totalprice") * F.lit(100)).cast("bigint")).alias("cents"),
     )
+    per_day = per_slice.groupBy("o_custkey", "order_date").agg(
+        F.sum("n").alias("day_n"), F.sum("cents").alias("day_cents"),
+        F.collect_list(F.struct("slice", "n")).alias("slices"))
     cust = Window.partitionBy("o_custkey")
     before = cust.orderBy("order_date").rowsBetween(Window.unboundedPreceding, -1)
     history = per_day.select(
@@ -80,7 +88,7 @@ def customer_history(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce(F.sum("day_n").over(before), F.lit(0)).alias("orders_before_day"),
         F.min("order_date").over(cust).alias("first_order_date"),
         F.sum("day_cents").over(cust).alias("cust_cents"),
-        F.sum("day_n").over(cust).alias("cust_n"),
+        F.sum("day_n").over(cust).alias("cust_n"), "slices",
     )
     return ranked, history
 
@@ -114,6 +122,8 @@ def build_order_risk(orders: DataFrame, lineitem: DataFrame, customer: DataFrame
     is_returned = ((F.col("n_ret") * 3 >= F.col("n_lines") * 2) & (F.col("n_lines") >= 2)).cast("int")
     is_fraud = (((F.col("c_acctbal") < 0) & (F.col("o_orderstatus") == F.lit("P")))
                 | (F.col("o_orderkey") % 50 == 0)).cast("int")
+    # the same day's orders in lower slices of the order key
+    lower = F.aggregate(F.filter("slices", lambda x: x["slice"] < F.col("slice")), F.lit(0).cast("long"), lambda n, x: n + x["n"])
     out = o.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("order_date"),
@@ -123,7 +133,7 @@ def build_order_risk(orders: DataFrame, lineitem: DataFrame, customer: DataFrame
         F.col("o_orderstatus").alias("device_type"),
         F.col("c_mktsegment").alias("traffic_source"),
         F.datediff(F.col("order_date"), F.col("first_order_date")).cast("int").alias("customer_age_days"),
-        (F.col("orders_before_day") + F.col("rank_in_day")).cast("int").alias("previous_orders"),
+        (F.col("orders_before_day") + lower + F.col("rank_in_slice")).cast("int").alias("previous_orders"),
         (F.col("cust_cents") / F.col("cust_n") / F.lit(100.0)).alias("avg_order_value_eur"),
         F.col("o_totalprice").alias("order_value_eur"),
         F.col("qty").cast("int").alias("quantity"),
