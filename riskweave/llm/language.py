@@ -5,11 +5,17 @@ word borders marked) in order of frequency. A document's own list is compared to
 each language's by the out-of-place distance: the sum of rank differences, the
 profile length for an n-gram that the language lacks. Profiles are learned from a
 bounded sample of labelled rows (``per_language`` rows of each language on average,
-chosen by a hash of the id); every whole text is predicted.
+chosen by a hash of id and text) of the ``max_languages`` most frequent labels, a documented
+bound of the fit; every whole text is predicted.
+
+The ranks of all profiles are one sparse table by n-gram, so a document meets only the
+languages that have its n-grams, however many there are.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; with
-no labelled rows everything is ``und``; ties go to the smaller language code;
-repeated rows are predicted alike; further input columns are ignored.
+no labelled rows everything is ``und``; ties go to the smaller language code; labels beyond
+``max_languages`` are never predicted; a very long text is counted whole, in one task, and
+learned from n-gram by n-gram; repeated rows teach once and are predicted alike; an empty
+table gives an empty table; further input columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +31,8 @@ from .common import held_out, learnable, longs, map_batches, record, texts
 
 PROFILE = 300  # n-grams of a profile
 PER_LANGUAGE = 2_000  # labelled rows that a language's profile is learned from, on average
-MAX_LANGUAGES = 1_000  # more labels than this is a fault in the data, not a language list
+MAX_LANGUAGES = 10_000  # labels that are learned, the most frequent first
+HELD = 1 << 21  # n-grams of a language that a task holds before it adds them up
 UNKNOWN = "und"
 _SALT = 10_000_000
 
@@ -61,16 +68,18 @@ def ranked(codes: np.ndarray, k: int) -> np.ndarray:
 
 
 class Profiles:
-    """Rank of every profile n-gram in every language."""
+    """Rank of every profile n-gram in every language that has it, by n-gram."""
 
     def __init__(self, lists: dict[str, list[int]], size: int = PROFILE):
         self.size = size
         self.languages = sorted(lists)
-        self.codes = np.unique(np.array([c for x in lists.values() for c in x], np.int64))
-        self.ranks = np.full((len(lists), len(self.codes) + 1), -1, np.int32)
-        for row, name in enumerate(self.languages):
-            at = np.searchsorted(self.codes, np.array(lists[name], np.int64))
-            self.ranks[row, at] = np.arange(len(lists[name]))
+        code = np.array([c for name in self.languages for c in lists[name]], np.int64)
+        of = np.repeat(np.arange(len(lists)), [len(lists[name]) for name in self.languages])
+        rank = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(lists[name])) for name in self.languages]])
+        order = np.lexsort((of, code))
+        self.codes, first = np.unique(code[order], return_index=True)
+        self.start = np.append(first, len(code))
+        self.language, self.rank = of[order], rank[order].astype(np.int64)
 
     def predict(self, text: str) -> tuple[str, float]:
         """(language, 1 - mean out-of-place distance as a share of the largest)."""
@@ -78,15 +87,24 @@ class Profiles:
         if not len(own) or not self.languages:
             return UNKNOWN, 0.0
         at = np.searchsorted(self.codes, own)
-        known = np.append(self.codes, -1)[at] == own
-        ranks = self.ranks[:, np.where(known, at, len(self.codes))]
-        far = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(own))))
-        distance = far.sum(axis=1)
+        known = np.flatnonzero(np.append(self.codes, -1)[at] == own)
+        at = at[known]
+        count = self.start[at + 1] - self.start[at]
+        entry = np.arange(count.sum()) + np.repeat(self.start[at] - (np.cumsum(count) - count), count)
+        # an n-gram that a language lacks costs the profile's length
+        near = self.size - np.abs(self.rank[entry] - np.repeat(known, count))
+        distance = self.size * len(own) - np.bincount(self.language[entry], near, len(self.languages))
         best = int(distance.argmin())
         return self.languages[best], float(1 - distance[best] / (self.size * len(own)))
 
 
-def learn_profiles(docs: DataFrame, size: int = PROFILE, per_language: int = PER_LANGUAGE) -> Profiles:
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    code, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return code, np.bincount(back, np.concatenate([p[1] for p in parts]), len(code)).astype(np.int64)
+
+
+def learn_profiles(docs: DataFrame, size: int = PROFILE, per_language: int = PER_LANGUAGE,
+                   max_languages: int = MAX_LANGUAGES) -> Profiles:
     """Profiles from the learnable labelled rows of ``docs``.
 
     Rows of each language are counted over all of them; the hash threshold that
@@ -94,33 +112,40 @@ def learn_profiles(docs: DataFrame, size: int = PROFILE, per_language: int = PER
     larger than the others. n-grams are counted inside the tasks first."""
     labelled = docs.select("doc_id", "text", "lang").filter(
         learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the labels")
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not counts:
         return Profiles({}, size)
-    share = F.create_map(*[F.lit(x) for r in counts
-                           for x in (r["lang"], max(1, -(-per_language * _SALT // r["count"])))])
-    sample = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(_SALT)) < share[F.col("lang")])
+    share = docs.sparkSession.createDataFrame(
+        [(r["lang"], max(1, -(-per_language * _SALT // r["count"]))) for r in counts], "lang string, share long")
+    sample = labelled.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(_SALT)) < F.col("share"))
+    # a repeated row is one row, however hot its id
+    sample = sample.select("lang", "doc_id", "text").distinct()
 
     def count(batches):
         for batch in batches:
             names = batch.column("lang").to_pylist()
-            by: dict[str, list[np.ndarray]] = {}
+            by: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+            held: dict[str, int] = {}
             for name, text in zip(names, texts(batch), strict=True):
-                by.setdefault(name, []).append(ngram_codes(text))
-            for name, found in by.items():
-                code, n = np.unique(np.concatenate(found), return_counts=True)
+                code, n = np.unique(ngram_codes(text), return_counts=True)
+                by.setdefault(name, []).append((code, n))
+                held[name] = held.get(name, 0) + len(code)
+                if held[name] > HELD:
+                    by[name] = [_added(by[name])]
+                    held[name] = len(by[name][0][0])
+            for name, parts in by.items():
+                code, n = _added(parts)
                 yield record(lang=pa.array([name] * len(code), pa.string()), code=longs(code), n=longs(n))
 
     total = (sample.select("lang", "text").mapInArrow(count, "lang string, code long, n long")
              .groupBy("lang", "code").agg(F.sum("n").alias("n")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     # at most languages x profile length rows, both bounded above
-    rows = total.withColumn("rank", rank).filter(F.col("rank") <= size).select("lang", "rank", "code").collect()
+    rows = total.withColumn("rank", rank).filter(F.col("rank") <= size).select("lang", "rank", "code").toArrow()
+    rows = rows.sort_by([("lang", "ascending"), ("rank", "ascending")])
     lists: dict[str, list[int]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
-        lists.setdefault(r["lang"], []).append(r["code"])
+    for name, code in zip(rows["lang"].to_pylist(), rows["code"].to_pylist(), strict=True):
+        lists.setdefault(name, []).append(code)
     return Profiles(lists, size)
 
 

@@ -6,9 +6,10 @@ all flips of one or two bits), variants are shuffled, and fingerprints that meet
 a variant are linked. A link's bit distance is verified.
 
 Emitting 2,081 rows a fingerprint would shuffle far more bytes than the texts have.
-So a variant's bucket is a *linear* hash of its bits (a xor of one code for each set
-bit): the bucket of ``fp ^ flips`` is ``bucket(fp) ^ bucket(flips)``, which tells
-for every fingerprint which buckets hold variants of it. The fingerprint travels to
+So a variant's bucket is a *linear* hash of its bits: they are dealt into groups, and the
+bucket number has the parity of each group. The bucket of ``fp ^ flips`` is ``bucket(fp) ^
+bucket(flips)``, which tells for every fingerprint which buckets hold variants of it: with
+s groups, 1 + s + s (s - 1) / 2 of the 2^s at a radius of 2 (22 of 64, 121 of 32,768). The fingerprint travels to
 each of those once, deduplicated, and the bucket's task expands exactly its own
 variants, slice by slice, in bounded memory. Every variant is still made and met in
 one place; only its bytes on the wire are shared.
@@ -18,7 +19,8 @@ linked to the smallest one only: a star joins the same rows as all pairs. (For a
 limit the radius is rounded up, and the centre is one that is nearer than that.)
 
 Defined cases: a null or empty text has fingerprint zero, linked like any other; a
-text under four words is one shingle; repeated rows share a fingerprint; a row
+text under four words is one shingle; a very long text is hashed whole, by its task alone;
+ties of a bit (set in just half of the shingles) are 0; repeated rows share a fingerprint; a row
 without doc_id takes part, and its group is named by the smallest id there is (null
 if none); an empty table gives an empty table; further input columns are ignored.
 """
@@ -41,10 +43,9 @@ MAX_BITS = 4
 SEED = 42
 BITS = 64
 
-#: Bucket bits while a task can hold every fingerprint; beyond, see ``bucket_bits``.
 MIN_BUCKET_BITS = 6
-#: Fingerprints that a bucket's task holds, and variants that it sorts at a time.
-BUCKET_ROWS = 1 << 24
+#: Variants that a bucket's task makes in all, and those that it holds and sorts at a time.
+BUCKET_ROWS = 1 << 26
 SLICE_VARIANTS = 1 << 21
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -87,33 +88,37 @@ def flips(radius: int) -> np.ndarray:
 
 
 @functools.cache
-def _codes() -> np.ndarray:
-    """Linear hash by byte: codes[i, x] is the xor of the 32-bit codes of byte i's set bits."""
-    bit = np.random.default_rng(2024).integers(1, 1 << 32, BITS, np.uint32)
-    out = np.zeros((8, 256), np.uint32)
+def _codes(groups: int) -> np.ndarray:
+    """Linear hash by byte: codes[i, x] is the xor of the codes of byte i's set bits. Of
+    a code's low ``groups`` bits just one is set, that of the bit's group; the 32 bits above
+    are drawn, and cut a bucket into slices."""
+    bit = np.random.default_rng(2024).integers(1, 1 << 32, BITS, np.uint64) << np.uint64(groups)
+    if groups:
+        bit |= np.uint64(1) << np.arange(BITS, dtype=np.uint64) % np.uint64(groups)
+    out = np.zeros((8, 256), np.uint64)
     for i in range(8):
         for x in range(256):
-            out[i, x] = np.bitwise_xor.reduce(bit[[8 * i + b for b in range(8) if x >> b & 1]], initial=np.uint32(0))
+            out[i, x] = np.bitwise_xor.reduce(bit[[8 * i + b for b in range(8) if x >> b & 1]], initial=np.uint64(0))
     return out
 
 
-def linear_hash(values: np.ndarray, bits: int) -> np.ndarray:
-    """``bits`` bits of each value; hash(a ^ b) = hash(a) ^ hash(b)."""
+def linear_hash(values: np.ndarray, bits: int, more: int = 0) -> np.ndarray:
+    """``bits + more`` bits of each value, the parities of ``bits`` groups lowest;
+    hash(a ^ b) = hash(a) ^ hash(b)."""
     by_byte = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)
-    codes = _codes()
-    out = np.zeros(len(by_byte), np.uint32)
+    codes = _codes(bits)
+    out = np.zeros(len(by_byte), np.uint64)
     for i in range(8):
         out ^= codes[i, by_byte[:, i]]
-    return (out & np.uint32((1 << bits) - 1)).astype(np.int64)
+    return (out & np.uint64((1 << bits + more) - 1)).astype(np.int64)
 
 
 def bucket_bits(n: int, n_flips: int) -> int:
-    """Bits of the bucket number for n fingerprints, so that a task holds no more
-    than ``BUCKET_ROWS`` of them."""
+    """Bits of the bucket number for n fingerprints, so that a bucket's task makes no more
+    than ``BUCKET_ROWS`` variants."""
     bits = MIN_BUCKET_BITS
-    if n > BUCKET_ROWS:
-        while (n * n_flips >> bits) > BUCKET_ROWS:
-            bits += 1
+    while n * n_flips >> bits > BUCKET_ROWS and bits < 30:
+        bits += 1
     return bits
 
 
@@ -143,11 +148,10 @@ def links_in_bucket(fps: np.ndarray, bucket: int, bits: int, masks: np.ndarray,
     more = 0
     while (len(fps) * len(masks) >> (bits + more)) > SLICE_VARIANTS and bits + more < 30:
         more += 1
-    full = bits + more
-    of_mask = linear_hash(masks, full)
+    of_mask = linear_hash(masks, bits, more)
     masks = masks[np.argsort(of_mask, kind="stable")]
     of_mask = np.sort(of_mask)
-    of_fp = linear_hash(fps, full)
+    of_fp = linear_hash(fps, bits, more)
     found = []
     for part in range(1 << more):
         wanted = of_fp ^ (part << bits | bucket)  # the hash of the flips that lead into this slice

@@ -6,13 +6,20 @@ is a weighted sum of attributes: its quantised weights add the slices with bitma
 full adders, and the sums are bitmaps again. The k-th best sum is found from the most
 significant slice downward, and so are all rows that quantisation may have put below
 it, by an error bound that holds for every row. These boundary rows are resolved
-exactly, by integer products. Queries and rows meet in blocks on a grid, never row by
-row, and each block returns k rows a query.
+exactly, by integer products.
+
+Queries and rows meet in cells of a grid, never row by row: a block of queries and a stripe
+of rows. The stripe's task takes its rows block by block, those with the longest vectors
+first, and carries each query's k-th best score on: it is a floor for the slices of the
+next block, and a block whose longest vector can't reach it (Cauchy-Schwarz) is passed
+over. Stripes know each other through such floors as well: a first 256th of them is
+searched, then a 16th, then the rest, each pass with the k-th best scores of those before.
 
 Defined cases: null vectors, vectors with a null or non-finite component, and empty
 ones take no part; vectors meet those of their own length; a null vec_id is no query
 and sorts after the others among ties; of repeated rows each is a candidate, and a
-query's own row alone is left out; no rows, no result; further columns are ignored.
+query's own row alone is left out; no rows, no result; very long vectors are held by a
+task as many at a time as a stripe has rows; further columns are ignored.
 Sums must fit 64 bits, as the integer product itself must.
 """
 
@@ -28,8 +35,10 @@ from .common import checkpointed, longs
 SCALE = 1024
 ROW_BITS = 7  # leading bits of an attribute that are sliced
 WEIGHT_BITS = 7  # leading bits of a query's weight
-CELL_ROWS = 8_192
+CELL_ROWS = 8_192  # rows of a block
+STRIPE_BLOCKS = 16  # blocks of a stripe
 CELL_QUERIES = 1_024
+SHARES = (256, 16, 1)  # of the stripes, searched up to each pass
 CHUNK = 64  # queries whose bitmaps are in work at a time
 
 
@@ -91,8 +100,9 @@ class BitSlices:
         rows[:self.n] = 1
         self.rows = np.packbits(rows, bitorder="little").view(np.uint64)
 
-    def possible(self, queries: np.ndarray, k: int) -> np.ndarray:
-        """Bitmaps (queries x words) that hold, for each query, at least its k best rows."""
+    def possible(self, queries: np.ndarray, k: int, floors: np.ndarray | None = None) -> np.ndarray:
+        """Bitmaps (queries x words) that hold, for each query, at least its k best rows, of those
+        that reach its floor if it has one."""
         every = np.broadcast_to(self.rows, (len(queries), len(self.rows)))
         if self.n <= k:
             return every.copy()
@@ -125,6 +135,12 @@ class BitSlices:
         dropped = (1 << self.shift) - 1
         slack = (rest.sum(axis=1) * self.top << self.shift) + size.sum(axis=1) * dropped
         least = np.maximum(0, kth - -(-slack >> (self.shift + cut)))
+        if floors is not None:
+            # a score is its sum, scaled, and this constant, give or take the slack
+            fixed = queries @ self.low - ((weight * (queries < 0)).sum(axis=1) * self.top << (self.shift + cut))
+            reach = [max(0, int(f) - int(e) - int(c)) >> (self.shift + cut) for f, e, c in zip(floors, slack, fixed, strict=True)]
+            most = (1 << len(slices)) - 1
+            least = np.maximum(least, np.array([min(r, most) for r in reach], np.int64))
         # rows whose sum is at least that, again slice by slice
         above = np.zeros_like(every)
         equal = every.copy()
@@ -134,11 +150,11 @@ class BitSlices:
             equal = np.where(bit, equal & slices[place], equal & ~slices[place])
         return above | equal
 
-    def best(self, queries: np.ndarray, k: int):
+    def best(self, queries: np.ndarray, k: int, floors: np.ndarray | None = None):
         """For each query, (row numbers, scores) of all rows that may be among its k best."""
         for at in range(0, len(queries), CHUNK):
             chunk = queries[at:at + CHUNK]
-            found = self.possible(chunk, k)
+            found = self.possible(chunk, k, None if floors is None else floors[at:at + CHUNK])
             for query, bitmap in zip(chunk, found, strict=True):
                 rows = np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
                 yield rows, self.vectors[rows] @ query
@@ -153,24 +169,48 @@ def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embe
     return vectors.filter(fit).select(F.col(vec_id).cast("long").alias("vec_id"), ints.alias("e"))
 
 
+def stripe_best(have: np.ndarray, order_id: np.ndarray, row: np.ndarray, ask: np.ndarray, own: np.ndarray,
+                floors: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query (a row of ``ask``), (places, scores) of its k best rows of ``have`` that
+    reach its floor, ties to the smaller ``order_id``, its ``own`` row left out."""
+    longest = np.argsort(-np.linalg.norm(have.astype(np.float64), axis=1), kind="stable")
+    length = np.linalg.norm(ask.astype(np.float64), axis=1)
+    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(ask)
+    floors = floors.copy()
+    for at in range(0, len(have), CELL_ROWS):
+        block = longest[at:at + CELL_ROWS]
+        reach = length * np.linalg.norm(have[block[0]].astype(np.float64)) * (1 + 1e-9)
+        asking = np.flatnonzero(reach >= floors)
+        if not len(asking):
+            break  # the blocks to come are shorter still
+        # one more than k: the query's own row may be among them
+        found = BitSlices(have[block]).best(ask[asking], k + 1, floors[asking])
+        for i, (rows, score) in zip(asking, found, strict=True):
+            place = block[rows]
+            good = (row[place] != own[i]) & (score >= floors[i])
+            place, score = np.append(best[i][0], place[good]), np.append(best[i][1], score[good])
+            top = np.lexsort((order_id[place], -score))[:k]
+            best[i] = place[top], score[top]
+            if len(top) == k:
+                floors[i] = max(floors[i], score[top[-1]])
+    return best
+
+
 def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of each row whose vec_id is
     divisible by ``every``."""
     rows = checkpointed(quantised(vectors)).withColumn("row", F.monotonically_increasing_id())
     is_query = F.coalesce(F.col("vec_id") % every == 0, F.lit(False))
     n, m = rows.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
-    row_cells, query_cells = max(1, -(-n // CELL_ROWS)), max(1, -(-m // CELL_QUERIES))
+    stripes, query_cells = max(1, -(-n // (CELL_ROWS * STRIPE_BLOCKS))), max(1, -(-m // CELL_QUERIES))
     dim = F.size("e").alias("dim")
+    stripe = F.pmod(F.xxhash64("row"), F.lit(stripes)).cast("int")
+    candidates = rows.select("row", "vec_id", "e", dim, stripe.alias("r"),
+                             F.explode(F.sequence(F.lit(0), F.lit(query_cells - 1))).alias("q"))
+    queries = rows.filter(is_query).select("row", "vec_id", "e", dim, F.pmod("row", F.lit(query_cells)).cast("int").alias("q"))
+    none = np.iinfo(np.int64).min
 
-    def every_cell(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    candidates = rows.select("row", "vec_id", "e", dim, F.pmod("row", F.lit(row_cells)).cast("int").alias("r"),
-                             every_cell(query_cells).alias("q"))
-    queries = rows.filter(is_query).select("row", "vec_id", "e", dim, every_cell(row_cells).alias("r"),
-                                           F.pmod("row", F.lit(query_cells)).cast("int").alias("q"))
-
-    def meet(left, right):
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         def read(table):
             e = table.column("e").combine_chunks()
             values = e.flatten().to_numpy(zero_copy_only=False)
@@ -178,25 +218,39 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
 
         out = {"query_row": [], "query_id": [], "vec_id": [], "score": []}
         if left.num_rows and right.num_rows:
-            own, have = read(left)
-            asking, ask = read(right)
+            row, have = read(left)
+            own, ask = read(right)
             ids = left.column("vec_id").to_pylist()
             last = np.iinfo(np.int64).max
             order_id = np.array([last if i is None else i for i in ids], np.int64)
             names = right.column("vec_id").to_pylist()
-            # one more than k: the query's own row may be among them
-            for i, (at, score) in enumerate(BitSlices(have).best(ask, k + 1)):
-                other = own[at] != asking[i]
-                at, score = at[other], score[other]
-                top = np.lexsort((order_id[at], -score))[:k]
-                out["query_row"] += [int(asking[i])] * len(top)
-                out["query_id"] += [names[i]] * len(top)
-                out["vec_id"] += [ids[x] for x in at[top]]
-                out["score"] += score[top].tolist()
+            floors = right.column("floor").fill_null(none).to_numpy()
+            for i, (place, score) in enumerate(stripe_best(have, order_id, row, ask, own, floors, k)):
+                out["query_row"] += [int(own[i])] * len(place)
+                out["query_id"] += [names[i]] * len(place)
+                out["vec_id"] += [ids[x] for x in place]
+                out["score"] += score.tolist()
         return pa.table({name: longs(x) for name, x in out.items()})
 
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     keys = ("dim", "r", "q")
-    found = candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(
-        meet, "query_row long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = None
+    for i, share in enumerate(SHARES):
+        if i and not any(r % share == 0 and all(r % s for s in SHARES[:i]) for r in range(min(stripes, SHARES[0]))):
+            continue  # too few stripes for this pass
+        new = F.col("r") % share == 0
+        for before in SHARES[:i]:
+            new &= F.col("r") % before != 0
+        asked = queries.withColumn("floor", F.lit(None).cast("long"))
+        if found is not None:
+            kth = found.filter(F.col("rank") == k).select(F.col("query_row").alias("row"), F.col("score").alias("floor"))
+            asked = queries.join(kth, "row", "left")
+            asked = asked.select(*[F.col(c).alias(c) for c in asked.columns])  # columns of its own for the cogroup
+        cells = asked.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1)))).filter(new)
+        part = candidates.filter(new).groupBy(*keys).cogroup(cells.groupBy(*keys)).applyInArrow(
+            meet, "query_row long, query_id long, vec_id long, score long")
+        part = part if found is None else part.unionByName(found.drop("rank"))
+        found = part.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        if share > 1 and stripes > 1:
+            found = checkpointed(found)
+    return found.select("query_id", "rank", "vec_id", "score")

@@ -448,3 +448,24 @@ def test_packing_takes_clusters_from_a_column(spark):
     bins = [r["bin"] for r in got if r["doc_id"] < 6]
     assert len(set(bins)) == 6  # one of a cluster in each
     assert len({r["bin"] for r in packing.pack(docs, per_source=99).collect()}) == 1
+
+
+def test_a_fingerprint_travels_few_bytes_at_any_size():
+    """8 bytes to each bucket that it reaches: no jump, and under 1 KB at a thousand million."""
+    masks = simhash.flips(2)
+
+    def sent(n):
+        bits = simhash.bucket_bits(n, len(masks))
+        return 8 * len(np.unique(simhash.linear_hash(masks, bits)))
+
+    sizes = [10**4 * 2**i for i in range(18)]
+    assert all(b <= 1.35 * a for a, b in zip(map(sent, sizes), map(sent, sizes[1:])))
+    assert sent(10**3) == 8 * 22 and sent(10**9) < 1_000
+    assert 10**9 * sent(10**9) / 8 / 2 ** simhash.bucket_bits(10**9, len(masks)) < 1 << 23  # held by a bucket's task
+
+
+def test_buckets_are_even():
+    fps = np.random.default_rng(6).integers(0, 1 << 63, 20_000, np.uint64) * np.uint64(2)
+    for bits in (6, 10):
+        n = np.bincount(simhash.linear_hash(fps, bits), minlength=1 << bits)
+        assert n.max() < 2.2 * n.mean()

@@ -164,3 +164,49 @@ def test_comments_marked_as_articles_go(tree):
             f"<div id=comments><article><div><p>Two {LONG}</p></div></article></div><aside><article><p>Three {LONG}</p></article></aside>"
             f"<div style='display: none'><article><p>Four {LONG}</p></article></div>")
     assert html.article(page, tree) == LONG
+
+
+# --- floors of the top-k search ----------------------------------------------
+def test_topk_passes_and_stripes_equal_brute_force(spark, monkeypatch):
+    df = read(spark, SF_SMALL, "embeddings")
+    want = plain_topk(df.collect())
+    monkeypatch.setattr(topk, "CELL_ROWS", 16)
+    monkeypatch.setattr(topk, "STRIPE_BLOCKS", 2)
+    monkeypatch.setattr(topk, "SHARES", (8, 3, 1))
+    assert got_topk(df) == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_floors_lose_no_row_that_reaches_them(seed):
+    rng = np.random.default_rng(seed)
+    scale = [5, 300, 10**5, 2][seed]
+    have = rng.integers(-scale, scale + 1, (400, 7)) * rng.integers(1, 9, (400, 1))
+    ask = rng.integers(-scale, scale + 1, (30, 7))
+    ask[0] = 0
+    scores = ask @ have.T
+    slices = topk.BitSlices(have)
+    for floor in (np.iinfo(np.int64).min // 4, 0, int(np.quantile(scores, 0.9)), int(scores.max()), int(scores.max()) * 3):
+        for q, (rows, found) in enumerate(slices.best(ask, 11, np.full(30, floor))):
+            assert (found == scores[q, rows]).all()
+            tenth = sorted(scores[q], reverse=True)[10]
+            assert set(np.flatnonzero(scores[q] >= max(tenth, floor))) <= set(rows.tolist())
+
+
+def test_a_stripe_carries_its_floors_on(monkeypatch):
+    monkeypatch.setattr(topk, "CELL_ROWS", 50)
+    rng = np.random.default_rng(3)
+    have = rng.integers(-50, 51, (600, 6)) * np.repeat([20, 1], [60, 540])[:, None]
+    ask = rng.integers(-50, 51, (9, 6))
+    made = []
+    real = topk.BitSlices
+    monkeypatch.setattr(topk, "BitSlices", lambda x: made.append(len(x)) or real(x))
+    none = np.full(9, np.iinfo(np.int64).min)
+    rows = np.arange(600)
+    got = topk.stripe_best(have, rows, rows, ask, np.full(9, -1), none, 10)
+    scores = ask @ have.T
+    for q, (place, score) in enumerate(got):
+        want = np.lexsort((rows, -scores[q]))[:10]
+        assert place.tolist() == want.tolist() and score.tolist() == scores[q, want].tolist()
+    assert len(made) < 12  # short vectors' blocks are passed over
+    few = topk.stripe_best(have, rows, rows, ask, np.full(9, -1), scores.max(axis=1), 10)
+    assert all(set(s.tolist()) <= {m} for (_, s), m in zip(few, scores.max(axis=1), strict=True))

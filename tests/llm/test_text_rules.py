@@ -130,6 +130,58 @@ def test_quality_hash_collisions_are_checked():
     assert quality._equal_windows(ids, order, np.array([False, True]), 5).tolist() == [False, False]
 
 
+def plain_predict(lists, text, size):
+    """Out-of-place distances, n-gram by n-gram."""
+    words = [f" {w} " for w in "".join(c if c.isalpha() else " " for c in text.lower()).split()]
+    grams = Counter(g for w in words for k in (1, 2, 3) for g in (w[i:i + k] for i in range(len(w) - k + 1)) if g.strip())
+    code = {g: int("".join(f"{1 if c == ' ' else ord(c):021b}" for c in g), 2) for g in grams}
+    own = [c for _, c in sorted((-n, code[g]) for g, n in grams.items())[:size]]
+    best = min((sum(abs(i - ranks.index(c)) if c in ranks else size for i, c in enumerate(own)), name) for name, ranks in lists.items())
+    return best[1], 1 - best[0] / (size * len(own))
+
+
+def test_predictions_equal_out_of_place_distances(spark):
+    docs = read(spark, SF_SMALL, "documents")
+    lists = {}
+    for r in docs.filter("lang is not null").limit(12).collect():
+        lists[f"{r['lang']}{len(lists)}"] = [int(c) for c in language.ranked(language.ngram_codes(r["text"]), 40)]
+    model = language.Profiles(lists, 40)
+    for r in docs.limit(40).collect():
+        if any(c.isalpha() for c in r["text"]):
+            name, score = plain_predict(lists, r["text"], 40)
+            got = model.predict(r["text"])
+            assert got[0] == name and got[1] == pytest.approx(score)
+
+
+def test_more_than_a_thousand_labels_are_predicted(spark):
+    rng = np.random.default_rng(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def word(i, rng):  # each label has letters and pairs of its own
+        a, b, c = letters[i % 26], letters[i // 26 % 26], letters[i // 676]
+        return a + b + c + a + rng.choice(list(a + b + c))
+
+    rows = [(3 * i + j, " ".join(word(i, rng) for _ in range(12)), f"l{i:04}") for i in range(1_500) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identify(docs).join(docs, "doc_id").collect()
+    assert len({r["lang_pred"] for r in got}) > 1_200
+    learned = {r["lang"] for r in got if not r["held_out"]}
+    held = [r for r in got if r["held_out"] and r["lang"] in learned]
+    assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.8
+    few = language.learn_profiles(docs, max_languages=10)
+    assert len(few.languages) == 10
+
+
+def test_a_hot_row_teaches_once(spark):
+    rows = [(i, f"the and of {i} with", "en") for i in range(60)] + [(5, "zzz zzz zzz", "en")] * 900 + [(i, "der die das und", "de") for i in range(60, 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn_profiles(docs, per_language=10**6)
+    z = int(language.ngram_codes("zzz")[0])
+    at = int(np.searchsorted(model.codes, z))
+    english = model.rank[model.start[at]:model.start[at + 1]]
+    assert fold(5) == 0 or (english > 3).all()
+
+
 # --- toxicity ----------------------------------------------------------------
 def test_block_max_index_is_exact():
     rng = np.random.default_rng(3)
