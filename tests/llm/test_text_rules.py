@@ -4,7 +4,7 @@ import hashlib
 import re
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -410,3 +410,204 @@ def test_masking_keeps_rows_and_columns(edge):
     assert text[69]["text"].startswith("[PHONE], [CARD]. [IP] 300.1.1.1") and text[69]["n_chars"] == len(text[69]["text"])
     assert text[60]["text"] is None and text[3]["text"].endswith("Contact us at [EMAIL] today.")
     assert pii.masked("abcdef", "ip:1:3,card:2:5") == "a[IP]f"
+
+
+# --- the pattern graph -------------------------------------------------------
+def plain_finds(rows, hops=pii.HOPS):
+    """What the patterns add, text by text, with words instead of hashes: (id, start, end, kind)."""
+    def norm(w):
+        return re.sub("[0-9]", "0", w.lower())
+
+    laid = []
+    for i, text in rows:
+        spans = [m.span() for m in pii._WORD.finditer(text)]
+        words = [text[a:b] for a, b in spans]
+        ctx = [norm(w) for w in words]
+        at = lambda j, ctx=ctx: ctx[j] if 0 <= j < len(ctx) else None
+        cores = [w.strip(pii._EDGE).lower() for w in words]
+        seeds = pii.candidates(text, pii.base_spans(text))
+        laid.append((i, text, spans, at, cores, seeds))
+
+    def slots_of(entry):
+        _, _, spans, at, cores, _ = entry
+        for j in range(len(spans)):
+            yield ("L", at(j - 2), at(j - 1)), j, 1
+            for n in range(1, pii.MAX_RUN + 1):
+                if j + n <= len(spans):
+                    yield ("A", at(j - 1), at(j + n)), j, n
+
+    edges, seed_places = Counter(), []
+    for entry in laid:
+        i, text, spans, at, _, seeds = entry
+        free = 0
+        for start, end, inst, kind in sorted(seeds, key=lambda x: x[:2]):
+            first = max(j for j, (a, _) in enumerate(spans) if a <= start)
+            last = max(j for j, (a, _) in enumerate(spans) if a < end)
+            if first < free:
+                continue
+            free = last + 1
+            own = [("L", at(first - 2), at(first - 1))] + ([("A", at(first - 1), at(last + 1))] if last - first < pii.MAX_RUN else [])
+            seed_places.append((i, start, end, kind, own))
+            for p in own:
+                edges[p, ("seed", inst), kind] += 1
+    total = Counter(p for entry in laid for p, _, _ in slots_of(entry))
+
+    def kind_of(pairs):  # (kind, weight) -> the heaviest, first by name
+        w = Counter()
+        for k, n in pairs:
+            w[k] += n
+        return min(w, key=lambda k: (-w[k], k))
+
+    def inner(entry, j, n):
+        a, b = entry[2][j][0], entry[2][j + n - 1][1]
+        return pii._inner(entry[1], a, b)
+
+    slots, looked = [], set()
+    for _ in range(hops):
+        insts, held = defaultdict(dict), Counter()
+        for (p, inst, kind), n in edges.items():
+            insts[p].setdefault(inst, set()).add(kind)
+            held[p] += n
+        promising = {p for p in insts if len(insts[p]) >= pii.MIN_SEEDS and held[p] >= pii.MIN_START * total[p]}
+        fresh = promising - looked
+        if not fresh:
+            break
+        looked |= fresh
+        for entry in laid:
+            for p, j, n in slots_of(entry):
+                if p in fresh and all(entry[4][j:j + n]):
+                    a, b = inner(entry, j, n)
+                    if not any(s < b and a < e for s, e, _, _ in entry[5]):
+                        slots.append((entry[0], a, b, ("run", *entry[4][j:j + n]), p))
+        wanted = {s[3] for s in slots}
+        contexts = defaultdict(Counter)
+        for entry in laid:
+            for j in range(len(entry[2])):
+                for n in range(1, pii.MAX_RUN + 1):
+                    run = ("run", *entry[4][j:j + n])
+                    if j + n <= len(entry[2]) and run in wanted:
+                        at = entry[3]
+                        contexts[run][("L", at(j - 2), at(j - 1)) if n == 1 else None, ("A", at(j - 1), at(j + n))] += 1
+        known = {inst for _, inst, _ in edges}
+        graph = Counter((s[4], s[3]) for s in slots if s[3] not in known)
+        sure = {p: min(1.0, held[p] / total[p]) for p in promising}
+        for _ in range(pii.ROUNDS):
+            good = {p: c for p, c in sure.items() if c >= pii.MIN_CONFIDENCE}
+            rel = {i: sum(n * (good.get(b, 0) if a is None else (good.get(a, 0) + good.get(b, 0)) / 2) for (a, b), n in c.items()) / sum(c.values())
+                   for i, c in contexts.items() if i not in known}
+            sure = {p: min(1.0, (held[p] + sum(n * rel[i] for (q, i), n in graph.items() if q == p)) / total[p]) for p in promising}
+        accepted = {p: kind_of((k, 1) for inst, kinds in insts[p].items() for k in kinds) for p, c in sure.items() if c >= pii.MIN_CONFIDENCE}
+        learned = {}
+        for i, r in rel.items():
+            pairs = [(accepted[s[4]], 1) for s in slots if s[3] == i and s[4] in accepted]
+            if r >= pii.MIN_RELIABLE and pairs:
+                learned[i] = kind_of(pairs)
+        if not learned:
+            break
+        for i, kind in learned.items():
+            for (a, b), n in contexts[i].items():
+                for p in (a, b):
+                    if p is not None:
+                        edges[p, i, kind] += n
+    insts, held, weights = defaultdict(set), Counter(), defaultdict(list)
+    for (p, inst, kind), n in edges.items():
+        insts[p].add(inst)
+        held[p] += n
+        weights[p].append((kind, 1))
+    last = {p: (min(1.0, held[p] / total[p]), kind_of(weights[p])) for p in insts if len(insts[p]) >= pii.MIN_SEEDS}
+    last = {p: v for p, v in last.items() if v[0] >= pii.MIN_CONFIDENCE}
+    reliable = {inst for _, inst, _ in edges}
+    marks = {}
+    for i, a, b, inst, p in slots:
+        if inst in reliable and p in last:
+            marks.setdefault((i, a, b), []).append((*last[p], last[p][1]))
+    for i, a, b, kind, own in seed_places:
+        if kind == pii.SECRET:
+            for p in own:
+                if p in last:
+                    marks.setdefault((i, a, b), []).append((*last[p], pii.SECRET))
+    out, free = [], {}
+    for (i, a, b), kinds in sorted(marks.items(), key=lambda m: (m[0][0], m[0][1], -m[0][2])):
+        if a >= free.get(i, 0):
+            out.append((i, a, b, max(kinds)[2]))
+            free[i] = b
+    return out
+
+
+def finds(df, **options):
+    """The spans that are no base entities."""
+    out = []
+    for r in pii.extract(df, **options).collect():
+        n = r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"]
+        every = [(x.split(":")[0], int(x.split(":")[1]), int(x.split(":")[2])) for x in r["spans"].split(",") if x]
+        assert len(every) - n == r["n_found"]
+        base = {(k, s, e) for s, e, k in plain_spans(r["text"])} if "text" in r else None
+        out += [(r["doc_id"], s, e, k) for k, s, e in every if base is None or (k, s, e) not in base]
+    return sorted(out)
+
+
+def without_base(rows, found):
+    base = {(i, s, e, k) for i, t in rows for s, e, k in plain_spans(t)}
+    return sorted(f for f in found if f not in base)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_finds_equal_the_plain_graph(spark, seed):
+    rng = np.random.default_rng(seed)
+    names = [f"{a}{b}" for a in ("Ann", "Bo", "Cy", "Di") for b in ("", " Lee", "mar")]
+    frames = ["please write to {} or call", "the account of {} was closed", 'token = "{}" set', "user {} logged in", "see {} there", "{}"]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(rng.integers(1, 5)):
+            thing = rng.choice([rng.choice(names), f"u{rng.integers(0, 9)}@mail.example.com", f"10.0.0.{rng.integers(1, 30)}", "nothing",
+                                "".join(rng.choice(list("0123456789abcdef"), 40)), f"ID{rng.integers(0, 40)}x"])
+            parts.append(rng.choice(frames).format(thing))
+        rows.append((i, " ".join(parts)))
+    rows += [rows[0], rows[1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for hops in (1, 3):
+        got = set(without_base(rows, finds(docs, hops=hops)))  # the plain version names a repeated row once
+        want = set(plain_finds(rows, hops))
+        assert got == want, (hops, got ^ want)
+    assert want  # something is found beyond the formats
+
+
+def test_credentials_are_found_where_a_pattern_confirms_them(spark):
+    rng = np.random.default_rng(1)
+    keys = ["".join(rng.choice(list("0123456789abcdef"), 40)) for _ in range(12)]
+    rows = [(i, f'w{i} x{i} token = "{k}" y{i}') for i, k in enumerate(keys)]
+    rows += [(20, 'some token = "short-One" there'), (21, f"checksum{20} of it {keys[0][::-1]} z"), (22, "a token of thanks = none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = finds(docs)
+    assert [(i, k) for i, _, _, k in got] == [*[(i, "secret") for i in range(12)], (20, "secret")]
+    text = dict(rows)
+    assert {text[i][s:e] for i, s, e, _ in got} == {*keys, "short-One"}
+    assert "[SECRET]" in {r["doc_id"]: r["text"] for r in pii.mask(docs).collect()}[20]
+
+
+def test_finds_induce_further_patterns(spark):
+    """Phones mark what is called on; of those, names that also sign letters mark who signs."""
+    rows = [(100 + i, f"q{i} please call me on +1 (212) 555-01{i:02d} before noon {i}") for i in range(16)]
+    rows += [(20 + i, f"v{i} please call me on code{c} before noon") for i, c in enumerate("ABCDE")]
+    rows += [(30 + i, f"letter {i}{i} signed by code{c} with care r{i}") for i, c in enumerate("ABCDEXY")]
+    rows += [(50 + i, f"grass {i} grows on walls till noon s{i}") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+
+    def words(hops):
+        return {(i, text[i][s:e]) for i, s, e, _ in without_base(rows, finds(docs, hops=hops))}
+
+    first = {(20 + i, f"code{c}") for i, c in enumerate("ABCDE")}
+    assert not words(1) & {(35, "codeX"), (36, "codeY")}
+    assert words(3) >= {(35, "codeX"), (36, "codeY")}
+    assert not any(50 <= i < 60 for i, _ in words(3))
+    assert first <= words(1) and first <= words(3)
+
+
+def test_a_bitmap_has_all_and_little_else(spark):
+    wanted = spark.range(5_000).select(F.xxhash64("id").alias("pattern"))
+    bitmap = pii.Bitmap(wanted, "pattern")
+    keys = np.array([r[0] for r in wanted.collect()], np.int64).view(np.uint64)
+    assert bitmap.has(keys).all() and bitmap.bits >= 16
+    assert bitmap.has(np.random.default_rng(0).integers(0, 1 << 63, 50_000, np.uint64)).mean() < 0.1
