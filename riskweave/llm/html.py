@@ -8,9 +8,14 @@ decision tree, trained by Spark ML on the small labelled table below, tells arti
 text from the rest. Pages are independent rows, so there is no shuffle; a page is
 read once, in time linear in its length.
 
+A word of a class, id or role names furniture only if all of its compound does ("ad-slot",
+"comments area"). Beside any other word ("related-work"), and in the id of a heading or
+paragraph, it is a hint: the block's words, links and neighbours decide.
+
 Defined cases: null or empty html, and a page without article text, give the empty
-string; repeated rows are read alike; an empty table gives an empty table; further
-input columns are ignored.
+string; a very long page is read whole, in its task; ties in the tree go to the smaller label;
+repeated rows are read alike; an empty table gives an empty table; further input columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -55,6 +60,11 @@ FIRM_WORDS = COMMENT_WORDS | frozenset(
 #: Words that name furniture even beside a layout word ("page-footer").
 PLAIN_WORDS = FIRM_WORDS | frozenset(
     "breadcrumb breadcrumbs byline contentinfo copyright footer masthead menu nav navbar navigation pager pagination".split())
+#: Words of a compound that name no content: with these alone beside it, a furniture word holds.
+STRUCTURE_WORDS = frozenset(
+    "area article bar block body bottom box btn button caption cell code col column container entry foot form frame global "
+    "group head header holder id inner item items js left link links list main message module outer panel post primary right "
+    "row section secondary site slot small story text title top unit wrap wrapper zone".split())
 #: Furniture words after these in a compound, or before those, tell what a page has or lacks.
 STATE_BEFORE = frozenset("has no with without not hide show enable disable".split())
 STATE_AFTER = frozenset("open closed enabled disabled on off".split())
@@ -97,6 +107,17 @@ LABELLED = (
     # headings of an article
     (9, 0.0, 10, 0.0, 9, 0.0, 0, 1, 1, 1), (6, 0.0, 40, 0.0, 55, 0.0, 0, 1, 1, 1), (2, 0.0, 70, 0.0, 12, 0.0, 0, 1, 1, 1),
     (11, 0.0, 1, 1.0, 64, 0.0, 0, 1, 1, 1), (4, 0.0, 9, 0.0, 4, 0.0, 0, 1, 1, 1), (3, 0.0, 11, 0.0, 3, 0.0, 0, 1, 1, 1),
+    # whatever stands beside it: link lists and short lines before and after
+    (45, 0.0, 60, 0.0, 1, 1.0, 0, 1, 0, 1), (12, 0.0, 33, 0.0, 2, 1.0, 0, 1, 0, 1), (70, 0.0, 44, 0.0, 3, 1.0, 0, 1, 0, 1),
+    (1, 0.0, 20, 0.0, 1, 1.0, 0, 1, 0, 1), (8, 0.0, 7, 0.0, 5, 1.0, 0, 1, 0, 1), (3, 0.0, 2, 1.0, 2, 1.0, 0, 1, 0, 1),
+    (22, 0.0, 1, 1.0, 1, 1.0, 0, 1, 0, 1), (60, 0.1, 3, 1.0, 1, 1.0, 0, 1, 0, 1), (2, 0.0, 3, 0.0, 1, 1.0, 0, 1, 0, 1),
+    (5, 0.0, 1, 1.0, 3, 0.0, 0, 1, 0, 1), (11, 0.0, 2, 0.0, 1, 0.0, 0, 1, 0, 1), (38, 0.0, 10, 0.5, 4, 0.6, 0, 1, 0, 1),
+    (16, 0.0, 80, 0.0, 1, 0.5, 0, 1, 0, 1), (4, 0.0, 4, 0.0, 4, 0.8, 0, 1, 0, 1), (95, 0.0, 2, 0.0, 6, 1.0, 0, 1, 0, 1),
+    (7, 0.0, 62, 0.0, 2, 1.0, 0, 1, 1, 1), (3, 0.0, 2, 1.0, 1, 1.0, 0, 1, 1, 1), (8, 0.0, 1, 1.0, 3, 0.0, 0, 1, 1, 1),
+    (13, 0.0, 0, 0.0, 1, 1.0, 0, 1, 0, 1), (26, 0.0, 5, 1.0, 0, 0.0, 0, 1, 0, 1), (6, 0.0, 3, 0.0, 2, 1.0, 0, 1, 0, 1),
+    (4, 0.0, 1, 0.0, 60, 0.0, 0, 1, 0, 1), (5, 0.0, 2, 0.0, 20, 0.0, 0, 1, 0, 1), (2, 0.0, 2, 0.0, 9, 0.0, 0, 1, 0, 1),
+    (3, 0.0, 1, 1.0, 30, 0.0, 0, 1, 0, 1), (2, 0.0, 0, 0.0, 14, 0.0, 0, 1, 0, 1), (4, 0.0, 2, 1.0, 71, 0.1, 0, 1, 0, 1),
+    (5, 0.0, 1, 0.0, 41, 0.0, 0, 1, 0, 1), (3, 0.0, 2, 0.5, 8, 0.0, 0, 1, 0, 1),
     # lists of links inside an article
     (6, 1.0, 50, 0.0, 7, 1.0, 0, 1, 0, 0), (4, 1.0, 4, 1.0, 5, 1.0, 0, 1, 0, 0), (12, 0.92, 30, 0.0, 9, 1.0, 0, 1, 0, 0),
     (2, 1.0, 61, 0.0, 0, 0.0, 0, 1, 0, 0), (8, 1.0, 8, 1.0, 40, 0.0, 0, 1, 0, 0),
@@ -108,12 +129,17 @@ LABELLED = (
     (60, 0.05, 8, 0.0, 41, 0.0, 1, -1, 0, 0), (5, 0.0, 4, 0.0, 30, 0.0, 1, -1, 1, 0), (2, 1.0, 2, 1.0, 2, 1.0, 1, 0, 0, 0),
     (48, 0.0, 40, 0.0, 37, 0.0, 1, 0, 0, 0), (4, 0.0, 30, 0.0, 0, 0.0, 1, 0, 0, 0), (18, 0.2, 44, 0.0, 21, 0.0, 1, 0, 0, 0),
     (6, 0.0, 55, 0.0, 62, 0.0, 1, 0, 1, 0),
+    (40, 0.0, 70, 0.0, 2, 1.0, 1, 1, 0, 0), (12, 0.0, 44, 0.0, 60, 0.0, 1, 1, 0, 0), (85, 0.0, 90, 0.0, 77, 0.0, 1, 0, 0, 0),
     # a hint of furniture (0.5: the words of a page's frame): long blocks are text, short ones or links are not
     (84, 0.0, 51, 0.0, 97, 0.0, 0.5, 1, 0, 1), (45, 0.0, 3, 0.0, 40, 0.0, 0.5, 1, 0, 1), (23, 0.1, 30, 0.0, 18, 0.0, 0.5, 1, 0, 1),
     (3, 0.0, 40, 0.0, 4, 0.0, 0.5, 1, 0, 0), (5, 1.0, 4, 1.0, 50, 0.0, 0.5, 1, 0, 0),
     (70, 0.0, 40, 0.0, 66, 0.0, 0.5, 0, 0, 1), (24, 0.05, 8, 0.0, 24, 0.0, 0.5, 0, 0, 1), (110, 0.02, 0, 0.0, 0, 0.0, 0.5, 0, 0, 1),
     (2, 0.0, 62, 0.0, 39, 0.0, 0.5, 0, 0, 0), (4, 0.0, 30, 0.0, 0, 0.0, 0.5, 0, 0, 0), (30, 0.9, 6, 1.0, 28, 0.9, 0.5, 0, 0, 0),
     (60, 0.0, 40, 0.0, 50, 0.0, 0.5, -1, 0, 0), (3, 1.0, 2, 1.0, 3, 1.0, 0.5, -1, 0, 0),
+    (2, 0.0, 60, 0.0, 70, 0.0, 0.5, 1, 1, 1), (3, 0.0, 3, 0.0, 45, 0.0, 0.5, 1, 1, 1), (5, 0.0, 44, 0.0, 30, 0.0, 0.5, 1, 1, 1),
+    (6, 0.0, 50, 0.0, 60, 0.0, 0.5, 1, 0, 1), (12, 0.0, 28, 0.0, 41, 0.0, 0.5, 1, 0, 1), (8, 0.0, 2, 1.0, 3, 1.0, 0.5, 1, 0, 0),
+    (2, 0.0, 62, 0.0, 3, 1.0, 0.5, 1, 1, 0), (3, 0.0, 40, 0.0, 0, 0.0, 0.5, 1, 0, 0), (9, 0.1, 4, 1.0, 6, 0.9, 0.5, 1, 0, 0),
+    (4, 0.0, 3, 0.0, 38, 0.0, 0.5, 0, 1, 1), (6, 0.0, 48, 0.0, 52, 0.0, 0.5, 0, 0, 1), (7, 0.0, 2, 1.0, 2, 1.0, 0.5, 0, 0, 0),
     # unmarked blocks beside a marked article
     (6, 0.0, 1, 1.0, 12, 0.0, 0, -1, 0, 0), (35, 0.0, 40, 0.0, 8, 0.0, 0, -1, 0, 0), (3, 1.0, 2, 1.0, 3, 1.0, 0, -1, 0, 0),
     (90, 0.0, 60, 0.0, 0, 0.0, 0, -1, 0, 0), (4, 0.0, 70, 0.0, 5, 0.0, 0, -1, 1, 0), (22, 0.0, 80, 0.0, 3, 0.5, 0, -1, 0, 0),
@@ -123,6 +149,31 @@ LABELLED = (
     (2, 0.0, 62, 0.0, 39, 0.0, 0, 0, 0, 1), (44, 0.25, 51, 0.0, 30, 0.1, 0, 0, 0, 1), (19, 0.0, 61, 0.0, 3, 0.8, 0, 0, 0, 1),
     # their headings before text
     (8, 0.0, 3, 1.0, 58, 0.0, 0, 0, 1, 1), (5, 0.0, 36, 0.0, 47, 0.0, 0, 0, 1, 1), (7, 0.0, 2, 0.0, 33, 0.0, 0, 0, 1, 1),
+    # short and middling blocks: among text they are text, beside links they are not
+    (1, 0.0, 40, 0.0, 50, 0.0, 0, 0, 0, 1), (3, 0.0, 70, 0.0, 25, 0.0, 0, 0, 0, 1), (8, 0.0, 22, 0.05, 61, 0.0, 0, 0, 0, 1),
+    (12, 0.0, 15, 0.0, 80, 0.1, 0, 0, 0, 1), (5, 0.0, 55, 0.1, 18, 0.0, 0, 0, 0, 1), (10, 0.1, 33, 0.0, 47, 0.0, 0, 0, 0, 1),
+    (14, 0.2, 60, 0.0, 44, 0.0, 0, 0, 0, 1), (4, 0.0, 31, 0.0, 27, 0.0, 0, 0, 0, 1), (2, 0.0, 26, 0.0, 90, 0.0, 0, 0, 0, 1),
+    (16, 0.0, 71, 0.0, 1, 1.0, 0, 0, 0, 1), (20, 0.0, 50, 0.0, 3, 1.0, 0, 0, 0, 1), (28, 0.0, 64, 0.0, 1, 1.0, 0, 0, 0, 1),
+    (17, 0.0, 2, 1.0, 48, 0.0, 0, 0, 0, 1), (24, 0.0, 1, 1.0, 66, 0.0, 0, 0, 0, 1), (40, 0.45, 60, 0.0, 55, 0.0, 0, 0, 0, 1),
+    (33, 0.0, 3, 0.0, 71, 0.0, 0, 0, 0, 1), (29, 0.1, 4, 0.0, 38, 0.0, 0, 0, 0, 1),
+    (1, 0.0, 3, 1.0, 4, 1.0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 50, 0.0, 0, 0, 0, 0), (4, 0.0, 6, 1.0, 2, 1.0, 0, 0, 0, 0),
+    (8, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (12, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (5, 0.0, 2, 0.9, 60, 0.0, 0, 0, 0, 0),
+    (10, 0.1, 4, 1.0, 5, 1.0, 0, 0, 0, 0), (14, 0.2, 3, 1.0, 2, 1.0, 0, 0, 0, 0), (7, 0.0, 60, 0.0, 1, 1.0, 0, 0, 0, 0),
+    (3, 0.0, 44, 0.0, 2, 1.0, 0, 0, 0, 0), (11, 0.0, 71, 0.0, 1, 1.0, 0, 0, 0, 0), (16, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0),
+    (18, 0.1, 3, 1.0, 4, 0.9, 0, 0, 0, 0), (22, 0.3, 2, 1.0, 1, 1.0, 0, 0, 0, 0), (40, 0.45, 3, 1.0, 2, 1.0, 0, 0, 0, 0),
+    (9, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0, 0), (6, 0.0, 2, 1.0, 5, 0.0, 0, 0, 0, 0), (3, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0),
+    (12, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0, 0), (5, 0.0, 3, 0.0, 2, 1.0, 0, 0, 0, 0),
+    (11, 0.0, 80, 0.0, 4, 0.0, 0, 0, 0, 1), (9, 0.0, 60, 0.0, 2, 0.0, 0, 0, 0, 1), (5, 0.0, 71, 0.0, 3, 0.0, 0, 0, 0, 1),
+    (30, 0.0, 50, 0.0, 2, 0.0, 0, 0, 0, 1), (26, 0.0, 4, 0.0, 3, 1.0, 0, 0, 0, 1), (6, 0.0, 40, 0.0, 3, 1.0, 0, 0, 0, 0),
+    (9, 0.0, 52, 0.0, 4, 1.0, 0, 0, 0, 0), (4, 0.0, 28, 0.0, 2, 0.8, 0, 0, 0, 0), (12, 0.0, 66, 0.0, 8, 0.9, 0, 0, 0, 0),
+    (40, 0.0, 85, 0.07, 2, 1.0, 0, 0, 0, 1), (60, 0.05, 90, 0.2, 3, 1.0, 0, 0, 0, 1),
+    # their headings after link lists
+    (5, 0.0, 2, 1.0, 55, 0.0, 0, 0, 1, 1), (4, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1, 1), (5, 0.0, 1, 1.0, 27, 0.0, 0, 0, 1, 1),
+    (6, 0.0, 2, 1.0, 87, 0.0, 0, 0, 1, 1), (3, 0.0, 4, 1.0, 34, 0.0, 0, 0, 1, 1),
+    # headings of link lists
+    (6, 0.0, 70, 0.0, 2, 1.0, 0, 0, 1, 0), (2, 0.0, 55, 0.0, 4, 1.0, 0, 0, 1, 0), (5, 0.0, 1, 1.0, 3, 1.0, 0, 0, 1, 0),
+    (2, 0.0, 3, 1.0, 6, 1.0, 0, 0, 1, 0), (9, 0.0, 2, 1.0, 44, 0.0, 0, 0, 1, 1), (7, 0.0, 3, 0.0, 81, 0.0, 0, 0, 1, 1),
+    (4, 0.0, 61, 0.0, 26, 0.0, 0, 0, 1, 1),
     # short blocks among short ones, and link lists
     (3, 0.0, 2, 1.0, 4, 0.0, 0, 0, 0, 0), (5, 0.0, 4, 0.0, 3, 1.0, 0, 0, 0, 0), (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0),
     (9, 1.0, 8, 1.0, 50, 0.0, 0, 0, 0, 0), (30, 0.8, 6, 1.0, 28, 0.9, 0, 0, 0, 0), (4, 0.0, 45, 0.0, 2, 0.0, 0, 0, 0, 0),
@@ -164,6 +215,8 @@ def _named(value: str) -> set[str]:
                 break  # the rest of the compound is what the page has or lacks
             if word in FURNITURE_WORDS and not (i + 1 < len(words) and words[i + 1] in STATE_AFTER):
                 hint = word not in PLAIN_WORDS and (frame or not LAYOUT_WORDS.isdisjoint(words[:i]))
+                # beside a word of content, as in the ids that headings get, it says little
+                hint |= any(len(w) > 1 and w not in FURNITURE_WORDS | STRUCTURE_WORDS | LAYOUT_WORDS | STATE_AFTER for w in words)
                 found.add(word + "*" * hint)
     return found
 
@@ -180,6 +233,8 @@ def _furniture(tag: str, rest: str) -> int:
     sure = NONE
     for m in _ATTRIBUTE.finditer(rest):
         named = _named(m[2] or m[3] or m[4] or "")
+        if m[1].lower() == "id" and (tag == "p" or tag in HEADINGS):
+            named = {w.rstrip("*") + "*" for w in named}  # made from their text, often
         if not named.isdisjoint(COMMENT_WORDS if framed else FIRM_WORDS):
             return FIRM
         if named and not framed:

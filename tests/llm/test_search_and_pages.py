@@ -1,6 +1,7 @@
 """Top-k search and HTML extraction: brute force, accuracy and edge cases."""
 
 import re
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -166,6 +167,114 @@ def test_comments_marked_as_articles_go(tree):
     assert html.article(page, tree) == LONG
 
 
+@pytest.mark.parametrize("page", [
+    "<article><p>{0}</p><section id='related-work'><h2 id='related-work-1'>Related work</h2><p>One {0}</p><p>Two {0}</p></section></article>",
+    "<main><div id='advertising-in-france'><h2>Advertising in France</h2><p>{0}</p><p>One {0}</p></div></main>",
+    "<article><p id='banner-elk-history'>{0}</p><p>One {0}</p></article>",
+    "<article><h2 id='comments'>Comments</h2><p>{0}</p><p id='notice'>One {0}</p></article>",
+    "<div><p>{0}</p><div class='search-theory'><p>One {0}</p><p>Two {0}</p></div></div>"])
+def test_ids_made_from_text_hide_none(tree, page):
+    want = re.sub(r"</(h2|p)>", "\n", page)
+    want = re.sub(r"<[^>]*>", "", want).strip().format(LONG)
+    assert html.article(page.format(LONG), tree) == want
+
+
+def test_compounds_of_furniture_words_still_name_it(tree):
+    for name in ("class='ad-slot'", "id='ad-slot-3'", "class='comments-area'", "id=newsletter-signup-box", "class='social-share-links'",
+                 "class='cookie-notice-bar'", "role=navigation", "class='sidebar widget'"):
+        page = f"<article><p>{LONG}</p></article><div {name}><p>One {LONG}</p><p>Two {LONG}</p></div><article><p>Three {LONG}</p></article>"
+        assert html.article(page, tree) == f"{LONG}\nThree {LONG}", name
+
+
+def splits(tree):
+    return [] if isinstance(tree, int) else [html.FEATURES[tree[0]], *splits(tree[2]), *splits(tree[3])]
+
+
+def test_neighbours_take_part_in_the_decision(tree):
+    used = Counter(splits(tree))
+    print("splits by feature:", dict(used))
+    assert {"words", "prev_words", "next_words"} <= set(used)
+    assert used["prev_link_density"] + used["next_link_density"] >= 2
+    # the same block, other neighbours
+    page = "<div>{}</div><div>The committee agreed at once.</div><div>{}</div>"
+    links = "<a href=1>Home</a> <a href=2>More of it</a>"
+    assert "committee" in html.article(page.format(LONG, LONG), tree) and "committee" not in html.article(page.format(links, links), tree)
+
+
+def plain_blocks(page):
+    """(text, words, words in links) of each block of a simple page, by splitting."""
+    out = []
+    for part in re.split(r"</?(?:div|p|ul|li|h1|h2|table|tr|td|hr)[^>]*>", page):
+        text = " ".join(re.sub(r"<[^>]*>", "", part).split())
+        linked = " ".join(re.findall(r"<a[^>]*>(.*?)</a>", part)).split()
+        if text:
+            out.append((unescape(text), len(text.split()), len(linked)))
+    return out
+
+
+def bare_page(rng):
+    """A page without article, nav, class or id, and its text."""
+    words = "the of and a to in is was he for it with as his on be at by had not are but from or have".split()
+
+    def run(n):
+        return " ".join(rng.choice(words, n)).capitalize()
+
+    def link(n):
+        return f"<a href='/{rng.integers(99)}'>{run(n)}</a>"
+
+    top = [f"<div>{run(rng.integers(1, 4))}</div>", "<ul>" + "".join(f"<li>{link(rng.integers(1, 4))}</li>" for _ in range(rng.integers(3, 8))) + "</ul>"]
+    text = [("h1", run(rng.integers(4, 11)))]
+    for i in range(rng.integers(3, 9)):
+        n = int(rng.integers(25, 90))
+        text.append(("p", f"{run(n - 5)}, {link(2) if rng.random() < 0.4 else run(2)} {run(3)}."))
+        if rng.random() < 0.3:
+            text.append(("p", run(rng.integers(2, 12)) + "."))
+        if rng.random() < 0.2:
+            text.append(("h2", run(rng.integers(2, 6))))
+    while text[-1][0] == "h2" or len(text[-1][1].split()) < 25:
+        text.pop()
+    end = [f"<h2>{run(2)}</h2><ul>" + "".join(f"<li>{link(rng.integers(2, 8))}</li>" for _ in range(rng.integers(3, 7))) + "</ul>",
+           f"<hr><div>{run(rng.integers(3, 8))} {link(1)}</div><div>{link(2)} {link(1)}</div>"]
+    body = "".join(f"<{t}>{x}</{t}>" for t, x in text)
+    return "".join([*top, f"<div>{body}</div>", *end]), [re.sub("<[^>]*>", "", x) for _, x in text]
+
+
+def test_pages_without_any_marks(tree):
+    rng = np.random.default_rng(21)
+    right = found = there = 0
+    for _ in range(30):
+        page, text = bare_page(rng)
+        assert [(b["text"], b["words"], b["links"]) for b in html.blocks(page)] == plain_blocks(page)
+        got = Counter(html.article(page, tree).split("\n"))
+        want = Counter(" ".join(t.split()) for t in text)
+        right += sum((got & want).values())
+        found, there = found + sum(got.values()), there + sum(want.values())
+    print("blocks: precision", right / found, "recall", right / there)
+    assert right / found > 0.95 and right / there > 0.95
+
+
+def test_the_operator_equals_its_rule_block_by_block(tree):
+    """Features recomputed from the blocks, and the tree walked, for every block."""
+    rng = np.random.default_rng(22)
+    for _ in range(10):
+        page, _ = bare_page(rng)
+        laid = [(0, 0, 0), *plain_blocks(page), (0, 0, 0)]
+        headings = {" ".join(re.sub("<[^>]*>", "", x).split()) for x in re.findall(r"<h[12]>(.*?)</h[12]>", page)}
+        want = []
+        for (_, pw, pl), (text, w, n), (_, nw, nl) in zip(laid, laid[1:], laid[2:]):
+            x = (w, n / w, pw, pl / pw if pw else 0.0, nw, nl / nw if nw else 0.0, 0.0, 0, int(text in headings))
+            if html.classify(tree, x):
+                want.append(text)
+        assert html.article(page, tree) == "\n".join(want)
+
+
+def test_very_long_pages_and_clashing_columns(spark):
+    body = "".join(f"<p>{i} {LONG}</p>" for i in range(20_000))
+    pages = spark.createDataFrame([(1, "u", f"<article>{body}</article>", "t", 5, 1)], "page_id long, url string, html string, text string, n_chars int, words int")
+    r = html.extract(pages).first()
+    assert r["n_chars"] == sum(len(f"{i} {LONG}") for i in range(20_000)) + 19_999 and len(r) == 4
+
+
 # --- floors of the top-k search ----------------------------------------------
 def test_topk_passes_and_stripes_equal_brute_force(spark, monkeypatch):
     df = read(spark, SF_SMALL, "embeddings")
