@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -159,6 +159,13 @@ def top_rules(rules: DataFrame, n: int = 10) -> DataFrame:
     return rules.orderBy(F.desc("lift"), "antecedents", "consequents").limit(n)
 
 
+def plot_order(rules: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` strongest rules with ``position`` 1 for the weakest of them, as a horizontal bar
+    chart draws them from the bottom up."""
+    weakest = Window.orderBy("lift", F.desc("antecedents"), F.desc("consequents"))  # over n rows
+    return top_rules(rules, n).withColumn("position", F.row_number().over(weakest)).orderBy("position")
+
+
 def rules_for_outcomes(df: DataFrame, outcome: str, min_support: float = 0.004, max_len: int = 3,
                        min_lift: float = 1.0, method: str = "expand") -> DataFrame:
     """M1 -> M5 end to end for one outcome flag."""

@@ -90,14 +90,19 @@ def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "p
 
 
 def confusion_matrix(pred: DataFrame, classes: Sequence, label: str = "label",
-                     prediction: str = "prediction") -> DataFrame:
+                     prediction: str = "prediction", other: str | None = None) -> DataFrame:
     """Rows actual, one column per predicted class, in class order;
-    every class appears as a row even if absent."""
+    every class appears as a row even if absent. ``other`` names a column for predictions outside
+    of ``classes`` (missing ones too), which are left out of the matrix otherwise."""
     spark = pred.sparkSession
     cls = spark.createDataFrame([(c, i) for i, c in enumerate(classes)], ["actual", "__pos"])
     wide = (pred.groupBy(F.col(label).alias("actual"))
             .pivot(prediction, list(classes)).agg(F.count(F.lit(1))))
     out = cls.join(wide, "actual", "left").na.fill(0, [str(c) for c in classes])
+    if other:
+        known = F.coalesce(F.col(prediction).isin(list(classes)), F.lit(False))
+        rest = pred.groupBy(F.col(label).alias("actual")).agg(F.count_if(~known).alias(other))
+        out = out.join(rest, "actual", "left").na.fill(0, [other])
     return out.orderBy("__pos").drop("__pos")
 
 

@@ -107,7 +107,9 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFr
     # 2k numbers, bounded by the number of requested columns
     nulls = [int(first[f"z{i}"]) for i in range(len(cols))]
     means = [float(first[f"m{i}"]) if first[f"m{i}"] is not None else 0.0 for i in range(len(cols))]
-    cx = {c: f"({q[c]} - CAST({means[i]!r} AS DOUBLE))" for i, c in enumerate(cols)}
+    # masked and centred once for each row, below the aggregate; NULL where a value is missing
+    centred = df.selectExpr(*[f"{q[c]} - CAST({means[i]!r} AS DOUBLE) AS x{i}" for i, c in enumerate(cols)])
+    cx = {c: f"x{i}" for i, c in enumerate(cols)}
     aggs = ["count(1) AS n"]
     for i, c in enumerate(cols):
         if nulls[i] == 0:
@@ -120,13 +122,13 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFr
                 aggs.append(f"sum({cx[a]} * {cx[b]}) AS p{i}_{j}")
                 terms[(i, j)] = ("n", f"s{i}", f"s{j}", f"q{i}", f"q{j}", f"p{i}_{j}")
             else:
-                both = f"({q[a]} IS NOT NULL AND {q[b]} IS NOT NULL)"
+                both = f"({cx[a]} IS NOT NULL AND {cx[b]} IS NOT NULL)"
                 xa, xb = f"IF({both}, {cx[a]}, NULL)", f"IF({both}, {cx[b]}, NULL)"
                 aggs += [f"count_if({both}) AS n{i}_{j}", f"sum({xa}) AS sa{i}_{j}", f"sum({xb}) AS sb{i}_{j}",
                          f"sum({xa} * {xa}) AS qa{i}_{j}", f"sum({xb} * {xb}) AS qb{i}_{j}",
                          f"sum({xa} * {xb}) AS p{i}_{j}"]
                 terms[(i, j)] = (f"n{i}_{j}", f"sa{i}_{j}", f"sb{i}_{j}", f"qa{i}_{j}", f"qb{i}_{j}", f"p{i}_{j}")
-    sums = df.selectExpr(*aggs)
+    sums = centred.selectExpr(*aggs)
 
     # one row per ordered pair with its six raw sums (both orders from the same
     # one-row aggregate), then ONE correlation expression per row
@@ -148,6 +150,14 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFr
             .orderBy(_position("a", cols), _position("b", cols)))
 
 
+def correlation_wide(df: DataFrame, cols: Sequence[str] = CORR_COLS) -> DataFrame:
+    """A10 as a matrix: ``(a, <one column for each of cols>)``, a row for each of ``cols`` in order."""
+    cols = list(cols)
+    long = correlation_matrix(df, cols)
+    wide = long.groupBy("a").agg(*[F.max(F.when(F.col("b") == c, F.col("corr"))).alias(c) for c in cols])
+    return wide.orderBy(_position("a", cols))
+
+
 def _ranges(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     return long.groupBy(*keys).agg(F.min("value").alias("mn"), F.max("value").alias("mx"),
                                    F.count("value").alias("n"), F.stddev_samp("value").alias("sd"))

@@ -1244,3 +1244,20 @@ def q_label_encode_large(spark, sf_dir):
 
 
 ORACLE["L1_label_encode_large"] = ORACLE["L1_label_encode"]
+
+
+# --- O4, A10 as a matrix ---------------------------------------------------------------------------------
+@register("O4_top_fraud_rules_plot", f"""WITH {_ITEMS_SQL},
+top AS (SELECT array_to_string(ante, ', ') AS antecedents, array_to_string(cons, ', ') AS consequents, lift
+        FROM rules WHERE list_contains(cons, 'is_fraud') ORDER BY lift DESC, antecedents, consequents LIMIT 10)
+SELECT CAST(row_number() OVER (ORDER BY lift, antecedents DESC, consequents DESC) AS INTEGER) AS position,
+       antecedents, consequents, lift FROM top""")
+def q_top_fraud_rules_plot(spark, sf_dir):
+    r = mb.association_rules(mb.frequent_itemsets(_baskets(spark, sf_dir), 0.004, 3), 1.0)
+    return mb.plot_order(mb.outcome_rules(r, "is_fraud"), 10).select("position", "antecedents", "consequents", "lift")
+
+
+@register("A10_correlation_wide", f"WITH c AS ({_corr_sql(list(pf.CORR_COLS))})\nSELECT a, " + ", ".join(
+    f"max(CASE WHEN b = '{c}' THEN corr END) AS {c}" for c in pf.CORR_COLS) + " FROM c GROUP BY a")
+def q_correlation_wide(spark, sf_dir):
+    return pf.correlation_wide(order_risk(spark, sf_dir))

@@ -75,3 +75,10 @@ def test_driver_data_itemset_counts_by_size(spark):
     fs = mb.frequent_itemsets(mb.order_items(order_risk(spark, SF_SMALL)), 0.004, 3)
     by_size = {r["size"]: r["count"] for r in fs.groupBy("size").agg(F.count("*").alias("count")).collect()}
     assert by_size == {1: 49, 2: 668, 3: 1095}
+
+
+def test_plot_order_turns_the_top_rules_round(spark):
+    rules = spark.createDataFrame([(f"r{i}", "c", float(i % 4)) for i in range(9)], "antecedents string, consequents string, lift double")
+    top = [r["antecedents"] for r in mb.top_rules(rules, 5).collect()]
+    got = mb.plot_order(rules, 5).collect()
+    assert [r["antecedents"] for r in got] == top[::-1] and [r["position"] for r in got] == [1, 2, 3, 4, 5]

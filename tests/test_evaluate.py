@@ -69,3 +69,11 @@ def test_confusion_matrix_all_classes(spark):
     m = ev.confusion_matrix(df, ["a", "b", "c"]).collect()
     assert [r.actual for r in m] == ["a", "b", "c"]
     assert [r["a"] for r in m] == [1, 1, 0] and [r["c"] for r in m] == [0, 0, 0]
+
+
+def test_predictions_outside_the_classes_are_counted(spark):
+    rows = [("a", "a"), ("a", "x"), ("a", None), ("b", "a"), ("b", "b")]
+    pred = spark.createDataFrame(rows, "label string, prediction string")
+    got = {r["actual"]: (r["a"], r["b"], r["elsewhere"]) for r in ev.confusion_matrix(pred, ["a", "b", "c"], other="elsewhere").collect()}
+    assert got == {"a": (1, 0, 2), "b": (1, 1, 0), "c": (0, 0, 0)}
+    assert ev.confusion_matrix(pred, ["a", "b"]).columns == ["actual", "a", "b"]
