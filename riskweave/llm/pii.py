@@ -52,7 +52,7 @@ MIN_START = 0.3  # share of a pattern's occurrences that must hold reliable inst
 MIN_CONFIDENCE = 0.6  # of a pattern
 MIN_RELIABLE = 0.4  # of an instance that is no seed: it may stand in contexts that are not known yet
 MAX_RUN = 3  # words of a slot
-BITMAP_BITS = (16, 30)  # of a bitmap: at least, at most
+BITMAP_BITS = (20, 30)  # of a bitmap: at least, at most
 WORDS_TOGETHER = 1 << 18  # words of texts that are looked at together
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -307,21 +307,30 @@ def _together(some: list[str]):
 
 
 class Bitmap:
-    """Which hashes may be among the wanted ones."""
+    """Which hashes may be among the wanted ones: three windows of a hash's bits, each
+    a place in a bitmap of 64 bits for each wanted hash (a Bloom filter)."""
+
+    SHIFTS = (0, 17, 34)
 
     def __init__(self, wanted: DataFrame, name: str):
         low, high = BITMAP_BITS
-        self.bits = min(high, max(low, (16 * wanted.count()).bit_length()))
-        bit = F.col(name).bitwiseAND(F.lit((1 << self.bits) - 1))
-        by_word = wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(
+        self.bits = min(high, max(low, (64 * wanted.count()).bit_length()))
+        mask = F.lit((1 << self.bits) - 1)
+        places = F.explode(F.array(*[F.shiftrightunsigned(F.col(name), n).bitwiseAND(mask) for n in self.SHIFTS]))
+        by_word = wanted.select(places.alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
         self.words = np.zeros(1 << (self.bits - 6), np.uint64)
         for r in by_word.toLocalIterator():  # at most 2^24 rows
             self.words[r["w"]] = np.uint64(r["bits"] & (1 << 64) - 1)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        low = keys & np.uint64((1 << self.bits) - 1)
-        return (self.words[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) > 0
+        left = np.arange(len(keys))
+        for n in self.SHIFTS:
+            low = (keys[left] >> np.uint64(n)) & np.uint64((1 << self.bits) - 1)
+            left = left[(self.words[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) > 0]
+        found = np.zeros(len(keys), bool)
+        found[left] = True
+        return found
 
 
 def count_contexts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
