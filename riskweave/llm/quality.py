@@ -6,8 +6,10 @@ duplicated lines. Rows go through Spark in Arrow batches; a text never leaves it
 task, so there is no shuffle at all.
 
 Defined cases: a null text has no words; texts under ten words fail the base rule;
-repeated rows are judged alike; an empty table gives an empty table; further input
-columns are ignored.
+a very long text is rolled over whole, in arrays of its words, by its task alone; shares at
+just a limit pass, and of all n-grams of a length the one that covers most characters counts;
+repeated rows are judged alike; an empty table gives an empty table; further input columns
+are ignored.
 """
 
 from __future__ import annotations

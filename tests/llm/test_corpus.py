@@ -469,3 +469,20 @@ def test_buckets_are_even():
     for bits in (6, 10):
         n = np.bincount(simhash.linear_hash(fps, bits), minlength=1 << bits)
         assert n.max() < 2.2 * n.mean()
+
+
+def test_every_row_lives_in_its_winning_shard(spark):
+    """All scores of all rows recomputed, one by one."""
+    weights = [1.0, 2.5, 0.5, 1.0, 3.0]
+
+    def score(key, shard, weight):
+        h = xxhash.xxh64_intdigest(int(key).to_bytes(8, "little", signed=True), 42)
+        h = xxhash.xxh64_intdigest(shard.to_bytes(4, "little"), h)
+        return -weight / np.log(((h >> 11) + 0.5) / 2.0**53)
+
+    keys = [0, 1, -1, 2**62, -(2**63), *range(1_000, 1_400)]
+    rows = spark.createDataFrame([(k,) for k in keys], "doc_id long")
+    for r in sharding.assign(rows, "doc_id", weights, grown="grown", grown_weight=2.0).collect():
+        every = [score(r["doc_id"], s, w) for s, w in enumerate(weights)]
+        assert r["shard"] == int(np.argmax(every))
+        assert r["grown"] == (5 if score(r["doc_id"], 5, 2.0) > max(every) else r["shard"])
