@@ -1261,3 +1261,14 @@ def q_top_fraud_rules_plot(spark, sf_dir):
     f"max(CASE WHEN b = '{c}' THEN corr END) AS {c}" for c in pf.CORR_COLS) + " FROM c GROUP BY a")
 def q_correlation_wide(spark, sf_dir):
     return pf.correlation_wide(order_risk(spark, sf_dir))
+
+
+# the matrix itself, for a vocabulary that is given: payment methods and device types of the schema
+_ONE_HOT_ITEMS = tuple(f"payment_method_{v}" for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")) + tuple(
+    f"device_type_{v}" for v in ("F", "O", "P"))
+
+
+@register("M2_one_hot_fixed", f"WITH {_ITEMS_SQL}\nSELECT order_id, " + ", ".join(
+    f"""list_contains(items, '{n}') AS "{n}" """ for n in (*_ONE_HOT_ITEMS, *mb.BASKET_FLAGS)) + " FROM items")
+def q_one_hot_fixed(spark, sf_dir):
+    return mb.one_hot(order_risk(spark, sf_dir), vocabulary=_ONE_HOT_ITEMS)
