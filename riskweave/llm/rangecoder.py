@@ -6,7 +6,7 @@ time, so that each step is a handful of numpy operations on all of them.
 
 Three models predict the next id. Order 2 and order 1 remember, in hashed tables, the id
 that last followed the last two ids or the last one, with a confidence. Order 0 keeps all
-ids ranked: an id that occurs changes places with the id at a quarter of its rank. What is coded
+ids ranked: an id that it codes changes places with the id at a quarter of its rank. What is coded
 first is a class: the id is order 2's, or order 1's, or lies in one of the rank ranges of
 order 0, each four times as wide as the one before. Each model has its own distribution of
 the classes, for its present confidence; their mixture, with weights that follow how well
@@ -34,7 +34,7 @@ _RATES = (6, 5, 5)  # of the class distributions of order 0, 1 and 2
 class _Lanes:
     """The state of blocks that are coded side by side."""
 
-    def __init__(self, lanes: int, vocabulary: int):
+    def __init__(self, lanes: int, vocabulary: int, coding: bool):
         edges = [0]
         while edges[-1] < vocabulary:
             edges.append(min(vocabulary, max(4, 4 * edges[-1])))
@@ -45,7 +45,7 @@ class _Lanes:
         self.classes = len(self.base)
         kind = np.uint16 if vocabulary <= 1 << 16 else np.int32
         self.at_rank = np.tile(np.arange(vocabulary, dtype=kind), lanes)
-        self.rank_of = self.at_rank.copy()
+        self.rank_of = self.at_rank.copy() if coding else None  # decoding never asks for an id's rank
         self.vocabulary = vocabulary
         # an entry is 4 * id + confidence (0: nothing seen)
         self.one = np.zeros(lanes << _TABLE, np.int32)
@@ -113,11 +113,14 @@ class _Lanes:
             # a wrong id loses confidence, and its place once it has none left
             sure = np.where(hit, np.minimum(sure + 1, 3), sure - 1)
             table[slot] = np.where(sure > 0, told * 4 + sure, ids * 4 + 1)
+        # only what order 0 coded moves
+        own = np.flatnonzero(found > 1)
+        rank, coded, lane = rank[own], ids[own], self.lane_rank[own]
         front = rank >> 2
-        to, of = self.lane_rank + front, self.lane_rank + rank
-        other = self.at_rank[to]
-        self.at_rank[to], self.at_rank[of] = ids, other
-        self.rank_of[self.lane_rank + other], self.rank_of[self.lane_rank + ids] = rank, front
+        other = self.at_rank[lane + front]
+        self.at_rank[lane + front], self.at_rank[lane + rank] = coded, other
+        if self.rank_of is not None:
+            self.rank_of[lane + other], self.rank_of[lane + coded] = rank, front
         self.before, self.last = self.last, ids
 
 
@@ -128,7 +131,7 @@ def _encode_side_by_side(blocks: list[np.ndarray], vocabulary: int) -> list[byte
     for i, b in enumerate(blocks):
         ids[:len(b), i] = b
     lengths = np.array([len(b) for b in blocks])
-    model = _Lanes(n, vocabulary)
+    model = _Lanes(n, vocabulary, True)
     out = np.zeros((n, 4 * steps + 8), np.uint16)
     end = np.zeros(n, np.int64)
     low, wide = np.zeros(n, np.uint64), np.full(n, ~np.uint64(0))
@@ -179,7 +182,7 @@ def _decode_side_by_side(words: list[bytes], lengths: list[int], vocabulary: int
     for i in range(4):
         code = code << np.uint64(16) | given[:, i]
     at = np.full(n, 4)
-    model = _Lanes(n, vocabulary)
+    model = _Lanes(n, vocabulary, False)
     out = np.zeros((steps, n), np.int32)
     low, wide = np.zeros(n, np.uint64), np.full(n, ~np.uint64(0))
     long = np.array(lengths)
@@ -203,10 +206,7 @@ def _decode_side_by_side(words: list[bytes], lengths: list[int], vocabulary: int
         hi[:] = unit
         rank = model.base[found] + place.astype(np.int64)
         own = model.at_rank[model.lane_rank + rank].astype(np.int64)
-        one, two = found == 1, found == 0
-        own = np.where(two, model.id2, np.where(one, model.id1, own))
-        told = one | two
-        rank = np.where(told, model.rank_of[model.lane_rank + own], rank)
+        own = np.where(found == 0, model.id2, np.where(found == 1, model.id1, own))
         out[t, :going] = own
         rows = np.flatnonzero(hi < _BOTTOM)
         while len(rows):

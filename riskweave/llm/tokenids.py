@@ -41,7 +41,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 CHUNK_IDS = rangecoder.LANES * rangecoder.BLOCK_IDS  # as many blocks as are coded side by side
 TEXTS_CHARS = 1 << 20  # characters of texts that are encoded together, unless one is longer
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 19
 CACHE_CHARS = 1 << 25
 
 
@@ -83,10 +83,11 @@ class Encoder:
             own = text.replace("\n", " ").split(" ")
             words += own
             pieces.append(len(own))
-        new = list(dict.fromkeys(w for w in words if w not in self.number))
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        found = list(map(self.number.get, words))
+        if None in found:
+            self._learn(list(dict.fromkeys(w for w, n in zip(words, found, strict=True) if n is None)))
+            found = [self.number[w] if n is None else n for w, n in zip(words, found, strict=True)]
+        at = np.array(found, np.int64)
         first = self.start[at]
         size = self.start[at + 1] - first
         pieces = np.array(pieces, np.int64)
