@@ -862,7 +862,7 @@ def q_risk_model_supports(spark, sf_dir):
     """What the data fix in a forest's report, whatever its trees: supports by class."""
     encoded = ml.label_encode(order_risk(spark, sf_dir))
     split = ev.stratified_split(encoded, "risk_label", 0.25, 42, order_key=(_F.col("order_id") * 7919) % 10007)
-    model = ml.fit_risk_model(split.filter(_F.col("split") == "train"), num_trees=5, max_depth=4)
+    model = ml.fit_risk_model(split.filter(_F.col("split") == "train"))
     report = ev.classification_report(ml.predict(model, split.filter(_F.col("split") == "test")), "risk_label", "predicted")
     return report.filter(_F.col("class").isin(*_CLASSES)).select("class", "support")
 
