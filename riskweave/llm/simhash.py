@@ -46,7 +46,7 @@ BITS = 64
 MIN_BUCKET_BITS = 6
 #: Variants that a bucket's task makes in all, and those that it holds and sorts at a time.
 BUCKET_ROWS = 1 << 26
-SLICE_VARIANTS = 1 << 21
+SLICE_VARIANTS = 1 << 20
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -145,8 +145,11 @@ def links_in_bucket(fps: np.ndarray, bucket: int, bits: int, masks: np.ndarray,
     this bucket. Variants are made, sorted and compared a slice at a time: a slice
     is a further part of the linear hash."""
     fps = np.unique(fps)
+    # how many variants there are: the flips that lead from each fingerprint into this bucket
+    into, wanted = np.sort(linear_hash(masks, bits)), linear_hash(fps, bits) ^ bucket
+    here = int((np.searchsorted(into, wanted, side="right") - np.searchsorted(into, wanted)).sum())
     more = 0
-    while (len(fps) * len(masks) >> (bits + more)) > SLICE_VARIANTS and bits + more < 30:
+    while here >> more > SLICE_VARIANTS and more < 30:
         more += 1
     of_mask = linear_hash(masks, bits, more)
     masks = masks[np.argsort(of_mask, kind="stable")]

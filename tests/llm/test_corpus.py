@@ -486,3 +486,17 @@ def test_every_row_lives_in_its_winning_shard(spark):
         every = [score(r["doc_id"], s, w) for s, w in enumerate(weights)]
         assert r["shard"] == int(np.argmax(every))
         assert r["grown"] == (5 if score(r["doc_id"], 5, 2.0) > max(every) else r["shard"])
+
+
+def test_slices_hold_as_many_variants_as_they_may(monkeypatch):
+    """Counted by what the searches for met variants are given."""
+    monkeypatch.setattr(simhash, "SLICE_VARIANTS", 1 << 12)
+    masks = simhash.flips(2)
+    fps = np.random.default_rng(8).integers(0, 1 << 63, 3_000, np.uint64)
+    bucket = int(simhash.linear_hash(fps[:1], 6)[0])
+    own = np.array([f for f in fps if bucket in np.unique(simhash.linear_hash(f ^ masks, 6))], np.uint64)
+    sizes = []
+    real = np.repeat
+    monkeypatch.setattr(np, "repeat", lambda a, n, *r: sizes.append(int(np.sum(n))) or real(a, n, *r))
+    simhash.links_in_bucket(own, bucket, 6, masks, 4)
+    assert max(sizes) < 1.6 * simhash.SLICE_VARIANTS and sum(sizes) > 10 * simhash.SLICE_VARIANTS
