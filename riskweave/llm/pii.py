@@ -475,9 +475,8 @@ def discover(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, min_c
     # the graph's edges from reliable instances: (pattern, instance, kind, n)
     edges = (seeds.select(F.explode("patterns").alias("pattern"), "instance", "kind")
              .groupBy("pattern", "instance", "kind").agg(F.count(F.lit(1)).alias("n")))
-    totals = slots = contexts = None
-    while hops > 0:
-        hops -= 1
+    totals = slots = looked = contexts = None
+    for _ in range(hops):
         edges = checkpointed(edges)
         induced = (edges.groupBy("pattern").agg(F.count_distinct("instance").alias("seeds"), F.sum("n").alias("held"))
                    .filter(F.col("seeds") >= min_seeds))
@@ -520,9 +519,8 @@ def discover(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, min_c
         if learned.isEmpty():
             break
         edges = edges.unionByName(learned)
-    none = rows.sparkSession.createDataFrame([], "a long, b long, start long, end long, kind string, sure double")
-    if slots is None or totals is None:
-        return none.drop("sure")
+    if slots is None:
+        return rows.sparkSession.createDataFrame([], "a long, b long, start long, end long, kind string")
     # confidences after the last round, with all that was found
     edges = checkpointed(edges)
     last = (edges.groupBy("pattern").agg(F.count_distinct("instance").alias("seeds"), F.sum("n").alias("held"))
