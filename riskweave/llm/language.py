@@ -81,6 +81,14 @@ class Profiles:
         self.start = np.append(first, len(code))
         self.language, self.rank = of[order], rank[order].astype(np.int64)
 
+    @property
+    def ranks(self) -> np.ndarray:
+        """The table as a matrix, languages x (n-grams and one unknown), -1 where a language
+        lacks one: to look at, for a few languages."""
+        out = np.full((len(self.languages), len(self.codes) + 1), -1, np.int64)
+        out[self.language, np.repeat(np.arange(len(self.codes)), np.diff(self.start))] = self.rank
+        return out
+
     def predict(self, text: str) -> tuple[str, float]:
         """(language, 1 - mean out-of-place distance as a share of the largest)."""
         own = ranked(ngram_codes(text), self.size)
