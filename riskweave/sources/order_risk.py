@@ -11,12 +11,15 @@ Plan shape (what Catalyst ends up running):
   and the count of the customer's orders on earlier days comes from a per-(customer, day) aggregate,
   whose size per customer is bounded by the calendar, not by order volume.
   A customer holding a third of all orders is thus spread over many tasks.
-* Customer attributes, nation (25 rows, fixed by the schema), and error-event
-  counts are combined per customer before they meet the order stream, so the
-  big side is shuffled once for them.
+* Customer attributes and error-event counts are combined per customer, and what an order
+  takes from its customer's history is worked out there, so only the columns of the result
+  travel. They meet the ranked orders by (customer, day, slice), as these are
+  partitioned already: the orders are exchanged once for their history and once for their lines.
 * ``part`` and ``supplier`` grow with the data, so no broadcast is forced;
   AQE turns those joins into broadcast joins at run time when the measured
-  side is small, and splits skewed partitions otherwise.
+  side is small, and splits skewed partitions otherwise. They are looked up from the
+  line aggregates, before these meet the wider orders. Nation (25 rows, fixed by the schema) is
+  the only forced broadcast and comes last, so that no country names are exchanged.
 
 Risk columns are rule-based proxies (integer arithmetic only, so DuckDB and
 Spark agree bit for bit).
@@ -65,6 +68,7 @@ def customer_history(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     inside its slice of ``2^SLICE_BITS`` order keys + that day's orders in lower slices.
     So one customer's orders of one day never meet in one task either: a window holds
     a slice's keys at most, and ``slices`` an entry for each slice with orders of that day.
+    Days are added up where the customer's window needs them, one exchange for both.
     """
     o = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
@@ -78,7 +82,7 @@ def customer_history(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count(F.lit(1)).alias("n"),
         F.sum(F.round(F.col("o_totalprice") * F.lit(100)).cast("bigint")).alias("cents"),
     )
-    per_day = per_slice.groupBy("o_custkey", "order_date").agg(
+    per_day = per_slice.repartition("o_custkey").groupBy("o_custkey", "order_date").agg(
         F.sum("n").alias("day_n"), F.sum("cents").alias("day_cents"),
         F.collect_list(F.struct("slice", "n")).alias("slices"))
     cust = Window.partitionBy("o_custkey")
@@ -93,37 +97,45 @@ def customer_history(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ranked, history
 
 
-def customer_profile(customer: DataFrame, nation: DataFrame, events: DataFrame) -> DataFrame:
-    """Customer attributes + country name + error-event count, one row per customer."""
+def customer_profile(customer: DataFrame, events: DataFrame) -> DataFrame:
+    """Customer attributes + error-event count, one row per customer."""
     errors = (events.filter(F.col("event_type") == F.lit("error"))
               .groupBy(F.col("user_id").alias("c_custkey"))
               .agg(F.count(F.lit(1)).alias("n_err")))
-    # nation has 25 rows by definition of the schema: a proven size bound.
-    nat = F.broadcast(nation.select(F.col("n_nationkey"), F.col("n_name")))
-    return (customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-            .join(nat, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-            .join(errors, "c_custkey", "left")
-            .drop("n_nationkey"))
+    return (customer.select("c_custkey", "c_nationkey", (F.col("c_acctbal") < 0).alias("in_debt"), "c_mktsegment")
+            .join(errors, "c_custkey", "left"))
 
 
 def build_order_risk(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nation: DataFrame,
                      part: DataFrame, supplier: DataFrame, events: DataFrame) -> DataFrame:
     lines = line_aggregates(lineitem)
+    lines = lines.join(part.select("p_partkey", "p_type"), F.col("partkey") == F.col("p_partkey"), "inner")
+    lines = lines.join(supplier.select("s_suppkey", "s_nationkey"), F.col("suppkey") == F.col("s_suppkey"), "inner")
+    lines = lines.drop("partkey", "p_partkey", "suppkey", "s_suppkey")
     ranked, history = customer_history(orders)
-    profile = customer_profile(customer, nation, events)
+    profile = customer_profile(customer, events)
 
     hist = history.join(profile, history.o_custkey == profile.c_custkey, "inner")
-    o = ranked.join(hist, ["o_custkey", "order_date"], "inner")
+    # the same day's orders in lower slices of the order key
+    lower = F.aggregate(F.filter("slices", lambda x: x["slice"] < F.col("at.slice")), F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    hist = hist.withColumn("at", F.explode("slices")).select(
+        "o_custkey", "order_date", F.col("at.slice").alias("slice"), (F.col("orders_before_day") + lower).alias("orders_before"),
+        F.datediff(F.col("order_date"), F.col("first_order_date")).cast("int").alias("customer_age_days"),
+        (F.col("cust_cents") / F.col("cust_n") / F.lit(100.0)).alias("avg_order_value_eur"),
+        "c_nationkey", "in_debt", "c_mktsegment", F.coalesce(F.col("n_err"), F.lit(0)).cast("int").alias("n_err"))
+    o = ranked.join(hist, ["o_custkey", "order_date", "slice"], "inner").select(
+        "o_orderkey", "order_date", "o_orderstatus", "o_totalprice", "o_orderpriority", "customer_age_days",
+        (F.col("orders_before") + F.col("rank_in_slice")).cast("int").alias("previous_orders"), "avg_order_value_eur",
+        "c_nationkey", "in_debt", "c_mktsegment", "n_err")
     o = o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
-    o = o.join(part.select("p_partkey", "p_type"), F.col("partkey") == F.col("p_partkey"), "inner")
-    o = o.join(supplier.select("s_suppkey", "s_nationkey"), F.col("suppkey") == F.col("s_suppkey"), "inner")
+    # nation has 25 rows by definition of the schema: a proven size bound.
+    nat = F.broadcast(nation.select("n_nationkey", "n_name"))
+    o = o.join(nat, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
 
     nat_gap = F.abs(F.col("c_nationkey") - F.col("s_nationkey"))
     is_returned = ((F.col("n_ret") * 3 >= F.col("n_lines") * 2) & (F.col("n_lines") >= 2)).cast("int")
-    is_fraud = (((F.col("c_acctbal") < 0) & (F.col("o_orderstatus") == F.lit("P")))
+    is_fraud = ((F.col("in_debt") & (F.col("o_orderstatus") == F.lit("P")))
                 | (F.col("o_orderkey") % 50 == 0)).cast("int")
-    # the same day's orders in lower slices of the order key
-    lower = F.aggregate(F.filter("slices", lambda x: x["slice"] < F.col("slice")), F.lit(0).cast("long"), lambda n, x: n + x["n"])
     out = o.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("order_date"),
@@ -132,9 +144,7 @@ def build_order_risk(orders: DataFrame, lineitem: DataFrame, customer: DataFrame
         F.col("p_type").alias("product_category"),
         F.col("o_orderstatus").alias("device_type"),
         F.col("c_mktsegment").alias("traffic_source"),
-        F.datediff(F.col("order_date"), F.col("first_order_date")).cast("int").alias("customer_age_days"),
-        (F.col("orders_before_day") + lower + F.col("rank_in_slice")).cast("int").alias("previous_orders"),
-        (F.col("cust_cents") / F.col("cust_n") / F.lit(100.0)).alias("avg_order_value_eur"),
+        "customer_age_days", "previous_orders", "avg_order_value_eur",
         F.col("o_totalprice").alias("order_value_eur"),
         F.col("qty").cast("int").alias("quantity"),
         (F.col("disc_pts") / F.col("n_lines") / F.lit(100.0)).alias("discount_rate"),
@@ -142,8 +152,8 @@ def build_order_risk(orders: DataFrame, lineitem: DataFrame, customer: DataFrame
         (F.lit(1) + (F.col("o_orderkey") * 7) % 9).cast("int").alias("delivery_days_estimated"),
         (F.col("n_lines") >= 7).cast("int").alias("late_delivery_risk"),
         (nat_gap >= 18).cast("int").alias("address_mismatch"),
-        (F.col("c_acctbal") < 0).cast("int").alias("high_risk_ip"),
-        F.coalesce(F.col("n_err"), F.lit(0)).cast("int").alias("customer_support_contacts"),
+        F.col("in_debt").cast("int").alias("high_risk_ip"),
+        F.col("n_err").alias("customer_support_contacts"),
         is_returned.alias("is_returned"),
         is_fraud.alias("is_fraud"),
     )
@@ -223,13 +233,13 @@ def prepare_order_risk(df: DataFrame, path: str | None = None) -> DataFrame:
 
     Written as Parquet in the shared folder (``spark.checkpoint.dir``), so that
     every report reads only its columns and pushes its filters, and nothing is
-    recomputed when an executor is lost. The rebalance hint lets AQE size the
-    files by the data."""
+    recomputed when an executor is lost. The last join writes its partitions, which AQE
+    sizes by the data: the widest rows of the plan are not exchanged once more."""
     from ..session import ensure_checkpoint_dir
 
     spark = df.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark)}/order_risk-{uuid.uuid4().hex}"
-    df.hint("rebalance").write.parquet(path)
+    df.write.parquet(path)
     return spark.read.parquet(path)
 
 
