@@ -1,7 +1,7 @@
 """Risk classifiers on Spark ML.
 
-The forests are Spark ML's distributed random forests (trees are grown from
-per-partition sufficient statistics; no row leaves its executor). They will
+The forests are Spark ML models, grown level by level from counts of binned
+rows (``growing``; by Spark ML's rules, in packed bytes). They will
 not reproduce another library's exact numbers (different RNG and binned
 splits), so their queries are row-count checked; the evaluation operators
 they feed are exact and oracle-checked on deterministic scorers.
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dense import numbered
 from .evaluate import with_class_weights
+from .growing import grow_forest
 
 # The model's features in the report's order.
 CAT_COLS = ("country", "device_type", "traffic_source", "payment_method", "product_category")
@@ -70,10 +71,7 @@ def assembler(features: Sequence[str] = FEATURE_COLS) -> VectorAssembler:
 def _forest(label_col: str, num_trees: int, max_depth: int, seed: int, max_bins: int) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=label_col, featuresCol="features", weightCol="weight",
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                                  featureSubsetStrategy="sqrt", maxBins=max_bins,
-                                  # more nodes per pass over the data and cached node ids: fewer
-                                  # passes; node-id lineage is cut by reliable checkpoints
-                                  maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+                                  featureSubsetStrategy="sqrt", maxBins=max_bins)
 
 
 def _encoders(train: DataFrame) -> list:
@@ -83,15 +81,18 @@ def _encoders(train: DataFrame) -> list:
     return [] if all(f"{c}_enc" in train.columns for c in CAT_COLS) else label_indexers()
 
 
+def _fit(stages: list, weighted: DataFrame, forest: RandomForestClassifier) -> PipelineModel:
+    before = Pipeline(stages=stages).fit(weighted)
+    return PipelineModel([*before.stages, grow_forest(before.transform(weighted), forest)])
+
+
 def fit_risk_model(train: DataFrame, label: str = "risk_label", num_trees: int = 300, max_depth: int = 10,
                    seed: int = 42, max_bins: int = 64) -> PipelineModel:
     """(encode) -> assemble -> balanced-weight forest for the 3-class label.
     Class codes are alphabetical, so classes are reported in sorted order."""
     weighted = with_class_weights(train, label)
     target = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
-    stages = _encoders(train) + [assembler(), target, _forest("label_idx", num_trees, max_depth, seed, max_bins)]
-    model = Pipeline(stages=stages).fit(weighted)
-    return model
+    return _fit(_encoders(train) + [assembler(), target], weighted, _forest("label_idx", num_trees, max_depth, seed, max_bins))
 
 
 def predict(model: PipelineModel, test: DataFrame, label: str = "risk_label") -> DataFrame:
@@ -106,8 +107,7 @@ def fit_fraud_model(train: DataFrame, label: str = "is_fraud", num_trees: int =
                     seed: int = 42, max_bins: int = 64) -> PipelineModel:
     """The same forest for the binary fraud flag."""
     weighted = with_class_weights(train, label).withColumn("label_num", F.col(label).cast("double"))
-    stages = _encoders(train) + [assembler(), _forest("label_num", num_trees, max_depth, seed, max_bins)]
-    return Pipeline(stages=stages).fit(weighted)
+    return _fit(_encoders(train) + [assembler()], weighted, _forest("label_num", num_trees, max_depth, seed, max_bins))
 
 
 def fraud_probability(model: PipelineModel, test: DataFrame) -> DataFrame:
