@@ -6,7 +6,8 @@ draws each tree's bag again (from the seed, the tree and the pack's number, so a
 draws the same), walks the bag down the splits known so far and counts bins and classes at
 the level's nodes; the counts of all tasks are exchanged by tree and block of nodes, and the best
 split of each node is found where they meet. Only splits travel to the driver. What a task holds
-is a tree's counts and ``BLOCK_ROWS`` rows' working arrays, beside its packs.
+is a tree's counts and ``BLOCK_ROWS`` rows' working arrays, beside its packs; these arrays are
+small enough for a core's cache, and counts are added in place.
 
 The rules are those of Spark ML's forests: bags are Poisson(1) counts (here to 1/65536), a node
 draws its own features, candidate thresholds are fixed for the whole forest (midpoints
@@ -36,7 +37,7 @@ from ..functions.quantile import fractions_array
 from ..session import ensure_checkpoint_dir
 
 PACK_ROWS = 1 << 14  # rows drawn together, the unit that moves
-BLOCK_ROWS = 1 << 18  # rows counted together
+BLOCK_ROWS = 1 << 14  # rows counted together: whole packs, until there are as many
 NODE_BLOCK = 64  # nodes of a tree whose counts meet in one row
 SKETCH = 10_000  # equal shares of a feature that thresholds are chosen from
 EPSILON = 2.0 ** -52
@@ -67,12 +68,12 @@ def bag_table() -> np.ndarray:
 
 def bag(table: np.ndarray, seed: int, tree: int, pack: int, rows: int) -> np.ndarray:
     """How often a tree takes each row of a pack."""
-    draw = np.random.Generator(np.random.SFC64([seed & (2 ** 64 - 1), tree, pack]))
-    return table[draw.integers(0, 65536, rows, dtype=np.uint16)]
+    draw = np.random.SFC64([seed & (2 ** 64 - 1), tree, pack])
+    return table.take(draw.random_raw(-(-rows // 4)).astype("<u8", copy=False).view("<u2")[:rows])
 
 
 def _packer(cuts: list[np.ndarray], n_classes: int, kind: str):
-    """Rows ``(x, y)`` to packs: ``cells`` holds, feature by feature, bin * classes + class."""
+    """Rows ``(x, y)`` to packs: ``cells`` holds, row by row, bin * classes + class of each feature."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, k = TaskContext.get().partitionId() << 32, 0
         for b in batches:
@@ -80,7 +81,7 @@ def _packer(cuts: list[np.ndarray], n_classes: int, kind: str):
             x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(y), len(cuts))
             for a in range(0, len(y), PACK_ROWS):
                 part, label = x[a:a + PACK_ROWS], y[a:a + PACK_ROWS].astype(np.int64)
-                cells = np.stack([np.searchsorted(c, part[:, f], "left") * n_classes + label for f, c in enumerate(cuts)])
+                cells = np.stack([np.searchsorted(c, part[:, f], "left") * n_classes + label for f, c in enumerate(cuts)], axis=1)
                 yield pa.RecordBatch.from_pydict({"pack": pa.array([first + k], pa.int64()),
                                                   "cells": pa.array([cells.astype(kind).tobytes()], pa.binary())})
                 k += 1
@@ -98,6 +99,16 @@ class Level:
         self.starts = (self.ends - size.ravel()).reshape(drawn.shape)  # of a (node, feature)'s counts
         self.feature = self.last = self.below = None
 
+    def step(self, cells: int, times: int) -> tuple[np.ndarray, np.ndarray]:
+        """Feature by ``node * cells``, and the place below, so many ``times``, by ``node * cells + cell``;
+        what has come to a leaf is at the place after the last node."""
+        end, m = self.below.max() + 1, len(self.below)
+        feature = np.zeros((m + 1, cells), np.int64)
+        feature[:m, 0] = self.feature
+        below = np.append(np.where(self.below < 0, end, self.below), [[end, end]], axis=0) * times
+        right = np.arange(cells) > np.append(self.last, 0)[:, None]
+        return feature.ravel(), np.where(right, below[:, 1:], below[:, :1]).ravel()
+
 
 def _counter(trees: list[list[Level]], n_features: int, seed: int, kind: str):
     """Packs to counts of the deepest level: rows ``(tree, block, counts)``."""
@@ -105,27 +116,31 @@ def _counter(trees: list[list[Level]], n_features: int, seed: int, kind: str):
         packs, cells, held = [], [], 0
         for b in batches:
             for pack, data in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(data.as_buffer(), kind).reshape(n_features, -1)
-                packs.append((pack, part.shape[1]))
+                part = np.frombuffer(data.as_buffer(), kind)
+                packs.append((pack, len(part) // n_features))
                 cells.append(part)
-                held += part.shape[1]
+                held += len(part) // n_features
                 if held >= BLOCK_ROWS:
-                    yield packs, np.concatenate(cells, axis=1)
+                    yield packs, np.concatenate(cells)
                     packs, cells, held = [], [], 0
         if packs:
-            yield packs, np.concatenate(cells, axis=1)
+            yield packs, np.concatenate(cells)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held = bag_table(), list(blocks(batches))
+        n_cells = max((int(cells.max()) + 1 for _, cells in held), default=0)
         out, size = [], 0
         for t, levels in enumerate(trees):
             if not held or not levels or levels[-1].feature is not None:
                 continue
-            total = np.zeros(levels[-1].ends[-1], np.uint32)
+            level, total = levels[-1], np.zeros(levels[-1].ends[-1])
+            steps = [above.step(n_cells, n_cells if below.feature is not None else 1) for above, below in zip(levels, levels[1:])]
+            drawn = [(np.ascontiguousarray(f), np.ascontiguousarray(a)) for f, a in zip(level.drawn.T, level.starts.T)]
             for packs, cells in held:
                 taken = np.concatenate([bag(table, seed, t, pack, n) for pack, n in packs])
-                total += _counts(levels, cells, taken, len(total))
-            ends = np.r_[0, levels[-1].ends[levels[-1].drawn.shape[1] - 1::levels[-1].drawn.shape[1]]]
+                _count(steps, drawn, cells, taken, n_features, total)
+            total = total.astype(np.uint32)
+            ends = np.r_[0, level.ends[level.drawn.shape[1] - 1::level.drawn.shape[1]]]
             for block, a in enumerate(range(0, len(ends) - 1, NODE_BLOCK)):
                 part = total[ends[a]:ends[min(a + NODE_BLOCK, len(ends) - 1)]]
                 out.append((t, block, part.tobytes()))
@@ -144,23 +159,25 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
                                        "counts": pa.array(counts, pa.binary())})
 
 
-def _counts(levels: list[Level], cells: np.ndarray, taken: np.ndarray, size: int) -> np.ndarray:
-    """Walk a tree's bag down to its last level; how often each (node, feature drawn, cell) occurs there."""
-    n, flat = cells.shape[1], cells.ravel()
-    row = np.flatnonzero(taken)
+def _count(steps: list[tuple], drawn: list[tuple], cells: np.ndarray, taken: np.ndarray, n_features: int, total: np.ndarray) -> None:
+    """Walk a tree's bag down to its last level; add to ``total`` how often each (node, feature drawn, cell) occurs there."""
+    row = np.flatnonzero(taken > 0)
+    weight, row = taken.take(row).astype(np.float64), row * n_features
     node = np.zeros(len(row), np.int64)
-    for level in levels[:-1]:
-        right = flat.take((level.feature * n).take(node) + row) > level.last.take(node)
-        node = level.below.ravel().take(2 * node + right)
-        if (level.below < 0).any():
-            inside = np.flatnonzero(node >= 0)
-            node, row = node.take(inside), row.take(inside)
-    weight = taken.take(row).astype(np.float64)
-    total, level = np.zeros(size), levels[-1]
-    for j in range(level.drawn.shape[1]):
-        cell = flat.take((level.drawn[:, j] * n).take(node) + row) + level.starts[:, j].take(node)
-        total += np.bincount(cell, weight, size)
-    return total.astype(np.uint32)
+    for feature, below in steps:
+        cell = feature.take(node)
+        cell += row
+        node += cells.take(cell)
+        node = below.take(node)
+    inside = np.flatnonzero(node < len(drawn[0][0]))
+    if len(inside) < len(node):
+        node, row, weight = node.take(inside), row.take(inside), weight.take(inside)
+    for feature, start in drawn:
+        cell = feature.take(node)
+        cell += row
+        place = start.take(node)
+        place += cells.take(cell)
+        np.add.at(total, place, weight)
 
 
 def _gini(n: np.ndarray) -> np.ndarray:
@@ -290,8 +307,9 @@ def _grow(df: DataFrame, forest: RandomForestClassifier, folder: str) -> RandomF
         weights[int(r["y"])] = r["a"]
     n_features = len(rows.select("x").first()["x"])
     shares = fractions_array(SKETCH)
-    sketch = rows.agg(*[F.percentile_approx(F.get("x", F.lit(f)), shares, 2 * SKETCH).alias(f"f{f}") for f in range(n_features)]).first()
-    cuts = [thresholds(np.array(sketch[f"f{f}"], float), max_bins) for f in range(n_features)]
+    # one row for each feature
+    sketch = dict(rows.select(F.posexplode("x").alias("f", "v")).groupBy("f").agg(F.percentile_approx("v", shares, 2 * SKETCH)).collect())
+    cuts = [thresholds(np.array(sketch[f], float), max_bins) for f in range(n_features)]
     bins = np.array([len(c) + 1 for c in cuts])
     kind = "u1" if bins.max() * n_classes <= 256 else "u4"
 
@@ -352,6 +370,7 @@ def _split(tree: _Tree, level: Level, whole, feature, cut, gain, left, n_classes
                 below[i, side] = len(tree.open)
                 tree.open.append(child)
     level.feature, level.last, level.below = feature, cut * n_classes + n_classes - 1, below
+    level.drawn = level.starts = level.ends = None
 
 
 def _as_model(spark, forest: RandomForestClassifier, n_features: int, n_classes: int, nodes: list[tuple],
