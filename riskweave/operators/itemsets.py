@@ -6,7 +6,8 @@ item alone are joined, and a candidate with an infrequent subset is dropped befo
 anything is counted. Candidates hang under their prefix, as children of a node of the
 prefix tree, and a basket looks only under the nodes that it has reached: one join of
 baskets and nodes, one filter on the basket's items, one count that collapses in the
-stage of the join.
+stage of the join. Beside a node a basket keeps only its items behind the node's last one, as no
+others can follow, and what the longest itemsets reach is counted without being kept.
 
 Sizes: equal baskets are one row. At most ``C(w, k) / min_support`` itemsets of k items are
 frequent, for baskets of w items on average (their supports add up to that); the level
@@ -26,6 +27,11 @@ from ..session import materialize
 SENT_NODES = 200_000  # prefix nodes that go to every task; more are joined by a shuffle
 
 
+def _behind(item: str) -> Column:
+    """The basket's items after ``item``."""
+    return F.filter("items", lambda x: x > F.col(item)).alias("items")
+
+
 def _grown(level: DataFrame, size: int) -> DataFrame:
     """``(prefix, item, node)``: the candidates of ``size`` items under each frequent itemset
     of one item less, all of whose subsets are frequent; ``node`` numbers them."""
@@ -59,9 +65,9 @@ def frequent_by_level(baskets: DataFrame, min_support: float, max_len: int | Non
               .agg(F.sum("times").alias("count")).filter(enough))
     level = materialize(single.select(F.array("item").alias("itemset"), "count", F.monotonically_increasing_id().alias("node")))
     found = [level.select("itemset", F.lit(1).alias("size"), "count")]
-    # baskets at the nodes that they have reached
+    # baskets at the nodes that they have reached, with the items behind these
     reached = distinct.select("items", "times", F.explode("items").alias("item")).join(
-        level.select(F.col("itemset")[0].alias("item"), "node"), "item").select("items", "times", "node")
+        level.select(F.col("itemset")[0].alias("item"), "node"), "item").select(_behind("item"), "times", "node")
     size = 1
     while (max_len is None or size < max_len) and not level.isEmpty():
         size += 1
@@ -72,8 +78,10 @@ def frequent_by_level(baskets: DataFrame, min_support: float, max_len: int | Non
             break
         children = F.broadcast(children) if nodes <= SENT_NODES else children
         reached = reached.join(children, F.col("node") == F.col("prefix")).select(
-            "items", "times", F.explode(F.filter("children", lambda c: F.array_contains("items", c["item"]))["node"]).alias("node"))
-        reached = materialize(reached)
+            "items", "times", F.explode(F.filter("children", lambda c: F.array_contains("items", c["item"]))).alias("child"))
+        reached = reached.select(_behind("child.item"), "times", F.col("child.node").alias("node"))
+        if size != max_len:
+            reached = materialize(reached)  # counted, and read again for the next level
         counts = reached.groupBy("node").agg(F.sum("times").alias("count")).filter(enough)
         level = materialize(grown.join(counts, "node").select("itemset", "count", "node"))
         found.append(level.select("itemset", F.lit(size).alias("size"), "count"))
