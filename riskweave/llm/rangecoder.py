@@ -10,10 +10,12 @@ ids ranked: an id that it codes changes places with the id at a quarter of its r
 first is a class: the id is order 2's, or order 1's, or lies in one of the rank ranges of
 order 0, each four times as wide as the one before. Each model has its own distribution of
 the classes, for its present confidence; their mixture, with weights that follow how well
-each foretold the classes so far (online EM), drives the range coder. Within its range, an
-id's rank is coded evenly. All of it is integer arithmetic, the same on every machine.
+each foretold the classes so far (online EM), drives the range coder. Distributions and
+weights change between spans of steps (short ones first), so that a step looks its mixture up; the
+tables and ranks change with every id. Within its range, an id's rank is coded evenly. All of it is integer
+arithmetic (and single divisions of doubles), the same on every machine.
 
-The coder is a carry-less range coder: 64-bit low, 16-bit words out.
+The coder is a carry-less range coder: 64-bit low, 32-bit words out.
 """
 
 from __future__ import annotations
@@ -23,198 +25,311 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 4_096
-LANES = 512  # blocks that are coded side by side
-MAGIC = b"TIDS\x01\x00\x00\x00"
+LANES = 1_024  # blocks that are coded side by side
+MAGIC = b"TIDS\x02\x00\x00\x00"
 _TABLE = 12  # bits of the order 1 and order 2 tables
+_TOTAL = 14  # bits of a frequency
 _ONE = 1 << 15  # a probability, or all weights, of 1
-_BOTTOM = np.uint64(1 << 40)  # the range is kept at or above this
-_RATES = (6, 5, 5)  # of the class distributions of order 0, 1 and 2
+_COLUMNS = 16  # of a row of cumulated frequencies: 0, at most 15 classes, what no value reaches
+_CONTEXTS = 32  # confidence of order 1 (4) and order 2 (4), whether they agree (2)
+_SEEN = 8  # what a class counts each time
+_LONGEST = 1_024  # steps between two changes of the distributions
+_HALF = np.uint64(32)
+_LOW = np.uint64((1 << 32) - 1)
+_BOTTOM = np.uint64(1 << 32)  # the range is kept at or above this
+
+
+def _spans(steps: int):
+    """Steps between which distributions and weights stay as they are: short ones first."""
+    at, end = 0, 16
+    while at < steps:
+        yield at, min(end, steps)
+        at, end = end, end + min(end, _LONGEST)
 
 
 class _Lanes:
     """The state of blocks that are coded side by side."""
 
     def __init__(self, lanes: int, vocabulary: int, coding: bool):
-        edges = [0]
-        while edges[-1] < vocabulary:
-            edges.append(min(vocabulary, max(4, 4 * edges[-1])))
         # classes: order 2's id, order 1's id, then the rank ranges
-        self.edges = np.array(edges)
-        self.base = np.array([0, 0, *edges[:-1]])
-        self.width = np.array([1, 1, *np.diff(edges)], np.uint64)
-        self.classes = len(self.base)
+        first, bits, edge = [0, 0], [0, 0], 0
+        while edge < vocabulary:
+            room = (vocabulary - edge - 1).bit_length()
+            last = len(bits) == _COLUMNS - 2
+            first.append(edge)
+            bits.append(room if last else min(room, 2 * len(bits) - 2))
+            edge = vocabulary if last else edge + (1 << bits[-1])
+        self.first, self.bits = np.array(first), np.array(bits, np.uint64)
+        self.classes = len(bits)
+        self.split = max(bits) > 32 - _TOTAL  # class and place don't fit into one step
+        self.vocabulary = vocabulary
         kind = np.uint16 if vocabulary <= 1 << 16 else np.int32
         self.at_rank = np.tile(np.arange(vocabulary, dtype=kind), lanes)
         self.rank_of = self.at_rank.copy() if coding else None  # decoding never asks for an id's rank
-        self.vocabulary = vocabulary
-        # an entry is 4 * id + confidence (0: nothing seen)
-        self.one = np.zeros(lanes << _TABLE, np.int32)
-        self.two = np.zeros(lanes << _TABLE, np.int32)
-        # classes x lanes (and contexts): long rows for numpy
-        self.p0, self.p1, self.p2 = (np.full((self.classes, lanes * n), _ONE // self.classes, np.int32) for n in (1, 4, 8))
+        # order 1's entries, then order 2's: 4 * id + confidence; nothing seen: no id
+        self.seen = np.full(2 * lanes << _TABLE, -4, np.int32)
+        self.lane = np.arange(lanes)
+        self.tables = (np.arange(2 * lanes) << _TABLE).reshape(2, lanes)
+        self.ranks = self.lane * vocabulary
+        self.counts = [np.full((lanes, n, self.classes), _SEEN // 2, np.int32) for n in (1, 4, 8)]
         self.weights = np.full((3, lanes), _ONE // 3, np.int32)
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
-        self.keep(lanes)
+        self.weights[0] += _ONE - self.weights.sum(axis=0)
+        self.row = np.full((lanes * _CONTEXTS, _COLUMNS), (1 << 16) - 1, np.uint16)
+        self.row[:, 0] = 0
+        self._mix()
 
     def keep(self, lanes: int) -> None:
         """Go on with the first lanes only: the others' blocks have ended."""
-        self.n = lanes
-        self.last, self.before = self.last[:lanes], self.before[:lanes]
-        self.p0, self.weights = self.p0[:, :lanes].copy(), self.weights[:, :lanes].copy()
-        self.lane = np.arange(lanes)
-        self.lane_table, self.lane_rank = self.lane << _TABLE, self.lane * self.vocabulary
-
-    def predict(self) -> np.ndarray:
-        """Look up the three models; the cumulated frequencies of the classes (classes x lanes)."""
-        mask = (1 << _TABLE) - 1
-        self.slot1 = self.lane_table + ((self.last * 40503 >> 4) & mask)
-        self.slot2 = self.lane_table + ((self.last * 10007 + self.before * 61681 >> 3) & mask)
-        one, two = self.one[self.slot1], self.two[self.slot2]
-        self.id1, self.sure1 = one >> 2, one & 3
-        self.id2, self.sure2 = two >> 2, two & 3
-        self.context1 = self.lane * 4 + self.sure1
-        self.context2 = self.lane * 8 + self.sure2 * 2 + (self.id1 == self.id2)
-        self.now = (self.p0, self.p1.take(self.context1, axis=1), self.p2.take(self.context2, axis=1))
-        w = self.weights
-        mixed = self.now[0] * w[0]
-        mixed += self.now[1] * w[1]
-        mixed += self.now[2] * w[2]
-        mixed >>= 15
-        mixed += 1
-        return np.cumsum(mixed, axis=0, dtype=np.int64)
-
-    def class_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(class, rank) of the ids to code."""
-        rank = self.rank_of[self.lane_rank + ids].astype(np.int64)
-        found = np.searchsorted(self.edges, rank, side="right") + 1
-        found[(self.id1 == ids) & (self.sure1 > 0)] = 1
-        found[(self.id2 == ids) & (self.sure2 > 0)] = 0
-        return found, rank
-
-    def learn(self, ids: np.ndarray, found: np.ndarray, rank: np.ndarray) -> None:
-        """Take the coded ids, their classes and ranks into all models."""
-        at = found * self.n + self.lane
-        share = np.empty((3, self.n), np.int32)
-        for i, (p, rate) in enumerate(zip(self.now, _RATES, strict=True)):
-            flat = p.reshape(-1)
-            share[i] = flat[at]
-            p -= p >> rate
-            flat[at] += _ONE >> rate
-        self.p1[:, self.context1], self.p2[:, self.context2] = self.now[1], self.now[2]
-        share *= self.weights
-        share //= (share.sum(axis=0) >> 15) + 1
-        share -= self.weights
-        share >>= 6
-        self.weights += share
-        np.maximum(self.weights, 512, out=self.weights)
-        for table, slot, told, sure in ((self.one, self.slot1, self.id1, self.sure1), (self.two, self.slot2, self.id2, self.sure2)):
-            hit = told == ids
-            # a wrong id loses confidence, and its place once it has none left
-            sure = np.where(hit, np.minimum(sure + 1, 3), sure - 1)
-            table[slot] = np.where(sure > 0, told * 4 + sure, ids * 4 + 1)
-        # only what order 0 coded moves
-        own = np.flatnonzero(found > 1)
-        rank, coded, lane = rank[own], ids[own], self.lane_rank[own]
-        front = rank >> 2
-        other = self.at_rank[lane + front]
-        self.at_rank[lane + front], self.at_rank[lane + rank] = coded, other
+        self.lane, self.ranks, self.tables = self.lane[:lanes], self.ranks[:lanes], self.tables[:, :lanes]
+        self.counts = [c[:lanes] for c in self.counts]
+        self.shares = [s[:lanes] for s in self.shares]
+        self.weights, self.row = self.weights[:, :lanes], self.row[:lanes * _CONTEXTS]
+
+    def _mix(self) -> None:
+        """The models' distributions, and their mixture for every lane and context."""
+        sums = [np.cumsum(c, axis=2, dtype=np.int32) for c in self.counts]
+        sums = [(s << 15) // s[:, :, -1:] for s in sums]
+        self.shares = [np.diff(s, axis=2, prepend=np.int32(0)) for s in sums]
+        zero, one, two = (s * w[:, None, None] for s, w in zip(sums, self.weights, strict=True))
+        mixed = (zero + one)[:, :, None] + two[:, None]
+        mixed >>= 16
+        mixed *= (1 << _TOTAL) - self.classes
+        mixed >>= _TOTAL
+        mixed += np.arange(1, self.classes + 1, dtype=np.int32)
+        self.row[:, 1:self.classes + 1] = mixed.reshape(-1, self.classes)
+
+    def slots(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Places of the order 1 and order 2 entries (2 x lanes; of several steps if given)."""
+        key = np.empty((*last.shape[:-1], 2, last.shape[-1]), np.int32)
+        np.multiply(last, 40503, out=key[..., 0, :])
+        np.multiply(last, 20014, out=key[..., 1, :])
+        key[..., 1, :] += before * 61681
+        key >>= 4
+        key &= (1 << _TABLE) - 1
+        return key + self.tables
+
+    def follow(self, slots: np.ndarray, entries: np.ndarray, hit: np.ndarray, ids: np.ndarray) -> None:
+        """Take ids into the order 1 and order 2 tables (``slots`` flat): a wrong entry loses
+        confidence, and its place once it has little left."""
+        ids = ids << 2
+        ids |= 1
+        kept = entries - 1
+        kept |= hit.view(np.int8) * np.int8(3)
+        self.seen[slots] = np.where(hit | ((entries & 2) > 0), kept, ids).reshape(-1)
+
+    def move(self, rows: np.ndarray, rank: np.ndarray, coded: np.ndarray) -> None:
+        """Take ids that order 0 coded to a quarter of their ranks."""
+        base, front = self.ranks[rows], rank >> 2
+        ahead = base + front
+        other = self.at_rank[ahead]
+        self.at_rank[ahead], self.at_rank[base + rank] = coded, other
         if self.rank_of is not None:
-            self.rank_of[lane + other], self.rank_of[lane + coded] = rank, front
-        self.before, self.last = self.last, ids
+            self.rank_of[base + other], self.rank_of[base + coded] = rank, front
+
+    def learn(self, at: np.ndarray) -> None:
+        """Take a span's places in ``row`` (steps x lanes) into distributions and weights."""
+        lanes = len(self.lane)
+        seen = np.bincount(at.reshape(-1), minlength=self.row.size).reshape(lanes, 4, 8, _COLUMNS)[..., :self.classes].astype(np.int32)
+        told = np.diff(self.row[:, :self.classes + 1]).reshape(seen.shape)
+        part = (seen * float(1 << 30) / told).astype(np.int64)
+        weights = self.weights.astype(np.int64)
+        for i, (part_of, seen_of) in enumerate(zip(_margins(part), _margins(seen), strict=True)):
+            # online EM: each weight goes half the way to its model's part in what was foretold
+            part_of *= self.shares[i]
+            weights[i] += (part_of.reshape(lanes, -1).sum(axis=1) * weights[i] >> 31) // len(at)
+            self.counts[i] -= self.counts[i] >> 3
+            self.counts[i] += _SEEN * seen_of
+        weights = np.maximum(weights >> 1, 512)
+        weights = (weights << 15) // weights.sum(axis=0)
+        weights[0] += _ONE - weights.sum(axis=0)
+        self.weights = weights.astype(np.int32)
+        self._mix()
+
+
+def _margins(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums over lanes x contexts of order 1 x contexts of order 2 x classes, for order 0, 1 and 2."""
+    two = cells[:, 0] + cells[:, 1] + cells[:, 2] + cells[:, 3]
+    one = cells
+    while (n := one.shape[2] // 2):  # longer rows for numpy than in a sum over the axis
+        one = one[:, :, :n] + one[:, :, n:]
+    one = one[:, :, 0]
+    return one.sum(axis=1, keepdims=True, dtype=cells.dtype), one, two
+
+
+def _context(entries: np.ndarray, guess: np.ndarray) -> np.ndarray:
+    sure = entries & 3
+    context = sure[..., 0, :] * 8
+    context += sure[..., 1, :] * 2
+    context += guess[..., 0, :] == guess[..., 1, :]
+    return context
+
+
+def _shift(low: np.ndarray, wide: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Moves the upper half of ``low`` out where the range has become small, and gives it. A range that still
+    reaches over the words' border is cut at it: no carry ever runs into written words."""
+    own = low[rows]
+    rest = own & _LOW
+    wide[rows] = np.minimum(wide[rows], _BOTTOM - rest) << _HALF
+    low[rows] = rest << _HALF
+    return own >> _HALF
+
+
+def _going(lengths: list[int]) -> list[int]:
+    """How many of the blocks, longest first, are longer than each step."""
+    return np.searchsorted(-np.array(lengths), -np.arange(lengths[0])).tolist()
 
 
 def _encode_side_by_side(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     """``blocks``, longest first, to their words."""
     n, steps = len(blocks), len(blocks[0])
-    ids = np.zeros((steps, n), np.int32)
+    ids = np.zeros((2 + steps, n), np.int32)  # two that come before
     for i, b in enumerate(blocks):
-        ids[:len(b), i] = b
-    lengths = np.array([len(b) for b in blocks])
+        ids[2:2 + len(b), i] = b
+    every_going = _going([len(b) for b in blocks])
     model = _Lanes(n, vocabulary, True)
-    out = np.zeros((n, 4 * steps + 8), np.uint16)
-    end = np.zeros(n, np.int64)
+    class_of = np.repeat(np.arange(2, model.classes, dtype=np.uint8), np.diff(np.append(model.first[2:], vocabulary)))
+    room = steps * (1 + model.split) + 2
+    out = np.zeros(n * room, np.uint32)
+    end = np.arange(n) * room
     low, wide = np.zeros(n, np.uint64), np.full(n, ~np.uint64(0))
-    for t in range(steps):
-        going = int(np.searchsorted(-lengths, -t))  # those longer than t
-        if going < model.n:
-            model.keep(going)
-        own = ids[t, :going].astype(np.int64)
-        cumulated = model.predict()
-        found, rank = model.class_of(own)
-        lo, hi = low[:going], wide[:going]
-        top = cumulated[found, model.lane].astype(np.uint64)
-        below = np.where(found > 0, cumulated[np.maximum(found - 1, 0), model.lane], 0).astype(np.uint64)
-        unit = hi // cumulated[-1].astype(np.uint64)
-        lo += unit * below
-        unit = unit * (top - below) // model.width[found]
-        lo += unit * np.where(found > 1, rank - model.base[found], 0).astype(np.uint64)
-        hi[:] = unit
-        rows = np.flatnonzero(hi < _BOTTOM)
-        while len(rows):
-            word, lo[rows], hi[rows] = _shifted(lo[rows], hi[rows])
-            out[rows, end[rows]] = word
-            end[rows] += 1
-            rows = rows[hi[rows] < _BOTTOM]
-        model.learn(own, found, rank)
-    for i in range(4):
-        out[np.arange(n), end + i] = (low >> np.uint64(48 - 16 * i)).astype(np.uint16)
-    return [out[i, :end[i] + 4].astype("<u2").tobytes() for i in range(n)]
-
-
-def _shifted(low: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word that leaves, low, range) where the range has become small. One that still
-    reaches over the word's border is cut at it: no carry ever runs into written words."""
-    over = ((low ^ (low + wide - np.uint64(1))) >> np.uint64(48)) != 0
-    wide = np.where(over, (~low + np.uint64(1)) & (_BOTTOM - np.uint64(1)), wide)
-    return (low >> np.uint64(48)).astype(np.uint16), low << np.uint64(16), wide << np.uint64(16)
+
+    def put(going: int) -> None:
+        rows = (wide[:going] < _BOTTOM).nonzero()[0]
+        at = end[rows]
+        out[at] = _shift(low, wide, rows)
+        end[rows] = at + 1
+
+    for a, b in _spans(steps):
+        rank = np.zeros((b - a, n), np.int64)
+        entries = np.full((b - a, 2, n), -4, np.int32)
+        going = every_going[a:b]
+        if going[0] < len(model.lane):
+            model.keep(going[0])
+        lanes, table = len(model.lane), model.row.reshape(-1)
+        own = ids[2 + a:2 + b, :lanes]
+        slots = model.slots(ids[1 + a:1 + b, :lanes], ids[a:b, :lanes])
+        key = own + model.ranks
+        for t in range(b - a):
+            if going[t] < len(model.lane):
+                model.keep(going[t])
+            k = going[t]
+            coded = own[t, :k]
+            at = slots[t, :, :k].reshape(-1)
+            found = model.seen[at].reshape(2, k)
+            hit = (found >> 2) == coded
+            entries[t, :, :k] = found
+            model.follow(at, found, hit, coded)
+            rows = (~(hit[0] | hit[1])).nonzero()[0]
+            ranks = model.rank_of[key[t, rows]].astype(np.int64)
+            rank[t, rows] = ranks
+            model.move(rows, ranks, coded[rows])
+        # the rest needs no step by step: all entries and ranks are known
+        entries, rank = entries[:, :, :lanes], rank[:, :lanes]
+        guess = entries >> 2
+        context = _context(entries, guess)
+        hit = guess == own[:, None]
+        found = class_of[rank]
+        found[hit[:, 0]] = 1
+        found[hit[:, 1]] = 0
+        at = (np.arange(lanes) * _CONTEXTS + context) * _COLUMNS + found
+        below = table[at].astype(np.uint64)
+        share = table[at + 1] - below
+        bits = model.bits[found]
+        place = (rank - model.first[found]).astype(np.uint64)
+        for t in range(b - a):
+            k = going[t]
+            lo, hi = low[:k], wide[:k]
+            hi >>= np.uint64(_TOTAL)
+            lo += hi * below[t, :k]
+            hi *= share[t, :k]
+            if model.split:
+                put(k)
+            hi >>= bits[t, :k]
+            lo += hi * place[t, :k]
+            put(k)
+        k = len(model.lane)
+        if b < steps:
+            model.learn(at[:, :k])
+    for half in (_HALF, np.uint64(0)):
+        out[end] = (low >> half) & _LOW
+        end += 1
+    return [out[i * room:end[i]].astype("<u4").tobytes() for i in range(n)]
 
 
 def _decode_side_by_side(words: list[bytes], lengths: list[int], vocabulary: int) -> list[np.ndarray]:
     """The blocks back, given their words and lengths, longest first."""
     n, steps = len(words), lengths[0]
-    size = np.array([len(w) // 2 for w in words])
-    given = np.zeros((n, int(size.max()) + 8), np.uint64)  # zeros behind the end
+    size = np.array([len(w) // 4 for w in words])
+    room = int(size.max()) + 4
+    given = np.zeros((n, room), np.uint64)  # zeros behind the end
     for i, w in enumerate(words):
-        given[i, :size[i]] = np.frombuffer(w, "<u2")
-    limit = given.shape[1] - 1
-    code = np.zeros(n, np.uint64)
-    for i in range(4):
-        code = code << np.uint64(16) | given[:, i]
-    at = np.full(n, 4)
+        given[i, :size[i]] = np.frombuffer(w, "<u4")
+    given = given.reshape(-1)
+    at = np.arange(n) * room
+    limit = at + room - 1
+    ahead = given[at] << _HALF | given[at + 1]  # the code's distance from low
+    at += 2
     model = _Lanes(n, vocabulary, False)
     out = np.zeros((steps, n), np.int32)
     low, wide = np.zeros(n, np.uint64), np.full(n, ~np.uint64(0))
-    long = np.array(lengths)
-    for t in range(steps):
-        going = int(np.searchsorted(-long, -t))
-        if going < model.n:
-            model.keep(going)
-        cumulated = model.predict()
-        lo, hi = low[:going], wide[:going]
-        unit = hi // cumulated[-1].astype(np.uint64)
-        value = ((code[:going] - lo) // unit).astype(np.int64)
-        found = (cumulated <= value).sum(axis=0)
-        np.minimum(found, model.classes - 1, out=found)  # only in damaged data
-        top = cumulated[found, model.lane].astype(np.uint64)
-        below = np.where(found > 0, cumulated[np.maximum(found - 1, 0), model.lane], 0).astype(np.uint64)
-        lo += unit * below
-        width = model.width[found]
-        unit = np.maximum(unit * (top - below) // width, np.uint64(1))
-        place = np.minimum((code[:going] - lo) // unit, width - np.uint64(1))
-        lo += unit * place
-        hi[:] = unit
-        rank = model.base[found] + place.astype(np.int64)
-        own = model.at_rank[model.lane_rank + rank].astype(np.int64)
-        own = np.where(found == 0, model.id2, np.where(found == 1, model.id1, own))
-        out[t, :going] = own
-        rows = np.flatnonzero(hi < _BOTTOM)
-        while len(rows):
-            _, lo[rows], hi[rows] = _shifted(lo[rows], hi[rows])
-            code[rows] = code[rows] << np.uint64(16) | given[rows, np.minimum(at[rows], limit)]
-            at[rows] += 1
-            rows = rows[(hi[rows] < _BOTTOM) & (hi[rows] > 0)]
-        model.learn(own, found, rank)
+    going = _going(lengths)
+    highest = np.uint64((1 << _TOTAL) - 1)
+    most = (np.uint64(1) << model.bits) - np.uint64(1)
+    last = before = np.zeros(n, np.int32)
+
+    def take(going: int) -> None:
+        rows = (wide[:going] < _BOTTOM).nonzero()[0]
+        _shift(low, wide, rows)
+        places = at[rows]
+        ahead[rows] = ahead[rows] << _HALF | given[np.minimum(places, limit[rows])]
+        at[rows] = places + 1
+
+    for a, b in _spans(steps):
+        places = np.zeros((b - a, len(model.lane)), np.int64)
+        for t in range(a, b):
+            k = going[t]
+            if k < len(model.lane):
+                model.keep(k)
+            slots = model.slots(last[:k], before[:k]).reshape(-1)
+            entries = model.seen[slots].reshape(2, k)
+            guess = entries >> 2
+            at_row = model.lane * _CONTEXTS + _context(entries, guess)
+            row = model.row.take(at_row, axis=0)
+            lo, hi, code = low[:k], wide[:k], ahead[:k]
+            hi >>= np.uint64(_TOTAL)
+            value = np.minimum(code // hi, highest).astype(np.uint16)
+            # a byte for each column at or below the value
+            met = np.bitwise_count((row <= value[:, None]).view(np.uint64))
+            found = np.minimum(met[:, 0] + met[:, 1] - 1, model.classes - 1).astype(np.int64)
+            np.add(at_row * _COLUMNS, found, out=places[t - a, :k])
+            column = model.lane * _COLUMNS + found
+            flat = row.reshape(-1)
+            below = flat[column].astype(np.uint64)
+            share = flat[column + 1] - below
+            below *= hi
+            lo += below
+            code -= below
+            hi *= share
+            if model.split:
+                take(k)
+            hi >>= model.bits[found]
+            place = np.minimum(code // hi, most[found])
+            step = hi * place
+            lo += step
+            code -= step
+            take(k)
+            own = np.where(found == 0, guess[1], guess[0])
+            rows = (found > 1).nonzero()[0]
+            rank = np.minimum(model.first[found[rows]] + place[rows].astype(np.int64), vocabulary - 1)
+            coded = model.at_rank[model.ranks[rows] + rank]
+            own[rows] = coded
+            out[t, :k] = own
+            model.move(rows, rank, coded)
+            model.follow(slots, entries, guess == own, own)
+            last, before = own, last
+        if b < steps:
+            k = len(model.lane)
+            model.learn(places[:, :k])
     return [out[:k, i].astype(np.int64) for i, k in enumerate(lengths)]
 
 
@@ -233,7 +348,7 @@ def encode(ids: np.ndarray, vocabulary: int, block_ids: int = BLOCK_IDS) -> byte
     words: list[bytes] = []
     for i in range(0, len(blocks), LANES):
         words += _encode_side_by_side(blocks[i:i + LANES], vocabulary)
-    table = np.array([(len(b), len(w) // 2, _crc(b)) for b, w in zip(blocks, words, strict=True)], "<u4").reshape(-1, 3)
+    table = np.array([(len(b), len(w) // 4, _crc(b)) for b, w in zip(blocks, words, strict=True)], "<u4").reshape(-1, 3)
     head = MAGIC + np.array([vocabulary, len(blocks)], "<u4").tobytes() + table.tobytes()
     return b"".join([head, zlib.crc32(head).to_bytes(4, "little"), *words])
 
@@ -247,7 +362,7 @@ def decode(data: bytes) -> np.ndarray:
     if len(data) < first or zlib.crc32(data[:first - 4]) != int.from_bytes(data[first - 4:first], "little"):
         raise ValueError("the table of blocks is damaged")
     table = np.frombuffer(data, "<u4", 3 * n, 16).reshape(n, 3).astype(np.int64)
-    start = first + np.append(0, np.cumsum(2 * table[:, 1]))
+    start = first + np.append(0, np.cumsum(4 * table[:, 1]))
     if start[-1] != len(data):
         raise ValueError("the blocks' lengths don't add up")
     found: list[np.ndarray] = []

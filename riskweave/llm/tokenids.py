@@ -10,7 +10,9 @@ commits them, so a lost executor leaves no half file. A chunk holds whole docume
 about ``CHUNK_IDS`` ids; a longer document is a chunk of its own.
 
 The tokenizer drops white space, and none of its pieces reaches over a space. So a task
-encodes every word between spaces once and keeps its ids in a table of bounded size;
+encodes every word between spaces once and keeps its ids in a table of bounded size; signs
+behind a word are words of their own, and words of Latin letters go straight to the
+tokenizer's model, where the tokenizer's own answers show that nothing differs.
 ``whole_texts`` encodes text by text instead, for tokenizers that need it.
 
 Reading shuffles nothing: chunks are decoded where they lie, and the ids before a part are
@@ -25,11 +27,14 @@ empty table; further columns are ignored. A damaged block is an error when it is
 from __future__ import annotations
 
 import os
+import string
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,7 +45,7 @@ from .common import checkpointed, longs, record, remove, shared_folder, texts
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 CHUNK_IDS = rangecoder.LANES * rangecoder.BLOCK_IDS  # as many blocks as are coded side by side
-TEXTS_CHARS = 1 << 20  # characters of texts that are encoded together, unless one is longer
+TEXTS_CHARS = 1 << 22  # characters of texts that are encoded together, unless one is longer
 CACHE_WORDS = 1 << 19
 CACHE_CHARS = 1 << 25
 
@@ -51,6 +56,19 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Table(dict):
+    """For ``str.translate``: a character without an entry becomes 0."""
+
+    def __missing__(self, key: int) -> str:
+        return "\0"
+
+
+def _pieces(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of ``flat`` behind each other, and where each begins (and the last ends)."""
+    total = np.append(0, np.cumsum(size))
+    return flat[np.arange(total[-1]) + np.repeat(first - total[:-1], size)], total
+
+
 class Encoder:
     """Texts to ids through a tokenizer file, with a table of the words it has met."""
 
@@ -60,50 +78,89 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0) + 1
+        self._ask()
         self._forget()
 
+    def _ask(self) -> None:
+        """What shortens the way, as far as this tokenizer itself answers so: ``letters`` are Latin letters
+        and what its model sees of them, ``tails`` signs that it always parts from a letter or digit before them."""
+        own = self.tokenizer
+        added = [t.content for t in own.get_added_tokens_decoder().values()]
+        normal = own.normalizer.normalize_str if own.normalizer else str
+        parts = own.pre_tokenizer.pre_tokenize_str if own.pre_tokenizer else lambda text: [(text, (0, len(text)))]
+        self.letters = _Table()
+        for c in filter(str.isalpha, map(chr, range(0x250))):
+            seen = [p for p, _ in parts(normal(f"e{c}{c}n"))]
+            one = [p for p, _ in parts(normal(c))]
+            if len(one) == 1 and seen == [f"e{one[0]}{one[0]}n"] and not any(map(str.isalpha, added)):
+                self.letters[ord(c)] = one[0]
+        self.ends = {chr(c) for c in self.letters}
+        if self.letters:
+            self.ends |= set(string.digits)
+        self.tails = "".join(
+            c for c in string.punctuation if c != "'" and not any(c in t for t in added)
+            and all([at for _, at in parts(normal(f"{w}{c}{c}"))] == [(0, 1), (1, 3)] for w in ("a", "Z", "7", "\u00e9")))
+
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str, int] = {"": 0}
         self.chars = 0
-        self.start, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.start, self.flat = np.zeros(2, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        seen = [w.translate(self.letters) for w in words]
+        rest = iter(self.tokenizer.encode_batch_fast([w for w, s in zip(words, seen, strict=True) if "\0" in s], add_special_tokens=False))
+        tokens = self.tokenizer.model.tokenize
+        found = [next(rest).ids if "\0" in s else [t.id for t in tokens(s)] for s in seen]
         self.number.update(zip(words, range(len(self.start) - 1, len(self.start) - 1 + len(words)), strict=True))
-        self.start = np.append(self.start, self.start[-1] + np.cumsum([len(f) for f in found]))
-        self.flat = np.append(self.flat, np.array([i for f in found for i in f], np.int64))
+        self.start = np.append(self.start, self.start[-1] + np.cumsum(list(map(len, found))))
+        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(found), np.int32))
         self.chars += sum(map(len, words))
 
-    def encode(self, some: list[str], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each with the end id behind; how many each has)."""
-        if len(self.number) > CACHE_WORDS or self.chars > CACHE_CHARS:
-            self._forget()
-        words, pieces = [], []
-        for text in some:
-            own = text.replace("\n", " ").split(" ")
-            words += own
-            pieces.append(len(own))
+    def _numbers(self, words: list[str]) -> np.ndarray:
         found = list(map(self.number.get, words))
         if None in found:
             self._learn(list(dict.fromkeys(w for w, n in zip(words, found, strict=True) if n is None)))
             found = [self.number[w] if n is None else n for w, n in zip(words, found, strict=True)]
-        at = np.array(found, np.int64)
-        first = self.start[at]
-        size = self.start[at + 1] - first
-        pieces = np.array(pieces, np.int64)
-        ends = np.cumsum(pieces)
-        total = np.append(0, np.cumsum(size))
-        per_text = total[ends] - total[ends - pieces]
-        ids = np.full(int(total[-1]) + len(some), end_id, np.int64)
+        return np.array(found, np.int64)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of distinct words, where each word's begin and the last's end)."""
+        cores = pc.utf8_rtrim(words, characters=self.tails) if self.tails else words
+        cut = np.flatnonzero(pc.not_equal(pc.binary_length(cores), pc.binary_length(words)).to_numpy(zero_copy_only=False))
+        cores, at, tails = cores.to_numpy(zero_copy_only=False).tolist(), [], []
+        for i, word in zip(cut.tolist(), words.take(pa.array(cut)).to_numpy(zero_copy_only=False).tolist(), strict=True):
+            if cores[i][-1:] in self.ends:
+                at.append(i)
+                tails.append(word[len(cores[i]):])
+            else:
+                cores[i] = word
+        both = np.zeros((len(cores), 2), np.int64)
+        both[:, 0], both[at, 1] = self._numbers(cores), self._numbers(tails)
+        both = both.reshape(-1)
+        first = self.start[both]
+        ids, total = _pieces(self.flat, first, self.start[both + 1] - first)
+        return ids, total[::2]
+
+    def encode(self, some: list[str], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id behind; how many each has)."""
+        if len(self.number) > CACHE_WORDS or self.chars > CACHE_CHARS:
+            self._forget()
+        split = pc.split_pattern(pc.replace_substring(pa.array(some, pa.string()), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        own, start = self._words(words.dictionary)
+        at = words.indices.to_numpy()
+        first = start[at]
+        found, total = _pieces(own, first, start[at + 1] - first)
+        per_text = np.diff(total[split.offsets.to_numpy() - split.offsets[0].as_py()])
+        ids = np.full(len(found) + len(some), end_id, np.int32)
         # every text before moves the ids by its end id
-        to = np.arange(total[-1]) + np.repeat(np.arange(len(some)), per_text)
-        ids[to] = self.flat[np.arange(total[-1]) + np.repeat(first - total[:-1], size)]
+        ids[np.arange(len(found)) + np.repeat(np.arange(len(some)), per_text)] = found
         return ids, per_text + 1
 
     def encode_whole(self, some: list[str], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """The same, each text in one call."""
-        found = [np.append(np.array(e.ids, np.int64), end_id) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-        return np.concatenate([np.zeros(0, np.int64), *found]), np.array([len(f) for f in found], np.int64)
+        found = [np.append(np.array(e.ids, np.int32), np.int32(end_id)) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(f) for f in found], np.int64)
 
 
 _encoders: dict[str, Encoder] = {}

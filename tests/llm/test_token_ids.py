@@ -52,6 +52,29 @@ def test_blocks_are_independent():
     assert both[-words:] == alone[-words:]
 
 
+def test_a_block_that_ends_early_changes_no_other():
+    """Blocks leave in the midst of a span, next to longer ones."""
+    rng = np.random.default_rng(8)
+    blocks = [text_like(rng, n, 900) for n in (700, 700, 333, 17, 1)]
+    together = R._encode_side_by_side(blocks, 900)
+    assert together == [R._encode_side_by_side([b], 900)[0] for b in blocks]
+    back = R._decode_side_by_side(together, list(map(len, blocks)), 900)
+    assert all((a == b).all() for a, b in zip(back, blocks, strict=True))
+
+
+def test_a_large_vocabulary_comes_back():
+    ids = np.random.default_rng(9).integers(0, 3_000_000, 600)
+    assert (R.decode(R.encode(ids, 3_000_000, 300)) == ids).all()
+
+
+def test_distributions_are_mixed_for_spans_not_for_ids(monkeypatch):
+    mixed, plain = [], R._Lanes._mix
+    monkeypatch.setattr(R._Lanes, "_mix", lambda self: (mixed.append(1), plain(self)))
+    ids = text_like(np.random.default_rng(10), 4_096, 300)
+    assert (R.decode(R.encode(ids, 300)) == ids).all()
+    assert 4 < len(mixed) < 60
+
+
 def test_models_make_the_files_smaller():
     rng = np.random.default_rng(4)
     n, v = 40_000, 2_000
@@ -87,6 +110,43 @@ def test_words_between_spaces_encode_as_the_whole_text():
     assert ids.tolist() == whole.tolist() and n.tolist() == m.tolist()
 
 
+def test_a_word_is_encoded_once_whatever_signs_follow():
+    own = T.Encoder(T.tokenizer_path())
+    some = ["erst erst. erst, erst... (erst) (erst)! erst's erst'", "erst?", "Ñandú ñandú. 7 7. 7% a\u0301. \u0130. \u0149! \u00aa# \u1e9e. x<|endoftext|>. <|endoftext|>,"]
+    ids, n = own.encode(some)
+    whole, m = own.encode_whole(some)
+    assert ids.tolist() == whole.tolist() and n.tolist() == m.tolist()
+    assert not {"erst.", "erst,", "erst...", "erst?", "(erst)", "ñandú.", "7%"} & own.number.keys()
+    assert {"erst", "(erst", ".", "...", "ñandú"} <= own.number.keys()
+
+
+@pytest.mark.parametrize("kind", ["cased", "whitespace", "letters"])
+def test_other_tokenizers_are_asked_what_they_part(tmp_path, kind):
+    """No short way where this tokenizer's answers don't allow it."""
+    from tokenizers import AddedToken, models, pre_tokenizers
+
+    words = ["a", "b", "A", "B", ".", "b.", "ab", "AB", "ab.", "x", "[U]"]
+    other = Tokenizer(models.BPE({w: i for i, w in enumerate(words)}, [("a", "b"), ("b", "."), ("A", "B"), ("ab", ".")], unk_token="[U]"))
+    if kind == "whitespace":
+        other.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    elif kind == "cased":
+        other.pre_tokenizer = pre_tokenizers.Whitespace()
+    else:
+        other.pre_tokenizer = pre_tokenizers.Whitespace()
+        other.add_tokens([AddedToken("bx", normalized=False)])
+    other.save(str(tmp_path / "t.json"))
+    own = T.Encoder(str(tmp_path / "t.json"))
+    some = ["ab. AB ab ab AB. b.", "abx bx. aB. \u00e9. 7."]
+    assert own.encode(some)[0].tolist() == own.encode_whole(some)[0].tolist()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aZé'.,!%<|>7 \u0130\u0301\u03a3中\t", max_size=30), max_size=5))
+def test_any_word_with_signs_encodes_as_a_whole(some):
+    own = T.encoder(T.tokenizer_path())
+    assert own.encode(some)[0].tolist() == own.encode_whole(some)[0].tolist()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=5))
 def test_any_text_encodes_as_a_whole(some):
