@@ -25,7 +25,7 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 4_096
-LANES = 1_024  # blocks that are coded side by side
+LANES = 1_792  # blocks that are coded side by side
 MAGIC = b"TIDS\x02\x00\x00\x00"
 _TABLE = 12  # bits of the order 1 and order 2 tables
 _TOTAL = 14  # bits of a frequency
@@ -34,6 +34,7 @@ _COLUMNS = 16  # of a row of cumulated frequencies: 0, at most 15 classes, what
 _CONTEXTS = 32  # confidence of order 1 (4) and order 2 (4), whether they agree (2)
 _SEEN = 8  # what a class counts each time
 _LONGEST = 1_024  # steps between two changes of the distributions
+_WINDOW = 32  # steps that the encoder prepares together
 _HALF = np.uint64(32)
 _LOW = np.uint64((1 << 32) - 1)
 _BOTTOM = np.uint64(1 << 32)  # the range is kept at or above this
@@ -199,57 +200,60 @@ def _encode_side_by_side(blocks: list[np.ndarray], vocabulary: int) -> list[byte
         out[at] = _shift(low, wide, rows)
         end[rows] = at + 1
 
-    for a, b in _spans(steps):
-        rank = np.zeros((b - a, n), np.int64)
-        entries = np.full((b - a, 2, n), -4, np.int32)
-        going = every_going[a:b]
-        if going[0] < len(model.lane):
-            model.keep(going[0])
-        lanes, table = len(model.lane), model.row.reshape(-1)
-        own = ids[2 + a:2 + b, :lanes]
-        slots = model.slots(ids[1 + a:1 + b, :lanes], ids[a:b, :lanes])
-        key = own + model.ranks
-        for t in range(b - a):
-            if going[t] < len(model.lane):
-                model.keep(going[t])
-            k = going[t]
-            coded = own[t, :k]
-            at = slots[t, :, :k].reshape(-1)
-            found = model.seen[at].reshape(2, k)
-            hit = (found >> 2) == coded
-            entries[t, :, :k] = found
-            model.follow(at, found, hit, coded)
-            rows = (~(hit[0] | hit[1])).nonzero()[0]
-            ranks = model.rank_of[key[t, rows]].astype(np.int64)
-            rank[t, rows] = ranks
-            model.move(rows, ranks, coded[rows])
-        # the rest needs no step by step: all entries and ranks are known
-        entries, rank = entries[:, :, :lanes], rank[:, :lanes]
-        guess = entries >> 2
-        context = _context(entries, guess)
-        hit = guess == own[:, None]
-        found = class_of[rank]
-        found[hit[:, 0]] = 1
-        found[hit[:, 1]] = 0
-        at = (np.arange(lanes) * _CONTEXTS + context) * _COLUMNS + found
-        below = table[at].astype(np.uint64)
-        share = table[at + 1] - below
-        bits = model.bits[found]
-        place = (rank - model.first[found]).astype(np.uint64)
-        for t in range(b - a):
-            k = going[t]
-            lo, hi = low[:k], wide[:k]
-            hi >>= np.uint64(_TOTAL)
-            lo += hi * below[t, :k]
-            hi *= share[t, :k]
-            if model.split:
+    for first, past in _spans(steps):
+        if every_going[first] < len(model.lane):
+            model.keep(every_going[first])
+        places = np.zeros((past - first, len(model.lane)), np.int32)
+        for a in range(first, past, _WINDOW):
+            b = min(past, a + _WINDOW)
+            going = every_going[a:b]
+            if going[0] < len(model.lane):
+                model.keep(going[0])
+            lanes, table = len(model.lane), model.row.reshape(-1)
+            rank = np.zeros((b - a, lanes), np.int64)
+            entries = np.full((b - a, 2, lanes), -4, np.int32)
+            own = ids[2 + a:2 + b, :lanes]
+            slots = model.slots(ids[1 + a:1 + b, :lanes], ids[a:b, :lanes])
+            key = own + model.ranks
+            for t in range(b - a):
+                k = going[t]
+                if k < len(model.lane):
+                    model.keep(k)
+                coded, at = own[t, :k], slots[t, :, :k].reshape(-1)
+                found = model.seen[at].reshape(2, k)
+                hit = (found >> 2) == coded
+                entries[t, :, :k] = found
+                model.follow(at, found, hit, coded)
+                rows = (~(hit[0] | hit[1])).nonzero()[0]
+                ranks = model.rank_of[key[t, rows]].astype(np.int64)
+                rank[t, rows] = ranks
+                model.move(rows, ranks, coded[rows])
+            # the rest needs no step by step: all entries and ranks are known
+            guess = entries >> 2
+            context = _context(entries, guess)
+            hit = guess == own[:, None]
+            found = class_of[rank]
+            found[hit[:, 0]] = 1
+            found[hit[:, 1]] = 0
+            at = (np.arange(lanes) * _CONTEXTS + context) * _COLUMNS + found
+            places[a - first:b - first, :lanes] = at
+            below = table[at].astype(np.uint64)
+            share = table[at + 1] - below
+            bits = model.bits[found]
+            place = (rank - model.first[found]).astype(np.uint64)
+            for t in range(b - a):
+                k = going[t]
+                lo, hi = low[:k], wide[:k]
+                hi >>= np.uint64(_TOTAL)
+                lo += hi * below[t, :k]
+                hi *= share[t, :k]
+                if model.split:
+                    put(k)
+                hi >>= bits[t, :k]
+                lo += hi * place[t, :k]
                 put(k)
-            hi >>= bits[t, :k]
-            lo += hi * place[t, :k]
-            put(k)
-        k = len(model.lane)
-        if b < steps:
-            model.learn(at[:, :k])
+        if past < steps:
+            model.learn(places[:, :len(model.lane)])
     for half in (_HALF, np.uint64(0)):
         out[end] = (low >> half) & _LOW
         end += 1
@@ -285,7 +289,7 @@ def _decode_side_by_side(words: list[bytes], lengths: list[int], vocabulary: int
         at[rows] = places + 1
 
     for a, b in _spans(steps):
-        places = np.zeros((b - a, len(model.lane)), np.int64)
+        places = np.zeros((b - a, len(model.lane)), np.int32)
         for t in range(a, b):
             k = going[t]
             if k < len(model.lane):
@@ -301,7 +305,7 @@ def _decode_side_by_side(words: list[bytes], lengths: list[int], vocabulary: int
             # a byte for each column at or below the value
             met = np.bitwise_count((row <= value[:, None]).view(np.uint64))
             found = np.minimum(met[:, 0] + met[:, 1] - 1, model.classes - 1).astype(np.int64)
-            np.add(at_row * _COLUMNS, found, out=places[t - a, :k])
+            places[t - a, :k] = at_row * _COLUMNS + found
             column = model.lane * _COLUMNS + found
             flat = row.reshape(-1)
             below = flat[column].astype(np.uint64)
@@ -341,7 +345,7 @@ def encode(ids: np.ndarray, vocabulary: int, block_ids: int = BLOCK_IDS) -> byte
     """Ids (0 to vocabulary - 1) as bytes: magic, vocabulary, number of blocks; of each
     block its ids, its words and the crc32 of its ids; the crc32 of all this; then the
     words (all little-endian)."""
-    ids = np.asarray(ids, np.int64)
+    ids = np.asarray(ids)
     if len(ids) and not 0 <= ids.min() <= ids.max() < vocabulary:
         raise ValueError("an id is outside the vocabulary")
     blocks = [ids[i:i + block_ids] for i in range(0, len(ids), block_ids)]

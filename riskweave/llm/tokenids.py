@@ -30,7 +30,8 @@ import os
 import string
 import uuid
 import zlib
-from itertools import chain
+from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from .common import checkpointed, longs, record, remove, shared_folder, texts
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 CHUNK_IDS = rangecoder.LANES * rangecoder.BLOCK_IDS  # as many blocks as are coded side by side
-TEXTS_CHARS = 1 << 22  # characters of texts that are encoded together, unless one is longer
+TEXTS_CHARS = 1 << 21  # characters of texts that are encoded together, unless one is longer
 CACHE_WORDS = 1 << 19
 CACHE_CHARS = 1 << 25
 
@@ -110,18 +111,23 @@ class Encoder:
         seen = [w.translate(self.letters) for w in words]
         rest = iter(self.tokenizer.encode_batch_fast([w for w, s in zip(words, seen, strict=True) if "\0" in s], add_special_tokens=False))
         tokens = self.tokenizer.model.tokenize
-        found = [next(rest).ids if "\0" in s else [t.id for t in tokens(s)] for s in seen]
+        found, ends = array("i"), []  # flat, since Python's garbage collector goes through lists again and again
+        for s in seen:
+            found.extend(next(rest).ids if "\0" in s else [t.id for t in tokens(s)])
+            ends.append(len(found))
         self.number.update(zip(words, range(len(self.start) - 1, len(self.start) - 1 + len(words)), strict=True))
-        self.start = np.append(self.start, self.start[-1] + np.cumsum(list(map(len, found))))
-        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(found), np.int32))
+        self.start = np.append(self.start, self.start[-1] + np.array(ends, np.int64))
+        self.flat = np.append(self.flat, np.array(found, np.int32))
         self.chars += sum(map(len, words))
 
     def _numbers(self, words: list[str]) -> np.ndarray:
-        found = list(map(self.number.get, words))
-        if None in found:
-            self._learn(list(dict.fromkeys(w for w, n in zip(words, found, strict=True) if n is None)))
-            found = [self.number[w] if n is None else n for w, n in zip(words, found, strict=True)]
-        return np.array(found, np.int64)
+        found = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            some = [words[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(some)))
+            found[new] = [self.number[w] for w in some]
+        return found
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of distinct words, where each word's begin and the last's end)."""
@@ -204,10 +210,11 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
 
         def close():
             ids = np.concatenate([h[1] for h in held])
-            data = rangecoder.encode(ids, max(own.vocabulary, end_id + 1))
             length = np.concatenate([h[2] for h in held])
             lists = [pa.ListArray.from_arrays(pa.array([0, len(length)], pa.int32()), x)
                      for x in (pa.concat_arrays([h[0] for h in held]), longs(length))]
+            held.clear()  # the coder needs the room
+            data = rangecoder.encode(ids, max(own.vocabulary, end_id + 1))
             return record(part=pa.array([part], pa.int32()), chunk=longs([chunk]), before=longs([before]),
                           n_ids=longs([len(ids)]), doc_id=lists[0], n_tokens=lists[1], data=pa.array([data], pa.binary()))
 
@@ -218,7 +225,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
                 of = batch.column("doc_id").slice(portion.start, portion.stop - portion.start)
                 if held and n + len(ids) > chunk_ids:
                     yield close()
-                    chunk, before, held, n = chunk + 1, before + n, [], 0
+                    chunk, before, n = chunk + 1, before + n, 0
                 held.append((of, ids, length))
                 n += len(ids)
         if held:
