@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rangecoder
-from .common import checkpointed, longs, record, remove, shared_folder, texts
+from .common import checkpointed, longs, record, remove, shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -147,11 +147,11 @@ class Encoder:
         ids, total = _pieces(self.flat, first, self.start[both + 1] - first)
         return ids, total[::2]
 
-    def encode(self, some: list[str], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, some: list[str] | pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id behind; how many each has)."""
         if len(self.number) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self._forget()
-        split = pc.split_pattern(pc.replace_substring(pa.array(some, pa.string()), "\n", " "), " ")
+        split = pc.split_pattern(pc.replace_substring(some if isinstance(some, pa.Array) else pa.array(some, pa.string()), "\n", " "), " ")
         words = split.flatten().dictionary_encode()
         own, start = self._words(words.dictionary)
         at = words.indices.to_numpy()
@@ -163,8 +163,9 @@ class Encoder:
         ids[np.arange(len(found)) + np.repeat(np.arange(len(some)), per_text)] = found
         return ids, per_text + 1
 
-    def encode_whole(self, some: list[str], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+    def encode_whole(self, some: list[str] | pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """The same, each text in one call."""
+        some = some.to_pylist() if isinstance(some, pa.Array) else some
         found = [np.append(np.array(e.ids, np.int32), np.int32(end_id)) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
         return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(f) for f in found], np.int64)
 
@@ -179,13 +180,13 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _portions(some: list[str], limit: int):
+def _portions(sizes: list[int], limit: int):
     """Slices of at most ``limit`` characters, or of one longer text."""
     at = 0
-    while at < len(some):
+    while at < len(sizes):
         end, chars = at, 0
-        while end < len(some) and (end == at or chars + len(some[end]) <= limit):
-            chars += len(some[end])
+        while end < len(sizes) and (end == at or chars + sizes[end] <= limit):
+            chars += sizes[end]
             end += 1
         yield slice(at, end)
         at = end
@@ -219,10 +220,10 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
                           n_ids=longs([len(ids)]), doc_id=lists[0], n_tokens=lists[1], data=pa.array([data], pa.binary()))
 
         for batch in batches:
-            some = texts(batch)
-            for portion in _portions(some, min(TEXTS_CHARS, chunk_ids)):
+            some = pc.fill_null(batch.column("text"), "")
+            for portion in _portions(pc.utf8_length(some).to_pylist(), min(TEXTS_CHARS, chunk_ids)):
                 ids, length = encode(some[portion], end_id)
-                of = batch.column("doc_id").slice(portion.start, portion.stop - portion.start)
+                of = batch.column("doc_id")[portion]
                 if held and n + len(ids) > chunk_ids:
                     yield close()
                     chunk, before, n = chunk + 1, before + n, 0
