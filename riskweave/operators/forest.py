@@ -5,9 +5,9 @@ without gaps), ``feature`` (position in the feature array, -1 in a leaf), ``thre
 at or below it goes left), ``categories`` (or the values that go left; NULL for a threshold),
 ``left``, ``right`` (-1 in a leaf), ``gain``, ``stats`` (weight of each class) and ``depth``. Its size
 is set by the model's parameters (trees x 2^(depth + 1)), not by the data, so all trees may
-travel to every task as one array.
+travel to every task.
 
-Scoring runs in the JVM: one fold over the trees, in each a fold down its nodes. Votes are
+Scoring runs in the JVM (``kernels``): a loop over the trees, in each one down its nodes. Votes are
 added up tree by tree, as Spark ML does, so its probabilities come out alike.
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .kernels import JvmForest
 
 MAX_NODES = 4_000_000  # of a forest that is sent to the tasks
 COLUMNS = ("tree", "node", "feature", "threshold", "categories", "left", "right", "gain", "stats", "depth")
@@ -72,40 +73,12 @@ def check_forest(nodes: DataFrame) -> int:
     return r["d"]
 
 
-def _trees(nodes: DataFrame) -> Column:
-    """All trees as one array of arrays of nodes, a scalar subquery."""
-    total = F.aggregate("stats", F.lit(0.0), lambda s, x: s + x)
-    share = F.when(total > 0, F.transform("stats", lambda x: x / total)).otherwise(F.transform("stats", lambda x: F.lit(0.0)))
-    packed = nodes.select("tree", F.struct("node", "feature", "threshold", "categories", "left", "right",
-                                           share.alias("share")).alias("n"))
-    whole = packed.groupBy("tree").agg(F.array_sort(F.collect_list("n"), lambda a, b: a["node"] - b["node"]).alias("nodes"))
-    trees = F.array_sort(F.collect_list(F.struct("tree", "nodes")), lambda a, b: a["tree"] - b["tree"])
-    return whole.agg(F.transform(trees, lambda t: t["nodes"])).scalar()
-
-
-def _leaf(tree: Column, x: Column, depth: int) -> Column:
-    """Number of the leaf that a feature array reaches."""
-    def down(at: Column, _) -> Column:
-        n = F.get(tree, at)
-        value = F.get(x, n["feature"])
-        left = F.when(n["categories"].isNotNull(), F.array_contains(n["categories"], value)).otherwise(value <= n["threshold"])
-        return F.when(n["left"] < 0, at).when(F.coalesce(left, F.lit(False)), n["left"]).otherwise(n["right"])
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(0), down)
-
-
 def score(df: DataFrame, nodes: DataFrame, features: str, n_classes: int) -> DataFrame:
     """Add ``probability`` (array) and ``prediction`` (position of the largest, the first
     of equals) from the array column ``features``. A missing feature (NULL, NaN) goes right, as
     NaN does in Spark ML."""
-    depth = check_forest(nodes)
-    x = F.col(features)
-    none = F.array(*[F.lit(0.0)] * n_classes)
-
-    def vote(votes: Column, tree: Column) -> Column:
-        return F.zip_with(votes, F.get(tree, _leaf(tree, x, depth))["share"], lambda a, b: a + b)
-
-    out = df.withColumn("__trees", _trees(nodes)).withColumn("__votes", F.aggregate("__trees", none, vote)).drop("__trees")
+    forest = JvmForest.of_table(nodes, check_forest(nodes), n_classes)
+    out = df.withColumn("__votes", forest.votes(F.col(features).cast("array<double>")))
     total = F.aggregate("__votes", F.lit(0.0), lambda s, v: s + v)
     out = out.withColumn("probability", F.transform("__votes", lambda v: F.try_divide(v, total)))
     best = F.array_position("__votes", F.array_max("__votes")) - 1
@@ -114,9 +87,8 @@ def score(df: DataFrame, nodes: DataFrame, features: str, n_classes: int) -> Dat
 
 def leaves(df: DataFrame, nodes: DataFrame, features: str) -> DataFrame:
     """Add ``leaves``: for each tree the node that the row ends in."""
-    depth, x = check_forest(nodes), F.col(features)
-    return (df.withColumn("__trees", _trees(nodes))
-            .withColumn("leaves", F.transform("__trees", lambda t: _leaf(t, x, depth))).drop("__trees"))
+    forest = JvmForest.of_table(nodes, check_forest(nodes))
+    return df.withColumn("leaves", forest.leaves(F.col(features).cast("array<double>")))
 
 
 def ancestors(nodes: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ draws each tree's bag again (from the seed, the tree and the pack's number, so a
 draws the same), walks the bag down the splits known so far and counts bins and classes at
 the level's nodes; the counts of all tasks are exchanged by tree and block of nodes, and the best
 split of each node is found where they meet. Only splits travel to the driver. What a task holds
-is a tree's counts and ``BLOCK_ROWS`` rows' working arrays, beside its packs; these arrays are
-small enough for a core's cache, and counts are added in place.
+is a tree's counts and a pack's (in numpy ``BLOCK_ROWS`` rows') working arrays, beside its packs; these
+arrays are small enough for a core's cache, and counts are added in place. Cells of one byte are
+counted by a loop in the JVM (``kernels``), wider ones in numpy.
 
 The rules are those of Spark ML's forests: bags are Poisson(1) counts (here to 1/65536), a node
 draws its own features, candidate thresholds are fixed for the whole forest (midpoints
@@ -35,9 +36,11 @@ from pyspark.sql import functions as F
 
 from ..functions.quantile import fractions_array
 from ..session import ensure_checkpoint_dir
+from .kernels import count_packs
 
 PACK_ROWS = 1 << 14  # rows drawn together, the unit that moves
 BLOCK_ROWS = 1 << 14  # rows counted together: whole packs, until there are as many
+BYTE_CELLS = 256  # bins x classes that a byte tells apart
 NODE_BLOCK = 64  # nodes of a tree whose counts meet in one row
 SKETCH = 10_000  # equal shares of a feature that thresholds are chosen from
 EPSILON = 2.0 ** -52
@@ -110,8 +113,18 @@ class Level:
         return feature.ravel(), np.where(right, below[:, 1:], below[:, :1]).ravel()
 
 
+def _walked(levels: list[Level]) -> tuple | None:
+    """A tree as ``count_packs`` takes it; None if it has no open nodes."""
+    *done, last = levels
+    if last.feature is not None:
+        return None
+    first = np.cumsum([0] + [len(above.below) for above in done])
+    above = [np.column_stack([a.feature, a.last, np.where(a.below < 0, -1, a.below + n)]) for a, n in zip(done, first[1:])]
+    return np.concatenate([np.zeros((0, 4), int), *above]), len(done), last.drawn, last.starts, last.ends[-1]
+
+
 def _counter(trees: list[list[Level]], n_features: int, seed: int, kind: str):
-    """Packs to counts of the deepest level: rows ``(tree, block, counts)``."""
+    """Packs to counts of the deepest level, rows ``(tree, block, counts)``: what ``count_packs`` does on the JVM, for cells of any width."""
     def blocks(batches):
         packs, cells, held = [], [], 0
         for b in batches:
@@ -311,7 +324,7 @@ def _grow(df: DataFrame, forest: RandomForestClassifier, folder: str) -> RandomF
     sketch = dict(rows.select(F.posexplode("x").alias("f", "v")).groupBy("f").agg(F.percentile_approx("v", shares, 2 * SKETCH)).collect())
     cuts = [thresholds(np.array(sketch[f], float), max_bins) for f in range(n_features)]
     bins = np.array([len(c) + 1 for c in cuts])
-    kind = "u1" if bins.max() * n_classes <= 256 else "u4"
+    kind = "u1" if bins.max() * n_classes <= BYTE_CELLS else "u4"
 
     cores = spark.sparkContext.defaultParallelism
     (rows.select("x", "y").mapInArrow(_packer(cuts, n_classes, kind), "pack long, cells binary")
@@ -334,7 +347,10 @@ def _grow(df: DataFrame, forest: RandomForestClassifier, folder: str) -> RandomF
     for at in range(max(depth, 1)):
         if not any(tree.open for tree in trees):
             break
-        counts = packs.mapInArrow(_counter(levels, n_features, seed, kind), "tree int, block int, counts binary")
+        if kind == "u1":
+            counts = count_packs(packs, n_features, NODE_BLOCK, seed, bag_table(), [_walked(mine) for mine in levels])
+        else:
+            counts = packs.mapInArrow(_counter(levels, n_features, seed, kind), "tree int, block int, counts binary")
         drawn = [mine[-1].drawn if tree.open else None for mine, tree in zip(levels, trees)]
         found = counts.repartition(cores, "tree", "block").mapInArrow(
             _chooser(drawn, bins, weights),
