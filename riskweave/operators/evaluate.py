@@ -108,8 +108,9 @@ def confusion_matrix(pred: DataFrame, classes: Sequence, label: str = "label",
 
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """``(class, precision, recall, f1_score, support)`` per class, then
-    ``accuracy``, ``macro avg``, ``weighted avg`` rows; 0/0 counts as 0."""
-    cc = confusion_counts(pred, label, prediction)
+    ``accuracy``, ``macro avg``, ``weighted avg`` rows; 0/0 counts as 0. The confusion counts are read
+    several times, so they are made once: predictions cost more than all the rest."""
+    cc = materialize(confusion_counts(pred, label, prediction))
     actual = cc.groupBy(F.col("actual").alias("class")).agg(F.sum("count").alias("support"))
     predicted = cc.groupBy(F.col("predicted").alias("class")).agg(F.sum("count").alias("n_pred"))
     tp = cc.filter(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("class"),

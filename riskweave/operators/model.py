@@ -14,13 +14,14 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dense import numbered
 from .evaluate import with_class_weights
 from .growing import grow_forest
+from .kernels import JvmForest
 
 # The model's features in the report's order.
 CAT_COLS = ("country", "device_type", "traffic_source", "payment_method", "product_category")
@@ -95,10 +96,26 @@ def fit_risk_model(train: DataFrame, label: str = "risk_label", num_trees: int =
     return _fit(_encoders(train) + [assembler(), target], weighted, _forest("label_idx", num_trees, max_depth, seed, max_bins))
 
 
-def predict(model: PipelineModel, test: DataFrame, label: str = "risk_label") -> DataFrame:
-    """Adds ``predicted`` (class name) to the test rows."""
+def _scored(model: PipelineModel, test: DataFrame) -> DataFrame:
+    """What ``model.transform`` adds, with the forest's trees walked by ``kernels``: Spark ML's nodes are objects
+    that lie apart in memory, and it walks them several times as long."""
+    forest = model.stages[-1]
+    if forest.isSet("thresholds"):
+        return model.transform(test)
+    out = PipelineModel(model.stages[:-1]).transform(test)
+    votes = JvmForest.of_model(test.sparkSession, forest).votes(F.col(forest.getFeaturesCol()))
+    out = out.withColumn("__votes", votes).withColumn("__total", F.aggregate("__votes", F.lit(0.0), lambda s, v: s + v))
+    share = F.transform("__votes", lambda v: F.coalesce(F.try_divide(v, F.col("__total")), F.lit(0.0)))
+    best = F.array_position("__votes", F.array_max("__votes")) - 1
+    return (out.withColumn(forest.getRawPredictionCol(), array_to_vector("__votes"))
+            .withColumn(forest.getProbabilityCol(), array_to_vector(share))
+            .withColumn(forest.getPredictionCol(), best.cast("double")).drop("__votes", "__total"))
+
+
+def predict(model: PipelineModel, test: DataFrame, label: str = "risk_label", spark_ml: bool = False) -> DataFrame:
+    """Adds ``predicted`` (class name) to the test rows; with ``spark_ml`` by Spark ML's own scorer."""
     labels = model.stages[-2].labels  # the fitted label indexer's class list (bounded by #classes)
-    out = model.transform(test)
+    out = model.transform(test) if spark_ml else _scored(model, test)
     back = IndexToString(inputCol="prediction", outputCol="predicted", labels=labels)
     return back.transform(out)
 
@@ -112,7 +129,7 @@ def fit_fraud_model(train: DataFrame, label: str = "is_fraud", num_trees: int =
 
 def fraud_probability(model: PipelineModel, test: DataFrame) -> DataFrame:
     """Adds ``score`` = P(fraud)."""
-    return model.transform(test).withColumn("score", vector_to_array("probability")[1])
+    return _scored(model, test).withColumn("score", vector_to_array("probability")[1])
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str] = FEATURE_COLS) -> DataFrame:

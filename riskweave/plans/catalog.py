@@ -1055,7 +1055,7 @@ def q_stored_forest_agrees(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
     model, test = _risk_model(spark, sf_dir)
     nodes = ft.export_forest(model, _scratch(spark, "forest"))
-    theirs = ml.predict(model, test).select("order_id", _F.col("prediction").alias("y"), vector_to_array("probability").alias("p"),
+    theirs = ml.predict(model, test, spark_ml=True).select("order_id", _F.col("prediction").alias("y"), vector_to_array("probability").alias("p"),
                                             vector_to_array("features").alias("x"))
     both = ft.score(theirs, nodes, "x", len(_CLASSES))
     gap = _F.aggregate(_F.zip_with("p", "probability", lambda a, b: _F.abs(a - b)), _F.lit(0.0), lambda s, v: _F.greatest(s, v))
