@@ -152,11 +152,12 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "score",
     put in equi-depth buckets (approximate quantiles + code-generated
     search), prefix sums of bucket totals give offsets, and only inside a
     bucket are scores ranked -- no unpartitioned window over the data. Products of
-    counts are taken in double, which cannot overflow."""
+    counts are taken in double, which cannot overflow. Missing scores go once the counts are made:
+    a filter before them would work out a model's score again."""
     y = F.col(label).cast("int")
-    s = materialize(pred.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    s = materialize(pred.filter(F.col(label).isNotNull())
                     .groupBy(F.col(score).cast("double").alias("s"))
-                    .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
+                    .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))).filter("s is not null")
     buckets = buckets or (1_024 if s.count() <= 1_024 * BUCKET_ROWS else 9_216)
     bounds = s.select(F.percentile_approx("s", fractions_array(buckets), buckets * 32)).scalar()
     b = with_bucket(s.withColumn("__bounds", bounds), "__bounds", "s", buckets).drop("__bounds")
