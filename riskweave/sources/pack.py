@@ -52,7 +52,7 @@ class ReportPack:
         self._fs.mkdirs(self._path("_commits"))
         self._fs.mkdirs(self._path("_numbers"))
         number = max([0, *self._commits()]) + 1
-        while not self._fs.createNewFile(self._path(f"_numbers/{number:012d}")):
+        while not self._take(self._path(f"_numbers/{number:012d}")):
             number += 1
         staged = self._path(f"_versions/{folder}/_commit")
         self._fs.create(staged, False).close()
@@ -60,6 +60,12 @@ class ReportPack:
             raise OSError(f"version {number} of {self.root} could not be committed")
         return number
 
+    def _take(self, marker) -> bool:
+        """Make a file that nobody else has made. Hadoop's local file system looks and then writes, so two could."""
+        if self._fs.getUri().getScheme() == "file":
+            return self._jvm.java.io.File(self._fs.makeQualified(marker).toUri().getPath()).createNewFile()
+        return self._fs.createNewFile(marker)
+
     def write(self, tables: Mapping[str, DataFrame]) -> int:
         """Write all ``tables`` as the next version and return its number. If one of them
         fails, the version before stays the current one. Names whose first 31 characters
